@@ -7,11 +7,13 @@ Missing values and other dirt are derived from row keys, the same way in the SQL
 from __future__ import annotations
 
 import os
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from journeylake import fixed_values as fv
-from journeylake.operators import history, mastering, quality, star, suppression
+from journeylake.functions.columns import lead_date
+from journeylake.operators import mastering, quality, star, suppression
 from journeylake.operators.keyed import first_per_key
 from journeylake.plans.journeys import WIDE_COLUMNS
 
@@ -22,18 +24,33 @@ JOURNEY_NAMES = ("J01_Welcome", "J02_Nurture", "J03_Conversion", "J04_ReEngageme
 STATUS_NAMES = ("SP_LOAD_PHI_PROSPECT", "SP_LOAD_BRONZE_PROSPECT", "SP_LOAD_SILVER_PROSPECT")
 
 
+def cached(method):
+    """One plan object per table and instance; plans only, no rows."""
+    @wraps(method)
+    def wrapper(self, *args):
+        key = (method.__name__, *args)
+        if key not in self._plans:
+            self._plans[key] = method(self, *args)
+        return self._plans[key]
+
+    return wrapper
+
+
 class Bound:
     """Lazily bound tables of one data folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._plans: dict[tuple, DataFrame] = {}
 
+    @cached
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.folder, f"{name}.parquet"))
 
     # --- leads ---------------------------------------------------------------
 
+    @cached
     def leads_keyed(self) -> DataFrame:
         """Staged leads plus ``lead_id``, ``custkey``, ``segment`` and ``submitted`` for bindings."""
         orders, customer = self.read("orders"), self.read("customer")
@@ -69,12 +86,15 @@ class Bound:
 
     LEAD_KEYS = ("lead_id", "custkey", "segment", "submitted")
 
+    @cached
     def leads(self) -> DataFrame:
         return self.leads_keyed().drop(*self.LEAD_KEYS)
 
+    @cached
     def checked(self) -> DataFrame:
         return quality.validate_leads(self.leads_keyed())
 
+    @cached
     def prospects(self) -> DataFrame:
         """Valid leads as mastered rows with the customer key as identity, smallest lead
         per (id, file date)."""
@@ -89,6 +109,7 @@ class Bound:
             (F.col("segment") != "MACHINERY").alias("is_active"),
         )
 
+    @cached
     def silver(self) -> DataFrame:
         """Mastered rows as version rows (every row current, as the dimension needs them)."""
         return self.prospects().withColumns({
@@ -96,6 +117,7 @@ class Bound:
             "version_num": F.lit(1), "dq_passed": F.lit(True),
         })
 
+    @cached
     def xref(self) -> DataFrame:
         people = quality.valid_leads(self.checked())
         return people.groupBy(
@@ -106,11 +128,13 @@ class Bound:
             F.min(F.lower(F.trim("email"))).alias("email"),
         )
 
+    @cached
     def dim_prospect(self) -> DataFrame:
         return star.prospect_rows(self.silver())
 
     # --- engagement -----------------------------------------------------------
 
+    @cached
     def fact(self) -> DataFrame:
         """Engagement fact; events whose id is a multiple of 50 have no known job key."""
         e = self.read("events")
@@ -137,6 +161,7 @@ class Bound:
             k.alias("k"),
         )
 
+    @cached
     def jobs(self) -> DataFrame:
         stages = star.stage_map(self.spark)
         first_email = star.email_map(self.spark).groupBy("stage_number").agg(F.min("email_name").alias("email_name"))
@@ -145,6 +170,7 @@ class Bound:
             F.col("journey_code").alias("journey_type"), F.col("stage_name").alias("mapped_stage"), "email_name",
         )
 
+    @cached
     def raw_events(self) -> DataFrame:
         return self.fact().select("event_type", "subscriber_key", "job_id")
 
@@ -172,11 +198,13 @@ class Bound:
             out[kind] = part.withColumn("complaint_type", F.lit("abuse")) if kind == "SPAM" else part
         return out
 
+    @cached
     def unsubscribes(self) -> DataFrame:
         return self.fact().filter(F.col("event_type") == "UNSUBSCRIBE").select(
             "subscriber_key", "job_id", F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss").alias("event_date"), "reason"
         )
 
+    @cached
     def journey_details(self) -> DataFrame:
         """Nine flags and latest dates per subscriber from SENT events; a subscriber with an
         unsubscribe carries a set flag in changing spellings."""
@@ -208,14 +236,16 @@ class Bound:
 
     # --- reject log, snapshot, run log -------------------------------------------
 
+    @cached
     def lead_rejects(self) -> DataFrame:
         bad = quality.invalid_leads(self.checked())
         rows = quality.reject_rows(
             bad, fv.MASTER_TABLE, {**quality.LEAD_FIELDS, "PATIENT_CONSENT": "patient_consent"}, "PHI_LOAD",
-            F.col("submitted") + F.expr("interval 3 days"), carry=("lead_id",),
+            F.col("submitted") + F.expr("interval 3 days"), lead_date("file_date"), carry=("lead_id",),
         )
         return rows.withColumn("rejection_id", F.concat(F.lit("L"), F.col("lead_id").cast("string"))).drop("lead_id")
 
+    @cached
     def rejects(self) -> DataFrame:
         """Refused leads, suppressed prospects and fatal bounces (k a multiple of 10)."""
         flagged = suppression.suppression_rejects(self.journey_details(), F.col("_loaded_at")).withColumn(
@@ -228,6 +258,7 @@ class Bound:
         ).withColumn("rejection_id", F.concat(F.lit("F"), F.col("event_id").cast("string"))).drop("event_id")
         return self.lead_rejects().unionByName(flagged).unionByName(fatal)
 
+    @cached
     def snapshot(self) -> DataFrame:
         c = self.read("customer")
         key = F.col("c_custkey")
@@ -239,6 +270,7 @@ class Bound:
             F.when(F.col("c_acctbal") > 5000, "True").otherwise("False").alias("high_engagement"),
         )
 
+    @cached
     def runs(self) -> DataFrame:
         o = self.read("orders")
         k = F.col("o_orderkey")
@@ -261,16 +293,20 @@ class Bound:
 
     # --- star pieces ---------------------------------------------------------------
 
+    @cached
     def geography(self) -> DataFrame:
         return star.geography_rows(self.silver())
 
+    @cached
     def calendar(self) -> DataFrame:
         return star.calendar_over(
             self.read("orders").select(F.to_date(F.col("o_orderdate").cast("timestamp_ntz")).alias("d")), "d")
 
+    @cached
     def event_calendar(self) -> DataFrame:
         return star.calendar_over(self.read("events").select(F.to_date("ts").alias("d")), "d")
 
+    @cached
     def intake(self) -> DataFrame:
         """Intake fact with natural keys in place of surrogate ones."""
         return self.prospects().select(

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Iterator
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from ..sources.lake import Lake
 
+RUN_LOG = "audit/run_log"
+FILE_AUDIT = "audit/file_audit"
 RUN_LOG_SCHEMA = (
     "run_id string, pipeline_name string, layer string, table_name string, status string, "
     "rows_loaded bigint, rows_rejected bigint, error_message string, "
@@ -28,47 +30,26 @@ def utc_now() -> datetime:
 
 @dataclass
 class Run:
-    """What a job reports; observations are read after its write has finished."""
+    """What a job reports about itself."""
 
     run_id: str
     rows_loaded: int = 0
     rows_rejected: int = 0
-    _watched: list[tuple[str, Observation]] = field(default_factory=list)
-
-    def watch_loaded(self, df: DataFrame) -> DataFrame:
-        return self._watch(df, "rows_loaded")
-
-    def watch_rejected(self, df: DataFrame) -> DataFrame:
-        return self._watch(df, "rows_rejected")
-
-    def _watch(self, df: DataFrame, name: str) -> DataFrame:
-        seen = Observation(f"{name}-{uuid.uuid4().hex}")
-        self._watched.append((name, seen))
-        return df.observe(seen, F.count(F.lit(1)).alias("n"))
-
-    def settle(self) -> None:
-        for name, seen in self._watched:
-            setattr(self, name, getattr(self, name) + int(seen.get["n"]))
-        self._watched.clear()
 
 
 @contextmanager
-def logged_run(spark: SparkSession, append, pipeline: str, layer: str, table: str) -> Iterator[Run]:
-    """Logs one SUCCESS or FAILED row through ``append(df)``; a failure is raised again.
-
-    Counts come from `DataFrame.observe` on the frames being written, not from a second
-    scan.
-    """
+def logged_run(lake: Lake, pipeline: str, layer: str, table: str) -> Iterator[Run]:
+    """One SUCCESS or FAILED row per run; a failure is raised again, never swallowed."""
     run = Run(uuid.uuid4().hex)
     started = utc_now()
 
     def log(status: str, error: str | None) -> None:
-        row = (run.run_id, pipeline, layer, table, status, run.rows_loaded, run.rows_rejected, error, started, utc_now())
-        append(spark.createDataFrame([row], RUN_LOG_SCHEMA))
+        row = (run.run_id, pipeline, layer, table, status, run.rows_loaded, run.rows_rejected, error,
+               started, utc_now())
+        lake.append(RUN_LOG, run.run_id, lambda: lake.spark.createDataFrame([row], RUN_LOG_SCHEMA).coalesce(1))
 
     try:
         yield run
-        run.settle()
     except Exception as exc:
         log("FAILED", f"{type(exc).__name__}: {exc}"[:500])
         raise

@@ -10,7 +10,7 @@ from .. import fixed_values as fv
 from ..functions.columns import blank_to_null, lead_date, truthy
 from .keyed import unseen
 
-REJECT_COLUMNS = ("table_name", "rejection_reason", "rejected_record", "rejected_at", "rejected_hash")
+REJECT_COLUMNS = ("table_name", "rejection_reason", "rejected_record", "rejected_at", "lead_date", "rejected_hash")
 
 
 def reject_reason(require_consent: bool = False) -> Column:
@@ -75,15 +75,21 @@ def reject_rows(
     fields: Mapping[str, Column | str],
     stage: str,
     rejected_at: Column | None = None,
+    lead_day: Column | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Reject-log rows for frames that carry ``rejection_reason``."""
+    """Reject-log rows for frames that carry ``rejection_reason``.
+
+    ``lead_date`` is a typed copy of the record's file date, so that date ranges filter a
+    plain column of the stored log instead of parsing every record.
+    """
     when = F.current_timestamp().cast("timestamp_ntz") if rejected_at is None else rejected_at
     return rejected.select(
         F.lit(table_name).alias("table_name"),
         "rejection_reason",
         record_json(fields, stage).alias("rejected_record"),
         when.alias("rejected_at"),
+        (F.lit(None).cast("date") if lead_day is None else lead_day).alias("lead_date"),
         *carry,
     ).withColumn("rejected_hash", F.md5(F.col("rejected_record").cast("binary")))
 
@@ -106,8 +112,8 @@ REJECT_JSON_SCHEMA = (
 
 def parsed_rejects(log: DataFrame) -> DataFrame:
     """Reject log with the record parsed once (``rec``) and its lead date typed; text that
-    is not a JSON object gives null fields. ``log`` may already carry ``lead_date``, the
-    typed copy that `mastering` stores, which makes the range predicate a scan filter."""
+    is not a JSON object gives null fields. Logs written elsewhere may lack ``lead_date``;
+    it is then read from the record."""
     parsed = log.withColumn("rec", F.from_json("rejected_record", REJECT_JSON_SCHEMA))
     if "lead_date" in log.columns:
         return parsed

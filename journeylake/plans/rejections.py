@@ -35,23 +35,21 @@ def rejection_analysis(
     first ``emails_per_cell`` of them; `rejection_emails` gives all of them as rows.
     """
     rows = _with_group_date(_in_scope(rejects, start, end, reason, category))
+    per_email = rows.groupBy(*GROUP, F.col("rec.EMAIL").alias("email")).agg(F.count(F.lit(1)).alias("n"))
     top = (
-        rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rejected_count"))
+        per_email.groupBy(*GROUP)
+        .agg(F.sum("n").alias("rejected_count"), F.count("email").alias("emails"))
         .orderBy(F.col("lead_file_date").desc_nulls_last(), F.col("rejected_count").desc(),
                  "rejection_reason", "table_name")
         .limit(limit)
     )
-    keyed = rows.select(*GROUP, F.col("rec.EMAIL").alias("email")).filter("email is not null").distinct()
     # ``top`` has at most ``limit`` rows by construction.
-    chosen = keyed.join(F.broadcast(top.select(*GROUP)), GROUP, "left_semi")
-    sizes = chosen.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("emails"))
+    chosen = per_email.filter("email is not null").join(F.broadcast(top.select(*GROUP)), GROUP, "left_semi")
     texts = (
         first_per_key(chosen, GROUP, [F.col("email")], emails_per_cell)
         .groupBy(*GROUP).agg(F.array_join(F.sort_array(F.collect_list("email")), ", ").alias("sample_emails"))
     )
-    return top.join(sizes.join(texts, GROUP), GROUP, "left").withColumn(
-        "emails", F.coalesce("emails", F.lit(0))
-    )
+    return top.join(texts, GROUP, "left")
 
 
 def rejection_emails(

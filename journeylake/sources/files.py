@@ -125,9 +125,13 @@ def empty_events(spark: SparkSession, entity: str) -> DataFrame:
     return spark.createDataFrame([], ", ".join(fields))
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+def export_csv(df: DataFrame, path: str, single_file: bool = False, encoding: str = "UTF-8") -> None:
     """CSV with header and quotes, uncompressed. One file only on request: it funnels the
     whole export through one task."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option(
-        "compression", "none").csv(path)
+    (
+        out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+        .option("compression", "none").option("encoding", encoding)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
