@@ -36,15 +36,9 @@ def similar_entities(
     candidates = vectors
     if keywords:
         candidates = candidates.filter(any_of([contains_folded("text", w) for w in keywords]))
-    scored = candidates.select(
-        "id",
-        F.explode(F.transform(
-            queries,
-            lambda q: F.struct(
-                q["qid"].alias("query_id"),
-                F.round(F.try_divide(_dot(F.col("vector"), q["qv"]), F.col("norm") * q["qn"]), digits).alias("score"),
-            ),
-        )).alias("s"),
-    ).select(F.col("s.query_id").alias("query_id"), "id", F.col("s.score").alias("score"))
+    # The subquery is a column of its own because lambdas may not hold subqueries.
+    pairs = candidates.withColumn("_queries", queries).withColumn("_q", F.explode("_queries"))
+    score = F.try_divide(_dot(F.col("vector"), F.col("_q.qv")), F.col("norm") * F.col("_q.qn"))
+    scored = pairs.select(F.col("_q.qid").alias("query_id"), "id", F.round(score, digits).alias("score"))
     others = scored.filter((F.col("id") != F.col("query_id")) & F.col("score").isNotNull())
     return first_per_key(others, ["query_id"], [F.col("score").desc(), F.col("id")], k)
