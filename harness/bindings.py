@@ -53,35 +53,28 @@ class Bound:
     @cached
     def leads_keyed(self) -> DataFrame:
         """Staged leads plus ``lead_id``, ``custkey``, ``segment`` and ``submitted`` for bindings."""
-        orders, customer = self.read("orders"), self.read("customer")
-        joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        k, cust = F.col("o_orderkey"), F.col("o_custkey")
-        when = F.col("o_orderdate").cast("timestamp_ntz")
-        submitted = when + F.make_dt_interval(secs=(k % 86400).cast("decimal(18,6)"))
-        return joined.select(
-            F.when(k % 29 == 0, "  ").otherwise(F.split_part("c_name", F.lit("#"), F.lit(1))).alias("first_name"),
-            F.when(k % 31 != 0, F.split_part("c_name", F.lit("#"), F.lit(2))).alias("last_name"),
-            F.when(k % 17 != 0, F.concat(
-                F.when(k % 5 == 0, F.upper("c_name")).otherwise(F.lower("c_name")), F.lit("@example.com"))).alias("email"),
-            F.when(k % 23 == 0, "").otherwise(cust.cast("string")).alias("phone_number"),
-            F.when(k % 37 == 0, "n/a").when(k % 41 == 0, F.concat((cust % 60 + 15).cast("string"), F.lit(".6")))
-            .otherwise((cust % 60 + 15).cast("string")).alias("age"),
-            F.concat((cust % 900).cast("string"), F.lit(" Main St")).alias("address"),
-            F.when(cust % 3 == 0, F.concat(F.lit("Apt "), (k % 2).cast("string"))).alias("apartment_no"),
-            F.when(cust % 43 == 0, " ").otherwise(F.concat(F.lit("City"), (cust % 50).cast("string"))).alias("city"),
-            F.lower(F.substring(F.lit(NATION_STATES), F.col("c_nationkey") * 2 + 1, F.lit(2))).alias("state"),
-            F.lpad((cust % 1000).cast("string"), 5, "0").alias("zip_code"),
-            F.when(F.col("o_orderstatus") == "F", "TRUE").when(F.col("o_orderstatus") == "O", " true ")
-            .otherwise("no").alias("patient_consent"),
-            F.col("o_orderpriority").alias("channel"),
-            F.when(k % 3 == 0, F.date_format(submitted, "dd-MM-yyyy HH:mm"))
-            .otherwise(F.date_format(submitted, "yyyy-MM-dd HH:mm:ss")).alias("submission_timestamp"),
-            F.when(k % 19 == 0, "bad").when(k % 2 == 0, F.date_format(when, "dd-MM-yyyy"))
-            .otherwise(F.date_format(when, "yyyy-MM-dd")).alias("file_date"),
-            k.alias("lead_id"),
-            cust.alias("custkey"),
-            F.col("c_mktsegment").alias("segment"),
-            when.alias("submitted"),
+        joined = self.read("orders").join(self.read("customer"), F.expr("o_custkey = c_custkey"))
+        timed = joined.withColumn("ordered", F.expr("cast(o_orderdate as timestamp_ntz)")).withColumn(
+            "submitted_exact", F.expr("ordered + make_dt_interval(0, 0, 0, o_orderkey % 86400)"))
+        return timed.selectExpr(
+            "case when o_orderkey % 29 = 0 then '  ' else split_part(c_name, '#', 1) end as first_name",
+            "case when o_orderkey % 31 <> 0 then split_part(c_name, '#', 2) end as last_name",
+            "case when o_orderkey % 17 <> 0 then concat(if(o_orderkey % 5 = 0, upper(c_name), lower(c_name)), '@example.com') end as email",
+            "if(o_orderkey % 23 = 0, '', cast(o_custkey as string)) as phone_number",
+            "case when o_orderkey % 37 = 0 then 'n/a' when o_orderkey % 41 = 0 then concat(o_custkey % 60 + 15, '.6') "
+            "else cast(o_custkey % 60 + 15 as string) end as age",
+            "concat(o_custkey % 900, ' Main St') as address",
+            "case when o_custkey % 3 = 0 then concat('Apt ', o_orderkey % 2) end as apartment_no",
+            "if(o_custkey % 43 = 0, ' ', concat('City', o_custkey % 50)) as city",
+            f"lower(substr('{NATION_STATES}', c_nationkey * 2 + 1, 2)) as state",
+            "lpad(cast(o_custkey % 1000 as string), 5, '0') as zip_code",
+            "case o_orderstatus when 'F' then 'TRUE' when 'O' then ' true ' else 'no' end as patient_consent",
+            "o_orderpriority as channel",
+            "if(o_orderkey % 3 = 0, date_format(submitted_exact, 'dd-MM-yyyy HH:mm'), "
+            "date_format(submitted_exact, 'yyyy-MM-dd HH:mm:ss')) as submission_timestamp",
+            "case when o_orderkey % 19 = 0 then 'bad' when o_orderkey % 2 = 0 then date_format(ordered, 'dd-MM-yyyy') "
+            "else date_format(ordered, 'yyyy-MM-dd') end as file_date",
+            "o_orderkey as lead_id", "o_custkey as custkey", "c_mktsegment as segment", "ordered as submitted",
         )
 
     LEAD_KEYS = ("lead_id", "custkey", "segment", "submitted")
@@ -137,28 +130,21 @@ class Bound:
     @cached
     def fact(self) -> DataFrame:
         """Engagement fact; events whose id is a multiple of 50 have no known job key."""
-        e = self.read("events")
-        k, eid = F.get_json_object("props", "$.k").cast("int"), F.col("event_id")
         kind = (
-            F.when(F.col("event_type") == "signup", "SENT").when(F.col("event_type") == "view", "OPEN")
-            .when(F.col("event_type") == "click", "CLICK").when(F.col("event_type") == "error", "BOUNCE")
-            .when(eid % 5 == 0, "SPAM").otherwise("UNSUBSCRIBE")
+            "case event_type when 'signup' then 'SENT' when 'view' then 'OPEN' when 'click' then 'CLICK' "
+            "when 'error' then 'BOUNCE' else if(event_id % 5 = 0, 'SPAM', 'UNSUBSCRIBE') end"
         )
-        job = (eid % 9 + 1).cast("int")
-        return e.select(
-            eid.alias("event_id"),
-            F.format_string(fv.MASTER_ID_FORMAT, "user_id").alias("subscriber_key"),
-            job.alias("job_id"),
-            F.when(eid % 50 != 0, job).alias("job_key"),
-            F.col("ts").alias("event_timestamp"),
-            (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).alias("date_key"),
-            kind.alias("event_type"),
-            (k % 2 == 0).alias("is_unique"),
-            kind.isin("UNSUBSCRIBE", "SPAM").alias("is_suppressed"),
-            F.when(kind == "UNSUBSCRIBE", "UNSUBSCRIBE_EVENT").when(kind == "SPAM", "SPAM_EVENT").alias("suppression_reason"),
-            F.when(kind == "UNSUBSCRIBE", F.when(k % 4 != 0, F.concat(F.lit("reason_"), (k % 3).cast("string")))).alias("reason"),
-            F.col("value"),
-            k.alias("k"),
+        base = self.read("events").selectExpr(
+            "event_id", f"format_string('{fv.MASTER_ID_FORMAT}', user_id) as subscriber_key",
+            "cast(event_id % 9 + 1 as int) as job_id", "ts as event_timestamp", f"{kind} as event_type", "value",
+            "cast(get_json_object(props, '$.k') as int) as k",
+        )
+        return base.selectExpr(
+            "event_id", "subscriber_key", "job_id", "if(event_id % 50 <> 0, job_id, null) as job_key", "event_timestamp",
+            "year(event_timestamp) * 10000 + month(event_timestamp) * 100 + day(event_timestamp) as date_key",
+            "event_type", "k % 2 = 0 as is_unique", "event_type in ('UNSUBSCRIBE', 'SPAM') as is_suppressed",
+            "case event_type when 'UNSUBSCRIBE' then 'UNSUBSCRIBE_EVENT' when 'SPAM' then 'SPAM_EVENT' end as suppression_reason",
+            "if(event_type = 'UNSUBSCRIBE' and k % 4 <> 0, concat('reason_', k % 3), null) as reason", "value", "k",
         )
 
     @cached
@@ -176,15 +162,12 @@ class Bound:
 
     def raw_event_tables(self) -> dict[str, DataFrame]:
         """Six raw event tables (text columns and lineage) cut from the events."""
-        base = self.fact().select(
-            "subscriber_key", F.col("job_id"), F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss").alias("event_date"),
-            F.lit("example.com").alias("domain"), (F.col("k") % 2 == 0).cast("string").alias("is_unique"),
-            F.concat(F.lit("https://example.com/"), (F.col("k") % 7).cast("string")).alias("url"),
-            F.when(F.col("k") % 2 == 0, "Hard").otherwise("Soft").alias("bounce_category"),
-            F.concat(F.lit("type"), (F.col("k") % 3).cast("string")).alias("bounce_type"),
-            F.col("reason"), F.lit("1").alias("account_id"), F.col("event_type").alias("record_type"),
-            F.concat(F.lit("file_"), (F.col("event_id") % 4).cast("string")).alias("_source_file_name"),
-            F.col("event_id").alias("_source_row_number"), F.col("event_timestamp").alias("_loaded_at"),
+        base = self.fact().selectExpr(
+            "subscriber_key", "job_id", "date_format(event_timestamp, 'yyyy-MM-dd HH:mm:ss') as event_date",
+            "'example.com' as domain", "cast(k % 2 = 0 as string) as is_unique", "concat('https://example.com/', k % 7) as url",
+            "if(k % 2 = 0, 'Hard', 'Soft') as bounce_category", "concat('type', k % 3) as bounce_type", "reason",
+            "'1' as account_id", "event_type as record_type", "concat('file_', event_id % 4) as _source_file_name",
+            "event_id as _source_row_number", "event_timestamp as _loaded_at",
         )
         extra = {
             "SENT": ("domain",), "OPEN": ("domain", "is_unique"), "CLICK": ("domain", "is_unique", "url"),
@@ -208,30 +191,26 @@ class Bound:
     def journey_details(self) -> DataFrame:
         """Nine flags and latest dates per subscriber from SENT events; a subscriber with an
         unsubscribe carries a set flag in changing spellings."""
-        fact = self.fact()
-        per = []
-        for s in fv.STAGES:
-            hit = (F.col("event_type") == "SENT") & (F.col("job_id") == s[0])
-            per.append(F.max(F.when(hit, F.to_date("event_timestamp"))).alias(f"d{s[0]}"))
-        uid = F.substring("subscriber_key", 4, 10).cast("bigint")
-        unsub = F.count_if((F.col("event_type") == "UNSUBSCRIBE") & (F.col("job_id") <= 2))
-        agg = fact.groupBy("subscriber_key").agg(
-            *per, unsub.alias("unsubs"), F.max("event_timestamp").alias("loaded")
-        ).withColumn("uid", uid)
-        spelling = F.element_at(F.array(*[F.lit(v) for v in ("Yes", "Y", "True", "1", " yes ")]),
-                                (F.col("uid") % 5 + 1).cast("int"))
-        flag = lambda n: F.when(F.col("uid") % 11 == n, F.lit(None)).when(
-            F.col(f"d{n}").isNotNull(), "True").otherwise("False")
-        return agg.select(
-            F.col("subscriber_key").alias("prospect_id"),
-            F.when(F.col("d2").isNotNull(), "True").otherwise("False").alias("welcome_journey_complete"),
-            F.when(F.col("d5").isNotNull(), "True").otherwise("False").alias("nurture_journey_complete"),
-            F.when(F.col("unsubs") > 0, spelling).otherwise("False").alias("suppression_flag"),
-            *[c for s in fv.STAGES for c in (
-                flag(s[0]).alias(f"{s[4]}_sent"), F.col(f"d{s[0]}").cast("string").alias(f"{s[4]}_sent_date"))],
-            F.concat(F.lit("journey_"), (F.col("uid") % 3).cast("string")).alias("_source_file_name"),
-            F.col("uid").alias("_source_row_number"),
-            F.col("loaded").alias("_loaded_at"),
+        latest = [f"max(event_date) filter (where sent_stage = {s[0]}) as d{s[0]}" for s in fv.STAGES]
+        events = self.fact().selectExpr(
+            "subscriber_key", "cast(event_timestamp as date) as event_date", "event_timestamp",
+            "if(event_type = 'SENT', job_id, null) as sent_stage",
+            "event_type = 'UNSUBSCRIBE' and job_id <= 2 as early_unsubscribe",
+        )
+        per = events.groupBy("subscriber_key").agg(
+            *[F.expr(e) for e in latest],
+            F.expr("count_if(early_unsubscribe) as unsubs"), F.expr("max(event_timestamp) as loaded"),
+        ).withColumn("uid", F.expr("cast(substr(subscriber_key, 4) as bigint)"))
+        pairs = [e for s in fv.STAGES for e in (
+            f"case when uid % 11 = {s[0]} then null when d{s[0]} is not null then 'True' else 'False' end as {s[4]}_sent",
+            f"cast(d{s[0]} as string) as {s[4]}_sent_date")]
+        return per.selectExpr(
+            "subscriber_key as prospect_id",
+            "if(d2 is not null, 'True', 'False') as welcome_journey_complete",
+            "if(d5 is not null, 'True', 'False') as nurture_journey_complete",
+            "if(unsubs > 0, element_at(array('Yes', 'Y', 'True', '1', ' yes '), cast(uid % 5 + 1 as int)), 'False') as suppression_flag",
+            *pairs,
+            "concat('journey_', uid % 3) as _source_file_name", "uid as _source_row_number", "loaded as _loaded_at",
         ).select(*WIDE_COLUMNS, "_source_file_name", "_source_row_number", "_loaded_at")
 
     # --- reject log, snapshot, run log -------------------------------------------
@@ -272,23 +251,17 @@ class Bound:
 
     @cached
     def runs(self) -> DataFrame:
-        o = self.read("orders")
-        k = F.col("o_orderkey")
-        started = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(secs=(k % 86400).cast("decimal(18,6)"))
-        status = (F.when(F.col("o_orderstatus") == "F", "SUCCESS").when(F.col("o_orderstatus") == "O", "FAILED")
-                  .otherwise("STARTED"))
-        tables = F.array(F.lit("PHI_PROSPECT_MASTER"), F.lit("BRZ_PROSPECT_MASTER"), F.lit("SLV_PROSPECT_MASTER"))
-        names = F.array(*[F.lit(n) for n in STATUS_NAMES])
-        at = (k % 3 + 1).cast("int")
-        return o.select(
-            F.lpad(k.cast("string"), 12, "0").alias("run_id"),
-            F.element_at(names, at).alias("pipeline_name"),
-            F.element_at(tables, at).alias("table_name"),
-            status.alias("status"),
-            F.col("o_custkey").alias("rows_loaded"),
-            F.when(status == "FAILED", "load failed").alias("error_message"),
-            started.alias("started_at"),
-            F.when(status != "STARTED", started + F.expr("interval 1 minute")).alias("completed_at"),
+        names = ", ".join(f"'{n}'" for n in STATUS_NAMES)
+        base = self.read("orders").selectExpr(
+            "*", "cast(o_orderkey % 3 + 1 as int) as at",
+            "cast(o_orderdate as timestamp_ntz) + make_dt_interval(0, 0, 0, o_orderkey % 86400) as started_at",
+            "case o_orderstatus when 'F' then 'SUCCESS' when 'O' then 'FAILED' else 'STARTED' end as status",
+        )
+        return base.selectExpr(
+            "lpad(cast(o_orderkey as string), 12, '0') as run_id", f"element_at(array({names}), at) as pipeline_name",
+            "element_at(array('PHI_PROSPECT_MASTER', 'BRZ_PROSPECT_MASTER', 'SLV_PROSPECT_MASTER'), at) as table_name",
+            "status", "o_custkey as rows_loaded", "if(status = 'FAILED', 'load failed', null) as error_message",
+            "started_at", "if(status <> 'STARTED', started_at + interval 1 minute, null) as completed_at",
         )
 
     # --- star pieces ---------------------------------------------------------------

@@ -12,12 +12,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # Schemas of tables written by this object, which saves a footer job per read.
+        self._schemas: dict[str, StructType] = {}
 
     # --- folders -----------------------------------------------------------
 
@@ -56,7 +59,16 @@ class Lake:
         version, batches = self._batches(name)
         if not batches:
             raise LookupError(f"no table {name} below {self.root}")
-        return self.spark.read.parquet(*[f"{self.root}/{name}/v{version:08d}/{b}" for b in batches])
+        return self._load(name, *[f"{self.root}/{name}/v{version:08d}/{b}" for b in batches])
+
+    def _load(self, name: str, *folders: str) -> DataFrame:
+        known = self._schemas.get(name)
+        reader = self.spark.read if known is None else self.spark.read.schema(known)
+        return reader.parquet(*folders)
+
+    def _write(self, name: str, version: int, batch: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}/v{version:08d}/{batch}")
+        self._schemas[name] = df.schema
 
     def read_or_none(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
@@ -65,7 +77,7 @@ class Lake:
         version, batches = self._batches(name)
         if batch not in batches:
             raise LookupError(f"no batch {batch} in {name}")
-        return self.spark.read.parquet(f"{self.root}/{name}/v{version:08d}/{batch}")
+        return self._load(name, f"{self.root}/{name}/v{version:08d}/{batch}")
 
     # --- writing -------------------------------------------------------------
 
@@ -73,14 +85,14 @@ class Lake:
         """Writes ``make()`` as one batch; returns its row count, read from file footers."""
         version, batches = self._batches(name)
         if batch not in batches:
-            make().write.mode("overwrite").parquet(f"{self.root}/{name}/v{max(version, 1):08d}/{batch}")
+            self._write(name, max(version, 1), batch, make())
         return self.read_batch(name, batch).count()
 
     def replace(self, name: str, batch: str, make: Callable[[], DataFrame]) -> int:
         """Writes ``make()`` as the whole table in a new version; returns its row count."""
         version, batches = self._batches(name)
         if batch not in batches:
-            make().write.mode("overwrite").parquet(f"{self.root}/{name}/v{version + 1:08d}/{batch}")
+            self._write(name, version + 1, batch, make())
         return self.read_batch(name, batch).count()
 
     def compact(self, name: str, batch: str, partitions: int | None = None) -> None:
