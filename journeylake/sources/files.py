@@ -28,15 +28,21 @@ def _nulls_as_null(c: str) -> Column:
     return F.when(~F.col(c).isin("", "NULL", "null"), F.col(c))
 
 
-def _with_lineage(df: DataFrame, columns: list[Column]) -> DataFrame:
-    """Adds file name, an ordering number within the load, and load time."""
-    return df.select(
+def with_row_numbers(df: DataFrame) -> DataFrame:
+    """An ordering number within one load; fixed once the load is written."""
+    return df.withColumn("_source_row_number", F.monotonically_increasing_id())
+
+
+def _with_lineage(df: DataFrame, columns: list[Column], streaming: bool) -> DataFrame:
+    """Adds file path and name, load time and row numbers. A stream cannot number rows;
+    its micro-batches do (`with_row_numbers`)."""
+    out = df.select(
         *columns,
         F.col("_metadata.file_path").alias("_source_path"),
         file_name().alias("_source_file_name"),
-        F.monotonically_increasing_id().alias("_source_row_number"),
         F.current_timestamp().cast("timestamp_ntz").alias("_loaded_at"),
     )
+    return out if streaming else with_row_numbers(out)
 
 
 def read_lead_csv(spark: SparkSession, path: str, streaming: bool = False, pattern: str = LEAD_FILE_PATTERN) -> DataFrame:
@@ -54,7 +60,7 @@ def read_lead_csv(spark: SparkSession, path: str, streaming: bool = False, patte
         .option("pathGlobFilter", pattern)
         .csv(path)
     )
-    return _with_lineage(raw, [_nulls_as_null(c).alias(c) for c in LEAD_COLUMNS])
+    return _with_lineage(raw, [_nulls_as_null(c).alias(c) for c in LEAD_COLUMNS], streaming)
 
 
 def _layout_columns(layout: Layout) -> list[Column]:
@@ -106,7 +112,7 @@ def read_event_csv(
     """
     layout = layout or LAYOUTS[entity]
     raw = _positional(spark, path, layout.width, encoding, streaming, strict, pattern)
-    return _with_lineage(raw, _layout_columns(layout))
+    return _with_lineage(raw, _layout_columns(layout), streaming)
 
 
 def read_generic(spark: SparkSession, path: str, encoding: str = "UTF-16", streaming: bool = False,
@@ -114,14 +120,14 @@ def read_generic(spark: SparkSession, path: str, encoding: str = "UTF-16", strea
     """Files of unknown layout: up to fifty cells as one array."""
     raw = _positional(spark, path, GENERIC_WIDTH, encoding, streaming, False, pattern)
     cells = F.array(*[F.nullif(F.trim(F.col(f"c{i}")), F.lit("")) for i in range(1, GENERIC_WIDTH + 1)])
-    return _with_lineage(raw, [cells.alias("raw_row")])
+    return _with_lineage(raw, [cells.alias("raw_row")], streaming)
 
 
 def empty_events(spark: SparkSession, entity: str) -> DataFrame:
     """An entity without a configured source."""
     layout = LAYOUTS[entity]
     fields = [f"{n} {'int' if n in layout.integers else 'string'}" for n, _ in layout.columns]
-    fields += ["_source_path string", "_source_file_name string", "_source_row_number bigint", "_loaded_at timestamp_ntz"]
+    fields += ["_source_path string", "_source_file_name string", "_loaded_at timestamp_ntz", "_source_row_number bigint"]
     return spark.createDataFrame([], ", ".join(fields))
 
 

@@ -12,7 +12,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.files import read_event_csv, read_lead_csv
+from ..sources.files import read_event_csv, read_lead_csv, with_row_numbers
 from ..sources.lake import Lake
 from .pipeline import run_leads
 
@@ -24,7 +24,8 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 def _per_batch(lake: Lake, checkpoint: str, prefix: str, act) -> callable:
     def handle(df: DataFrame, batch_id: int) -> None:
-        act(df, f"{prefix}-{_stream_id(lake.spark, checkpoint)}-{batch_id:08d}")
+        rows = with_row_numbers(df) if "_source_file_name" in df.columns else df
+        act(rows, f"{prefix}-{_stream_id(lake.spark, checkpoint)}-{batch_id:08d}")
 
     return handle
 
