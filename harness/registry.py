@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from journeylake.operators import star
 from journeylake.plans import (
-    adhoc, dashboard, engagement, funnel, health, journeys, outbound, prospects, rejections, scoring, trends,
+    adhoc, common, dashboard, engagement, funnel, health, journeys, outbound, prospects, rejections, scoring, trends,
 )
 from journeylake.sources import sql_access
 
@@ -64,11 +64,11 @@ PLANS: dict[str, Callable[[Bound], DataFrame]] = {
     "journey_rates": lambda b: engagement.journey_rates(b.fact(), b.jobs()),
     # scoring
     "conversion_scores": lambda b: scoring.conversion_scores(b.prospects(), b.fact(), **JAN),
-    "segment_summary": lambda b: scoring.segment_summary(b.prospects(), b.fact(), **JAN),
+    "segment_summary": lambda b: scoring.segment_summary(b.prospects(), b.fact(), "2024-01-10", "2024-01-10"),
     "segment_chart_data": lambda b: scoring.segment_chart_data(b.prospects(), b.fact(), **ALL),
     "raw_engagement_scores": lambda b: scoring.raw_engagement_scores(b.raw_events()),
     "channel_consent_activity": lambda b: scoring.channel_consent_activity(b.prospects(), **ALL),
-    "never_opened": lambda b: scoring.never_opened(b.fact()),
+    "never_opened": lambda b: scoring.never_opened(common.events_in(b.fact(), "2024-01-10", "2024-01-12")),
     # journeys
     "stage_send_summary": lambda b: journeys.stage_send_summary(b.journey_details()),
     "stage_send_summary_day": lambda b: journeys.stage_send_summary(b.journey_details(), day="2024-01-28"),

@@ -26,27 +26,31 @@ VERSION_COLUMNS = ("eff_start_date", "eff_end_date", "is_current", "version_num"
 def silver_quality(bronze: DataFrame, silver_ids: DataFrame, loaded_at: str = "phi_loaded_at") -> DataFrame:
     """Bronze rows with ``rejection_reason`` (null for rows that may enter silver).
 
-    Repeated record ids keep the earliest (load time, file date, row content) row.
-    Copies are counted before any shuffle of rows, so a record id repeated many times
-    costs one row per map task; rejected copies are written out again at the end.
+    Repeated record ids keep the earliest (load time, file date, row content) row. Which
+    ids repeat is found on the ids alone; rows of other ids are not grouped. Among the
+    repeated ones equal copies are counted before rows meet, so an id repeated very often
+    costs one row per map task, and rejected copies are written out again at the end.
     """
     columns = bronze.columns
-    packed = bronze.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    place = F.struct(F.col(loaded_at), F.col("file_date"), F.md5(F.to_json(F.struct(*columns)).cast("binary")))
-    packed = packed.withColumn("_place", place)
-    # Only ids with more than one distinct row need a look-up.
     repeated = (
-        packed.groupBy("record_id")
-        .agg(F.count(F.lit(1)).alias("_kinds"), F.min("_place").alias("_first"))
-        .filter("_kinds > 1")
-        .select(F.col("record_id").alias("_rid"), "_first")
+        bronze.groupBy("record_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+        .select(F.col("record_id").alias("_rid"))
     )
-    known = silver_ids.select(F.col("record_id").alias("_sid")).distinct()
-    flagged = (
-        packed.join(repeated, F.col("record_id").eqNullSafe(F.col("_rid")), "left")
-        .join(known, F.col("record_id") == F.col("_sid"), "left")
-        .withColumn("_is_first", F.col("_first").isNull() | (F.col("_place") == F.col("_first")))
+    same_id = F.col("record_id").eqNullSafe(F.col("_rid"))
+    single = bronze.join(repeated, same_id, "left_anti").withColumns(
+        {"_copies": F.lit(1).cast("bigint"), "_is_first": F.lit(True)})
+    place = F.struct(F.col(loaded_at), F.col("file_date"), F.md5(F.to_json(F.struct(*columns)).cast("binary")))
+    packed = (
+        bronze.join(repeated, same_id, "left_semi").groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("_copies")).withColumn("_place", place)
     )
+    first_place = packed.groupBy("record_id").agg(F.min("_place").alias("_first")).withColumnRenamed("record_id", "_rid")
+    multiple = (
+        packed.join(first_place, same_id)
+        .withColumn("_is_first", F.col("_place") == F.col("_first")).select(*single.columns)
+    )
+    known = silver_ids.select(F.col("record_id").alias("_sid")).distinct()
+    flagged = single.unionByName(multiple).join(known, F.col("record_id") == F.col("_sid"), "left")
     ladder = (
         F.when(blank_to_null("master_patient_id").isNull(), "NULL_MASTER_PATIENT_ID")
         .when(blank_to_null("first_name").isNull(), "NULL_FIRST_NAME")

@@ -78,26 +78,28 @@ def assign_dense_keys(
 ) -> DataFrame:
     """Consecutive numbers from ``first`` in the order of a unique natural key.
 
-    One range-partitioned sort, then each partition numbers its own rows and adds the
-    row count of the partitions before it. Only the per-partition counts (one row per
-    partition) are broadcast; no window ever covers the whole table.
+    One range-partitioned sort gives every row its place inside its partition; adding the
+    row count of the partitions before it makes the number. Only those counts (one row per
+    partition) are broadcast, and no window ever covers the rows. The sorted rows are
+    materialised once, because counts and rows must come from the same partitioning.
     """
     spark = df.sparkSession
     n = partitions or max(2, spark.sparkContext.defaultParallelism)
-    ranged = cut_lineage(
-        df.repartitionByRange(n, *order).withColumn("_slice", F.spark_partition_id())
-    )
-    counts = ranged.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    # The id holds the partition in its upper bits and the place in the lower 33.
+    placed = cut_lineage(
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        .withColumn("_place", F.monotonically_increasing_id())
+    ).withColumn("_slice", F.shiftright("_place", 33))
+    counts = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
-    within = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
+    within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        ranged.withColumn("_within", within)
-        .join(F.broadcast(offsets), "_slice")
-        .withColumn(key, (F.lit(first - 1) + F.col("_offset") + F.col("_within")).cast("bigint"))
-        .drop("_slice", "_within", "_offset")
+        placed.join(F.broadcast(offsets), "_slice")
+        .withColumn(key, (F.lit(first) + F.col("_offset") + within).cast("bigint"))
+        .drop("_slice", "_place", "_offset")
     )
 
 

@@ -32,7 +32,10 @@ def similar_entities(
     vectors = entities.withColumn("vector", F.transform("vector", lambda x: x.cast("double")))
     vectors = vectors.withColumn("norm", F.sqrt(_dot(F.col("vector"), F.col("vector"))))
     packed = F.collect_list(F.struct(F.col("id").alias("qid"), F.col("vector").alias("qv"), F.col("norm").alias("qn")))
-    queries = vectors.filter(F.col("id").isin(wanted)).agg(packed.alias("q")).scalar()
+    # One vector per id, so the list is no longer than the ids asked for.
+    asked = vectors.filter(F.col("id").isin(wanted)).groupBy("id").agg(
+        F.min("vector").alias("vector"), F.min("norm").alias("norm"))
+    queries = asked.agg(packed.alias("q")).scalar()
     candidates = vectors
     if keywords:
         candidates = candidates.filter(any_of([contains_folded("text", w) for w in keywords]))

@@ -12,6 +12,7 @@ from .. import fixed_values as fv
 from ..functions.columns import lead_date
 from ..operators import history, mastering, quality, star, suppression
 from ..operators.audit import logged_run
+from ..operators.keyed import next_key
 from ..sources.files import empty_events
 from ..sources.lake import Lake
 
@@ -105,7 +106,7 @@ def silver(lake: Lake) -> DataFrame:
 def _dimension(lake: Lake, name: str, batch: str, empty: str, key: str, order: list[str], merged) -> None:
     existing = lake.read_or_none(name)
     target = lake.spark.createDataFrame([], empty) if existing is None else existing
-    lake.replace(name, batch, lambda: star.with_new_keys(merged(target), key, order))
+    lake.replace(name, batch, lambda: star.with_new_keys(merged(target), key, order, next_key(target, key)))
 
 
 def gold_leads_step(lake: Lake, batch: str) -> None:
@@ -148,14 +149,23 @@ def run_leads(lake: Lake, leads: DataFrame, batch: str, require_consent: bool =
     gold_leads_step(lake, batch)
 
 
-def run_events(lake: Lake, batch: str) -> None:
-    """Job dimension, suppression log and engagement fact from the raw event tables."""
+def run_events(lake: Lake, batch: str, since: str | None = None) -> None:
+    """Job dimension, suppression log and engagement fact from the raw event tables.
+
+    ``since`` limits the events to rows loaded at or after a time, so a regular run reads
+    the newest raw batches only; without it every raw row is offered again and the natural
+    key keeps out what the fact already has.
+    """
     spark = lake.spark
 
     def raw(entity: str) -> DataFrame:
         found = lake.read_or_none(f"raw_events/{entity}")
         return empty_events(spark, entity) if found is None else found
 
+    def recent(entity: str) -> DataFrame:
+        rows = raw(entity)
+        return rows if since is None else rows.filter(F.col("_loaded_at") >= F.lit(since).cast("timestamp_ntz"))
+
     details = raw("journey_details")
     with logged_run(lake, "DIM_JOB", "GOLD", "DIM_SFMC_JOB"):
         _dimension(lake, "gold/dim_job", batch,
@@ -171,5 +181,5 @@ def run_events(lake: Lake, batch: str) -> None:
             people = spark.createDataFrame([], "master_patient_id string, prospect_key long")
         facts = lake.read_or_none("gold/fact_engagement")
         run.rows_loaded = lake.append("gold/fact_engagement", batch, lambda: star.fact_engagement(
-            {kind: raw(entity) for kind, entity in EVENT_ENTITIES.items()}, details, people,
+            {kind: recent(entity) for kind, entity in EVENT_ENTITIES.items()}, details, people,
             lake.read("gold/dim_job"), star.engagement_types(spark), facts))
