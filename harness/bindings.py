@@ -149,12 +149,10 @@ class Bound:
 
     @cached
     def jobs(self) -> DataFrame:
-        stages = star.stage_map(self.spark)
-        first_email = star.email_map(self.spark).groupBy("stage_number").agg(F.min("email_name").alias("email_name"))
-        return stages.join(first_email, "stage_number").select(
-            F.col("stage_number").alias("job_key"), F.col("stage_number").alias("job_id"),
-            F.col("journey_code").alias("journey_type"), F.col("stage_name").alias("mapped_stage"), "email_name",
-        )
+        return star.email_map(self.spark).groupBy("stage_number", "journey_code", "stage_name").agg(
+            F.min("email_name").alias("email_name")
+        ).selectExpr("stage_number as job_key", "stage_number as job_id", "journey_code as journey_type",
+                     "stage_name as mapped_stage", "email_name")
 
     @cached
     def raw_events(self) -> DataFrame:

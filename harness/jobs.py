@@ -22,6 +22,13 @@ from .bindings import Bound
 AS_OF = "2024-02-01"
 
 
+def _as_table(b: Bound, df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and read back, as a stored layer is."""
+    path = scratch_path(b.spark, "table")
+    df.write.parquet(path)
+    return b.spark.read.schema(df.schema).parquet(path)
+
+
 # --- validation, identity, mastering ------------------------------------------
 
 def _validated(b: Bound) -> DataFrame:
@@ -69,7 +76,7 @@ def _bronze(b: Bound) -> DataFrame:
 
 def _dirty_bronze(b: Bound) -> DataFrame:
     """Prospects with copies, changed copies, unusable e-mails and blank ids."""
-    p = b.prospects()
+    p = _as_table(b, b.prospects())
     k = F.col("record_id").cast("bigint")
     p = p.withColumns({
         "email": F.when(k % 21 == 0, " n/a ").otherwise(F.col("email")),
@@ -82,8 +89,9 @@ def _dirty_bronze(b: Bound) -> DataFrame:
 
 
 def _silver_quality(b: Bound) -> DataFrame:
-    ids = b.prospects().filter(F.col("record_id").cast("bigint") % 7 == 0).select("record_id")
-    judged = history.silver_quality(_dirty_bronze(b), ids)
+    dirty = _dirty_bronze(b)
+    ids = dirty.filter(F.col("record_id").cast("bigint") % 7 == 0).select("record_id")
+    judged = history.silver_quality(dirty, ids)
     return judged.groupBy("record_id", "channel", F.coalesce("rejection_reason", F.lit("VALID")).alias("outcome")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -93,16 +101,16 @@ VERSION = ("record_id", "master_patient_id", "channel", "patient_consent", "eff_
 
 
 def _versions(b: Bound) -> DataFrame:
-    p = b.prospects()
+    p = _as_table(b, b.prospects())
     return history.scd2_versions(history.empty_current(b.spark, p), p)
 
 
 def _scd2_increment(b: Bound) -> DataFrame:
     """Rows up to 1997 first, the rest as a second batch on the resulting current table."""
-    p = b.prospects()
+    p = _as_table(b, b.prospects())
     cut = F.lit("1998-01-01").cast("date")
     first = history.scd2_versions(history.empty_current(b.spark, p), p.filter(F.col("file_date") < cut))
-    current = first.filter("is_current").drop("is_new")
+    current = _as_table(b, first.filter("is_current").drop("is_new"))
     return history.scd2_versions(current, p.filter(F.col("file_date") >= cut)).select(*VERSION, "is_new")
 
 
@@ -141,8 +149,9 @@ def _keyed_prospects(b: Bound) -> DataFrame:
 
 
 def _fact_intake(b: Bound) -> DataFrame:
-    held = b.silver().filter("channel = '5-LOW'").select("record_id")
-    return star.fact_intake(b.silver(), _keyed_prospects(b), _dim_channel(b), b.calendar(), _dim_geography(b), held)
+    silver = _as_table(b, b.silver())
+    held = silver.filter("channel = '5-LOW'").select("record_id")
+    return star.fact_intake(silver, _keyed_prospects(b), _dim_channel(b), b.calendar(), _dim_geography(b), held)
 
 
 def _new_dates(b: Bound) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import fixed_values as fv
 from ..functions.columns import blank_to_null, date_key, event_timestamp, truthy
 from ..functions.labels import age_group, census_region, channel_category
+from ..session import fixed_table
 from .keyed import assign_dense_keys, first_per_key, merge_rows, next_key, unseen
 
 
@@ -82,8 +83,8 @@ def dim_channel(dim: DataFrame, silver: DataFrame) -> DataFrame:
 
 
 def seed_channels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(i + 1, n, c) for i, (n, c) in enumerate(fv.SEED_CHANNELS)],
+    return fixed_table(
+        spark, [(i + 1, n, c) for i, (n, c) in enumerate(fv.SEED_CHANNELS)],
         "channel_key long, channel_name string, channel_category string",
     )
 
@@ -146,34 +147,37 @@ def dim_prospect(dim: DataFrame, silver: DataFrame) -> DataFrame:
 
 
 def engagement_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(i + 1, t, c, p) for i, (t, c, p) in enumerate(fv.ENGAGEMENT_TYPES)],
+    return fixed_table(
+        spark, [(i + 1, t, c, p) for i, (t, c, p) in enumerate(fv.ENGAGEMENT_TYPES)],
         "event_type_key long, event_type string, event_category string, is_positive boolean",
     )
 
 
 def stage_map(spark: SparkSession) -> DataFrame:
     """The nine stages (fixed, nine rows)."""
-    return spark.createDataFrame(
-        [s[:4] for s in fv.STAGES],
+    return fixed_table(
+        spark, [s[:4] for s in fv.STAGES],
         "stage_number int, journey_code string, journey_name string, stage_name string",
     )
 
 
 def email_map(spark: SparkSession) -> DataFrame:
-    """E-mail names with their stage (fixed, fourteen rows)."""
-    return spark.createDataFrame(list(fv.EMAIL_STAGES), "email_name string, stage_number int")
+    """E-mail names with their stage and journey (fixed, fourteen rows)."""
+    stages = {s[0]: s[1:4] for s in fv.STAGES}
+    return fixed_table(
+        spark, [(name, n, *stages[n]) for name, n in fv.EMAIL_STAGES],
+        "email_name string, stage_number int, journey_code string, journey_name string, stage_name string",
+    )
 
 
 def stage_waits(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(fv.STAGE_WAITS), "from_stage int, to_stage int, wait_days int")
+    return fixed_table(spark, fv.STAGE_WAITS, "from_stage int, to_stage int, wait_days int")
 
 
 def map_email_to_stage(jobs: DataFrame, email: str = "email_name") -> DataFrame:
     """Adds stage, journey and a resend flag from the e-mail name; unknown names keep nulls.
-    Both maps are fixed tables of at most fourteen rows."""
-    spark = jobs.sparkSession
-    stages = email_map(spark).join(stage_map(spark), "stage_number").withColumnRenamed("email_name", "_email")
+    The map is a fixed table of fourteen rows."""
+    stages = email_map(jobs.sparkSession).withColumnRenamed("email_name", "_email")
     return (
         jobs.join(F.broadcast(stages), F.trim(F.col(email)) == F.col("_email"), "left")
         .drop("_email")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
 from ..functions.columns import day_in
+from ..session import fixed_table
 
 # Jobs of the mid-run status, with their labels.
 STATUS_JOBS = (
@@ -29,7 +30,7 @@ def run_summary(runs: DataFrame, start: str = fv.START_DATE, end: str = fv.END_D
 
 def latest_runs(runs: DataFrame) -> DataFrame:
     """Latest run of each status job; a job without runs shows NOT FOUND."""
-    names = runs.sparkSession.createDataFrame(list(STATUS_JOBS), "step string, pipeline_name string")
+    names = fixed_table(runs.sparkSession, STATUS_JOBS, "step string, pipeline_name string")
     newest = runs.filter(F.col("pipeline_name").isin(*[p for _, p in STATUS_JOBS])).groupBy("pipeline_name").agg(
         F.max_by(F.struct("status", "rows_loaded", "error_message", "started_at", "completed_at"),
                  F.struct("started_at", "run_id")).alias("r")

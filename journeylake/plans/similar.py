@@ -30,7 +30,8 @@ def similar_entities(
     if len(wanted) > MAX_QUERIES:
         raise ValueError(f"at most {MAX_QUERIES} query ids per call")
     vectors = entities.withColumn("vector", F.transform("vector", lambda x: x.cast("double")))
-    vectors = vectors.withColumn("norm", F.sqrt(_dot(F.col("vector"), F.col("vector"))))
+    # Entities with an all-zero vector have no direction and no neighbours.
+    vectors = vectors.withColumn("norm", F.sqrt(_dot(F.col("vector"), F.col("vector")))).filter("norm > 0")
     packed = F.collect_list(F.struct(F.col("id").alias("qid"), F.col("vector").alias("qv"), F.col("norm").alias("qn")))
     # One vector per id, so the list is no longer than the ids asked for.
     asked = vectors.filter(F.col("id").isin(wanted)).groupBy("id").agg(
@@ -41,7 +42,7 @@ def similar_entities(
         candidates = candidates.filter(any_of([contains_folded("text", w) for w in keywords]))
     # The subquery is a column of its own because lambdas may not hold subqueries.
     pairs = candidates.withColumn("_queries", queries).withColumn("_q", F.explode("_queries"))
-    score = F.try_divide(_dot(F.col("vector"), F.col("_q.qv")), F.col("norm") * F.col("_q.qn"))
+    pairs = pairs.filter(F.col("id") != F.col("_q.qid"))
+    score = _dot(F.col("vector"), F.col("_q.qv")) / (F.col("norm") * F.col("_q.qn"))
     scored = pairs.select(F.col("_q.qid").alias("query_id"), "id", F.round(score, digits).alias("score"))
-    others = scored.filter((F.col("id") != F.col("query_id")) & F.col("score").isNotNull())
-    return first_per_key(others, ["query_id"], [F.col("score").desc(), F.col("id")], k)
+    return first_per_key(scored, ["query_id"], [F.col("score").desc(), F.col("id")], k)

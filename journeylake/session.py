@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +57,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def fixed_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """A small literal table. It plans as a local relation of known size, so no Python
+    rows are shipped and Spark can broadcast it on its own. ``rows`` are program constants."""
+    def literal(v: object) -> str:
+        if v is None:
+            return "null"
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return str(v).lower() if isinstance(v, bool) else str(v)
+
+    body = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    casts = ", ".join(
+        f"cast(col{i + 1} as {kind}) as {name}"
+        for i, (name, kind) in enumerate(part.split() for part in schema.split(","))
+    )
+    return spark.sql(f"select {casts} from values {body}")
