@@ -135,12 +135,12 @@ RAW_JOBS: dict[str, str] = {
           version_num::integer version_num, file_date >= date '1998-01-01' is_new from v where coalesce(nxt, date '9999-12-31') >= date '1998-01-01'""",
     "merge_upsert": """
         with s as (select case when l_partkey % 5 = 0 then l_partkey + 10000000 else l_partkey end p_partkey, max(l_extendedprice) price, count(*)::integer n
-          from lineitem where l_partkey % 2 = 0 group by 1)
+          from lineitem group by 1)
         select coalesce(p.p_partkey, s.p_partkey) p_partkey, p_name, coalesce(n, p_size) p_size, coalesce(price, p_retailprice) p_retailprice
         from part p full outer join s on p.p_partkey = s.p_partkey""",
     "merge_insert_only": """
         with s as (select case when l_partkey % 5 = 0 then l_partkey + 10000000 else l_partkey end p_partkey, max(l_extendedprice) price, count(*)::integer n
-          from lineitem where l_partkey % 2 = 0 group by 1)
+          from lineitem group by 1)
         select coalesce(p.p_partkey, s.p_partkey) p_partkey, p_name, coalesce(p_size, n) p_size, coalesce(p_retailprice, price) p_retailprice
         from part p full outer join s on p.p_partkey = s.p_partkey""",
     "assign_keys": "select o_orderkey, o_orderdate, 800 + row_number() over (order by o_orderdate, o_orderkey) order_number from orders",
