@@ -43,13 +43,14 @@ def rejection_analysis(
                  "rejection_reason", "table_name")
         .limit(limit)
     )
-    # ``top`` has at most ``limit`` rows by construction.
-    chosen = per_email.filter("email is not null").join(F.broadcast(top.select(*GROUP)), GROUP, "left_semi")
-    texts = (
-        first_per_key(chosen, GROUP, [F.col("email")], emails_per_cell)
-        .groupBy(*GROUP).agg(F.array_join(F.sort_array(F.collect_list("email")), ", ").alias("sample_emails"))
+    # ``top`` has at most ``limit`` rows by construction. Every group has a row in
+    # ``per_email``, if only that of the missing e-mail, so the inner join keeps them all.
+    chosen = per_email.select(*GROUP, "email").join(F.broadcast(top), GROUP)
+    emails = F.array_join(F.sort_array(F.collect_list("email")), ", ")
+    return (
+        first_per_key(chosen, GROUP, [F.col("email").asc_nulls_last()], emails_per_cell)
+        .groupBy(*GROUP, "rejected_count", "emails").agg(F.nullif(emails, F.lit("")).alias("sample_emails"))
     )
-    return top.join(texts, GROUP, "left")
 
 
 def rejection_emails(
