@@ -369,5 +369,5 @@ JOBS: dict[str, Callable[[Bound], DataFrame]] = {
     "load_new_files": _load_new_files,
     "stream_event_load": _stream_events,
     "stream_without_repeats": _stream_repeats,
-    "lead_pipeline": _pipeline,
+    "leads_through_layers": _pipeline,
 }

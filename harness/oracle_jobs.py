@@ -255,7 +255,7 @@ RAW_JOBS: dict[str, str] = {
     "load_new_files": "select job_id, count(*) events, (select count(*) from fact where event_type = 'SENT') audited_rows from fact where event_type = 'SENT' group by 1",
     "stream_event_load": "select event_type, count(*) events from events group by 1",
     "stream_without_repeats": "select event_type, count(*) events, count(distinct event_id) ids from events group by 1",
-    "lead_pipeline": f"""
+    "leads_through_layers": f"""
         with {_IDENTITY},
         m0 as (select master_number, lower(c.email) email, c.first_name, c.last_name, phone_number, age, address, apartment_no, city, state, zip_code, patient_consent, channel,
             submission_timestamp, lead_date file_date

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
-from ..functions.columns import blank_to_null, lead_date, lead_timestamp, rounded_int
+from ..functions.columns import lead_date, lead_timestamp, rounded_int
 from .keyed import assign_dense_keys, first_per_key, next_key, unseen
 
 
@@ -102,7 +102,3 @@ def append_bronze(master: DataFrame, bronze: DataFrame | None = None) -> DataFra
     """Master rows bronze has not seen, tagged with their source layer."""
     rows = master if bronze is None else unseen(master, bronze, ["record_id"])
     return rows.withColumn("source_layer", F.lit("PHI_HUB"))
-
-
-def has_text(c: str) -> Column:
-    return blank_to_null(c).isNotNull()

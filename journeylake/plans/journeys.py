@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
-from ..functions.columns import blank_to_null, count_when, is_true_text, lead_date, ratio, truthy
+from ..functions.columns import count_when, is_true_text, lead_date, ratio, truthy
 from ..operators.star import stage_waits
 
 WIDE_COLUMNS = ("prospect_id", "welcome_journey_complete", "nurture_journey_complete", "suppression_flag") + tuple(
@@ -228,7 +228,3 @@ def path_membership(details: DataFrame) -> DataFrame:
             ratio("day_sum", "day_n", 1.0).alias("avg_days_in_journey"), F.explode(steps).alias("s"),
         ).select("path", "s.stage_number", "s.reached", "s.dropped", "entered", "completed", "avg_days_in_journey"))
     return reduce(DataFrame.unionByName, parts)
-
-
-def blank_ids(details: DataFrame) -> DataFrame:
-    return details.filter(blank_to_null("prospect_id").isNull())
