@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, line_dedup, mixing, packing, token_counts
+from . import exact_dedup, line_dedup, mixing, packing, quality, token_counts, toxicity
+from .common import held_out
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,8 +43,26 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "source", "copy_no", F.round("mix_rate", 9).alias("mix_rate"), "mix_order", "text")
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = quality.fit_quality(docs, _table(spark, folder, "labels"))
+    scored = quality.score_quality(docs.select("doc_id", "text"), model, "score")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = toxicity.fit_toxicity(docs, _table(spark, folder, "labels"))
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), model, "t")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "t.score",
+                         (F.col("t.score") >= 0.5).cast("int").alias("predicted"),
+                         "t.sentence_score", "t.sentence_start", "t.sentence_length")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_exact_dedup, op4_packing, op6_mixing)
+    f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_exact_dedup, op4_packing, op6_mixing, op7_quality,
+                            op10_toxicity)
 }
 
 
