@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, line_dedup, mixing, packing, quality, token_counts, toxicity
+from . import embeddings, exact_dedup, line_dedup, minhash, mixing, packing, quality, token_counts, toxicity
 from .common import held_out
 
 
@@ -51,6 +51,14 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op8_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(_table(spark, folder, "embeddings"))
+
+
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_dedup(_table(spark, folder, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = toxicity.fit_toxicity(docs, _table(spark, folder, "labels"))
@@ -62,7 +70,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_exact_dedup, op4_packing, op6_mixing, op7_quality,
-                            op10_toxicity)
+                            op8_near_vectors, op9_near_dedup, op10_toxicity)
 }
 
 
