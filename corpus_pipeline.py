@@ -1,12 +1,71 @@
-"""From raw documents to packed training sequences, in five stages."""
+"""From raw documents to packed training sequences, in five stages.
+
+Every stage works on all that its predecessor kept; the tool or `run` writes its rows as
+Parquet and reads them again for the next. Stages take nulls, empty texts and empty tables as
+the operators they call define them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from journeylake.llm import exact_dedup, minhash, mixing, packing, toxicity
+from journeylake.llm.common import written
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _repeated(decisions: DataFrame) -> bool:
+    return not decisions.groupBy("doc_id").count().filter("count > 1").isEmpty()
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that score 0.5 or more, by a model fitted on those that have labels."""
+    model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score_toxicity(docs, model, "_toxicity").filter("_toxicity.score < 0.5").select(*docs.columns)
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts, that with the largest doc_id."""
+    decisions = written(exact_dedup.exact_dedup(docs), "pipeline-exact")
+    kept = decisions.filter("kept").select("doc_id", "text_sha256").distinct()
+    if not _repeated(decisions):
+        return docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    # Rows with one doc_id: their texts tell which of them stay, once each.
+    text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
+    keyed = docs.withColumn("_sha", F.sha2(text.cast("binary"), 256))
+    stay = keyed.join(kept.select("doc_id", F.col("text_sha256").alias("_sha")), ["doc_id", "_sha"], "left_semi")
+    return stay.dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that with the smallest doc_id."""
+    decisions = written(minhash.near_dedup(docs), "pipeline-near")
+    out = docs.join(decisions.filter("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    # Rows with one doc_id are one document here.
+    return out.dropDuplicates(["doc_id"]) if _repeated(decisions) else out
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every source with the same share of a mixture of as many rows, in random order."""
+    return mixing.mix_sources(docs).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences of 2048 tokens, with their ids."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity_stage),
+    ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
 
 #: The first stage is a trained classifier, which SQL cannot express.
 ORACLE_SQL = None
@@ -14,9 +73,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another, each written and read again."""
-    from journeylake.llm.common import written
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embeddings, exact_dedup, line_dedup, minhash, mixing, packing, quality, token_counts, toxicity
+from . import embeddings, exact_dedup, line_dedup, minhash, mixing, packing, quality, suffix_dedup, token_counts, toxicity
 from .common import held_out
 
 
@@ -37,6 +37,13 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
                          "sequence_id", "offset", "loss_tokens")
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Every source gets the same share of a mixture as large as the corpus."""
     return mixing.mix_sources(_table(spark, folder, "documents")).select(
@@ -69,7 +76,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_exact_dedup, op4_packing, op6_mixing, op7_quality,
+    f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_exact_dedup, op4_packing, op5_suffix_dedup, op6_mixing, op7_quality,
                             op8_near_vectors, op9_near_dedup, op10_toxicity)
 }
 
