@@ -16,7 +16,8 @@ of a corpus in one place:
    merged per document and cut out.
 
 A class too large for one task (a very common passage in ever different surroundings) is
-counted window by window, by a 128-bit digest, with partial sums before the shuffle.
+compared by 128-bit digests of windows and of content-defined runs of them, with partial sums
+before the shuffle.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from .common import documents_of, mixed, shuffle_width, slices, text_bytes, writ
 LENGTH, GRAM = 200, 32
 #: A larger class is counted by window digests; a task call sorts about CALL_BYTES.
 CLASS_BYTES, CALL_BYTES, SORT_BYTES = 1 << 19, 4 << 20, 1 << 20
+#: One window in so many ends a piece of a large class.
+PIECE = 16
 
 _VALUE32 = (mixed(np.arange(256, dtype=np.uint64) + np.uint64(5)) >> np.uint64(32)).astype(np.uint32)
 _VALUE64 = mixed(np.arange(256, dtype=np.uint64) + np.uint64(905))
@@ -246,10 +249,40 @@ def _sort_call(length: int):
     return step
 
 
+def _pieces(text: bytes, rows: list[dict], length: int) -> pa.RecordBatch:
+    """Runs of windows, cut after every window whose digest says so: equal runs of windows are
+    cut alike. A piece has the digests of its windows and one over them all."""
+    import xxhash
+
+    out = []
+    for r in rows:
+        marks = [xxhash.xxh3_128_digest(text[r["start"] + k : r["start"] + k + length]) for k in range(r["run"])]
+        ends = [k + 1 for k, m in enumerate(marks) if m[0] % PIECE == 0 or k + 1 == len(marks)]
+        for k, end in zip([0, *ends[:-1]], ends):
+            joined = b"".join(marks[k:end])
+            out.append((r["name"], r["content"], r["run"], k, r["copies"], xxhash.xxh3_128_digest(joined), joined))
+    kinds = pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["name", "content", "run", "k", "copies", "piece", "marks"])
+
+
+def _by_digest(pieces: DataFrame) -> DataFrame:
+    """Repeated windows of large classes. Pieces that occur twice go as a whole; a window of any
+    other piece is looked for among the windows of all distinct pieces."""
+    distinct = written(pieces.groupBy("piece").agg(F.sum("copies").alias("n"), F.first("marks").alias("marks")), "suffix-pieces")
+    count = (F.length("marks") / 16).cast("int")
+    window = F.explode(F.sequence(F.lit(0), count - 1)).alias("i")
+    digest = F.substring("marks", F.col("i") * 16 + 1, F.lit(16)).alias("digest")
+    again = distinct.select("n", "marks", window).select("n", digest).groupBy("digest").agg(F.sum("n").alias("n")).filter("n > 1").select("digest")
+    whole = pieces.join(distinct.filter("n > 1").select("piece"), "piece").select("name", "content", "run", F.col("k").alias("s"), (F.col("k") + count).alias("e"))
+    alone = pieces.join(distinct.filter("n = 1").select("piece"), "piece").select("name", "content", "run", "k", "marks", window)
+    alone = alone.select("name", "content", "run", (F.col("k") + F.col("i")).alias("s"), (F.col("k") + F.col("i") + 1).alias("e"), digest)
+    hit = whole.union(alone.join(again, "digest").drop("digest"))
+    return hit.groupBy("name", "content", "run").agg(F.collect_list(F.struct("s", "e")).cast(_RANGES).alias("ranges"))
+
+
 def _contents(wanted: DataFrame, docs: DataFrame, length: int, digests: bool) -> DataFrame:
-    """The bytes of the ``wanted`` segments, or a digest of each of their windows."""
+    """The bytes of the ``wanted`` segments, or digests of their windows in pieces."""
     import zstandard
-    import xxhash
 
     lists = wanted.groupBy("doc_id", "number").agg(F.collect_list(F.struct("name", "content", "start", "run", "copies")).alias("wanted"))
 
@@ -259,12 +292,7 @@ def _contents(wanted: DataFrame, docs: DataFrame, length: int, digests: bool) ->
             for packed, wanted in zip(batch["packed"], batch["wanted"]):
                 text, rows = open_.decompress(packed.as_buffer()), wanted.as_py()
                 if digests:
-                    rows = [(r, k, xxhash.xxh3_128_digest(text[r["start"] + k : r["start"] + k + length])) for r in rows for k in range(r["run"])]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([r["name"] for r, _, _ in rows], pa.int64()), pa.array([r["content"] for r, _, _ in rows], pa.int64()),
-                         pa.array([r["run"] for r, _, _ in rows], pa.int32()), pa.array([k for _, k, _ in rows], pa.int32()),
-                         pa.array([r["copies"] for r, _, _ in rows], pa.int64()), pa.array([d for _, _, d in rows], pa.binary())],
-                        ["name", "content", "run", "k", "copies", "digest"])
+                    yield _pieces(text, rows, length)
                 else:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r["name"] for r in rows], pa.int64()), pa.array([r["content"] for r in rows], pa.int64()),
@@ -272,7 +300,7 @@ def _contents(wanted: DataFrame, docs: DataFrame, length: int, digests: bool) ->
                          pa.array([text[r["start"] : r["start"] + r["run"] + length - 1] for r in rows], pa.binary())],
                         ["name", "content", "run", "bytes"])
 
-    kinds = "name long, content long, run int, " + ("k int, copies long, digest binary" if digests else "bytes binary")
+    kinds = "name long, content long, run int, " + ("k int, copies long, piece binary, marks binary" if digests else "bytes binary")
     # Rows equal in doc_id and text bring the same segments twice; the callers don't mind.
     return _packed(docs).join(lists, ["doc_id", "number"]).mapInArrow(step, kinds)
 
@@ -302,11 +330,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, clas
              .withColumn("call", F.pmod(F.xxhash64("name"), F.lit(calls))).groupBy("call").applyInArrow(_sort_call(length), _FOUND))
     found = written(found, "suffix-found")
     if not classes.filter(F.col("bytes") > class_bytes).isEmpty():
-        windows = written(_contents(met.filter(F.col("bytes") > class_bytes), docs, length, True).distinct(), "suffix-windows")
-        again = windows.groupBy("digest").agg(F.sum("copies").alias("n")).filter("n > 1").select("digest")
-        hot = windows.join(again, "digest").groupBy("name", "content", "run").agg(
-            F.collect_list(F.struct(F.col("k").alias("s"), (F.col("k") + 1).alias("e"))).cast(_RANGES).alias("ranges"))
-        found = found.union(hot)
+        pieces = _contents(met.filter(F.col("bytes") > class_bytes), docs, length, True).distinct()
+        found = found.union(_by_digest(written(pieces, "suffix-hot")))
     # Segments with a copy go as a whole; of the others, the windows found.
     whole = kinds.filter("copies > 1").select("name", "content", "run", F.array(F.struct(F.lit(0).alias("s"), F.col("run").alias("e"))).cast(_RANGES).alias("ranges"))
     single = found.join(kinds.filter("copies = 1").select("name", "content", "run"), ["name", "content", "run"], "left_semi")
