@@ -283,11 +283,11 @@ RAW: dict[str, str] = {
     # --- rejections -----------------------------------------------------------
     "rejection_analysis": f"""
         select coalesce(lead_date, rejected_at::date) lead_file_date, table_name, rejection_reason, count(*) rejected_count,
-          count(distinct j_email) emails, string_agg(distinct j_email, ', ' order by j_email) sample_emails
+          count(distinct j_email) emails
         from rejects where {_tri()} group by 1, 2, 3 order by 1 desc, 4 desc, 3, 2 limit 100""",
     "rejection_analysis_intake": f"""
         select coalesce(lead_date, rejected_at::date) lead_file_date, table_name, rejection_reason, count(*) rejected_count,
-          count(distinct j_email) emails, string_agg(distinct j_email, ', ' order by j_email) sample_emails
+          count(distinct j_email) emails
         from refused where {_tri()} and rejection_reason = 'NULL_PHONE_NUMBER' group by 1, 2, 3 order by 1 desc, 4 desc, 3, 2 limit 100""",
     "rejection_emails": f"""
         select distinct coalesce(lead_date, rejected_at::date) lead_file_date, table_name, rejection_reason, j_email email
@@ -414,7 +414,7 @@ RAW: dict[str, str] = {
           event_date unsubscribe_date, reason unsubscribe_reason, job_id unsubscribe_job_id,
           case when subscriber_key is not null then 'Unsubscribed' else 'Suppressed (non-unsubscribe reason)' end suppression_type
         from j left join unsubs on subscriber_key = prospect_id
-        order by last_email_date desc nulls last, prospect_id, event_date nulls first, job_id limit 100""",
+        order by last_email_date desc nulls last, prospect_id, event_date nulls first, job_id""",
     "unsubscribe_reasons": """
         select coalesce(reason, '(no reason provided)') unsubscribe_reason, count(distinct subscriber_key) prospect_count,
           min(event_date) first_unsubscribe_date, max(event_date) last_unsubscribe_date from unsubs group by 1""",
@@ -480,11 +480,11 @@ RAW: dict[str, str] = {
         union all select 'C_Prospect', email, first_name, last_name, channel, strftime(submission_timestamp, '%Y-%m-%d %H:%M:%S'), 'Prospect'
         from prospects where lower(email) = 'customer#000000007@example.com'
         union all select 'D_Identity_Xref', email, first_name, last_name, identity_key, null, 'Identity Bridge'
-        from xref where lower(email) = 'customer#000000007@example.com') order by layer, ts, channel limit 50""",
+        from xref where lower(email) = 'customer#000000007@example.com') order by layer, ts, channel""",
     "trace_engagement": """
         select event_type, event_timestamp, journey_type, mapped_stage, subscriber_key, is_suppressed, suppression_reason
         from (select distinct master_patient_id from prospects where master_patient_id = 'FIP0000000007') join fact on subscriber_key = master_patient_id
-        left join jobs using (job_key) order by event_timestamp, event_type limit 50""",
+        left join jobs using (job_key) order by event_timestamp, event_type""",
     "prospect_details": """
         select master_patient_id master_prospect_id, record_id, first_name, last_name, email, phone_number, patient_consent consent_flag, channel,
           file_date, strftime(submission_timestamp, '%Y-%m-%d %H:%M:%S') submitted_at, is_active
@@ -505,7 +505,7 @@ RAW: dict[str, str] = {
     "outbound_missing": """
         select master_patient_id, first_name, last_name, email, primary_channel, first_intake_date,
           'In DIM_PROSPECT but NOT in SFMC (not yet exported or load failed)' status
-        from dim_prospect where master_patient_id not in (select prospect_id from snapshot) order by first_intake_date desc, master_patient_id limit 100""",
+        from dim_prospect where master_patient_id not in (select prospect_id from snapshot) order by first_intake_date desc, master_patient_id""",
     "outbound_engagement": f"""
         select d.master_patient_id, d.first_name, d.last_name, marketing_consent, high_engagement,
           count(*) filter (event_type='SENT') total_sends, count(*) filter (event_type='OPEN') total_opens, count(*) filter (event_type='CLICK') total_clicks,

@@ -75,7 +75,7 @@ PLANS: dict[str, Callable[[Bound], DataFrame]] = {
     "suppressed_last_stage": lambda b: journeys.suppressed_last_stage(b.journey_details(), b.unsubscribes()),
     "unsubscribe_reasons": lambda b: journeys.unsubscribe_reasons(b.unsubscribes()),
     "expected_next_stage": lambda b: journeys.expected_next_stage(b.journey_details()),
-    "missed_sends": lambda b: journeys.missed_sends(b.journey_details(), b.fact(), b.rejects()),
+    "missed_sends": lambda b: journeys.missed_sends(b.journey_details(), b.fact(), b.rejects(), b.jobs()),
     "suppressed_between_stages": lambda b: journeys.suppressed_between_stages(b.journey_details(), b.unsubscribes()),
     "path_membership": lambda b: journeys.path_membership(b.journey_details()),
     "map_email_to_stage": _mapped_jobs,

@@ -27,24 +27,48 @@ def is_true_text(c: Column | str) -> Column:
     return F.upper(F.trim(col(c))) == "TRUE"
 
 
-# Day-first text is rearranged to ISO order and cast. Formatted parsing would raise and
-# catch an exception inside Spark for every row in the other form.
-_DAY_FIRST_DATE = r"^(\d{2})-(\d{2})-(\d{4})$"
-_DAY_FIRST_TIME = r"^(\d{2})-(\d{2})-(\d{4}) (\d{2}:\d{2})$"
+# Text is rearranged to ISO order, its whole shape is checked, and it is cast. Formatted parsing
+# would raise and catch an exception inside Spark for every row in another form; a bare cast
+# would accept a year alone and ignore what follows a date.
+_MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+_ISO_DATE = r"\d{4}-\d{1,2}-\d{1,2}"
+_TIME = r"\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
+
+
+def _iso_order(c: Column | str) -> Column:
+    """Day-first (31-01-2024), US (1/31/2024) and named-month (31-Jan-2024) dates as ISO text,
+    with the rest of the text behind them; twelve-hour clocks turned to 24 hours."""
+    text = F.trim(col(c))
+    text = F.regexp_replace(text, r"^(\d{2})-(\d{2})-(\d{4})(?=$|[ T])", "$3-$2-$1")
+    text = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})(?=$|[ T])", "$3-$1-$2")
+    month = F.initcap(F.regexp_extract(text, r"^\d{1,2}-([A-Za-z]{3})-\d{4}(?=$|[ T])", 1))
+    number = (F.instr(F.lit(_MONTHS), month) + 2) / 3
+    named = F.concat(F.regexp_extract(text, r"-(\d{4})", 1), F.lit("-"), number.cast("int").cast("string"), F.lit("-"),
+                     F.regexp_extract(text, r"^(\d{1,2})", 1), F.regexp_extract(text, r"-\d{4}(.*)$", 1))
+    text = F.when((month != "") & (F.instr(F.lit(_MONTHS), month) % 3 == 1), named).otherwise(text)
+    hour = F.regexp_extract(text, r"[ T](\d{1,2}):\d{2}[^ ]* ?[AaPp][Mm]$", 1)
+    late = F.upper(F.regexp_extract(text, r"([AaPp])[Mm]$", 1)) == "P"
+    full = F.pmod(hour.try_cast("int"), F.lit(12)) + F.when(late, 12).otherwise(0)
+    clock = F.concat(F.regexp_extract(text, r"^([^ T]*)", 1), F.lit(" "), F.lpad(full.cast("string"), 2, "0"),
+                     F.regexp_extract(text, r"[ T]\d{1,2}(:[\d:.]*)", 1))
+    return F.when(hour != "", clock).otherwise(text)
 
 
 def lead_date(c: Column | str) -> Column:
-    """Date text in ISO, day-first or engine-default form; null when unreadable."""
-    return F.regexp_replace(col(c), _DAY_FIRST_DATE, "$3-$2-$1").try_cast("date")
+    """The date of ISO, day-first, US or named-month text, with or without a time; null for
+    any other shape and for days that don't exist."""
+    text = _iso_order(c)
+    return F.when(text.rlike(f"^{_ISO_DATE}([ T]{_TIME})?$"), F.regexp_extract(text, f"^({_ISO_DATE})", 1)).try_cast("date")
 
 
 def lead_timestamp(c: Column | str) -> Column:
-    """Submission time text in its two export forms or engine default."""
-    return F.regexp_replace(col(c), _DAY_FIRST_TIME, "$3-$2-$1 $4").try_cast("timestamp_ntz")
+    """Time text in the same forms; a date alone is its midnight."""
+    text = _iso_order(c)
+    return F.when(text.rlike(f"^{_ISO_DATE}([ T]{_TIME})?$"), text).try_cast("timestamp_ntz")
 
 
 def event_timestamp(c: Column | str) -> Column:
-    return col(c).try_cast("timestamp_ntz")
+    return lead_timestamp(c)
 
 
 def rounded_int(c: Column | str) -> Column:

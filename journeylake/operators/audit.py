@@ -51,6 +51,6 @@ def logged_run(lake: Lake, pipeline: str, layer: str, table: str) -> Iterator[Ru
     try:
         yield run
     except Exception as exc:
-        log("FAILED", f"{type(exc).__name__}: {exc}"[:500])
+        log("FAILED", f"{type(exc).__name__}: {exc}")
         raise
     log("SUCCESS", None)

@@ -83,11 +83,11 @@ def assign_dense_keys(
     partition) are broadcast, and no window ever covers the rows. The sorted rows are
     materialised once, because counts and rows must come from the same partitioning.
     """
-    spark = df.sparkSession
-    n = partitions or max(2, spark.sparkContext.defaultParallelism)
+    # Without a number, the session's own size settings decide how many ranges there are.
+    spread = (partitions, *order) if partitions else order
     # The id holds the partition in its upper bits and the place in the lower 33.
     placed = cut_lineage(
-        df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        df.repartitionByRange(*spread).sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     ).withColumn("_slice", F.shiftright("_place", 33))
     counts = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))

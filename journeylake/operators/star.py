@@ -346,7 +346,7 @@ def fact_engagement(
     by_flag = F.when(F.coalesce("_flagged", F.lit(False)), "SUPPRESSION_FLAG=YES")
     return (
         events.join(jobs.select("job_id", "job_key"), "job_id", "left")
-        .join(F.broadcast(types.select("event_type", "event_type_key")), "event_type", "left")
+        .join(types.select("event_type", "event_type_key"), "event_type", "left")
         .join(people, "subscriber_key", "left")
         .join(flagged, "subscriber_key", "left")
         .select(

@@ -10,6 +10,11 @@ from .. import fixed_values as fv
 from ..functions.columns import contains_folded, date_in, day_in, equals_folded, lead_date
 
 
+def at_most(df: DataFrame, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows; all of them without a limit."""
+    return df if limit is None else df.limit(limit)
+
+
 def is_suppression() -> Column:
     return F.upper("rejection_reason").isin(*fv.SUPPRESSION_REASONS)
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed_values as fv
 from ..functions.columns import count_when
 from ..functions.labels import journey_short_code
-from .common import events_in, journey_contains
+from .common import at_most, events_in, journey_contains
 
 
 def with_job(fact: DataFrame, jobs: DataFrame, how: str = "left") -> DataFrame:
@@ -17,7 +17,7 @@ def with_job(fact: DataFrame, jobs: DataFrame, how: str = "left") -> DataFrame:
 
 def engagement_stats(
     fact: DataFrame, jobs: DataFrame, start: str = fv.START_DATE, end: str = fv.END_DATE,
-    journey: str | None = None, limit: int = 200,
+    journey: str | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Journey × stage × event: count, unique count, first and last event.
 
@@ -30,7 +30,7 @@ def engagement_stats(
         F.min("event_timestamp").alias("lo"),
         F.max("event_timestamp").alias("hi"),
     )
-    return (
+    return at_most((
         journey_contains(with_job(per_job, jobs), journey)
         .groupBy(
             F.coalesce("journey_type", F.lit("Unknown Journey")).alias("journey_type"),
@@ -41,16 +41,16 @@ def engagement_stats(
             F.sum("n").alias("event_count"), F.sum("u").alias("unique_event_count"),
             F.min("lo").alias("first_event"), F.max("hi").alias("last_event"),
         )
-        .orderBy("journey_type", "stage", "event_type").limit(limit)
-    )
+        .orderBy("journey_type", "stage", "event_type")
+    ), limit)
 
 
 def engagement_stats_raw(
-    raw_events: DataFrame, jobs: DataFrame, journey: str | None = None, limit: int = 200
+    raw_events: DataFrame, jobs: DataFrame, journey: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Fallback over the union of raw event tables: count and distinct subscribers."""
     joined = raw_events.join(jobs.select("job_id", "journey_type", "mapped_stage"), "job_id", "left")
-    return (
+    return at_most((
         journey_contains(joined, journey)
         .groupBy(
             F.coalesce("journey_type", F.lit("Unknown Journey")).alias("journey_type"),
@@ -58,8 +58,8 @@ def engagement_stats_raw(
             "event_type",
         )
         .agg(F.count(F.lit(1)).alias("event_count"), F.countDistinct("subscriber_key").alias("unique_subscribers"))
-        .orderBy("journey_type", "stage", "event_type").limit(limit)
-    )
+        .orderBy("journey_type", "stage", "event_type")
+    ), limit)
 
 
 def engagement_stats_any(

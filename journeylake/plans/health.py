@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
+from .common import at_most
 from ..functions.columns import day_in
 from ..session import fixed_table
 
@@ -16,16 +17,16 @@ STATUS_JOBS = (
 )
 
 
-def run_summary(runs: DataFrame, start: str = fv.START_DATE, end: str = fv.END_DATE, limit: int = 50) -> DataFrame:
+def run_summary(runs: DataFrame, start: str = fv.START_DATE, end: str = fv.END_DATE, limit: int | None = None) -> DataFrame:
     """Runs by table and status with first start and last completion."""
-    return (
+    return at_most((
         runs.filter(day_in("started_at", start, end)).groupBy("table_name", "status").agg(
             F.count(F.lit(1)).alias("run_count"),
             F.min("started_at").cast("string").alias("earliest_run"),
             F.max("completed_at").cast("string").alias("latest_run"),
         )
-        .orderBy(F.col("run_count").desc(), "table_name", "status").limit(limit)
-    )
+        .orderBy(F.col("run_count").desc(), "table_name", "status")
+    ), limit)
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
 from ..functions.columns import count_when, is_true_text, lead_date, ratio, truthy
-from ..operators.star import stage_waits
+from ..operators.star import map_email_to_stage, stage_waits
 
 WIDE_COLUMNS = ("prospect_id", "welcome_journey_complete", "nurture_journey_complete", "suppression_flag") + tuple(
     c for s in fv.STAGES for c in (f"{s[4]}_sent", f"{s[4]}_sent_date")
@@ -79,7 +79,7 @@ def last_email_date() -> Column:
 
 
 def suppressed_last_stage(
-    details: DataFrame, unsubscribes: DataFrame, prospect_id: str | None = None, limit: int | None = 100
+    details: DataFrame, unsubscribes: DataFrame, prospect_id: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Flagged prospects with the last stage they got and their unsubscribe rows.
 
@@ -128,21 +128,23 @@ def expected_next_stage(details: DataFrame) -> DataFrame:
 
 
 def missed_sends(
-    details: DataFrame, fact: DataFrame, rejects: DataFrame, day: str | None = None
+    details: DataFrame, fact: DataFrame, rejects: DataFrame, jobs: DataFrame, day: str | None = None
 ) -> DataFrame:
     """Expected against actual sends per stage and date, with missed sends by reason.
 
     A send is actual when a SENT event of that stage's job exists for the prospect on the
     due date. Reasons of a missed send, first match: suppressed, fatal error, bounced,
-    unsubscribed, else unknown. Job ids one to nine are the stages.
+    unsubscribed, else unknown. ``jobs`` (job_id, email_name) tells the stage of a job: job ids
+    are numbers of the mailing platform.
     """
     due = expected_next_stage(details)
     if day is not None:
         due = due.filter(F.col("expected_date") == F.lit(day).cast("date"))
-    sent = fact.filter((F.col("event_type") == "SENT") & F.col("job_id").isNotNull()).select(
-        F.col("subscriber_key").alias("s_key"), F.col("job_id").alias("s_stage"),
-        F.to_date("event_timestamp").alias("s_day"), F.lit(True).alias("was_sent"),
-    ).distinct()
+    stage_of = map_email_to_stage(jobs).select("job_id", "stage_number").filter("stage_number is not null").distinct()
+    sent = fact.filter((F.col("event_type") == "SENT") & F.col("job_id").isNotNull()).groupBy(
+        F.col("subscriber_key").alias("s_key"), "job_id", F.to_date("event_timestamp").alias("s_day")
+    ).agg(F.lit(True).alias("was_sent")).join(stage_of, "job_id").select(
+        "s_key", F.col("stage_number").alias("s_stage"), "s_day", "was_sent").distinct()
     negatives = fact.filter(F.col("event_type").isin("BOUNCE", "UNSUBSCRIBE")).groupBy(
         F.col("subscriber_key").alias("n_key")
     ).agg(

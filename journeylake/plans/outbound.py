@@ -40,7 +40,7 @@ def outbound_full_join(dim_prospect: DataFrame, snapshot: DataFrame) -> DataFram
     )
 
 
-def outbound_missing(dim_prospect: DataFrame, snapshot: DataFrame, limit: int | None = 100) -> DataFrame:
+def outbound_missing(dim_prospect: DataFrame, snapshot: DataFrame, limit: int | None = None) -> DataFrame:
     rows = dim_prospect.join(
         snapshot.select(F.col("prospect_id").alias("master_patient_id")), "master_patient_id", "left_anti"
     ).select(

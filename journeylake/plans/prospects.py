@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed_values as fv
 from ..functions.columns import blank_to_null
 from ..operators.quality import parsed_rejects
-from .common import channel_filter, prospects_in, state_filter
+from .common import at_most, channel_filter, prospects_in, state_filter
 
 
 def trace_prospect(
     identifier: str, leads: DataFrame, rejects: DataFrame, prospects: DataFrame, xref: DataFrame,
-    name: str | None = None, limit: int = 50,
+    name: str | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Layered timeline of one e-mail address or master id.
 
@@ -57,24 +57,24 @@ def trace_prospect(
         .unionByName(part(mastered, "C_Prospect", F.col("channel"), F.col("submission_timestamp"), "Prospect"))
         .unionByName(part(bridge, "D_Identity_Xref", F.col("identity_key"), text, "Identity Bridge"))
     )
-    return timeline.orderBy("layer", "ts", "channel").limit(limit)
+    return at_most(timeline.orderBy("layer", "ts", "channel", "email", "first_name", "last_name"), limit)
 
 
 def trace_engagement(
-    identifier: str, prospects: DataFrame, fact: DataFrame, jobs: DataFrame, limit: int = 50
+    identifier: str, prospects: DataFrame, fact: DataFrame, jobs: DataFrame, limit: int | None = None
 ) -> DataFrame:
     """Engagement of one prospect in time order; the id is a filter on both sides. Each
     event shows once however often the prospect came in."""
     chosen = F.lower("email") == identifier.lower() if "@" in identifier else F.col("master_patient_id") == identifier
     people = prospects.filter(chosen).select("master_patient_id").distinct()
     events = fact if "@" in identifier else fact.filter(F.col("subscriber_key") == identifier)
-    return (
+    return at_most((
         people.join(events, F.col("master_patient_id") == F.col("subscriber_key"))
         .join(jobs.select("job_key", "journey_type", "mapped_stage"), "job_key", "left")
         .select("event_type", "event_timestamp", "journey_type", "mapped_stage", "subscriber_key",
                 "is_suppressed", "suppression_reason")
-        .orderBy("event_timestamp", "event_type").limit(limit)
-    )
+        .orderBy("event_timestamp", "event_type", "journey_type", "mapped_stage")
+    ), limit)
 
 
 def prospect_details(

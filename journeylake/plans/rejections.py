@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import fixed_values as fv
 from ..functions.columns import day_in, pct
-from ..operators.keyed import first_per_key
 from ..operators.quality import parsed_rejects
-from .common import category_filter, either_date, is_suppression, lead_or_log_date, reason_filter
+from .common import at_most, category_filter, either_date, is_suppression, lead_or_log_date, reason_filter
 
 
 def _in_scope(rejects: DataFrame, start: str, end: str, reason: str | None, category: str) -> DataFrame:
@@ -26,31 +25,20 @@ GROUP = ["lead_file_date", "table_name", "rejection_reason"]
 
 def rejection_analysis(
     rejects: DataFrame, start: str = fv.START_DATE, end: str = fv.END_DATE,
-    reason: str | None = None, category: str = "all", limit: int = 100, emails_per_cell: int = 1000,
+    reason: str | None = None, category: str = "all", limit: int | None = 100,
 ) -> DataFrame:
-    """Counts per (lead date, table, reason) with their distinct e-mails in order.
+    """Counts per (lead date, table, reason), top groups first: rejects and distinct e-mails.
 
-    The top groups are chosen on counts alone; e-mails are gathered for those groups
-    only. ``emails`` says how many distinct ones a group has. A text cell shows the
-    first ``emails_per_cell`` of them; `rejection_emails` gives all of them as rows.
+    The log is read and parsed once. The e-mails themselves are rows of `rejection_emails`,
+    so no cell grows with a group and none is cut.
     """
     rows = _with_group_date(_in_scope(rejects, start, end, reason, category))
     per_email = rows.groupBy(*GROUP, F.col("rec.EMAIL").alias("email")).agg(F.count(F.lit(1)).alias("n"))
-    top = (
+    return at_most(
         per_email.groupBy(*GROUP)
         .agg(F.sum("n").alias("rejected_count"), F.count("email").alias("emails"))
         .orderBy(F.col("lead_file_date").desc_nulls_last(), F.col("rejected_count").desc(),
-                 "rejection_reason", "table_name")
-        .limit(limit)
-    )
-    # ``top`` has at most ``limit`` rows by construction. Every group has a row in
-    # ``per_email``, if only that of the missing e-mail, so the inner join keeps them all.
-    chosen = per_email.select(*GROUP, "email").join(F.broadcast(top), GROUP)
-    emails = F.array_join(F.sort_array(F.collect_list("email")), ", ")
-    return (
-        first_per_key(chosen, GROUP, [F.col("email").asc_nulls_last()], emails_per_cell)
-        .groupBy(*GROUP, "rejected_count", "emails").agg(F.nullif(emails, F.lit("")).alias("sample_emails"))
-    )
+                 "rejection_reason", "table_name"), limit)
 
 
 def rejection_emails(

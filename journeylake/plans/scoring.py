@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import fixed_values as fv
 from ..functions.columns import col, count_when, event_counts, pct, ratio
 from ..functions.labels import engagement_segment
-from .common import events_in, prospects_in
+from .common import at_most, events_in, prospects_in
 
 
 def prospect_versions(prospects: DataFrame, active_only: bool) -> DataFrame:
@@ -137,9 +137,9 @@ def raw_engagement_scores(raw_events: DataFrame, limit: int | None = 100) -> Dat
 
 
 def channel_consent_activity(
-    prospects: DataFrame, start: str = fv.START_DATE, end: str = fv.END_DATE, limit: int = 50
+    prospects: DataFrame, start: str = fv.START_DATE, end: str = fv.END_DATE, limit: int | None = None
 ) -> DataFrame:
-    return (
+    return at_most((
         prospects_in(prospects, start, end)
         .groupBy("channel", F.col("patient_consent").alias("consent_status"))
         .agg(
@@ -149,8 +149,8 @@ def channel_consent_activity(
         )
         .withColumn("active_rate_pct", pct("active_prospects", "total_prospects", 1))
         .withColumn("dropoff_rate_pct", pct("inactive_prospects", "total_prospects", 1))
-        .orderBy(F.col("total_prospects").desc(), "channel", "consent_status").limit(limit)
-    )
+        .orderBy(F.col("total_prospects").desc(), "channel", "consent_status")
+    ), limit)
 
 
 def never_opened(fact: DataFrame) -> DataFrame:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import any_of, contains_folded
 from ..operators.keyed import first_per_key
 
-MAX_QUERIES = 256
+#: Query vectors that one scan of the entities scores.
+QUERY_BLOCK = 256
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -21,14 +23,15 @@ def similar_entities(
 ) -> DataFrame:
     """For each query id the ``k`` most similar other entities (id, vector[, text]).
 
-    Exact: every entity is scored against every query in one scan. The query vectors, at
-    most `MAX_QUERIES` of them, arrive as one scalar subquery; nothing is joined, and the
+    Exact: every entity is scored against every query, `QUERY_BLOCK` of them in one scan. The
+    query vectors of a block arrive as one scalar subquery; nothing is joined, and the
     top k are cut inside each task before the shuffle. ``keywords`` keeps entities whose
     text contains any of them. Ties go to the smaller id.
     """
     wanted = list(dict.fromkeys(query_ids))
-    if len(wanted) > MAX_QUERIES:
-        raise ValueError(f"at most {MAX_QUERIES} query ids per call")
+    if len(wanted) > QUERY_BLOCK:
+        blocks = [wanted[i : i + QUERY_BLOCK] for i in range(0, len(wanted), QUERY_BLOCK)]
+        return reduce(DataFrame.unionByName, [similar_entities(entities, b, k, keywords, digits) for b in blocks])
     vectors = entities.withColumn("vector", F.transform("vector", lambda x: x.cast("double")))
     # Entities with an all-zero vector have no direction and no neighbours.
     vectors = vectors.withColumn("norm", F.sqrt(_dot(F.col("vector"), F.col("vector")))).filter("norm > 0")

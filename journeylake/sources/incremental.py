@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -40,18 +41,32 @@ def new_files(
 def load_new_files(
     lake: Lake, folder: str, entity: str, target: str,
     read: Callable[[SparkSession, list[str]], DataFrame],
-    pattern: str = "*.csv", max_files: int = 10_000,
+    pattern: str = "*.csv", batch_files: int = 10_000,
 ) -> int:
-    """Loads all new files of a folder in one job and audits each of them.
+    """Loads all new files of a folder and audits each of them; returns the rows loaded.
 
-    A run takes the ``max_files`` oldest new files (only their paths come to the driver);
-    the next run takes the rest. Rows are published with the batch as a whole, so a failed
-    job leaves no rows and its files are audited FAILED, not SUCCESS. ``read`` must keep
+    Files are taken oldest first, ``batch_files`` at a time (only their paths come to the
+    driver), until none is left. A batch is named after its files and published as a whole: a
+    failed job leaves no rows, and where a driver dies between publishing and auditing, files
+    whose rows are already in the target are audited but not loaded again. ``read`` must keep
     ``_source_file_name``.
     """
+    loaded = 0
+    while True:
+        rows = _load_batch(lake, folder, entity, target, read, pattern, batch_files)
+        if rows is None:
+            return loaded
+        loaded += rows
+
+
+def _load_batch(
+    lake: Lake, folder: str, entity: str, target: str,
+    read: Callable[[SparkSession, list[str]], DataFrame], pattern: str, batch_files: int,
+) -> int | None:
+    """One batch; None where no file is new."""
     spark = lake.spark
     audit = lake.read_or_none(FILE_AUDIT)
-    picked = new_files(list_files(spark, folder, pattern), audit, entity, folder, target).limit(max_files).collect()
+    picked = new_files(list_files(spark, folder, pattern), audit, entity, folder, target).limit(batch_files).collect()
     started = utc_now()
 
     def audit_rows(status: str, counts: dict[str, int], error: str | None, batch: str) -> None:
@@ -61,17 +76,30 @@ def load_new_files(
              counts.get(f["file_name"], 0), error, started, now)
             for f in picked
         ]
-        lake.append(FILE_AUDIT, f"{batch}-{status.lower()}", lambda: spark.createDataFrame(rows, FILE_AUDIT_SCHEMA))
+        name = f"{batch}-{status.lower()}" + ("" if status == "SUCCESS" else f"-{uuid.uuid4().hex}")
+        lake.append(FILE_AUDIT, name, lambda: spark.createDataFrame(rows, FILE_AUDIT_SCHEMA))
 
     with logged_run(lake, f"LOAD_NEW_FILES_{entity}", "RAW", target) as run:
         if not picked:
-            return 0
-        batch = f"load-{run.run_id}"
+            return None
+        names = [f["file_name"] for f in picked]
+        batch = "load-" + hashlib.md5("\n".join(sorted(names)).encode()).hexdigest()
         try:
-            run.rows_loaded = lake.append(target, batch, lambda: read(spark, [f["path"] for f in picked]))
+            there = lake.read_or_none(target)
+            seen = set()
+            if there is not None:
+                # At most as many names as the batch has files.
+                wanted = spark.createDataFrame([(n,) for n in names], "_source_file_name string")
+                found = there.select("_source_file_name").join(wanted, "_source_file_name", "left_semi").distinct()
+                seen = {r[0] for r in found.collect()}
+            paths = [f["path"] for f in picked if f["file_name"] not in seen]
+            if paths:
+                run.rows_loaded = lake.append(target, batch, lambda: read(spark, paths))
         except Exception as exc:
-            audit_rows("FAILED", {}, f"{type(exc).__name__}: {exc}"[:500], batch)
+            audit_rows("FAILED", {}, f"{type(exc).__name__}: {exc}", batch)
             raise
-        per_file = lake.read_batch(target, batch).groupBy("_source_file_name").count().collect()
+        published = lake.read(target)
+        wanted = spark.createDataFrame([(n,) for n in names], "_source_file_name string")
+        per_file = published.join(wanted, "_source_file_name", "left_semi").groupBy("_source_file_name").count().collect()
         audit_rows("SUCCESS", {r["_source_file_name"]: r["count"] for r in per_file}, None, batch)
         return run.rows_loaded

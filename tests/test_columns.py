@@ -75,3 +75,19 @@ def test_values_are_data_not_sql(spark):
     assert df.filter(c.equals_folded("v", "o'hara")).count() == 1
     assert df.filter(c.contains_folded("v", "%")).count() == 1
     assert df.filter(F.col("v") == "x' or '1'='1").count() == 0
+
+
+def test_only_whole_dates_count(spark):
+    for text in ("2024", "2024-01", "2024-01-05 junk", "2024-01-05Tx", "2024-02-30", "32-01-2024", "13/45/2024", "15-Foo-2024", "15-anF-2024", "", "x", None):
+        assert one(spark, text, c.lead_date("v")) is None, text
+        assert one(spark, text, c.event_timestamp("v")) is None, text
+
+
+def test_other_date_and_time_forms(spark):
+    from datetime import date, datetime
+
+    for text in ("01/15/2024", "1/15/2024", "15-Jan-2024", "15-JAN-2024", " 15-01-2024", "2024-01-15 ", "1/15/2024 10:00:00 AM", "2024-1-15T10:00"):
+        assert one(spark, text, c.lead_date("v")) == date(2024, 1, 15), text
+    for text, hour in (("1/15/2024 10:00:00 AM", 10), ("1/15/2024 10:00 PM", 22), ("1/15/2024 12:00:00 AM", 0), ("1/15/2024 12:00:00 PM", 12),
+                       ("15-Jan-2024 9:00", 9), ("2024-01-15T09:00:00", 9), ("15-01-2024 09:00", 9)):
+        assert one(spark, text, c.event_timestamp("v")) == datetime(2024, 1, 15, hour), text

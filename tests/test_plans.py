@@ -36,20 +36,27 @@ def log(spark):
     ], LOG)
 
 
-def test_rejection_groups_emails_and_cap(spark):
+def test_rejection_groups_and_emails(spark):
     def take(**kw):
         out = rejections.rejection_analysis(log(spark), "2026-01-01", "2026-01-31", **kw).collect()
-        return {r.rejection_reason: (r.lead_file_date, r.rejected_count, r.emails, r.sample_emails) for r in out}
+        return {r.rejection_reason: (r.lead_file_date, r.rejected_count, r.emails) for r in out}
 
     got = take()
-    assert got["NULL_PHONE_NUMBER"] == (date(2026, 1, 2), 3, 2, "a@x, b@x")
-    assert got["NULL_EMAIL"] == (date(2026, 1, 9), 1, 0, None)
-    assert take(emails_per_cell=1)["NULL_PHONE_NUMBER"] == (date(2026, 1, 2), 3, 2, "a@x")
+    assert got["NULL_PHONE_NUMBER"] == (date(2026, 1, 2), 3, 2)
+    assert got["NULL_EMAIL"] == (date(2026, 1, 9), 1, 0)
     assert set(take(category="sfmc")) == {"Suppressed_Prospect"}
-    assert "Suppressed_Prospect" not in take(category="intake") and len(take(limit=1)) == 1
+    assert "Suppressed_Prospect" not in take(category="intake") and len(take(limit=1)) == 1 and take(limit=None) == got
     assert rejections.rejection_emails(log(spark), "2026-01-01", "2026-01-31").count() == 2
 
 
+def test_no_email_of_a_large_group_is_lost(spark):
+    at = log(spark).first()["rejected_at"]
+    rows = [("M", "NULL_PHONE_NUMBER", '{"EMAIL":"%d@x","FILE_DATE":"2026-01-02"}' % i, at) for i in range(1500)]
+    large = spark.createDataFrame(rows, LOG)
+    assert rejections.rejection_analysis(large, "2026-01-01", "2026-01-31").first()["emails"] == 1500
+    assert rejections.rejection_emails(large, "2026-01-01", "2026-01-31").count() == 1500
+
+
 def test_date_filter_binds_to_every_condition(spark):
     out = rejections.rejection_analysis(log(spark), "2026-01-01", "2026-01-03", reason="NULL_EMAIL")
     assert out.count() == 0
@@ -119,5 +126,8 @@ def test_similar_entities_against_brute_force(spark):
 
     assert found() == {q: brute(q, lambda i: True) for q in (3, 10)}
     assert found(keywords=["EVEN"]) == {q: brute(q, lambda i: i % 2 == 0) for q in (3, 10)}
-    with pytest.raises(ValueError):
-        similar.similar_entities(df, list(range(1000)))
+    # More queries than one block holds.
+    many = df.union(df.selectExpr("id + 1000", "vector", "text")).union(df.selectExpr("id + 2000", "vector", "text"))
+    many = many.union(df.selectExpr("id + 3000", "vector", "text")).union(df.selectExpr("id + 4000", "vector", "text"))
+    ids = [r.id for r in many.collect()]
+    assert similar.similar_entities(many, ids, 1).count() == 5 * 59

@@ -1,4 +1,4 @@
-"""Registered queries against DuckDB on the smallest data. JOURNEYLAKE_ALL=1 runs them all;
+"""Registered queries against DuckDB on the smallest data;
 `python -m harness.check` does the same for any data folder."""
 
 import os
@@ -9,13 +9,7 @@ from harness import oracle, registry
 from harness.check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-SOME = (
-    "funnel_metrics", "drop_analysis", "rejection_analysis", "rejected_details", "engagement_stats", "engagement_pivot",
-    "conversion_scores", "segment_summary", "stage_send_summary", "missed_sends", "path_membership", "outbound_engagement",
-    "dash_segments", "intake_trend_week", "latest_runs", "validate_leads", "reject_log", "scd2_silver", "merge_upsert",
-    "assign_keys", "dim_job", "fact_engagement", "journey_mart_summary", "send_time_features", "similar_embeddings",
-)
-NAMES = list(registry.queries()) if os.environ.get("JOURNEYLAKE_ALL") else SOME
+NAMES = list(registry.queries())
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test data not mounted")
 
