@@ -18,21 +18,31 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import documents_of, held_out
+from .common import documents_of, held_out, written
 
 SAMPLE_DOCS, SAMPLE_BLOCKS = 4000, 4000
 BLOCK_CHARS, DICTIONARY_BYTES, LEVEL = 2048, 1 << 16, 3
 
 
+def thinned(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """Rows of either label whose hash (column place, from 0 to 1) lies below a bound: all where
+    there are at most ``most``, else the bound that their exact count sets, four standard errors
+    short of ``most``. Every task decides on its own rows, so no label meets in one task."""
+    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    aim = max(most / 2, most - 4 * most**0.5)
+    bound = {k: 1.0 if sizes.get(k, 0) <= most else aim / sizes[k] for k in (0, 1)}
+    place = F.shiftrightunsigned(F.xxhash64(*keys, F.lit("sample")), 11) / float(1 << 53)
+    return rows.withColumn("place", place).filter(F.col("place") < F.when(F.col("label") == 1, bound[1]).otherwise(bound[0]))
+
+
 def sample_ids(labels: DataFrame, label: str, most: int, train: Column) -> DataFrame:
-    """doc_id and label of at most ``most`` training rows of each label, by hash. Rows without
+    """doc_id, label and place of at most ``most`` training rows of each label, by hash. Rows without
     id or with another label than 0 or 1 don't count; a repeated id counts once, with its larger label."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     rows = rows.filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    return rows.filter(train).withColumn("nth", rank).filter(F.col("nth") <= most).select("doc_id", "label", "nth")
+    return thinned(rows.filter(train), ["doc_id"], most)
 
 
 def class_share(labels: DataFrame, label: str, train: Column) -> float:
@@ -133,13 +143,14 @@ class CompressionClassifier:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5,
                 sample_docs: int = SAMPLE_DOCS, sample_blocks: int = SAMPLE_BLOCKS) -> CompressionClassifier:
-    """Fits on labelled rows outside the held-out fold. Every second sampled text makes the
-    dictionaries, the others the curve. Without labelled texts of both kinds every score is
+    """Fits on labelled rows outside the held-out fold. Half of the sampled texts, by hash, make
+    the dictionaries, the others the curve. Without labelled texts of both kinds every score is
     the (smoothed) share of label 1."""
     train = ~held_out(F.col("doc_id"), folds)
     chosen = sample_ids(labels, label, sample_docs, train)
-    # At most 2 * sample_docs rows of three numbers.
-    texts = documents_of(docs).join(F.broadcast(chosen), "doc_id")
+    # At most 2 * sample_docs rows of three numbers. Their texts are written, so one scan of docs serves all of the fit.
+    texts = written(documents_of(docs).join(F.broadcast(chosen), "doc_id"), "quality-sample")
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,13 +160,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", fold
                     [pa.array([label] * len(found), pa.int32()), pa.array([doc_id] * len(found), pa.int64()),
                      pa.array(range(len(found)), pa.int64()), pa.array(found, pa.string())], ["label", "doc_id", "block", "text"])
 
-    blocks = texts.filter("nth % 2 = 0").mapInArrow(cut, "label int, doc_id long, block long, text string")
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id", "block"), "doc_id", "block"))
-    sample = blocks.withColumn("place", rank).filter(F.col("place") <= sample_blocks).select("label", "text", "place").toPandas()
-    sample = sample.sort_values(["label", "place"])
+    blocks = texts.filter(half == 0).mapInArrow(cut, "label int, doc_id long, block long, text string")
+    sample = thinned(blocks, ["doc_id", "block"], sample_blocks).select("label", "text", "place", "doc_id", "block").toPandas()
+    sample = sample.sort_values(["label", "place", "doc_id", "block", "text"])
     kind = lambda k: [t.encode() for t in sample.text[sample.label == k]]
     model = CompressionClassifier(kind(0), kind(1), class_share(labels, label, train))
-    unseen = texts.filter("nth % 2 = 1")
+    unseen = texts.filter(half == 1)
 
     @F.pandas_udf("difference double, size double")
     def differences(texts: pd.Series) -> pd.DataFrame:
