@@ -316,7 +316,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, clas
     if length < 8 or gram < 8 or gram & (gram - 1) or gram > length:
         raise ValueError("gram must be a power of two from 8 up to length")
     spark = docs.sparkSession
+    # Written, so that the join with it isn't in one stage with the aggregate: a very frequent name's rows can be split there.
     often = _segment_rows(docs, length, gram, True).groupBy("name").agg(F.sum("seen").alias("seen")).filter("seen > 1").select("name")
+    often = written(often, "suffix-names")
     rows = written(_segment_rows(docs, length, gram, False).join(often, "name"), "suffix-segments")
 
     place = F.struct("doc_id", "number", "start")
