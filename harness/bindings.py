@@ -36,6 +36,11 @@ def cached(method):
     return wrapper
 
 
+#: The tables of a data folder.
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
 class Bound:
     """Lazily bound tables of one data folder."""
 

@@ -163,13 +163,14 @@ def _new_dates(b: Bound) -> DataFrame:
 
 def _job_inputs(b: Bound) -> tuple[DataFrame, DataFrame]:
     e = b.fact().join(b.jobs().select("job_id", "email_name"), "job_id")
-    sent = e.filter("event_type = 'SENT' and job_id <= 7").select(
+    sent = e.filter("event_type = 'SENT'").select(
         "job_id", F.lit(None).cast("string").alias("journey_type"), F.lit(None).cast("string").alias("mapped_stage"),
         F.when(F.col("k") % 3 == 0, "").otherwise(F.col("email_name")).alias("email_name"),
         F.concat(F.lit("Subject "), F.col("k").cast("string")).alias("email_subject"), F.lit("JOB").alias("record_type"),
         F.col("event_timestamp").alias("_loaded_at"), F.col("event_id").alias("_source_row_number"))
-    opened = e.filter("event_type = 'OPEN' and job_id >= 3").select(
-        F.when(F.col("k") % 5 == 0, "x").otherwise(F.col("job_id").cast("string")).alias("job_id"), "email_name",
+    # Shifted ids: the first two jobs stand in one table only, and so do two more in the other.
+    opened = e.filter("event_type = 'OPEN'").select(
+        F.when(F.col("k") % 5 == 0, "x").otherwise((F.col("job_id") + 2).cast("string")).alias("job_id"), "email_name",
         F.concat(F.lit("Detail "), F.col("k").cast("string"), F.lit("  ")).alias("email_subject"),
         F.col("event_timestamp").alias("_loaded_at"), F.col("event_id").alias("_source_row_number"))
     return sent, opened
@@ -217,7 +218,8 @@ def _mart(b: Bound) -> DataFrame:
 
 def _checks(b: Bound) -> DataFrame:
     return checks.integrity_checks(
-        b.leads(), b.prospects(), b.rejects(), b.fact(), b.jobs(), b.event_calendar(), star.engagement_types(b.spark), b.dim_prospect())
+        b.leads(), b.prospects(), b.rejects(), b.fact(), b.jobs(), b.event_calendar(), star.engagement_types(b.spark), b.dim_prospect(),
+        b.journey_details())
 
 
 def _features(b: Bound) -> DataFrame:
@@ -229,10 +231,10 @@ def _embeddings(b: Bound) -> DataFrame:
 
 
 def _documents(b: Bound) -> DataFrame:
-    """Vectors whose document, by id, contains a keyword (case folded, whole text)."""
+    """Term vectors of all documents; candidates contain a keyword (case folded, whole text)."""
+    words = ["error", "LICENSE", "the "]
     texts = b.read("documents").select(F.col("doc_id").alias("id"), "text")
-    both = _embeddings(b).drop("text").join(texts, "id")
-    return similar.similar_entities(both, [1, 2, 3], 5, ["error", "LICENSE", "the "])
+    return similar.similar_entities(features.document_vectors(texts, words), [1, 2, 3], 5, words)
 
 
 # --- files and streams ----------------------------------------------------------------------
@@ -273,7 +275,8 @@ def _load_new_files(b: Bound) -> DataFrame:
     incremental.load_new_files(lake, folder, "sent", "raw_events/sent", read)
     incremental.load_new_files(lake, folder, "sent", "raw_events/sent", read)
     audited = lake.read(FILE_AUDIT).agg(F.sum("rows_loaded").alias("n")).scalar()
-    return lake.read("raw_events/sent").groupBy("job_id").agg(F.count(F.lit(1)).alias("events")).withColumn("audited_rows", audited)
+    return lake.read("raw_events/sent").select(
+        "account_id", "job_id", "batch_id", "subscriber_key", "event_date", "domain", "record_type").withColumn("audited_rows", audited)
 
 
 def _stream_events(b: Bound) -> DataFrame:
@@ -284,7 +287,7 @@ def _stream_events(b: Bound) -> DataFrame:
     for _ in range(2):
         stream = b.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(b.folder)
         file_streams.load_files(lake, stream, "raw_events/all", checkpoint).awaitTermination()
-    return lake.read("raw_events/all").groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    return lake.read("raw_events/all").select("event_id", "event_type", "user_id", "ts", "value", "props")
 
 
 def _stream_repeats(b: Bound) -> DataFrame:
@@ -294,8 +297,8 @@ def _stream_repeats(b: Bound) -> DataFrame:
     timed = source.withColumn("ts", F.col("ts").cast("timestamp"))
     once = file_streams.without_repeats(timed.unionByName(timed), ["event_id"], "ts", "60 days")
     file_streams.load_files(lake, once, "raw_events/once", scratch_path(b.spark, "checkpoint")).awaitTermination()
-    return lake.read("raw_events/once").groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids"))
+    return lake.read("raw_events/once").select(
+        "event_id", "event_type", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value", "props")
 
 
 def _pipeline(b: Bound) -> DataFrame:
@@ -357,9 +360,7 @@ JOBS: dict[str, Callable[[Bound], DataFrame]] = {
     "similar_prospects": lambda b: similar.similar_entities(
         features.prospect_vectors(_features(b)), ["FIP0000000007", "FIP0000000011"], 10),
     "similar_journeys": lambda b: similar.similar_entities(
-        features.journey_vectors(b.jobs().select("email_name").join(
-            b.fact().select("job_key").distinct().join(b.jobs().select("job_key", "email_name"), "job_key"), "email_name", "left_semi")),
-        ["Prospect_Nurture_02_Education_Email_2"], 5, ["Nurture", "Conversion"]),
+        features.journey_stage_vectors(_mart(b)), ["J02_Nurture|Education Email 2"], 5, ["Nurture", "Conversion"]),
     "similar_rejections": lambda b: similar.similar_entities(
         features.rejection_vectors(b.rejects()), ["PHI_PROSPECT_MASTER|NULL_EMAIL|5-LOW"], 5),
     "similar_engagement": lambda b: similar.similar_entities(

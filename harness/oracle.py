@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from .bindings import NATION_STATES
+from .bindings import NATION_STATES, TABLES
 
 LO, HI = "date '1990-01-01'", "date '2099-12-31'"
 
@@ -337,6 +337,7 @@ RAW: dict[str, str] = {
         select event_type, count(*) filter (journey_type = 'J01_Welcome') "J01_Welcome", count(*) filter (journey_type = 'J02_Nurture') "J02_Nurture",
           count(*) filter (journey_type = 'J03_Conversion') "J03_Conversion", count(*) filter (journey_type = 'J04_ReEngagement') "J04_ReEngagement"
         from fact join jobs using (job_key) group by 1""",
+    "engagement_pivot_fallback": "select event_type, count(*) cnt from fact group by 1",
     "raw_event_totals": "select event_type, count(*) cnt from fact group by 1",
     "journey_rates": f"""
         select journey_type, count(*) filter (event_type='SENT') sends, count(*) filter (event_type='OPEN') opens,
@@ -377,15 +378,22 @@ RAW: dict[str, str] = {
         select subscriber_key, sends total_sends, opens total_opens, clicks total_clicks, bounces total_bounces, unsubscribes total_unsubscribes,
           {_pct('opens','sends',1)} open_rate_pct, {_pct('clicks','sends',1)} click_rate_pct, {_segment(sends=False)} engagement_segment
         from d where any_sent > 0 order by click_rate_pct desc nulls last, open_rate_pct desc nulls last, subscriber_key limit 100""",
+    "conversion_scores_fallback": f"""
+        with d as (
+          select subscriber_key, count(distinct job_id) filter (event_type='SENT') sends, count(distinct job_id) filter (event_type='OPEN') opens,
+            count(distinct job_id) filter (event_type='CLICK') clicks, count(distinct job_id) filter (event_type='BOUNCE') bounces,
+            count(distinct job_id) filter (event_type='UNSUBSCRIBE') unsubscribes, count(*) filter (event_type='SENT') any_sent from fact group by 1)
+        select subscriber_key, sends total_sends, opens total_opens, clicks total_clicks, bounces total_bounces, unsubscribes total_unsubscribes,
+          {_pct('opens','sends',1)} open_rate_pct, {_pct('clicks','sends',1)} click_rate_pct, {_segment(sends=False)} engagement_segment
+        from d where any_sent > 0 order by click_rate_pct desc nulls last, open_rate_pct desc nulls last, subscriber_key limit 100""",
     "channel_consent_activity": f"""
         select channel, patient_consent consent_status, count(*) total_prospects, count(*) filter (is_active) active_prospects,
           count(*) filter (not is_active) inactive_prospects, {_pct('count(*) filter (is_active)', 'count(*)', 1)} active_rate_pct,
           {_pct('count(*) filter (not is_active)', 'count(*)', 1)} dropoff_rate_pct
         from prospects group by 1, 2""",
     "never_opened": """
-        with d as (select * from fact where event_timestamp::date between date '2024-01-10' and date '2024-01-12')
-        select subscriber_key, count(*) sends from d where event_type = 'SENT'
-          and subscriber_key not in (select subscriber_key from d where event_type = 'OPEN') group by 1""",
+        select subscriber_key, count(*) sends from fact where event_type = 'SENT'
+          and subscriber_key not in (select subscriber_key from fact where event_type = 'OPEN') group by 1""",
     # --- journeys ---------------------------------------------------------------------
     "stage_send_summary": """
         select case stage_number when 1 then 'Stage 1 — Welcome Email (J01)' when 2 then 'Stage 2 — Education Email (J01)'
@@ -481,6 +489,17 @@ RAW: dict[str, str] = {
         from prospects where lower(email) = 'customer#000000007@example.com'
         union all select 'D_Identity_Xref', email, first_name, last_name, identity_key, null, 'Identity Bridge'
         from xref where lower(email) = 'customer#000000007@example.com') order by layer, ts, channel""",
+    "trace_prospect_id": """
+        select 'A_Intake' layer, email, first_name, last_name, channel,
+          case when lead_id % 3 = 0 then strftime(submitted_exact, '%d-%m-%Y %H:%M') else strftime(submitted_exact, '%Y-%m-%d %H:%M:%S') end ts, 'Lead' lifecycle_label
+        from leads where upper(trim(first_name)) || '|' || upper(trim(last_name)) || '|' || lower(trim(email)) in (select identity_key from xref where master_patient_id = 'FIP0000000007')
+        union all select 'C_Prospect', email, first_name, last_name, channel, strftime(submission_timestamp, '%Y-%m-%d %H:%M:%S'), 'Prospect'
+        from prospects where master_patient_id = 'FIP0000000007'
+        union all select 'D_Identity_Xref', email, first_name, last_name, identity_key, null, 'Identity Bridge' from xref where master_patient_id = 'FIP0000000007'""",
+    "trace_prospect_name": """
+        select 'A_Intake' layer, email, first_name, last_name, channel,
+          case when lead_id % 3 = 0 then strftime(submitted_exact, '%d-%m-%Y %H:%M') else strftime(submitted_exact, '%Y-%m-%d %H:%M:%S') end ts, 'Lead' lifecycle_label
+        from leads where contains(lower(first_name) || ' ' || lower(last_name), 'customer 000000007')""",
     "trace_engagement": """
         select event_type, event_timestamp, journey_type, mapped_stage, subscriber_key, is_suppressed, suppression_reason
         from (select distinct master_patient_id from prospects where master_patient_id = 'FIP0000000007') join fact on subscriber_key = master_patient_id
@@ -524,6 +543,17 @@ RAW: dict[str, str] = {
         b as (select count(*) filter (rejection_reason = 'SUPPRESSED_PROSPECT') suppressed, count(*) filter (rejection_reason = 'FATAL_ERROR') fatal
               from blocked where rejected_at::date between date '2024-01-03' and date '2024-01-20')
         select actual + suppressed + fatal expected, actual, suppressed, fatal, suppressed + fatal unsent from a, b""",
+    "dash_email_kpis_fallback": """
+        with a as (select count(*) actual from fact where event_type = 'SENT' and event_timestamp::date between date '2024-01-03' and date '2024-01-20'),
+        b as (select count(*) filter (rejection_reason = 'SUPPRESSED_PROSPECT') suppressed, count(*) filter (rejection_reason = 'FATAL_ERROR') fatal
+              from blocked where rejected_at::date between date '2024-01-03' and date '2024-01-20')
+        select actual + suppressed + fatal expected, actual, suppressed, fatal, suppressed + fatal unsent from a, b""",
+    "dash_conversion_fallback": """
+        with e as (select * from fact where event_timestamp::date between date '2024-01-10' and date '2024-01-11'),
+        s as (select distinct subscriber_key k from e where event_type = 'SENT'), o as (select distinct subscriber_key k from e where event_type = 'OPEN'),
+        c as (select distinct subscriber_key k from e where event_type = 'CLICK')
+        select count(distinct c.k) high_count, count(distinct case when o.k is not null and c.k is null then s.k end) medium_count,
+          count(distinct case when o.k is null then s.k end) low_count from s left join o on s.k = o.k left join c on s.k = c.k""",
     "dash_conversion": """
         with e as (select subscriber_key, count(*) filter (event_type='CLICK') c, count(*) filter (event_type='OPEN') o, count(*) filter (event_type='SENT') s
                    from fact where event_timestamp::date between date '2024-01-10' and date '2024-01-11' group by 1)
@@ -579,9 +609,10 @@ RAW: dict[str, str] = {
         p as (select period, count(*) n from r join prospects on file_date between a and b group by 1)
         select period, l.n leads, p.n prospects, {_pct('p.n', 'l.n', 2)} conversion_pct from l join p using (period)""",
     "run_sql": "select event_type, count(*) n, sum(value) total from events group by 1",
-    "table_profile": """
-        select 'orders' table_name, count(*) row_count, null note from orders union all
-        select 'events', count(*), null from events union all select 'absent', null, 'Table not accessible or empty.'""",
+    "table_profile": "\nunion all\n".join(
+        f"""select '{t}' table_name, (select string_agg(column_name, ', ' order by column_index) from duckdb_columns() where table_name = '{t}') columns,
+          count(*) row_count, least(count(*), 5)::integer sample_rows, null note from {t}""" for t in TABLES
+    ) + "\nunion all select 'absent', null, null, null, 'Table not accessible or empty.'",
 }
 
 

@@ -162,9 +162,9 @@ RAW_JOBS: dict[str, str] = {
         left join geo g on g.city = p.city and g.state = p.state and g.zip_code = p.zip_code where p.channel <> '5-LOW'""",
     "dim_job": """
         with m as (select f.job_id, case when k % 3 = 0 then '' else email_name end nm, concat('Subject ', k) subj from fact f join jobs j on j.job_key = f.job_id
-            where event_type = 'SENT' and f.job_id <= 7 qualify row_number() over (partition by f.job_id order by event_timestamp desc, event_id desc) = 1),
-        d as (select f.job_id, email_name nm, concat('Detail ', k) subj from fact f join jobs j on j.job_key = f.job_id
-            where event_type = 'OPEN' and f.job_id >= 3 and k % 5 <> 0 qualify row_number() over (partition by f.job_id order by event_timestamp desc, event_id desc) = 1),
+            where event_type = 'SENT' qualify row_number() over (partition by f.job_id order by event_timestamp desc, event_id desc) = 1),
+        d as (select f.job_id + 2 job_id, email_name nm, concat('Detail ', k) subj from fact f join jobs j on j.job_key = f.job_id
+            where event_type = 'OPEN' and k % 5 <> 0 qualify row_number() over (partition by f.job_id order by event_timestamp desc, event_id desc) = 1),
         b as (select coalesce(m.job_id, d.job_id) job_id, coalesce(nullif(m.nm, ''), d.nm) email_name, coalesce(m.subj, d.subj) email_subject from m full outer join d on m.job_id = d.job_id)
         select row_number() over (order by b.job_id) job_key, b.job_id, journey_type, mapped_stage, b.email_name, email_subject, 'JOB' record_type
         from b left join jobs j on j.email_name = b.email_name""",
@@ -189,16 +189,25 @@ RAW_JOBS: dict[str, str] = {
           count(*) observations, sum(is_expected_send)::bigint is_expected_send, sum(is_actual_send)::bigint is_actual_send, sum(is_delivered)::bigint is_delivered,
           sum(is_unique_event)::bigint is_unique_event, sum(is_suppressed_event)::bigint is_suppressed_event from mart group by 1, 2, 3, 4""",
     "integrity_checks": """
-        with f as (select count(*) filter (event_type='SENT') s, count(*) filter (event_type='BOUNCE') b, count(*) filter (event_type='OPEN') o, count(*) filter (event_type='CLICK') c,
-            count(*) filter (event_type='OPEN' and is_unique) uo, count(*) filter (event_type='CLICK' and is_unique) uc from fact),
+        with bounced as (select distinct subscriber_key, job_id from fact where event_type = 'BOUNCE'),
+        f as (select count(*) filter (event_type='SENT') s, count(*) filter (event_type='BOUNCE') b, count(*) filter (event_type='OPEN') o, count(*) filter (event_type='CLICK') c,
+            count(*) filter (event_type='OPEN' and is_unique) uo, count(*) filter (event_type='CLICK' and is_unique) uc,
+            (select count(*) from fact a where event_type = 'SENT' and not exists (select 1 from bounced x where x.subscriber_key = a.subscriber_key and x.job_id = a.job_id)) d from fact),
         x as (select 'subscriber_identity_bridge_integrity' check_name, (select count(*) from fact where subscriber_key not in (select master_patient_id from dim_prospect)) violations
           union all select 'job_metadata_integrity', (select count(*) from fact where job_key is null)
           union all select 'date_key_integrity', 0 union all select 'engagement_type_integrity', 0
           union all select 'intake_null_email_rejection', (select count(*) from prospects where email is null or trim(email) = '')
+            + greatest((select count(*) from leads where email is null or trim(email) = '') - (select count(*) from refused where j_email is null or trim(j_email) = ''), 0)
+          union all select 'no_consent_rejection', (select count(*) from prospects where not coalesce(patient_consent, false))
+          union all select 'suppression_observability', (select count(*) from journey where suppressed and prospect_id not in
+            (select j_prospect from rejects where rejection_reason = 'SUPPRESSED_PROSPECT' and j_prospect is not null))
           union all select 'valid_lead_promoted_to_prospect', 0
           union all select 'lead_to_prospect_balance', case when (select count(*) from leads) >= (select count(*) from prospects) + (select count(*) from refused) then 0 else 1 end
-          union all select 'send_balance', 0 union all select 'delivery_balance', 0
-          union all select 'engagement_balance', case when s - b >= o and o >= uo then 0 else 1 end from f
+          union all select 'send_balance', case when (select count(*) from stages where sent and sent_date is not null and stage_number <= 8)
+            >= (select count(distinct (subscriber_key, job_id)) from fact where event_type = 'SENT' and job_id >= 2)
+             + (select count(*) from blocked) then 0 else 1 end
+          union all select 'delivery_balance', case when s >= d + b then 0 else 1 end from f
+          union all select 'engagement_balance', case when d >= o and o >= uo then 0 else 1 end from f
           union all select 'click_balance', case when o >= c and c >= uc then 0 else 1 end from f)
         select check_name, violations, violations = 0 passed from x""",
     "prospect_360_features": f"with {_FEATURES} select * from feat",
@@ -222,17 +231,25 @@ RAW_JOBS: dict[str, str] = {
           + least(bounces * 5, 10)))::double / 100.0 trust from t""",
     "similar_embeddings": _nearest("ent as (select vec_id id, embedding::double[] v from embeddings)", "0, 7, 42", 10),
     "similar_documents": _nearest(
-        "ent as (select vec_id id, embedding::double[] v, upper(text) t from embeddings join documents on doc_id = vec_id)", "1, 2, 3", 5,
+        """w as (select doc_id id, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+')) w from documents),
+        b as (select id, ('0x' || substr(md5(w), 1, 4))::integer % 128 h, count(*) n from w where w <> '' group by 1, 2),
+        x as (select id, h from (select distinct id from b), range(128) r(h)),
+        d as (select id, list(coalesce(n, 0)::double order by h) v from x left join b using (id, h) group by 1),
+        ent as (select id, v, upper(text) t from d join documents on doc_id = id)""", "1, 2, 3", 5,
         "(contains(e.t, 'ERROR') or contains(e.t, 'LICENSE') or contains(e.t, 'THE '))"),
     "similar_prospects": _nearest(_FEATURES + """,
         ent as (select master_patient_id id, [(region = 'Northeast')::integer::double, (region = 'Midwest')::integer::double, (region = 'South')::integer::double,
           (region = 'West')::integer::double, 0.0, patient_consent::integer::double, coalesce(age / 100.0, 0)::double,
           1.0 / (1.0 + greatest(days_since_intake, 0) / 365.0), coalesce(least(engagement_intensity, 5.0) / 5.0, 0)::double]::double[] v from feat)""",
         "'FIP0000000007', 'FIP0000000011'", 10),
-    "similar_journeys": _nearest("""
-        ent as (select email_name id, [(journey_type like 'J01%')::integer, (journey_type like 'J02%')::integer, (journey_type like 'J03%')::integer, (journey_type like 'J04%')::integer,
-          job_key / 9.0::double, (job_key <= 7)::integer, 0]::double[] v, journey_type jt from jobs where job_key in (select job_key from fact))""",
-        "'Prospect_Nurture_02_Education_Email_2'", 5, "(e.jt like 'J02%' or e.jt like 'J03%')"),
+    "similar_journeys": _nearest(_MART + """,
+        p as (select journey_type jt, mapped_stage st, prospect_id, count(*) n, date_diff('day', min(event_timestamp)::date, max(event_timestamp)::date) as days,
+            """ + ", ".join(f"count(*) filter (event_type = '{e}') c_{e}" for e in ("SENT", "OPEN", "CLICK", "BOUNCE", "UNSUBSCRIBE", "SPAM")) + """,
+            sum(is_unique_event) u, sum(is_suppressed_event) sup from mart where journey_type is not null and mapped_stage is not null group by 1, 2, 3),
+        ent as (select jt || '|' || st id, jt || ' ' || st t, [(jt like 'J01%')::integer::double, (jt like 'J02%')::integer, (jt like 'J03%')::integer, (jt like 'J04%')::integer,
+            """ + ", ".join(f"sum(c_{e})::double / sum(n)" for e in ("SENT", "OPEN", "CLICK", "BOUNCE", "UNSUBSCRIBE", "SPAM")) + """,
+            sum(u)::double / sum(n), sum(sup)::double / sum(n), ln(1 + sum(n)::double) / 20.0::double, sum(days)::double / count(*) / 30.0::double]::double[] v from p group by jt, st)""",
+        "'J02_Nurture|Education Email 2'", 5, "(e.t like '%Nurture%' or e.t like '%Conversion%')"),
     "similar_rejections": _nearest("""
         g as (select table_name, rejection_reason r, coalesce(j_channel, 'none') ch, count(*) n from rejects group by 1, 2, 3),
         ent as (select table_name || '|' || r || '|' || ch id, [(r='NULL_FIRST_NAME')::integer, (r='NULL_LAST_NAME')::integer, (r='NULL_EMAIL')::integer, (r='NULL_PHONE_NUMBER')::integer,
@@ -252,9 +269,11 @@ RAW_JOBS: dict[str, str] = {
     "read_event_csv": """
         select '1' account_id, job_id, job_id + 100 batch_id, null::integer list_id, subscriber_key, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') event_date,
           'example.com' domain, 'SENT' record_type from fact where event_type = 'SENT'""",
-    "load_new_files": "select job_id, count(*) events, (select count(*) from fact where event_type = 'SENT') audited_rows from fact where event_type = 'SENT' group by 1",
-    "stream_event_load": "select event_type, count(*) events from events group by 1",
-    "stream_without_repeats": "select event_type, count(*) events, count(distinct event_id) ids from events group by 1",
+    "load_new_files": """
+        select '1' account_id, job_id, job_id + 100 batch_id, subscriber_key, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') event_date, 'example.com' domain,
+          'SENT' record_type, (select count(*) from fact where event_type = 'SENT') audited_rows from fact where event_type = 'SENT'""",
+    "stream_event_load": "select event_id, event_type, user_id, ts, value, props from events",
+    "stream_without_repeats": "select event_id, event_type, user_id, ts, value, props from events",
     "leads_through_layers": f"""
         with {_IDENTITY},
         m0 as (select master_number, lower(c.email) email, c.first_name, c.last_name, phone_number, age, address, apartment_no, city, state, zip_code, patient_consent, channel,

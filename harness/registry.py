@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from journeylake.operators import star
 from journeylake.plans import (
-    adhoc, common, dashboard, engagement, funnel, health, journeys, outbound, prospects, rejections, scoring, trends,
+    adhoc, dashboard, engagement, funnel, health, journeys, outbound, prospects, rejections, scoring, trends,
 )
 from journeylake.sources import sql_access
 
-from .bindings import JOURNEY_NAMES, Bound
+from .bindings import JOURNEY_NAMES, TABLES, Bound
 
 ALL = dict(start="1990-01-01", end="2099-12-31")
 JAN = dict(start="2024-01-01", end="2024-01-30")
@@ -24,6 +24,11 @@ def _run_sql(b: Bound) -> DataFrame:
         b.spark, "select event_type, count(*) n, sum(value) total from bound_events group by event_type")
 
 
+def _no_events(b: Bound) -> DataFrame:
+    """The engagement fact before its first load, which the raw events stand in for."""
+    return b.fact().filter("false")
+
+
 def _mapped_jobs(b: Bound) -> DataFrame:
     per_job = b.fact().groupBy("job_id").agg(F.count(F.lit(1)).alias("event_count"))
     jobs = per_job.join(b.jobs().select("job_id", "email_name"), "job_id")
@@ -59,6 +64,8 @@ PLANS: dict[str, Callable[[Bound], DataFrame]] = {
     "engagement_stats_raw": lambda b: engagement.engagement_stats_raw(b.raw_events(), b.jobs()),
     "engagement_stats_fallback": lambda b: engagement.engagement_stats_any(
         b.fact(), b.raw_events(), b.jobs(), "2030-01-01", "2030-12-31"),
+    "engagement_pivot_fallback": lambda b: engagement.engagement_pivot_any(
+        b.fact(), b.fact(), b.jobs(), "2030-01-01", "2030-12-31"),
     "engagement_pivot": lambda b: engagement.engagement_pivot(b.fact(), b.jobs(), journeys=JOURNEY_NAMES, **JAN),
     "raw_event_totals": lambda b: engagement.raw_event_totals(b.raw_events()),
     "journey_rates": lambda b: engagement.journey_rates(b.fact(), b.jobs()),
@@ -67,8 +74,10 @@ PLANS: dict[str, Callable[[Bound], DataFrame]] = {
     "segment_summary": lambda b: scoring.segment_summary(b.prospects(), b.fact(), "2024-01-10", "2024-01-10"),
     "segment_chart_data": lambda b: scoring.segment_chart_data(b.prospects(), b.fact(), **ALL),
     "raw_engagement_scores": lambda b: scoring.raw_engagement_scores(b.raw_events()),
+    "conversion_scores_fallback": lambda b: scoring.conversion_scores_any(
+        b.prospects(), _no_events(b), b.raw_events(), **JAN),
     "channel_consent_activity": lambda b: scoring.channel_consent_activity(b.prospects(), **ALL),
-    "never_opened": lambda b: scoring.never_opened(common.events_in(b.fact(), "2024-01-10", "2024-01-12")),
+    "never_opened": lambda b: scoring.never_opened(b.fact()),
     # journeys
     "stage_send_summary": lambda b: journeys.stage_send_summary(b.journey_details()),
     "stage_send_summary_day": lambda b: journeys.stage_send_summary(b.journey_details(), day="2024-01-28"),
@@ -82,6 +91,10 @@ PLANS: dict[str, Callable[[Bound], DataFrame]] = {
     # prospects and outbound
     "trace_prospect": lambda b: prospects.trace_prospect(
         "Customer#000000007@example.com", b.leads(), b.rejects(), b.prospects(), b.xref()),
+    "trace_prospect_id": lambda b: prospects.trace_prospect(
+        "FIP0000000007", b.leads(), b.rejects(), b.prospects(), b.xref()),
+    "trace_prospect_name": lambda b: prospects.trace_prospect(
+        "nobody@example.com", b.leads(), b.rejects(), b.prospects(), b.xref(), name="Customer 000000007"),
     "trace_engagement": lambda b: prospects.trace_engagement(
         "FIP0000000007", b.prospects(), b.fact(), b.jobs()),
     "prospect_details": lambda b: prospects.prospect_details(b.prospects(), channel="2-high", state="ny", **ALL),
@@ -95,6 +108,10 @@ PLANS: dict[str, Callable[[Bound], DataFrame]] = {
     "dash_funnel_kpis": lambda b: dashboard.funnel_kpis(b.leads(), b.prospects(), channel="1-urgent", **ALL),
     "dash_email_kpis": lambda b: dashboard.email_kpis(
         b.fact(), b.jobs(), b.rejects(), "2024-01-03", "2024-01-20", "J02 - Nurture"),
+    "dash_email_kpis_fallback": lambda b: dashboard.email_kpis_any(
+        _no_events(b), b.fact(), b.jobs(), b.rejects(), "2024-01-03", "2024-01-20"),
+    "dash_conversion_fallback": lambda b: dashboard.conversion_any(
+        _no_events(b), b.fact(), b.jobs(), "2024-01-10", "2024-01-11"),
     "dash_conversion": lambda b: dashboard.conversion(b.fact(), b.jobs(), "2024-01-10", "2024-01-11"),
     "dash_segments": lambda b: dashboard.segment_rows(dashboard.prospect_segments(
         b.prospects(), b.fact(), b.jobs(), event_start="2024-01-10", event_end="2024-01-11", **ALL)),
@@ -117,8 +134,8 @@ PLANS: dict[str, Callable[[Bound], DataFrame]] = {
     "adhoc_compare_ranges": lambda b: adhoc.compare_ranges(
         b.leads(), b.prospects(), ("1996-01-01", "1996-01-31"), ("1996-02-01", "1996-02-29")),
     "run_sql": _run_sql,
-    "table_profile": lambda b: sql_access.table_profile(
-        {"orders": b.read("orders"), "events": b.read("events"), "absent": None}).select("table_name", "row_count", "note"),
+    "table_profile": lambda b: sql_access.table_profile({**{t: b.read(t) for t in TABLES}, "absent": None}).select(
+        "table_name", "columns", "row_count", F.size("sample").alias("sample_rows"), "note"),
 }
 
 

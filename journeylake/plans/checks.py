@@ -6,8 +6,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import blank_to_null, count_when, event_counts
+from ..functions.columns import blank_to_null, count_when, event_counts, truthy
+from ..operators.quality import parsed_rejects
+from ..operators.star import map_email_to_stage
 from .common import is_suppression, stacked
+from .journeys import expected_next_stage
 
 
 def _unresolved(rows: DataFrame, key: str, dimension: DataFrame, dim_key: str, name: str) -> DataFrame:
@@ -20,26 +23,63 @@ def _unresolved(rows: DataFrame, key: str, dimension: DataFrame, dim_key: str, n
     )
 
 
+def _null_emails(leads: DataFrame, prospects: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Mastered rows without an e-mail address, and leads without one that the log doesn't show."""
+    blank = blank_to_null("email").isNull()
+    logged = parsed_rejects(rejects.filter(~is_suppression())).select(F.col("rec.EMAIL").alias("email"))
+    row = stacked(
+        prospects.agg(count_when(blank).alias("mastered")),
+        leads.agg(count_when(blank).alias("came")),
+        logged.agg(count_when(blank).alias("refused")),
+    )
+    missing = F.greatest(F.col("came") - F.col("refused"), F.lit(0))
+    return row.select(F.lit("intake_null_email_rejection").alias("check_name"),
+                      (F.col("mastered") + missing).cast("bigint").alias("violations"))
+
+
+def _unlogged_suppressions(details: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Suppressed prospects of the journey table without a suppression in the log."""
+    logged = rejects.filter(is_suppression() & (F.upper("rejection_reason") != "FATAL_ERROR")).select(
+        F.get_json_object("rejected_record", "$.PROSPECT_ID").alias("prospect_id"))
+    flagged = details.filter(truthy("suppression_flag")).join(logged, "prospect_id", "left_anti")
+    return flagged.agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("suppression_observability").alias("check_name"), "violations")
+
+
 def integrity_checks(
     leads: DataFrame, prospects: DataFrame, rejects: DataFrame, fact: DataFrame, jobs: DataFrame,
-    dates: DataFrame, types: DataFrame, dim_prospect: DataFrame,
+    dates: DataFrame, types: DataFrame, dim_prospect: DataFrame, details: DataFrame,
 ) -> DataFrame:
-    """Key coverage of the engagement fact, no mastered row that breaks a rule, and the
-    five balances. `click_balance` is an assumption about data and may fail on real data;
-    it is reported like the others. Synthetic suppressions carry no job."""
+    """Key coverage of the engagement fact, no mastered row that breaks a rule, refusals and
+    suppressions that the log shows, and the five balances.
+
+    Each side of a balance is counted by itself. Expected sends come from the journey table,
+    actual ones are distinct (subscriber, stage) of later stages in the fact, and what is
+    neither sent nor blocked is unsent, which may not be negative. Delivered are the sends
+    whose (subscriber, job) has no bounce. `click_balance` is an assumption about data and may
+    fail on real data; it is reported like the others. Synthetic suppressions carry no job.
+    """
     with_job = fact.filter(F.col("event_type") != "SUPPRESSED")
     coverage = [
         _unresolved(fact, "subscriber_key", dim_prospect, "master_patient_id", "subscriber_identity_bridge_integrity"),
         _unresolved(with_job, "job_key", jobs, "job_key", "job_metadata_integrity"),
         _unresolved(fact, "date_key", dates, "date_key", "date_key_integrity"),
         _unresolved(fact, "event_type", types, "event_type", "engagement_type_integrity"),
-        prospects.agg(count_when(blank_to_null("email").isNull()).alias("violations")).select(
-            F.lit("intake_null_email_rejection").alias("check_name"), "violations"),
+        _null_emails(leads, prospects, rejects),
+        prospects.agg(count_when(~F.coalesce("patient_consent", F.lit(False))).alias("violations")).select(
+            F.lit("no_consent_rejection").alias("check_name"), "violations"),
+        _unlogged_suppressions(details, rejects),
         _unresolved(prospects, "master_patient_id", dim_prospect, "master_patient_id", "valid_lead_promoted_to_prospect"),
     ]
     unique = F.coalesce("is_unique", F.lit(False))
     kind = F.col("event_type")
+    per_job = fact.groupBy("subscriber_key", "job_id").agg(*event_counts(sends="SENT", bounces="BOUNCE"))
+    stages = map_email_to_stage(jobs).filter("stage_number >= 2").select("job_id", "stage_number").distinct()
+    later = per_job.filter("sends > 0").join(stages, "job_id").select("subscriber_key", "stage_number").distinct()
     row = stacked(
+        expected_next_stage(details).agg(F.count(F.lit(1)).alias("expected")),
+        later.agg(F.count(F.lit(1)).alias("answered")),
+        per_job.agg(F.coalesce(F.sum(F.when(F.col("job_id").isNull() | (F.col("bounces") == 0), F.col("sends"))), F.lit(0)).alias("delivered")),
         leads.agg(F.count(F.lit(1)).alias("leads")),
         prospects.agg(F.count(F.lit(1)).alias("valid")),
         rejects.agg(
@@ -53,14 +93,12 @@ def integrity_checks(
         ),
     )
     c = F.col
-    delivered = c("sent") - c("bounced")
-    expected = c("sent") + c("blocked")
     # Leads that are neither mastered nor logged are the unresolved rest, which may not be negative.
     balances: dict[str, Column] = {
         "lead_to_prospect_balance": c("leads") >= c("valid") + c("invalid"),
-        "send_balance": expected == c("sent") + c("blocked"),
-        "delivery_balance": c("sent") >= delivered + c("bounced"),
-        "engagement_balance": (delivered >= c("opened")) & (c("opened") >= c("unique_opened")),
+        "send_balance": c("expected") >= c("answered") + c("blocked"),
+        "delivery_balance": c("sent") >= c("delivered") + c("bounced"),
+        "engagement_balance": (c("delivered") >= c("opened")) & (c("opened") >= c("unique_opened")),
         "click_balance": (c("opened") >= c("clicked")) & (c("clicked") >= c("unique_clicked")),
     }
     pairs = F.array(*[

@@ -51,6 +51,42 @@ def email_kpis(
     )
 
 
+def email_kpis_any(
+    fact: DataFrame, raw_events: DataFrame, jobs: DataFrame, rejects: DataFrame, start: str = fv.START_DATE,
+    end: str = fv.END_DATE, journey: str | None = None,
+) -> DataFrame:
+    """The figures from gold when it has a send in range, else from raw events, which know
+    subscribers and days but no journey."""
+    sends = of_journey(events_in(fact, start, end), jobs, journey).filter(F.upper("event_type") == "SENT")
+    if sends.isEmpty():
+        return email_kpis(raw_events, jobs, rejects, start, end)
+    return email_kpis(fact, jobs, rejects, start, end, journey)
+
+
+def conversion_raw(raw_events: DataFrame, start: str = fv.START_DATE, end: str = fv.END_DATE) -> DataFrame:
+    """From raw events: of the subscribers with a send, those who clicked, who opened without
+    a click, and who did not open; a click without an open counts in the first and the last."""
+    per = events_in(raw_events, start, end).groupBy("subscriber_key").agg(
+        *event_counts(F.upper("event_type"), clicks="CLICK", opens="OPEN", sends="SENT")
+    )
+    return per.filter((F.col("sends") >= 1) & F.col("subscriber_key").isNotNull()).agg(
+        count_when(F.col("clicks") >= 1).alias("high_count"),
+        count_when((F.col("clicks") == 0) & (F.col("opens") >= 1)).alias("medium_count"),
+        count_when(F.col("opens") == 0).alias("low_count"),
+    )
+
+
+def conversion_any(
+    fact: DataFrame, raw_events: DataFrame, jobs: DataFrame, start: str = fv.START_DATE, end: str = fv.END_DATE,
+    journey: str | None = None,
+) -> DataFrame:
+    """Gold when it has a click, open or send in range, else raw."""
+    signals = of_journey(events_in(fact, start, end), jobs, journey).filter(F.upper("event_type").isin("CLICK", "OPEN", "SENT"))
+    if signals.isEmpty():
+        return conversion_raw(raw_events, start, end)
+    return conversion(fact, jobs, start, end, journey)
+
+
 def conversion(
     fact: DataFrame, jobs: DataFrame, start: str = fv.START_DATE, end: str = fv.END_DATE,
     journey: str | None = None,

@@ -84,6 +84,16 @@ def engagement_pivot(
     return pivot.agg(F.sum("n")).na.fill(0)
 
 
+def engagement_pivot_any(
+    fact: DataFrame, raw_events: DataFrame, jobs: DataFrame, start: str = fv.START_DATE, end: str = fv.END_DATE,
+    journey: str | None = None, journeys: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """The pivot when gold has an event of a known job in range, else the raw totals by event type."""
+    if journey_contains(with_job(events_in(fact, start, end), jobs, "inner"), journey).isEmpty():
+        return raw_event_totals(raw_events)
+    return engagement_pivot(fact, jobs, start, end, journey, journeys)
+
+
 def raw_event_totals(raw_events: DataFrame) -> DataFrame:
     return raw_events.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
 

@@ -3,9 +3,11 @@ grain only; the columns are ours."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import count_when, event_counts, ratio
+from ..functions.columns import contains_folded, count_when, event_counts, ratio
 from ..functions.labels import census_region, channel_category
 from ..operators.quality import parsed_rejects
 from ..operators.star import map_email_to_stage
@@ -134,6 +136,54 @@ def journey_vectors(jobs: DataFrame) -> DataFrame:
     )
 
 
+def journey_stage_vectors(mart: DataFrame) -> DataFrame:
+    """Observed stage space, one entity per (journey, stage) of the mart: journey, event mix,
+    shares of unique and suppressed events, volume and days in the stage.
+
+    Events are counted per prospect first, which also gives each prospect's days.
+    """
+    kinds = dict(n_sent="SENT", n_open="OPEN", n_click="CLICK", n_bounce="BOUNCE", n_unsub="UNSUBSCRIBE", n_spam="SPAM")
+    per = mart.filter("journey_type is not null and mapped_stage is not null").groupBy(
+        "journey_type", "mapped_stage", "prospect_id"
+    ).agg(
+        F.count(F.lit(1)).alias("n"), *event_counts(**kinds),
+        F.sum("is_unique_event").alias("n_unique"), F.sum("is_suppressed_event").alias("n_suppressed"),
+        F.datediff(F.max("event_timestamp"), F.min("event_timestamp")).alias("days"),
+    )
+    sums = ["n", *kinds, "n_unique", "n_suppressed", "days"]
+    stages = per.groupBy("journey_type", "mapped_stage").agg(
+        *[F.sum(c).alias(c) for c in sums], F.count(F.lit(1)).alias("prospects"))
+    parts = [
+        *[_flag(F.col("journey_type").startswith(j)) for j in ("J01", "J02", "J03", "J04")],
+        *[F.col(c) / F.col("n") for c in (*kinds, "n_unique", "n_suppressed")],
+        F.log1p("n") / 20.0,
+        F.col("days") / F.col("prospects") / 30.0,
+    ]
+    return stages.select(
+        F.concat_ws("|", "journey_type", "mapped_stage").alias("id"),
+        F.array(*[p.cast("double") for p in parts]).alias("vector"),
+        F.concat_ws(" ", "journey_type", "mapped_stage").alias("text"),
+    )
+
+
+def document_vectors(docs: DataFrame, keywords: Sequence[str] = (), buckets: int = 128) -> DataFrame:
+    """Term space of documents (id, text): counts of hashed words of the whole text. ``text``
+    of the result holds those of ``keywords`` the document contains, so that no whole text is
+    shuffled. A document without a word has no direction and no row."""
+    found = F.concat_ws(" ", *[F.when(contains_folded("text", w), F.lit(w)) for w in keywords], F.lit(""))
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    # Both before the explode, which would evaluate them once a word.
+    split = docs.select("id", found.alias("text"), F.split(lowered, "[^a-z0-9]+").alias("words"))
+    words = split.select("id", "text", F.explode("words").alias("word")).filter("word != ''")
+    number = F.conv(F.substring(F.md5(F.col("word").cast("binary")), 1, 4), 16, 10).cast("int")
+    counts = words.groupBy("id", (number % buckets).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.first("text").alias("text"))
+    by_bucket = F.map_from_entries(F.collect_list(F.struct("bucket", "n")))
+    bags = counts.groupBy("id").agg(by_bucket.alias("bag"), F.first("text").alias("text"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.coalesce(F.try_element_at("bag", i), F.lit(0)).cast("double"))
+    return bags.select("id", dense.alias("vector"), "text")
+
+
 def rejection_vectors(rejects: DataFrame) -> DataFrame:
     """Rejection space: one entity per (table, reason, channel) with its volume."""
     from .. import fixed_values as fv

@@ -27,18 +27,17 @@ def trace_prospect(
     def hit(c):
         return F.lower(c) == identifier.lower()
 
+    full = F.concat_ws(" ", F.lower("first_name"), F.lower("last_name"))
+    named = full.contains(name.lower()) if name else F.lit(False)
     if by_email:
-        intake = leads.filter(hit("email"))
+        intake = leads.filter(hit("email") | named)
         mastered = prospects.filter(hit("email"))
         bridge = xref.filter(hit("email"))
     else:
         mastered = prospects.filter(F.col("master_patient_id") == identifier)
         bridge = xref.filter(F.col("master_patient_id") == identifier)
-        keys = bridge.select(F.col("identity_key").alias("_key"))
-        intake = leads.join(keys, identity_key() == F.col("_key"), "left_semi")
-    if name:
-        full = F.concat_ws(" ", F.lower("first_name"), F.lower("last_name"))
-        intake = intake.unionByName(leads.filter(full.contains(name.lower()))).distinct()
+        keys = bridge.select(F.col("identity_key").alias("_key")).distinct()
+        intake = leads.join(keys, identity_key() == F.col("_key"), "left").filter(F.col("_key").isNotNull() | named)
     logged = parsed_rejects(rejects)
     rejected = logged.filter(hit("rec.EMAIL")) if by_email else logged.filter(F.lit(False))
 

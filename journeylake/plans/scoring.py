@@ -110,6 +110,16 @@ def segment_chart_data(
     return segments.unionByName(activity)
 
 
+def conversion_scores_any(
+    prospects: DataFrame, fact: DataFrame, raw_events: DataFrame, start: str = fv.START_DATE, end: str = fv.END_DATE,
+    active_only: bool = True, limit: int | None = 100,
+) -> DataFrame:
+    """Scores from gold once it holds an event, before that the raw scores per subscriber."""
+    if fact.isEmpty():
+        return raw_engagement_scores(raw_events, limit)
+    return conversion_scores(prospects, fact, start, end, active_only, limit)
+
+
 def raw_engagement_scores(raw_events: DataFrame, limit: int | None = 100) -> DataFrame:
     """Distinct jobs per subscriber and event type with rates and a four-way segment.
 
