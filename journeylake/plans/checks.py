@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import blank_to_null, count_when, event_counts, truthy
-from ..operators.quality import parsed_rejects
 from ..operators.star import map_email_to_stage
 from .common import is_suppression, stacked
 from .journeys import expected_next_stage
@@ -23,20 +22,6 @@ def _unresolved(rows: DataFrame, key: str, dimension: DataFrame, dim_key: str, n
     )
 
 
-def _null_emails(leads: DataFrame, prospects: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Mastered rows without an e-mail address, and leads without one that the log doesn't show."""
-    blank = blank_to_null("email").isNull()
-    logged = parsed_rejects(rejects.filter(~is_suppression())).select(F.col("rec.EMAIL").alias("email"))
-    row = stacked(
-        prospects.agg(count_when(blank).alias("mastered")),
-        leads.agg(count_when(blank).alias("came")),
-        logged.agg(count_when(blank).alias("refused")),
-    )
-    missing = F.greatest(F.col("came") - F.col("refused"), F.lit(0))
-    return row.select(F.lit("intake_null_email_rejection").alias("check_name"),
-                      (F.col("mastered") + missing).cast("bigint").alias("violations"))
-
-
 def _unlogged_suppressions(details: DataFrame, rejects: DataFrame) -> DataFrame:
     """Suppressed prospects of the journey table without a suppression in the log."""
     logged = rejects.filter(is_suppression() & (F.upper("rejection_reason") != "FATAL_ERROR")).select(
@@ -65,14 +50,12 @@ def integrity_checks(
         _unresolved(with_job, "job_key", jobs, "job_key", "job_metadata_integrity"),
         _unresolved(fact, "date_key", dates, "date_key", "date_key_integrity"),
         _unresolved(fact, "event_type", types, "event_type", "engagement_type_integrity"),
-        _null_emails(leads, prospects, rejects),
-        prospects.agg(count_when(~F.coalesce("patient_consent", F.lit(False))).alias("violations")).select(
-            F.lit("no_consent_rejection").alias("check_name"), "violations"),
         _unlogged_suppressions(details, rejects),
         _unresolved(prospects, "master_patient_id", dim_prospect, "master_patient_id", "valid_lead_promoted_to_prospect"),
     ]
     unique = F.coalesce("is_unique", F.lit(False))
     kind = F.col("event_type")
+    blank = blank_to_null("email").isNull()
     per_job = fact.groupBy("subscriber_key", "job_id").agg(*event_counts(sends="SENT", bounces="BOUNCE"))
     stages = map_email_to_stage(jobs).filter("stage_number >= 2").select("job_id", "stage_number").distinct()
     later = per_job.filter("sends > 0").join(stages, "job_id").select("subscriber_key", "stage_number").distinct()
@@ -80,11 +63,15 @@ def integrity_checks(
         expected_next_stage(details).agg(F.count(F.lit(1)).alias("expected")),
         later.agg(F.count(F.lit(1)).alias("answered")),
         per_job.agg(F.coalesce(F.sum(F.when(F.col("job_id").isNull() | (F.col("bounces") == 0), F.col("sends"))), F.lit(0)).alias("delivered")),
-        leads.agg(F.count(F.lit(1)).alias("leads")),
-        prospects.agg(F.count(F.lit(1)).alias("valid")),
+        leads.agg(F.count(F.lit(1)).alias("leads"), count_when(blank).alias("leads_blank")),
+        prospects.agg(
+            F.count(F.lit(1)).alias("valid"), count_when(blank).alias("mastered_blank"),
+            count_when(~F.coalesce("patient_consent", F.lit(False))).alias("without_consent"),
+        ),
         rejects.agg(
             count_when(~is_suppression()).alias("invalid"),
             count_when(is_suppression()).alias("blocked"),
+            count_when(~is_suppression() & blank_to_null(F.get_json_object("rejected_record", "$.EMAIL")).isNull()).alias("refused_blank"),
         ),
         fact.agg(
             *event_counts(sent="SENT", bounced="BOUNCE", opened="OPEN", clicked="CLICK", suppressed="SUPPRESSED"),
@@ -101,9 +88,14 @@ def integrity_checks(
         "engagement_balance": (c("delivered") >= c("opened")) & (c("opened") >= c("unique_opened")),
         "click_balance": (c("opened") >= c("clicked")) & (c("clicked") >= c("unique_clicked")),
     }
+    counted: dict[str, Column] = {
+        # Mastered rows without an e-mail address, and leads without one that the log doesn't show.
+        "intake_null_email_rejection": c("mastered_blank") + F.greatest(c("leads_blank") - c("refused_blank"), F.lit(0)),
+        "no_consent_rejection": c("without_consent"),
+        **{name: F.when(ok, 0).otherwise(1) for name, ok in balances.items()},
+    }
     pairs = F.array(*[
-        F.struct(F.lit(name).alias("check_name"), F.when(ok, 0).otherwise(1).cast("bigint").alias("violations"))
-        for name, ok in balances.items()
+        F.struct(F.lit(name).alias("check_name"), n.cast("bigint").alias("violations")) for name, n in counted.items()
     ])
     formulas = row.select(F.explode(pairs).alias("p")).select("p.*")
     return reduce(DataFrame.unionByName, [*coverage, formulas]).withColumn("passed", F.col("violations") == 0)

@@ -22,14 +22,18 @@ def stage_rows(details: DataFrame, *keep: str) -> DataFrame:
             F.lit(s[0]).alias("stage_number"),
             F.lit(s[1]).alias("journey_code"),
             F.lit(s[5]).alias("stage"),
-            is_true_text(f"{s[4]}_sent").alias("sent"),
-            lead_date(f"{s[4]}_sent_date").alias("sent_date"),
+            F.col(f"{s[4]}_sent").alias("flag"),
+            F.col(f"{s[4]}_sent_date").cast("string").alias("day"),
         )
         for s in fv.STAGES
     ])
+    # Texts are read after the explode, so that the plan holds one date parser, not nine.
     return details.select(
         "prospect_id", truthy("suppression_flag").alias("suppressed"), *keep, F.explode(pairs).alias("s")
-    ).select("prospect_id", "suppressed", *keep, "s.*")
+    ).select(
+        "prospect_id", "suppressed", *keep, "s.stage_number", "s.journey_code", "s.stage",
+        is_true_text("s.flag").alias("sent"), lead_date("s.day").alias("sent_date"),
+    )
 
 
 def _scoped(details: DataFrame, prospect_id: str | None) -> DataFrame:
