@@ -7,6 +7,10 @@ of equal chunks the first occurrence stays, by doc_id, text digest and line numb
 
 A chunk with very many copies is one row per task before the shuffle of groups, and its
 occurrences meet one row in a join that adaptive execution can split.
+
+Chunks that end at one line in four leave most repeated blocks of a few lines, as these rarely
+fill a whole chunk. `dedup_line_blocks` has no chunks: it compares all pairs of neighbouring
+lines, which every repeated block of two or more lines is made of, and leaves none.
 """
 
 from __future__ import annotations
@@ -60,34 +64,42 @@ def chunks(docs: DataFrame, window: int, every: int, digest_chars: int) -> DataF
                        F.substring(F.md5(F.col("p.chunk").cast("binary")), 1, digest_chars).alias("digest"), "p.chunk")
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, every: int = EVERY, digest_chars: int = 32) -> DataFrame:
-    """doc_id, n_lines, n_removed_chunks, n_removed_lines and the text that is left.
-
-    Lines end at "\\n". A null text counts as empty; an empty text is one empty line and keeps
-    it. Single lines that form a chunk are never removed, however often they occur. Rows equal
-    in doc_id and text are one occurrence, so neither loses anything to the other; rows that
-    share a doc_id with different texts are judged separately. An empty table gives an empty
-    table; further columns are ignored. ``digest_chars`` shortens the digest; chunks with one
-    digest and different bytes are still told apart.
-    """
+def _repeats(found: DataFrame, apart: Column) -> DataFrame:
+    """doc_id, text_md5, start and n_lines of the rows of ``found`` whose digest and bytes an
+    earlier row has. ``apart`` tells a row from that first one, whose place is ``stays``."""
     here = F.struct("doc_id", "text_md5", "start")
-    found = chunks(docs, window, every, digest_chars)
     # The bytes are part of the key: this is the comparison. Only digests and counts go on.
     kinds = found.groupBy("digest", "chunk").agg(F.count(F.lit(1)).alias("copies")).drop("chunk")
     repeated = written(
         kinds.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.max("copies").alias("copies")).filter("copies > 1"),
         "line-digests")
     places = written(found.drop("chunk").join(repeated.filter("texts = 1").select("digest"), "digest"), "line-places")
-    first = places.groupBy("digest").agg(F.min(here).alias("stays"))
+    # Written first, so that the join with a hot digest's rows can be split.
+    first = written(places.groupBy("digest").agg(F.min(here).alias("stays")), "line-firsts")
     cut = ["doc_id", "text_md5", "start", "n_lines"]
-    repeats = places.join(first, "digest").filter(here != F.col("stays")).select(*cut)
+    repeats = places.join(first, "digest").filter(apart).select(*cut)
     mixed = repeated.filter("texts > 1").select("digest")
     if not mixed.isEmpty():
         # Different texts with one digest: their occurrences are joined by the bytes themselves.
         several = found.join(mixed, "digest", "left_semi")
         first = several.groupBy("digest", "chunk").agg(F.min(here).alias("stays"))
-        repeats = repeats.union(several.join(first, ["digest", "chunk"]).filter(here != F.col("stays")).select(*cut))
-    cuts = repeats.distinct().groupBy("doc_id", "text_md5").agg(F.collect_list(F.struct("start", "n_lines")).alias("cuts"))
+        repeats = repeats.union(several.join(first, ["digest", "chunk"]).filter(apart).select(*cut))
+    return repeats.distinct()
+
+
+def dedup_lines(docs: DataFrame, window: int = WINDOW, every: int = EVERY, digest_chars: int = 32) -> DataFrame:
+    """doc_id, n_lines, n_removed_chunks, n_removed_lines and the text that is left.
+
+    Lines end at "\\n". A null text counts as empty; an empty text is one empty line and keeps
+    it. Single lines that form a chunk are never removed, however often they occur. Rows equal
+    in doc_id and text are one occurrence, so neither loses anything to the other; rows that
+    share a doc_id with different texts are judged separately. An empty table gives an empty
+    table; further columns are ignored. ``digest_chars`` shortens the digest; chunks with one
+    digest and different bytes are still told apart.
+    """
+    here = F.struct("doc_id", "text_md5", "start")
+    repeats = _repeats(chunks(docs, window, every, digest_chars), here != F.col("stays"))
+    cuts = repeats.groupBy("doc_id", "text_md5").agg(F.collect_list(F.struct("start", "n_lines")).alias("cuts"))
     keyed = documents_of(docs).withColumn("text_md5", F.md5(F.col("text").cast("binary")))
     lines = F.split("text", "\n", -1)
     marked = _once(keyed.join(cuts, ["doc_id", "text_md5"], "left"), "lines", lines)
@@ -101,3 +113,47 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, every: int = EVERY, diges
         F.when(untouched, 0).otherwise(F.size("cuts")).alias("n_removed_chunks"),
         F.when(untouched, 0).otherwise(F.size(gone)).alias("n_removed_lines"),
         F.when(untouched, F.col("text")).otherwise(kept).alias("text"))
+
+
+def line_pairs(docs: DataFrame, digest_chars: int) -> DataFrame:
+    """The columns of `chunks`, one row per pair of neighbouring lines that aren't blank. Blank
+    lines between the two belong to the pair."""
+    lined = documents_of(docs).filter(F.contains("text", F.lit("\n")))
+    lined = _once(lined.withColumn("text_md5", F.md5(F.col("text").cast("binary"))), "lines", F.split("text", "\n", -1)).drop("text")
+    lined = _once(lined, "full", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("lines", i).rlike(r"\S")))
+
+    def pair(j: Column) -> Column:
+        start, n = F.get("full", j), F.get("full", j + 1) - F.get("full", j) + 1
+        return F.struct(start.alias("start"), n.alias("n_lines"), F.array_join(F.slice("lines", start + 1, n), "\n").alias("chunk"))
+
+    some = lined.filter(F.size("full") > 1)
+    pieces = F.transform(F.sequence(F.lit(0), F.size("full") - 2), pair)
+    rows = some.select("doc_id", "text_md5", F.explode(pieces).alias("p"))
+    return rows.select("doc_id", "text_md5", "p.start", "p.n_lines",
+                       F.substring(F.md5(F.col("p.chunk").cast("binary")), 1, digest_chars).alias("digest"), "p.chunk")
+
+
+def dedup_line_blocks(docs: DataFrame, digest_chars: int = 32) -> DataFrame:
+    """doc_id, n_lines, n_removed_lines and the text that is left.
+
+    Removes every line inside a block of two or more lines that stood earlier (by doc_id, text
+    digest and line number), wherever the block begins or ends. Blank lines don't make a block,
+    but go with one that holds them. The first occurrence of a line always stays. A pair that
+    only overlaps its own first occurrence, as in a run of three equal lines, is no repeat.
+    Lines, nulls, empty texts, repeated ids and ``digest_chars`` are as in `dedup_lines`; rows
+    with a null id come before all others and lose repeats like them.
+    """
+    own = (F.col("doc_id").eqNullSafe(F.col("stays.doc_id"))) & (F.col("text_md5") == F.col("stays.text_md5"))
+    repeats = _repeats(line_pairs(docs, digest_chars), ~(own & (F.col("start") - F.col("stays.start") < F.col("n_lines"))))
+    cuts = repeats.groupBy("doc_id", "text_md5").agg(F.collect_list(F.struct("start", "n_lines")).alias("cuts"))
+    keyed = documents_of(docs).withColumn("text_md5", F.md5(F.col("text").cast("binary")))
+    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_md5") == F.col("c.text_md5"))
+    marked = keyed.alias("d").join(cuts.alias("c"), same, "left").select("d.doc_id", "text", "cuts")
+    marked = _once(marked, "lines", F.split("text", "\n", -1))
+    covered = F.flatten(F.transform("cuts", lambda c: F.sequence(c["start"], c["start"] + c["n_lines"] - 1)))
+    marked = _once(marked, "gone", F.array_distinct(covered))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    untouched = F.col("cuts").isNull()
+    return marked.select(
+        "doc_id", F.size("lines").alias("n_lines"), F.when(untouched, 0).otherwise(F.size("gone")).alias("n_removed_lines"),
+        F.when(untouched, F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")).alias("text"))

@@ -26,6 +26,12 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
                       F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 
+def op2_line_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """All repeated blocks of two or more lines; op2_line_dedup keeps to the chunks of its SQL."""
+    out = line_dedup.dedup_line_blocks(_table(spark, folder, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed_lines", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, folder, "documents"))
 
@@ -76,8 +82,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_exact_dedup, op4_packing, op5_suffix_dedup, op6_mixing, op7_quality,
-                            op8_near_vectors, op9_near_dedup, op10_toxicity)
+    f.__name__: f for f in (op1_token_counts, op2_line_dedup, op2_line_blocks, op3_exact_dedup, op4_packing, op5_suffix_dedup, op6_mixing,
+                            op7_quality, op8_near_vectors, op9_near_dedup, op10_toxicity)
 }
 
 

@@ -83,6 +83,41 @@ def test_line_dedup(spark, odd, none):
     assert len(whole) == len(ODD) and line_dedup.dedup_lines(none).count() == 0
 
 
+def line_blocks(rows):
+    """Brute force of dedup_line_blocks: (doc_id, lines removed, text left), sorted."""
+    first, out = {}, []
+    texts = sorted({(i if i is not None else -1, hashlib.md5((t or "").encode()).hexdigest(), t or "") for i, t in rows})
+    gone = {}
+    for i, md5, t in texts:
+        lines = t.split("\n")
+        full = [k for k, x in enumerate(lines) if x.strip(" \t\r\x0b\x0c")]
+        for a, b in zip(full, full[1:]):
+            where = first.setdefault("\n".join(lines[a : b + 1]), (i, md5, a))
+            if where[:2] != (i, md5) or a - where[2] >= b - a + 1:
+                gone.setdefault((i, t), set()).update(range(a, b + 1))
+    for i, t in rows:
+        cut = gone.get((i if i is not None else -1, t or ""), set())
+        out.append((repr(i), len(cut), "\n".join(x for k, x in enumerate((t or "").split("\n")) if k not in cut)))
+    return sorted(out)
+
+
+def test_line_blocks(spark, odd, none):
+    passages = ["\n".join(prose(500 + 10 * n + k, 6) for k in range(n)) for n in range(2, 8)]
+    texts = [f"{prose(700 + i, 5)}\n{p}\n{prose(800 + i, 5)}" for i, p in enumerate(passages)]
+    texts += [f"{prose(900 + i, 4)}\n{prose(950 + i, 4)}\n{p}\n{prose(990 + i, 3)}" for i, p in enumerate(passages)]
+    got = {r.doc_id: r for r in line_dedup.dedup_line_blocks(frame(spark, texts)).collect()}
+    assert [got[i].n_removed_lines for i in range(12)] == [0] * 6 + [2, 3, 4, 5, 6, 7]
+    assert all(got[6 + i].text == f"{prose(900 + i, 4)}\n{prose(950 + i, 4)}\n{prose(990 + i, 3)}" for i in range(6))
+    rng = random.Random(5)
+    wild = ["\n".join(rng.choice(["a", "b", "c", "d", "", " ", "e", "f", "g"]) for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    wild_ids = [None if i % 20 == 7 else i // 2 for i in range(60)]
+    for docs, ids, texts in ((frame(spark, wild, wild_ids), wild_ids, wild), (odd, IDS, ODD)):
+        for chars in (32, 1):
+            out = line_dedup.dedup_line_blocks(docs, digest_chars=chars).collect()
+            assert sorted((repr(r.doc_id), r.n_removed_lines, r.text) for r in out) == line_blocks(list(zip(ids, texts)))
+    assert line_dedup.dedup_line_blocks(none).count() == 0
+
+
 # 3
 def test_exact_dedup(odd, none):
     groups = collections.defaultdict(list)
