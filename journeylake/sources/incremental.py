@@ -14,11 +14,11 @@ from .lake import Lake
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """Files of a folder with name, modification time and the time in the name. Spark
-    lists them; their content is not read."""
+    """Files of a folder with name, modification time, the time in the name and the path as
+    readers note it in ``_source_path``. Spark lists them; their content is not read."""
     return (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-        .select("path", "modificationTime")
+        .select("path", "modificationTime", F.col("_metadata.file_path").alias("_source_path"))
         .withColumn("file_name", F.element_at(F.split("path", "/"), -1))
         .withColumn("file_timestamp", file_timestamp("file_name"))
     )
@@ -46,10 +46,11 @@ def load_new_files(
     """Loads all new files of a folder and audits each of them; returns the rows loaded.
 
     Files are taken oldest first, ``batch_files`` at a time (only their paths come to the
-    driver), until none is left. A batch is named after its files and published as a whole: a
-    failed job leaves no rows, and where a driver dies between publishing and auditing, files
-    whose rows are already in the target are audited but not loaded again. ``read`` must keep
-    ``_source_file_name``.
+    driver), until none is left. A batch is named after entity, folder and paths and published
+    as a whole: a failed job leaves no rows, and where a driver dies between publishing and
+    auditing, files whose rows are already in the target are audited but not loaded again. Rows
+    are told by their full path, so files of one name in several folders are different files;
+    rows that the audit gives to another entity don't count. ``read`` must keep ``_source_path``.
     """
     loaded = 0
     while True:
@@ -73,7 +74,7 @@ def _load_batch(
         now = utc_now()
         rows = [
             (uuid.uuid4().hex, entity, folder, target, f["file_name"], f["file_timestamp"], status,
-             counts.get(f["file_name"], 0), error, started, now)
+             counts.get(f["_source_path"], 0), error, started, now)
             for f in picked
         ]
         name = f"{batch}-{status.lower()}" + ("" if status == "SUCCESS" else f"-{uuid.uuid4().hex}")
@@ -82,24 +83,41 @@ def _load_batch(
     with logged_run(lake, f"LOAD_NEW_FILES_{entity}", "RAW", target) as run:
         if not picked:
             return None
-        names = [f["file_name"] for f in picked]
-        batch = "load-" + hashlib.md5("\n".join(sorted(names)).encode()).hexdigest()
+        wanted = spark.createDataFrame([(f["_source_path"],) for f in picked], "_source_path string")
+        key = [entity, folder, target, *sorted(f["_source_path"] for f in picked)]
+        batch = "load-" + hashlib.md5("\n".join(key).encode()).hexdigest()
+
+        def per_file(rows: DataFrame) -> dict[str, int]:
+            # At most as many paths as the batch has files.
+            found = rows.join(wanted, "_source_path", "left_semi").groupBy("_source_path").count()
+            return {r["_source_path"]: r["count"] for r in found.collect()}
+
+        def rows_of(paths: list[str]) -> DataFrame:
+            rows = read(spark, paths)
+            if "_source_path" not in rows.columns:
+                raise ValueError("read must keep _source_path")
+            return rows
+
         try:
             there = lake.read_or_none(target)
-            seen = set()
-            if there is not None:
-                # At most as many names as the batch has files.
-                wanted = spark.createDataFrame([(n,) for n in names], "_source_file_name string")
-                found = there.select("_source_file_name").join(wanted, "_source_file_name", "left_semi").distinct()
-                seen = {r[0] for r in found.collect()}
-            paths = [f["path"] for f in picked if f["file_name"] not in seen]
+            counts = {}
+            if there is not None and "_source_path" in there.columns:
+                counts = per_file(there)
+                if counts and audit is not None:
+                    others = audit.filter(
+                        (F.col("entity_name") != entity) & (F.col("stage_name") == folder)
+                        & (F.col("target_table_name") == target) & (F.col("status") == "SUCCESS")
+                    ).select("file_name")
+                    names = spark.createDataFrame([(f["file_name"],) for f in picked], "file_name string")
+                    theirs = {r[0] for r in names.join(others, "file_name", "left_semi").collect()}
+                    counts = {f["_source_path"]: counts[f["_source_path"]] for f in picked
+                              if f["_source_path"] in counts and f["file_name"] not in theirs}
+            paths = [f["path"] for f in picked if f["_source_path"] not in counts]
             if paths:
-                run.rows_loaded = lake.append(target, batch, lambda: read(spark, paths))
+                run.rows_loaded = lake.append(target, batch, lambda: rows_of(paths))
+                counts |= per_file(lake.read_batch(target, batch))
         except Exception as exc:
             audit_rows("FAILED", {}, f"{type(exc).__name__}: {exc}", batch)
             raise
-        published = lake.read(target)
-        wanted = spark.createDataFrame([(n,) for n in names], "_source_file_name string")
-        per_file = published.join(wanted, "_source_file_name", "left_semi").groupBy("_source_file_name").count().collect()
-        audit_rows("SUCCESS", {r["_source_file_name"]: r["count"] for r in per_file}, None, batch)
+        audit_rows("SUCCESS", counts, None, batch)
         return run.rows_loaded

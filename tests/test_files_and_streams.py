@@ -108,6 +108,26 @@ def test_a_crash_between_publishing_and_auditing_doubles_nothing(spark, tmp_path
     assert lake.read(FILE_AUDIT).filter("status = 'SUCCESS' and rows_loaded = 1").count() == 2
 
 
+def test_files_of_one_name_in_two_folders_are_both_loaded(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    name = "a b_20260101_1000.csv"
+    put(tmp_path / "in1", name, HEADER, sent(1))
+    put(tmp_path / "in2", name, HEADER, sent(2), sent(3))
+
+    def load(folder, entity="sent"):
+        return incremental.load_new_files(
+            lake, str(tmp_path / folder), entity, "raw_events/sent",
+            lambda s, p: files.read_event_csv(s, p, "sent", encoding="UTF-8", strict=True))
+
+    assert load("in1") == 1 and load("in2") == 2 and load("in1") == 0 and load("in2") == 0
+    assert sorted(r.batch_id for r in lake.read("raw_events/sent").collect()) == [1, 2, 3]
+    # A file that another entity has loaded into the target is still new here.
+    assert load("in2", "resent") == 2 and load("in2", "resent") == 0
+    assert lake.read("raw_events/sent").count() == 5
+    audited = lake.read(FILE_AUDIT).filter("status = 'SUCCESS'").collect()
+    assert sorted((r.stage_name[-3:], r.entity_name, r.rows_loaded) for r in audited) == [("in1", "sent", 1), ("in2", "resent", 2), ("in2", "sent", 2)]
+
+
 def test_lake_versions_and_retries(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     assert not lake.exists("t") and lake.read_or_none("t") is None
