@@ -341,3 +341,10 @@ def test_overlaps():
     a, b = np.nonzero(1 - np.eye(60))
     a, b = np.tile(a, 30), np.tile(b, 30)
     assert np.allclose(minhash.overlaps(sets, a, b), [minhash.jaccard(sets[x], sets[y]) for x, y in zip(a, b)])
+
+
+def test_signature_filter_costs_less_than_the_bands():
+    m, t = minhash.COMPONENTS, minhash.THRESHOLD
+    least = math.ceil(m * (t - minhash.SLACK))
+    lost = sum(math.comb(m, k) * t**k * (1 - t) ** (m - k) for k in range(least))
+    assert lost < 0.1 * (1 - t**minhash.BAND) ** (m // minhash.BAND)
