@@ -77,7 +77,10 @@ class Bound:
             "o_orderpriority as channel",
             "if(o_orderkey % 3 = 0, date_format(submitted_exact, 'dd-MM-yyyy HH:mm'), "
             "date_format(submitted_exact, 'yyyy-MM-dd HH:mm:ss')) as submission_timestamp",
-            "case when o_orderkey % 19 = 0 then 'bad' when o_orderkey % 2 = 0 then date_format(ordered, 'dd-MM-yyyy') "
+            "case when o_orderkey % 19 = 0 then 'bad' when o_orderkey % 7 = 1 then date_format(ordered, \"yyyy-MM-dd'T10:00:00Z'\") "
+            "when o_orderkey % 7 = 2 then date_format(ordered, \"yyyy-MM-dd' 23:30:00.5+00:00'\") "
+            "when o_orderkey % 7 = 3 then date_format(ordered, 'M/d/yyyy') when o_orderkey % 7 = 4 then date_format(ordered, 'dd-MMM-yyyy') "
+            "when o_orderkey % 2 = 0 then date_format(ordered, 'dd-MM-yyyy') "
             "else date_format(ordered, 'yyyy-MM-dd') end as file_date",
             "o_orderkey as lead_id", "o_custkey as custkey", "c_mktsegment as segment", "ordered as submitted",
         )
@@ -166,7 +169,10 @@ class Bound:
     def raw_event_tables(self) -> dict[str, DataFrame]:
         """Six raw event tables (text columns and lineage) cut from the events."""
         base = self.fact().selectExpr(
-            "subscriber_key", "job_id", "date_format(event_timestamp, 'yyyy-MM-dd HH:mm:ss') as event_date",
+            "subscriber_key", "job_id",
+            "case event_id % 4 when 1 then date_format(event_timestamp, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") "
+            "when 2 then date_format(event_timestamp, 'M/d/yyyy h:mm:ss a') when 3 then date_format(event_timestamp, \"yyyy-MM-dd HH:mm:ss'+02:00'\") "
+            "else date_format(event_timestamp, 'yyyy-MM-dd HH:mm:ss') end as event_date",
             "'example.com' as domain", "cast(k % 2 = 0 as string) as is_unique", "concat('https://example.com/', k % 7) as url",
             "if(k % 2 = 0, 'Hard', 'Soft') as bounce_category", "concat('type', k % 3) as bounce_type", "reason",
             "'1' as account_id", "event_type as record_type", "concat('file_', event_id % 4) as _source_file_name",

@@ -29,7 +29,10 @@ BASE: dict[str, str] = {
           o_orderdate + to_seconds(o_orderkey % 86400) submitted_exact,
           case when o_orderkey % 3 = 0 then date_trunc('minute', o_orderdate + to_seconds(o_orderkey % 86400))
                else o_orderdate + to_seconds(o_orderkey % 86400) end submission_timestamp,
-          case when o_orderkey % 19 = 0 then 'bad' when o_orderkey % 2 = 0 then strftime(o_orderdate,'%d-%m-%Y')
+          case when o_orderkey % 19 = 0 then 'bad' when o_orderkey % 7 = 1 then strftime(o_orderdate,'%Y-%m-%dT10:00:00Z')
+               when o_orderkey % 7 = 2 then strftime(o_orderdate,'%Y-%m-%d 23:30:00.5+00:00')
+               when o_orderkey % 7 = 3 then strftime(o_orderdate,'%-m/%-d/%Y') when o_orderkey % 7 = 4 then strftime(o_orderdate,'%d-%b-%Y')
+               when o_orderkey % 2 = 0 then strftime(o_orderdate,'%d-%m-%Y')
                else strftime(o_orderdate,'%Y-%m-%d') end file_date_text,
           case when o_orderkey % 19 = 0 then null else o_orderdate::date end lead_date,
           o_orderkey lead_id, o_custkey custkey, c_mktsegment segment, o_orderdate ordered

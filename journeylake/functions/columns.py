@@ -27,44 +27,37 @@ def is_true_text(c: Column | str) -> Column:
     return F.upper(F.trim(col(c))) == "TRUE"
 
 
-# Text is rearranged to ISO order, its whole shape is checked, and it is cast. Formatted parsing
-# would raise and catch an exception inside Spark for every row in another form; a bare cast
-# would accept a year alone and ignore what follows a date.
-_MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
-_ISO_DATE = r"\d{4}-\d{1,2}-\d{1,2}"
-_TIME = r"\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
-
-
-def _iso_order(c: Column | str) -> Column:
-    """Day-first (31-01-2024), US (1/31/2024) and named-month (31-Jan-2024) dates as ISO text,
-    with the rest of the text behind them; twelve-hour clocks turned to 24 hours."""
-    text = F.trim(col(c))
-    text = F.regexp_replace(text, r"^(\d{2})-(\d{2})-(\d{4})(?=$|[ T])", "$3-$2-$1")
-    text = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})(?=$|[ T])", "$3-$1-$2")
-    month = F.initcap(F.regexp_extract(text, r"^\d{1,2}-([A-Za-z]{3})-\d{4}(?=$|[ T])", 1))
-    number = (F.instr(F.lit(_MONTHS), month) + 2) / 3
-    named = F.concat(F.regexp_extract(text, r"-(\d{4})", 1), F.lit("-"), number.cast("int").cast("string"), F.lit("-"),
-                     F.regexp_extract(text, r"^(\d{1,2})", 1), F.regexp_extract(text, r"-\d{4}(.*)$", 1))
-    text = F.when((month != "") & (F.instr(F.lit(_MONTHS), month) % 3 == 1), named).otherwise(text)
-    hour = F.regexp_extract(text, r"[ T](\d{1,2}):\d{2}[^ ]* ?[AaPp][Mm]$", 1)
-    late = F.upper(F.regexp_extract(text, r"([AaPp])[Mm]$", 1)) == "P"
-    full = F.pmod(hour.try_cast("int"), F.lit(12)) + F.when(late, 12).otherwise(0)
-    clock = F.concat(F.regexp_extract(text, r"^([^ T]*)", 1), F.lit(" "), F.lpad(full.cast("string"), 2, "0"),
-                     F.regexp_extract(text, r"[ T]\d{1,2}(:[\d:.]*)", 1))
-    return F.when(hour != "", clock).otherwise(text)
+# One expression rearranges every accepted shape to ISO order and reads the text once, so plans
+# stay small where a date is used in filters and projections alike. Formatted parsing would raise
+# and catch an exception inside Spark for every row in another form; a bare cast would accept a
+# year alone and ignore what follows a date. The month table stands before the text, so that a
+# back-reference turns a month's name into its number, and text of any other shape never casts.
+_MONTHS = "jan01feb02mar03apr04may05jun06jul07aug08sep09oct10nov11dec12|"
+_NUMBERED = r"(\d{4})-(\d{1,2})-(\d{1,2})|(\d\d)-(\d\d)-(\d{4})|(\d{1,2})/(\d{1,2})/(\d{4})"
+_NAMED = r"(?:[a-z]{3}\d\d)*?(?<month>[a-z]{3})(\d\d)[a-z0-9]*\|(\d{1,2})-\k<month>-(\d{4})"
+_CLOCK = r"(\d{1,2}:\d\d(?::\d\d(?:\.\d{1,9})?)?)(?: ?[ap]m)?(?: ?(?:z|utc|[+-]\d\d(?::?\d\d)?))?"
+_SHAPES = rf"(?i)^(?:[a-z0-9]+\|(?:{_NUMBERED})|{_NAMED})(?:[ t]{_CLOCK})?$"
+_DATE = "$1$6$9$13-$2$5$7$11-$3$4$8$12"
+
+
+def _iso(c: Column | str, form: str) -> Column:
+    return F.regexp_replace(F.concat(F.lit(_MONTHS), F.trim(col(c))), _SHAPES, form)
 
 
 def lead_date(c: Column | str) -> Column:
-    """The date of ISO, day-first, US or named-month text, with or without a time; null for
-    any other shape and for days that don't exist."""
-    text = _iso_order(c)
-    return F.when(text.rlike(f"^{_ISO_DATE}([ T]{_TIME})?$"), F.regexp_extract(text, f"^({_ISO_DATE})", 1)).try_cast("date")
+    """The date of ISO, day-first, US or named-month text, with or without a time and an offset;
+    null for any other shape and for days that don't exist."""
+    return _iso(c, _DATE).try_cast("date")
 
 
 def lead_timestamp(c: Column | str) -> Column:
-    """Time text in the same forms; a date alone is its midnight."""
-    text = _iso_order(c)
-    return F.when(text.rlike(f"^{_ISO_DATE}([ T]{_TIME})?$"), text).try_cast("timestamp_ntz")
+    """Time text in the same forms, a twelve-hour clock included; a date alone is its midnight.
+    An offset or ``Z`` is read and dropped: the result is the clock time that the text shows."""
+    shown = F.trim(_iso(c, f"{_DATE} $14")).try_cast("timestamp_ntz")
+    half = F.lower(F.regexp_extract(col(c), r"\d ?([AaPp])[Mm]", 1))
+    late = (half == "p") & (F.hour(shown) < 12)
+    early = (half == "a") & (F.hour(shown) >= 12)
+    return shown + F.make_dt_interval(hours=F.when(late, 12).when(early, -12).otherwise(0))
 
 
 def event_timestamp(c: Column | str) -> Column:

@@ -20,6 +20,9 @@ def spark(tmp_path_factory):
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # Code that outgrows the JVM's limits fails a test instead of running interpreted.
+        "spark.sql.codegen.fallback": "false",
+        "spark.sql.codegen.factoryMode": "CODEGEN_ONLY",
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -91,3 +91,16 @@ def test_other_date_and_time_forms(spark):
     for text, hour in (("1/15/2024 10:00:00 AM", 10), ("1/15/2024 10:00 PM", 22), ("1/15/2024 12:00:00 AM", 0), ("1/15/2024 12:00:00 PM", 12),
                        ("15-Jan-2024 9:00", 9), ("2024-01-15T09:00:00", 9), ("15-01-2024 09:00", 9)):
         assert one(spark, text, c.event_timestamp("v")) == datetime(2024, 1, 15, hour), text
+
+
+def test_offsets_and_small_plans(spark):
+    for text, want in [
+        ("2024-01-05T10:00:00Z", datetime(2024, 1, 5, 10)), ("2024-01-05T10:00:00+00:00", datetime(2024, 1, 5, 10)),
+        ("2024-01-05 23:30:00.5 -0500", datetime(2024, 1, 5, 23, 30, 0, 500000)), ("5-jan-2024 1:00 PM UTC", datetime(2024, 1, 5, 13)),
+    ]:
+        assert one(spark, text, c.lead_date("v")) == want.date(), text
+        assert one(spark, text, c.event_timestamp("v")) == want, text
+    assert one(spark, "2024-01-05 25:00", c.event_timestamp("v")) is None
+    for made in (c.lead_date("v"), c.lead_timestamp("v")):
+        plan = spark.createDataFrame([("x",)], "v string").select(made)._jdf.queryExecution().optimizedPlan().toString()
+        assert len(plan) < 2000
