@@ -54,9 +54,8 @@ def lead_timestamp(c: Column | str) -> Column:
     """Time text in the same forms, a twelve-hour clock included; a date alone is its midnight.
     An offset or ``Z`` is read and dropped: the result is the clock time that the text shows."""
     shown = F.trim(_iso(c, f"{_DATE} $14")).try_cast("timestamp_ntz")
-    half = F.lower(F.regexp_extract(col(c), r"\d ?([AaPp])[Mm]", 1))
-    late = (half == "p") & (F.hour(shown) < 12)
-    early = (half == "a") & (F.hour(shown) >= 12)
+    late = col(c).rlike(r"(?i)[ t](?:0?\d|1[01]):[^a-z]*pm")
+    early = col(c).rlike(r"(?i)[ t]12:[^a-z]*am")
     return shown + F.make_dt_interval(hours=F.when(late, 12).when(early, -12).otherwise(0))
 
 
