@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embeddings, exact_dedup, line_dedup, minhash, mixing, packing, quality, suffix_dedup, token_counts, toxicity
+from . import embeddings, exact_dedup, line_dedup, lm_scoring, minhash, mixing, packing, quality, suffix_dedup, token_counts, toxicity
 from .common import held_out
 
 
@@ -81,9 +81,17 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
                          "t.sentence_score", "t.sentence_start", "t.sentence_length")
 
 
+def op11_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """One training document in five is deleted from the counts to learn the weights."""
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    scored = lm_scoring.score_documents(
+        _table(spark, folder, "documents"), F.pmod(fold, F.lit(7)) == 2, F.pmod(F.floor(fold / 7), F.lit(5)) == 0)
+    return scored.select("doc_id", F.col("test").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_line_dedup, op2_line_blocks, op3_exact_dedup, op4_packing, op5_suffix_dedup, op6_mixing,
-                            op7_quality, op8_near_vectors, op9_near_dedup, op10_toxicity)
+                            op7_quality, op8_near_vectors, op9_near_dedup, op10_toxicity, op11_lm_scoring)
 }
 
 
