@@ -82,10 +82,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op11_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    """One training document in five is deleted from the counts to learn the weights."""
+    """One training document in ten is deleted from the counts to learn the weights."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     scored = lm_scoring.score_documents(
-        _table(spark, folder, "documents"), F.pmod(fold, F.lit(7)) == 2, F.pmod(F.floor(fold / 7), F.lit(5)) == 0)
+        _table(spark, folder, "documents"), F.pmod(fold, F.lit(7)) == 2, F.pmod(F.floor(fold / 7), F.lit(10)) == 0)
     return scored.select("doc_id", F.col("test").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
