@@ -84,7 +84,45 @@ select doc_id, source, copy_no, round(rate, 9) as mix_rate,
        md5('mix.order|' || doc_id || '|' || copy_no) as mix_order, text from mixed
 """
 
-SQL = {"op2_line_dedup": OP2, "op3_exact_dedup": OP3, "op6_mixing": OP6}
+OP12 = """
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as words
+  from documents),
+occurring as (select r, lang, source, unnest(words) as term from d),
+per_doc as (select lang, source, term, r, count(*) as n from occurring group by all),
+kept as (select lang, term from per_doc group by all having count(*) >= 30),
+counts as (select lang, source, term, sum(n) as n from per_doc semi join kept using (lang, term) group by all),
+sizes as (select lang, count(*) as v from kept group by all),
+groups as (select distinct lang, source from d),
+totals as (
+  select g.lang, g.source, coalesce(sum(c.n), 0) as total from groups g left join counts c using (lang, source) group by all),
+spread as (
+  select t.lang, t.source, k.term, coalesce(c.n, 0) as n,
+         1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (t.total + 5 * s.v) as p
+  from totals t join kept k using (lang) join sizes s using (lang) left join counts c using (lang, source, term)),
+whole as (
+  select w.lang, w.term, 1 + (1000000000::hugeint * (w.n + 5)) // (t.total + 5 * s.v) as q
+  from (select lang, term, sum(n) as n from counts group by all) w
+  join (select lang, sum(total) as total from totals group by all) t using (lang) join sizes s using (lang)),
+pairs as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from spread a join spread b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+all_pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(p.value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source),
+terms as (
+  select s.lang, s.source, 'term' as part, s.term as item, s.p - w.q as value
+  from spread s join whole w using (lang, term) where s.n > 0 and s.p > w.q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+  from (select * from all_pairs union all select * from terms))
+select lang, source, part, item, value::bigint as value, rank from ranked where part = 'pair' or rank <= 50
+"""
+
+SQL = {"op2_line_dedup": OP2, "op3_exact_dedup": OP3, "op6_mixing": OP6, "op12_source_audit": OP12}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embeddings, exact_dedup, line_dedup, lm_scoring, minhash, mixing, packing, quality, suffix_dedup, token_counts, toxicity
+from . import embeddings, exact_dedup, line_dedup, lm_scoring, minhash, mixing, packing, quality, source_audit, suffix_dedup, token_counts, toxicity
 from .common import held_out
 
 
@@ -89,9 +89,14 @@ def op11_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.col("test").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op12_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.audit_sources(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_line_dedup, op2_line_blocks, op3_exact_dedup, op4_packing, op5_suffix_dedup, op6_mixing,
-                            op7_quality, op8_near_vectors, op9_near_dedup, op10_toxicity, op11_lm_scoring)
+                            op7_quality, op8_near_vectors, op9_near_dedup, op10_toxicity, op11_lm_scoring,
+                            op12_source_audit)
 }
 
 
