@@ -35,6 +35,7 @@ SCALE, SMOOTHING = 1_000_000_000, 5
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 SEEN = pa.schema([("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64())])
+PLACED = pa.schema([("lang", pa.string()), ("term", pa.string()), ("bytes", pa.int64()), ("slice", pa.int32()), ("upto", pa.int64())])
 RANGES = pa.schema([("lang", pa.string()), ("range", pa.int64()), ("first", pa.binary()), ("n_terms", pa.int64()), ("transducer", pa.binary())])
 DEALT = pa.schema([("lang", pa.string()), ("range", pa.int64()), ("salt", pa.int32()), ("sources", pa.list_(pa.string())),
                    ("terms", pa.binary()), ("term", pa.binary()), ("source", pa.binary()), ("counts", pa.binary())])
@@ -194,29 +195,41 @@ def _document_counts(most: int):
     return count
 
 
-def _build(most: int):
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 32
-        lang, terms, size = None, [], 0
-
-        def close() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([{
-                "lang": lang, "range": number, "first": terms[0], "n_terms": len(terms), "transducer": build_transducer(terms)}], RANGES)
+def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted terms with the slice they lie in and the bytes of their language before them there."""
+    from pyspark import TaskContext
 
-        for batch in batches:
-            for name, term in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if terms and (name != lang or size > most):
-                    yield close()
-                    number, terms, size = number + 1, [], 0
-                lang = name
-                terms.append(term.encode())
-                size += len(terms[-1]) + 1
-        if terms:
-            yield close()
-
-    return build
+    here = TaskContext.get().partitionId()
+    lang, size = None, 0
+    for batch in batches:
+        upto = []
+        for name, length in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+            if name != lang:
+                lang, size = name, 0
+            upto.append(size)
+            size += length + 1
+        columns = [batch.column(0), batch.column(1), batch.column(2).cast(pa.int64()), pa.array([here] * len(upto), pa.int32()), pa.array(upto, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, schema=PLACED)
+
+
+def _build(table: pa.Table) -> pa.Table:
+    terms = sorted(term.encode() for term in table["term"].to_pylist())
+    head = {name: table[name][0].as_py() for name in ("lang", "range")}
+    return pa.Table.from_pylist([{**head, "first": terms[0], "n_terms": len(terms), "transducer": build_transducer(terms)}], RANGES)
+
+
+def _ranges(kept: DataFrame, range_bytes: int) -> DataFrame:
+    """Transducers of consecutive terms, each of about ``range_bytes`` of a language's sorted
+    terms, however the sort was partitioned: slices know their bytes, sums over them give every
+    term its distance from the language's first."""
+    sized = kept.select("lang", "term", F.octet_length("term").alias("bytes"))
+    placed = written(sized.repartitionByRange("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(_place, _ddl(PLACED)), "audit-placed")
+    earlier = Window.partitionBy("lang").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = placed.groupBy("lang", "slice").agg(F.sum(F.col("bytes") + 1).alias("size")).select(
+        "lang", "slice", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("earlier"))
+    number = F.floor((F.col("earlier") + F.col("upto")) / range_bytes)
+    return written(placed.join(slices, ["lang", "slice"]).select("lang", "term", number.alias("range"))
+                   .groupBy("lang", "range").applyInArrow(_build, _ddl(RANGES)), "audit-ranges")
 
 
 def _deal(firsts: dict[str, tuple[list[bytes], list[int]]], salts: int, most: int):
@@ -362,16 +375,14 @@ def audit_sources(docs: DataFrame, least_docs: int = 30, top: int = 50, chunk_by
     seen = texts.mapInArrow(_document_counts(chunk_bytes), _ddl(SEEN)).groupBy("lang", "term").agg(
         F.sum("docs").alias("docs"), F.count(F.lit(1)).alias("chunks"))
     kept = written(seen.filter(F.col("docs") >= least_docs).select("lang", "term", "chunks"), "audit-kept")
-    size = kept.agg(F.sum(F.octet_length("term") + 1).alias("bytes"), F.sum("chunks").alias("entries")).first()
-    ranges = written(
-        kept.select("lang", "term").repartitionByRange(-(-(size["bytes"] or 0) // range_bytes) or 1, "lang", "term")
-        .sortWithinPartitions("lang", "term").mapInArrow(_build(range_bytes), _ddl(RANGES)), "audit-ranges")
+    entries = kept.agg(F.sum("chunks")).first()[0] or 0
+    ranges = _ranges(kept, range_bytes)
     # One first term for every quarter of a megabyte of vocabulary.
     firsts: dict[str, tuple[list[bytes], list[int]]] = {}
     for r in ranges.select("lang", "range", "first").orderBy("lang", "range").toLocalIterator():
         for values, value in zip(firsts.setdefault(r["lang"], ([], [])), (bytes(r["first"]), r["range"])):
             values.append(value)
-    salts = -(-(size["entries"] or 0) // salt_entries) or 1
+    salts = -(-entries // salt_entries) or 1
     dealt = texts.mapInArrow(_deal(firsts, salts, chunk_bytes), _ddl(DEALT))
     copies = ranges.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keys = ("lang", "range", "salt")
