@@ -122,7 +122,45 @@ ranked as (
 select lang, source, part, item, value::bigint as value, rank from ranked where part = 'pair' or rank <= 50
 """
 
-SQL = {"op2_line_dedup": OP2, "op3_exact_dedup": OP3, "op6_mixing": OP6, "op12_source_audit": OP12}
+OP13 = """
+with crc_table as (
+  select list(list_reduce(range(1, 9), lambda c, i: case when (c & 1) = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n::bigint)
+              order by n) as t
+  from range(0, 256) r(n)),
+turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos,
+         {'r': coalesce(role, ''), 't': coalesce(text, '')} as step
+  from conversations where conv_id is not null),
+convs as (select conv_id, list(step order by pos) as steps from turns group by conv_id),
+hashed as (
+  select conv_id, steps,
+         xor(list_reduce(list_transform(range(1, len(conv_id::varchar) + 1), lambda i: ascii(substr(conv_id::varchar, i, 1))::bigint),
+                         lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), 4294967295::bigint), 4294967295) % 6 as h
+  from convs, crc_table),
+rebuilt as (
+  select c.conv_id, list_concat(coalesce(b.steps[1 : c.h], []), c.steps[c.h + 1 :]) as steps
+  from hashed c left join convs b on b.conv_id = c.conv_id - c.conv_id % 100),
+prefixes as (
+  select conv_id, steps[1 : d] as node, d as depth, d = len(steps) as ends
+  from (select conv_id, steps, unnest(range(0, len(steps) + 1)) as d from rebuilt)),
+nodes as (
+  select node, depth, min(conv_id) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256
+  from prefixes group by node, depth),
+kids as (select node[1 : depth - 1] as node, count(*) as n_children from nodes where depth > 0 group by 1),
+own as (
+  select n.*, coalesce(k.n_children, 0) as n_children,
+         case when depth = 0 then 0 else (n_convs - 1) * length(node[depth].t) end as saved
+  from nodes n left join kids k using (node)),
+totals as (
+  select above as node, sum(saved) as saved_tokens, count(*) filter (where n_children = 0) as n_leaves
+  from (select saved, n_children, node[1 : unnest(range(0, depth + 1))] as above from own) group by 1)
+select o.conv_id, o.depth, p.conv_id as parent_conv_id, o.n_convs, o.n_children, t.n_leaves, t.saved_tokens::bigint as saved_tokens, o.ends_sha256
+from own o join totals t using (node) left join nodes p on o.depth > 0 and p.node = o.node[1 : o.depth - 1]
+"""
+
+SQL = {"op2_line_dedup": OP2, "op3_exact_dedup": OP3, "op6_mixing": OP6, "op12_source_audit": OP12,
+       "op13_prefix_trie": OP13}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embeddings, exact_dedup, line_dedup, lm_scoring, minhash, mixing, packing, quality, source_audit, suffix_dedup, token_counts, toxicity
+from . import embeddings, exact_dedup, line_dedup, lm_scoring, minhash, mixing, packing, prefix_trie, quality, source_audit, suffix_dedup, token_counts, toxicity
 from .common import held_out
 
 
@@ -93,10 +93,14 @@ def op12_source_audit(spark: SparkSession, folder: str) -> DataFrame:
     return source_audit.audit_sources(_table(spark, folder, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_line_dedup, op2_line_blocks, op3_exact_dedup, op4_packing, op5_suffix_dedup, op6_mixing,
                             op7_quality, op8_near_vectors, op9_near_dedup, op10_toxicity, op11_lm_scoring,
-                            op12_source_audit)
+                            op12_source_audit, op13_prefix_trie)
 }
 
 
