@@ -48,6 +48,14 @@ def documents_of(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column is called that in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)) == 0
 

@@ -154,7 +154,7 @@ def exact_dedup(docs: DataFrame, incoming: Column | None = None, digest_bytes: i
     equal when identical after lower-casing A-Z only; of equal texts the row with the largest
     doc_id stays. A null text counts as empty, so null and empty texts form one group. Repeated
     doc_ids are rows of their own and count as such; of rows that share the largest doc_id all
-    are marked kept. An empty table gives an empty table; further columns are ignored.
+    are marked kept. A null doc_id is smaller than any other. An empty table gives an empty table; further columns are ignored.
     ``digest_bytes`` cuts the digest that rows are grouped by: shorter ones only make byte
     checks tell more texts apart.
     """
@@ -162,7 +162,8 @@ def exact_dedup(docs: DataFrame, incoming: Column | None = None, digest_bytes: i
     rows = written(digests(docs, digest_bytes).withColumn("fresh", F.coalesce(fresh, F.lit(False))), "exact-digests")
     old = written(_groups(rows.filter(~F.col("fresh"))), "exact-snapshot")
     new = written(_groups(rows.filter("fresh")), "exact-incoming")
-    buckets = max(1, -(-old.count() // BUCKET_KEYS))
+    # Both sides of a bucket stay small, whichever of them is the larger one.
+    buckets = max(1, -(-max(old.count(), new.count()) // BUCKET_KEYS))
     filters = written(snapshot_filters(old, buckets), "exact-filters")
     positives = screen(new, filters, buckets).select("digest")
     shared = positives.join(old.select("digest"), "digest", "left_semi")
@@ -174,7 +175,8 @@ def exact_dedup(docs: DataFrame, incoming: Column | None = None, digest_bytes: i
     suspects = rows.join(several, "digest", "left_semi").select("doc_id", "digest", "sha")
     # A repeated doc_id may stand for different texts; the digest sorts them out.
     ids = suspects.select("doc_id").distinct()
-    texts = documents_of(docs).join(ids, "doc_id", "left_semi")
+    every = documents_of(docs)
+    texts = every.join(ids.withColumnRenamed("doc_id", "_id"), every["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
 
     def normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,8 +193,9 @@ def exact_dedup(docs: DataFrame, incoming: Column | None = None, digest_bytes: i
     same = checked.groupBy("digest", "sha").agg(
         F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts"))
     same = same.withColumn("keep_id", F.when(F.col("texts") > 1, F.raise_error(F.lit("two texts share a SHA-256"))).otherwise(F.col("keep_id")))
-    out = rows.join(same, ["digest", "sha"], "left")
+    # Written, so that the rows of a hot text can be split in the join with it.
+    out = rows.join(written(same.drop("texts"), "exact-same"), ["digest", "sha"], "left")
     keep = F.coalesce("keep_id", "doc_id")
     return out.select(
         "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (keep == F.col("doc_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+        keep.eqNullSafe(F.col("doc_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))

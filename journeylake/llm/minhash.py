@@ -302,7 +302,8 @@ def near_dedup(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD
     doc_id = component_id. Words are runs of characters other than ASCII white space, A-Z
     lower-cased; a text of fewer than ``words`` words is one shingle of them all. Null, empty
     and blank texts have no shingle and link with nothing. Rows with one doc_id are kept or go
-    together, and their texts are compared under that id. An empty table gives an empty table;
+    together, and their texts are compared under that id. A row without doc_id is kept unless a row
+    with one has its multiset; near copies of it aren't looked for. An empty table gives an empty table;
     further columns are ignored.
     """
     rows = written(signed(docs, words), "near-signatures")
@@ -331,4 +332,4 @@ def near_dedup(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD
     out = rows.join(known, ["n", "a", "b"], "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), component.alias("component_id"),
-                      (component == F.col("doc_id")).alias("kept"), F.col("n").alias("n_shingles"))
+                      component.eqNullSafe(F.col("doc_id")).alias("kept"), F.col("n").alias("n_shingles"))

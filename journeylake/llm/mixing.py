@@ -76,13 +76,14 @@ def mix_sources(
     rates = written(source_rates(docs, weights, epochs), "mix-rates")
     if rates.count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
-    joined = docs.withColumn("_mix_source", F.coalesce("source", F.lit(""))).join(
-        rates.select(F.col("mix_source").alias("_mix_source"), F.col("rate").alias("mix_rate"), F.col("parts").alias("_parts"),
-                     F.col("cdf").alias("_cdf")), "_mix_source")
-    part = lambda i: F.size(F.filter(F.col("_cdf"), lambda c: c <= _uniform(F.lit(seed), F.col("doc_id"), i)))
-    copies = F.aggregate(F.transform(F.sequence(F.lit(1), F.col("_parts")), part), F.lit(0), lambda s, x: s + x)
-    drawn = joined.withColumn("_copies", copies).filter("_copies > 0")
-    each = drawn.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    order = F.md5(F.concat_ws("|", F.lit(seed + ".order"), F.col("doc_id").cast("string"), F.col("copy_no").cast("string")).cast("binary"))
-    out = each.withColumn("mix_order", order).select(*docs.columns, "copy_no", "mix_rate", "mix_order")
-    return out.repartition("mix_order").sortWithinPartitions("mix_order", "doc_id", "copy_no")
+    # One column holds the row, so that no name of it meets those added here.
+    joined = docs.select(F.struct(*docs.columns).alias("row")).withColumn("mix_source", F.coalesce("row.source", F.lit(""))).join(
+        rates.select("mix_source", F.col("rate").alias("mix_rate"), "parts", "cdf"), "mix_source")
+    doc_id = F.col("row.doc_id")
+    part = lambda i: F.size(F.filter(F.col("cdf"), lambda c: c <= _uniform(F.lit(seed), doc_id, i)))
+    copies = F.aggregate(F.transform(F.sequence(F.lit(1), F.col("parts")), part), F.lit(0), lambda s, x: s + x)
+    drawn = joined.withColumn("copies", copies).filter("copies > 0")
+    each = drawn.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    order = F.md5(F.concat_ws("|", F.lit(seed + ".order"), doc_id.cast("string"), F.col("copy_no").cast("string")).cast("binary"))
+    out = each.select("row", "copy_no", "mix_rate", order.alias("mix_order"))
+    return out.repartition("mix_order").sortWithinPartitions("mix_order", doc_id, "copy_no").select("row.*", "copy_no", "mix_rate", "mix_order")

@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import documents_of, mixed, shuffle_width, slices, text_bytes, written
 
 LENGTH, GRAM = 200, 32
+#: Stands for a missing doc_id.
+NO_ID = -(1 << 63)
 #: A larger class is counted by window digests; a task call sorts about CALL_BYTES.
 CLASS_BYTES, CALL_BYTES, SORT_BYTES = 1 << 19, 4 << 20, 1 << 20
 #: One window in so many ends a piece of a large class.
@@ -310,12 +312,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, clas
 
     ``gram`` is a power of two up to ``length``. Null texts count as empty; texts shorter than
     ``length`` lose nothing. Equal rows are rows of their own, so both lose what they share,
-    also when they share a doc_id. An empty table gives an empty table; further columns are
+    also when they share a doc_id. Rows without doc_id take part like others (the smallest 64-bit
+    number stands for a missing one). An empty table gives an empty table; further columns are
     ignored.
     """
     if length < 8 or gram < 8 or gram & (gram - 1) or gram > length:
         raise ValueError("gram must be a power of two from 8 up to length")
     spark = docs.sparkSession
+    docs = docs.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
     # Written, so that the join with it isn't in one stage with the aggregate: a very frequent name's rows can be split there.
     often = _segment_rows(docs, length, gram, True).groupBy("name").agg(F.sum("seen").alias("seen")).filter("seen > 1").select("name")
     often = written(often, "suffix-names")
@@ -365,5 +369,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, clas
                 [batch["doc_id"], pa.array(n_bytes, pa.int64()), pa.array(merged, kind), pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "spans", "kept"])
 
-    return _packed(docs).join(lists, ["doc_id", "number"], "left").select("doc_id", "packed", "spans").mapInArrow(
+    done = _packed(docs).join(lists, ["doc_id", "number"], "left").select("doc_id", "packed", "spans").mapInArrow(
         step, f"doc_id long, n_bytes long, spans {_RANGES}, kept binary")
+    return done.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))

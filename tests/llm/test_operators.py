@@ -348,3 +348,15 @@ def test_signature_filter_costs_less_than_the_bands():
     least = math.ceil(m * (t - minhash.SLACK))
     lost = sum(math.comb(m, k) * t**k * (1 - t) ** (m - k) for k in range(least))
     assert lost < 0.1 * (1 - t**minhash.BAND) ** (m // minhash.BAND)
+
+
+def test_rows_without_doc_id(spark):
+    passage = prose(90, 60)
+    docs = frame(spark, [passage, passage.upper(), passage, "other", None], [None, 7, None, None, None])
+    exact = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(docs).collect()), key=repr)
+    assert exact == sorted([(7, 7, 3, True), (None, 7, 3, False), (None, 7, 3, False), (None, None, 1, True), (None, None, 1, True)], key=repr)
+    near = sorted(((r.doc_id, r.kept) for r in minhash.near_dedup(docs).collect()), key=repr)
+    assert near == sorted([(7, True), (None, False), (None, False), (None, True), (None, True)], key=repr)
+    spans = sorted((r.doc_id or 0, r.n_bytes, [(s.s, s.e) for s in r.spans or []]) for r in suffix_dedup.remove_repeats(docs).collect())
+    size = len(passage)
+    assert spans == [(0, 0, []), (0, 5, []), (0, size, [(0, size)]), (0, size, [(0, size)]), (7, size, [])]
