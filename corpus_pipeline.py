@@ -8,54 +8,84 @@ the operators they call define them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from journeylake.llm import exact_dedup, minhash, mixing, packing, toxicity
-from journeylake.llm.common import written
+from journeylake.llm.common import free_name, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _repeated(decisions: DataFrame) -> bool:
-    return not decisions.groupBy("doc_id").count().filter("count > 1").isEmpty()
-
-
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that score 0.5 or more, by a model fitted on those that have labels."""
+    """Without the documents that score 0.5 or more, by a model fitted on those that have labels.
+
+    A null text scores as an empty one. Rows without doc_id, repeated ids and repeated rows are
+    judged one by one by their texts, however long; names of further columns don't matter, and
+    an empty table stays empty."""
     model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score_toxicity(docs, model, "_toxicity").filter("_toxicity.score < 0.5").select(*docs.columns)
+    name = free_name(docs.columns, "toxicity")
+    return toxicity.score_toxicity(docs, model, name).filter(F.col(f"{name}.score") < 0.5).select(*docs.columns)
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    return reduce(and_, (left[n].eqNullSafe(right[n]) for n in names))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts, that with the largest doc_id."""
-    decisions = written(exact_dedup.exact_dedup(docs), "pipeline-exact")
-    kept = decisions.filter("kept").select("doc_id", "text_sha256").distinct()
-    if not _repeated(decisions):
-        return docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    # Rows with one doc_id: their texts tell which of them stay, once each.
+    """One row of each group of equal texts, that with the largest doc_id.
+
+    Null texts count as empty, so one of the empty ones stays. A row without doc_id is the
+    smallest; where several rows have the largest id and one text, one of them stays. Rows of
+    one id with different texts are judged apart. An empty table stays empty. The rows that go,
+    few beside the texts, are what the join brings along."""
+    id_, sha = free_name(docs.columns, "id"), free_name(docs.columns, "sha")
+    decisions = written(exact_dedup.exact_dedup(docs), "pipeline-exact").select(
+        F.col("doc_id").alias(id_), F.col("text_sha256").alias(sha), "kept")
+    gone = written(decisions.filter("not kept").select(id_, sha).distinct(), "pipeline-exact-gone")
+    several = written(decisions.filter("kept").groupBy(id_, sha).count().filter("count > 1").select(id_, sha), "pipeline-exact-several")
     text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
-    keyed = docs.withColumn("_sha", F.sha2(text.cast("binary"), 256))
-    stay = keyed.join(kept.select("doc_id", F.col("text_sha256").alias("_sha")), ["doc_id", "_sha"], "left_semi")
-    return stay.dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
+    keyed = docs.withColumns({id_: F.col("doc_id").cast("long"), sha: F.sha2(text.cast("binary"), 256)})
+    left = keyed.join(gone, _same(keyed, gone, [id_, sha]), "left_anti")
+    once = left.join(several, _same(left, several, [id_, sha]), "left_semi").dropDuplicates([id_, sha])
+    return left.join(several, _same(left, several, [id_, sha]), "left_anti").unionByName(once).select(*docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest doc_id."""
-    decisions = written(minhash.near_dedup(docs), "pipeline-near")
-    out = docs.join(decisions.filter("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    # Rows with one doc_id are one document here.
-    return out.dropDuplicates(["doc_id"]) if _repeated(decisions) else out
+    """One document of each group of near copies, that with the smallest doc_id.
+
+    Null, empty and blank texts have no shingle and stay. Rows that have no doc_id, or one that
+    another row has too, are documents of their own: they take part under numbers beyond the
+    largest id, so each is judged by its own text. An empty table stays empty."""
+    key = free_name(docs.columns, "key")
+    counts = docs.groupBy(F.col("doc_id").cast("long").alias(key)).agg(F.count(F.lit(1)).alias("n"))
+    shared = written(counts.filter(f"n > 1 or {key} is null").select(key), "pipeline-near-shared")
+    keyed = docs.withColumn(key, F.col("doc_id").cast("long"))
+    odd = keyed.join(shared, _same(keyed, shared, [key]), "left_semi")
+    largest = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0] or 0
+    odd = written(odd.withColumn(key, F.lit(largest + 1) + F.monotonically_increasing_id()), "pipeline-near-odd")
+    rows = keyed.join(shared, _same(keyed, shared, [key]), "left_anti").unionByName(odd)
+    decisions = minhash.near_dedup(rows.select(F.col(key).alias("doc_id"), "text"))
+    gone = written(decisions.filter("not kept").select(F.col("doc_id").alias(key)), "pipeline-near-gone")
+    return rows.join(gone, key, "left_anti").select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every source with the same share of a mixture of as many rows, in random order."""
+    """Every source with the same share of a mixture of as many rows, in random order.
+
+    A null source is the source ''. Rows equal in doc_id draw alike, those without one too; texts
+    of any kind come along whole. An empty table stays empty."""
     return mixing.mix_sources(docs).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences of 2048 tokens, with their ids."""
+    """Pieces of training sequences of 2048 tokens, with their ids.
+
+    A null or empty text is its end token. Every row is packed, also repeated ones and those
+    without doc_id; a long text is cut into pieces. An empty table gives no pieces."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
