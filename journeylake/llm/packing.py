@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import documents_of, worker_cache
 
-#: Distinct words whose ids a Python worker remembers.
-CACHED_WORDS = 1_000_000
+#: Bytes of words and their ids, and of the objects around them, that a Python worker remembers.
+CACHED_BYTES, ENTRY_BYTES = 96 << 20, 200
 POOL_ITEMS = 1024
 #: A text without such a character is unchanged by composing (NFC), lower-cased letter by letter
 #: and split at the same white space by Python and the tokenizer. No token spans white space,
@@ -44,7 +44,7 @@ class WordIds(dict):
         super().__init__()
         from tokenizers import pre_tokenizers
 
-        self.model, self.old, self.most = tokenizer.model, {}, CACHED_WORDS // 2
+        self.model, self.old, self.room = tokenizer.model, {}, CACHED_BYTES // 2
         self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
     def __missing__(self, word: str) -> bytes:
@@ -55,8 +55,9 @@ class WordIds(dict):
                 pieces = [self.as_bytes(p)[0][0] for p in pieces]
             ids = b"".join([t.id.to_bytes(4, "little") for p in pieces for t in self.model.tokenize(p)])
         self[word] = ids
-        if len(self) >= self.most:
-            self.old = dict(self)
+        self.room -= len(word) + len(ids) + ENTRY_BYTES
+        if self.room <= 0:
+            self.old, self.room = dict(self), CACHED_BYTES // 2
             self.clear()
         return ids
 
