@@ -45,13 +45,17 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     id_, sha = free_name(docs.columns, "id"), free_name(docs.columns, "sha")
     decisions = written(exact_dedup.exact_dedup(docs), "pipeline-exact").select(
         F.col("doc_id").alias(id_), F.col("text_sha256").alias(sha), "kept")
-    gone = written(decisions.filter("not kept").select(id_, sha).distinct(), "pipeline-exact-gone")
-    several = written(decisions.filter("kept").groupBy(id_, sha).count().filter("count > 1").select(id_, sha), "pipeline-exact-several")
+    counts = decisions.groupBy(id_).agg(F.count(F.lit(1)).alias("n"), F.bool_and("kept").alias("kept"))
+    shared = written(counts.filter(f"n > 1 or {id_} is null").select(id_), "pipeline-exact-shared")
+    gone = written(counts.filter("n = 1 and not kept").select(id_), "pipeline-exact-gone")
+    keyed = docs.withColumn(id_, F.col("doc_id").cast("long"))
+    out = keyed.join(shared, _same(keyed, shared, [id_]), "left_anti").join(gone, id_, "left_anti")
+    # Rows that share an id are told apart by their texts.
     text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
-    keyed = docs.withColumns({id_: F.col("doc_id").cast("long"), sha: F.sha2(text.cast("binary"), 256)})
-    left = keyed.join(gone, _same(keyed, gone, [id_, sha]), "left_anti")
-    once = left.join(several, _same(left, several, [id_, sha]), "left_semi").dropDuplicates([id_, sha])
-    return left.join(several, _same(left, several, [id_, sha]), "left_anti").unionByName(once).select(*docs.columns)
+    odd = keyed.join(shared, _same(keyed, shared, [id_]), "left_semi").withColumn(sha, F.sha2(text.cast("binary"), 256))
+    stay = decisions.filter("kept").join(shared, _same(decisions, shared, [id_]), "left_semi").select(id_, sha).distinct()
+    odd = odd.join(stay, _same(odd, stay, [id_, sha]), "left_semi").dropDuplicates([id_, sha])
+    return out.unionByName(odd.drop(sha)).select(*docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
