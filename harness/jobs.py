@@ -301,6 +301,19 @@ def _stream_repeats(b: Bound) -> DataFrame:
         "event_id", "event_type", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value", "props")
 
 
+def _stream_late(b: Bound) -> DataFrame:
+    """Every second event, then all of them: repeats fall away, late ones lie beside the table."""
+    lake = lakes.Lake(b.spark, scratch_path(b.spark, "lake"))
+    checkpoint, folder = scratch_path(b.spark, "checkpoint"), scratch_path(b.spark, "drops")
+    events = b.read("events")
+    for part in (events.filter("event_id % 2 = 0"), events):
+        part.write.mode("append").parquet(folder)
+        stream = b.spark.readStream.schema(events.schema).parquet(folder)
+        file_streams.load_events_once(lake, stream, "raw_events/all", ["event_id"], "ts", "10 days", checkpoint).awaitTermination()
+    tables = [lake.read(name).withColumn("is_late", F.lit(late)) for name, late in (("raw_events/all", False), ("raw_events/all_late", True))]
+    return tables[0].unionByName(tables[1]).select("event_id", "ts", "user_id", "value", "is_late")
+
+
 def _pipeline(b: Bound) -> DataFrame:
     """Two lead batches through every layer; the gold facts with their dimensions."""
     lake = lakes.Lake(b.spark, scratch_path(b.spark, "lake"))
@@ -370,5 +383,6 @@ JOBS: dict[str, Callable[[Bound], DataFrame]] = {
     "load_new_files": _load_new_files,
     "stream_event_load": _stream_events,
     "stream_without_repeats": _stream_repeats,
+    "stream_late_events": _stream_late,
     "leads_through_layers": _pipeline,
 }

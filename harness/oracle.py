@@ -341,6 +341,9 @@ RAW: dict[str, str] = {
           count(*) filter (journey_type = 'J03_Conversion') "J03_Conversion", count(*) filter (journey_type = 'J04_ReEngagement') "J04_ReEngagement"
         from fact join jobs using (job_key) group by 1""",
     "engagement_pivot_fallback": "select event_type, count(*) cnt from fact group by 1",
+    "distinct_from_sketches": """
+        select event_type, count(distinct subscriber_key) unique_subscribers, true within_tolerance from fact
+        where event_timestamp::date between date '2024-01-03' and date '2024-01-25' group by 1""",
     "raw_event_totals": "select event_type, count(*) cnt from fact group by 1",
     "journey_rates": f"""
         select journey_type, count(*) filter (event_type='SENT') sends, count(*) filter (event_type='OPEN') opens,

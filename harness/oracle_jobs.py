@@ -7,6 +7,10 @@ _LEAD_JSON = """'{' || concat_ws(',', '"FIRST_NAME":"' || first_name || '"', '"L
   '"EMAIL":"' || email || '"', '"PHONE_NUMBER":"' || phone_number || '"', '"CHANNEL":"' || channel || '"',
   '"FILE_DATE":"' || file_date_text || '"', '"STAGE":"PHI_LOAD"') || '}'"""
 
+#: Event times as the raw files write them.
+_EVENT_TEXT = """case event_id % 4 when 1 then strftime(event_timestamp, '%Y-%m-%dT%H:%M:%SZ')
+            when 2 then strftime(event_timestamp, '%-m/%-d/%Y %-I:%M:%S %p') when 3 then strftime(event_timestamp, '%Y-%m-%d %H:%M:%S+02:00')
+            else strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') end"""
 _IDENTITY = """i as (
   select upper(first_name) || '|' || upper(last_name) || '|' || lower(email) identity_key, min(first_name) first_name,
     min(last_name) last_name, min(lower(email)) email from checked where rejection_reason is null group by 1),
@@ -266,13 +270,16 @@ RAW_JOBS: dict[str, str] = {
           address, apartment_no, city, lower(state) state, zip_code, consent_text patient_consent, channel,
           case when lead_id % 3 = 0 then strftime(submitted_exact, '%d-%m-%Y %H:%M') else strftime(submitted_exact, '%Y-%m-%d %H:%M:%S') end submission_timestamp,
           file_date_text file_date from leads""",
-    "read_event_csv": """
-        select '1' account_id, job_id, job_id + 100 batch_id, null::integer list_id, subscriber_key, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') event_date,
+    "read_event_csv": f"""
+        select '1' account_id, job_id, job_id + 100 batch_id, null::integer list_id, subscriber_key, {_EVENT_TEXT} event_date,
           'example.com' domain, 'SENT' record_type from fact where event_type = 'SENT'""",
-    "load_new_files": """
-        select '1' account_id, job_id, job_id + 100 batch_id, subscriber_key, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') event_date, 'example.com' domain,
+    "load_new_files": f"""
+        select '1' account_id, job_id, job_id + 100 batch_id, subscriber_key, {_EVENT_TEXT} event_date, 'example.com' domain,
           'SENT' record_type, (select count(*) from fact where event_type = 'SENT') audited_rows from fact where event_type = 'SENT'""",
     "stream_event_load": "select event_id, event_type, user_id, ts, value, props from events",
+    "stream_late_events": """
+        select event_id, ts, user_id, value,
+          event_id % 2 = 1 and ts < (select max(ts) from events where event_id % 2 = 0) - interval 10 day is_late from events""",
     "stream_without_repeats": "select event_id, event_type, user_id, ts, value, props from events",
     "leads_through_layers": f"""
         with {_IDENTITY},

@@ -67,6 +67,8 @@ PLANS: dict[str, Callable[[Bound], DataFrame]] = {
     "engagement_pivot_fallback": lambda b: engagement.engagement_pivot_any(
         b.fact(), b.fact(), b.jobs(), "2030-01-01", "2030-12-31"),
     "engagement_pivot": lambda b: engagement.engagement_pivot(b.fact(), b.jobs(), journeys=JOURNEY_NAMES, **JAN),
+    "distinct_from_sketches": lambda b: engagement.sketch_accuracy(
+        b.fact(), engagement.daily_sketches(b.fact()), "2024-01-03", "2024-01-25"),
     "raw_event_totals": lambda b: engagement.raw_event_totals(b.raw_events()),
     "journey_rates": lambda b: engagement.journey_rates(b.fact(), b.jobs()),
     # scoring

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
 from ..functions.columns import blank_to_null
-from .keyed import total_and_next, previous_value, repeat_rows
+from .keyed import previous_value, repeat_rows, total_and_next, with_slices
 
 # The attributes whose change opens a new version, with the value that
 # stands for null when two versions are compared.
@@ -85,14 +85,20 @@ def empty_current(spark, like: DataFrame) -> DataFrame:
     )
 
 
-def scd2_versions(current: DataFrame, incoming: DataFrame) -> DataFrame:
+#: Rows of one prospect and month that one window group takes.
+SLICE_ROWS = 100_000
+
+
+def scd2_versions(current: DataFrame, incoming: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Current rows and incoming valid rows chained into versions.
 
     Per key the stored current row comes first, then the batch by (file date, load time,
     record id). A row opens a version when a tracked attribute differs from the row
     before it; unchanged rows vanish. Returns every surviving version with ``is_current``
     and ``is_new``: closed rows belong into the history, current ones replace the current
-    table. Months of file dates split the windows, so one key is never one window group.
+    table. Windows cover one prospect's rows of one month, and slices of ``slice_rows`` of them
+    where there are more, as one load has one file date; one row per slice carries the last
+    attributes, the sum of changes and the first start date over to its neighbours.
     """
     base = current.select(
         *ROW_COLUMNS, "eff_start_date", "version_num", F.lit(0).alias("_turn")
@@ -110,14 +116,15 @@ def scd2_versions(current: DataFrame, incoming: DataFrame) -> DataFrame:
     )
     key = ["master_patient_id"]
     order = ["_turn", "file_date", "phi_loaded_at", "record_id"]
-    chained = previous_value(rows, key, "_month", order, _tracked(), "_before")
+    rows = with_slices(rows, key, "_month", order, slice_rows, "_bucket")
+    chained = previous_value(rows, key, "_bucket", order, _tracked(), "_before")
     changes = chained.filter(
         F.col("_before").isNull() | (F.col("_before.v") != _tracked())
     ).drop("_before")
     # The stored row weighs its own version number, every change after it weighs 1.
     weight = F.when(F.col("_turn") == 0, F.col("version_num")).otherwise(1)
     numbered = total_and_next(
-        changes, key, "_month", order, weight, "eff_start_date", "_version", "_next_start"
+        changes, key, "_bucket", order, weight, "eff_start_date", "_version", "_next_start"
     )
     return (
         numbered.withColumn("version_num", F.col("_version").cast("int"))

@@ -20,9 +20,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
 
 
-def unseen(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``existing``; null keys compare as equal."""
+def unseen(new: DataFrame, existing: DataFrame, keys: Sequence[str], narrow: bool = False) -> DataFrame:
+    """Rows of ``new`` whose key is not in ``existing``; null keys compare as equal.
+
+    ``narrow`` first keeps the existing keys that ``new`` has, by a semi join whose small side is
+    the batch: the large table is then filtered where it is read and not shuffled."""
     seen = existing.select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
+    if narrow:
+        asked = new.select(*[F.col(k).alias(f"_asked_{k}") for k in keys])
+        seen = seen.join(asked, all_of([F.col(f"_seen_{k}").eqNullSafe(F.col(f"_asked_{k}")) for k in keys]), "left_semi")
     match = all_of([new[k].eqNullSafe(F.col(f"_seen_{k}")) for k in keys])
     return new.join(seen, match, "left_anti")
 
@@ -73,10 +79,8 @@ def merge_rows(
     return joined.select(*[value(c).alias(c) for c in target.columns])
 
 
-def assign_dense_keys(
-    df: DataFrame, order: Sequence[str], first: int, key: str, partitions: int | None = None
-) -> DataFrame:
-    """Consecutive numbers from ``first`` in the order of a unique natural key.
+def _indexed(df: DataFrame, order: Sequence[str], first: int, key: str, partitions: int | None = None) -> DataFrame:
+    """Consecutive numbers from ``first`` in the order of columns, materialised once.
 
     One range-partitioned sort gives every row its place inside its partition; adding the
     row count of the partitions before it makes the number. Only those counts (one row per
@@ -103,6 +107,32 @@ def assign_dense_keys(
     )
 
 
+def assign_dense_keys(
+    df: DataFrame, order: Sequence[str], first: int, key: str, partitions: int | None = None
+) -> DataFrame:
+    """Consecutive numbers from ``first`` in the order of a unique natural key."""
+    return _indexed(df, order, first, key, partitions)
+
+
+def with_slices(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str], most: int, out: str) -> DataFrame:
+    """Adds ``out``, a struct of the bucket and a slice, such that no (key, ``out``) has more than
+    ``most`` rows. It sorts like the bucket and ``order``, so it can take the bucket's place in
+    `previous_value` and `total_and_next`.
+
+    Only rows of larger groups are ranked, by one sort over range partitions; all others are
+    slice 0 of their bucket. Keys and bucket must not be null."""
+    group = [*keys, bucket]
+    crowded = cut_lineage(df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select(*group))
+    slice_of = lambda n: F.struct(F.col(bucket).alias("bucket"), n.cast("bigint").alias("slice"))
+    if crowded.isEmpty():
+        return df.withColumn(out, slice_of(F.lit(0)))
+    ranked = _indexed(df.join(crowded, group, "left_semi"), [*group, *order], 0, "_index")
+    firsts = ranked.groupBy(*group).agg(F.min("_index").alias("_first"))
+    hot = ranked.join(cut_lineage(firsts), group)
+    hot = hot.withColumn(out, slice_of(F.floor((F.col("_index") - F.col("_first")) / most))).drop("_index", "_first")
+    return df.join(crowded, group, "left_anti").withColumn(out, slice_of(F.lit(0))).unionByName(hot)
+
+
 def next_key(existing: DataFrame, key: str, first: int = 1) -> int:
     """One past the largest assigned key, or ``first`` for an empty table."""
     row = existing.agg(F.max(key).alias("m")).first()

@@ -98,7 +98,7 @@ def master_prospects(
     )
 
 
-def append_bronze(master: DataFrame, bronze: DataFrame | None = None) -> DataFrame:
+def append_bronze(master: DataFrame, bronze: DataFrame | None = None, narrow: bool = False) -> DataFrame:
     """Master rows bronze has not seen, tagged with their source layer."""
-    rows = master if bronze is None else unseen(master, bronze, ["record_id"])
+    rows = master if bronze is None else unseen(master, bronze, ["record_id"], narrow)
     return rows.withColumn("source_layer", F.lit("PHI_HUB"))

@@ -94,9 +94,9 @@ def reject_rows(
     ).withColumn("rejected_hash", F.md5(F.col("rejected_record").cast("binary")))
 
 
-def new_rejects(rows: DataFrame, log: DataFrame) -> DataFrame:
+def new_rejects(rows: DataFrame, log: DataFrame, narrow: bool = False) -> DataFrame:
     """Rows whose (table, reason, record) is not logged yet."""
-    return unseen(rows, log, ["table_name", "rejection_reason", "rejected_hash"])
+    return unseen(rows, log, ["table_name", "rejection_reason", "rejected_hash"], narrow)
 
 
 def reject_totals(rows: DataFrame) -> DataFrame:

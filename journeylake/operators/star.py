@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import fixed_values as fv
 from ..functions.columns import blank_to_null, date_key, event_timestamp, truthy
 from ..functions.labels import age_group, census_region, channel_category
-from ..session import fixed_table
+from ..session import cut_lineage, fixed_table
 from .keyed import assign_dense_keys, first_per_key, merge_rows, next_key, unseen
 
 
@@ -65,6 +65,7 @@ def new_dates(silver: DataFrame, dim_date: DataFrame | None = None) -> DataFrame
 
 def with_new_keys(merged: DataFrame, key: str, order: list[str], first: int | None = None) -> DataFrame:
     """Numbers the rows a merge inserted (null key) after the largest assigned key."""
+    merged = cut_lineage(merged)  # the merge runs once, not once for each side of the filter
     start = next_key(merged, key) if first is None else first
     added = assign_dense_keys(merged.filter(F.col(key).isNull()).drop(key), order, start, key)
     return merged.filter(F.col(key).isNotNull()).unionByName(added)
@@ -319,6 +320,12 @@ EVENT_KEY = (
 )
 
 
+def all_events(raw: dict[str, DataFrame], journey_details: DataFrame) -> DataFrame:
+    """Six raw event tables, by event type, and the synthetic suppressions in one union."""
+    parts = [_raw_event(df, event_type) for event_type, df in raw.items()]
+    return reduce(DataFrame.unionByName, [*parts, _suppression_events(journey_details)])
+
+
 def fact_engagement(
     raw: dict[str, DataFrame],
     journey_details: DataFrame,
@@ -332,10 +339,9 @@ def fact_engagement(
 
     ``raw`` maps event type to its raw table. ``types`` is the seven-row type table.
     """
-    parts = [_raw_event(df, event_type) for event_type, df in raw.items()]
-    events = reduce(DataFrame.unionByName, [*parts, _suppression_events(journey_details)])
+    events = all_events(raw, journey_details)
     if existing is not None:
-        events = unseen(events, existing, list(EVENT_KEY))
+        events = unseen(events, existing, list(EVENT_KEY), narrow=True)
     flagged = suppressed_prospects(journey_details).select(
         F.col("prospect_id").alias("subscriber_key"), F.lit(True).alias("_flagged")
     )

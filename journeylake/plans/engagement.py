@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
-from ..functions.columns import count_when
+from ..functions.columns import count_when, date_in, day_in
 from ..functions.labels import journey_short_code
 from .common import at_most, events_in, journey_contains
 
@@ -122,3 +122,25 @@ def of_journey(fact: DataFrame, jobs: DataFrame, journey: str | None) -> DataFra
         return fact
     chosen = jobs.filter(F.upper("journey_type").startswith(code)).select("job_key")
     return fact.join(chosen, "job_key", "left_semi")
+
+
+def daily_sketches(fact: DataFrame, precision: int = 14) -> DataFrame:
+    """One mergeable sketch of subscribers per day and event type, to be stored: distinct counts
+    over any span of days then read a few kilobytes a day instead of the events."""
+    return fact.groupBy(F.to_date("event_timestamp").alias("event_day"), "event_type").agg(
+        F.hll_sketch_agg("subscriber_key", F.lit(precision)).alias("subscribers"))
+
+
+def distinct_from_sketches(sketches: DataFrame, start: str, end: str) -> DataFrame:
+    """Approximate distinct subscribers per event type over a span of days."""
+    return sketches.filter(date_in("event_day", start, end)).groupBy("event_type").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("subscribers")).alias("approx_subscribers"))
+
+
+def sketch_accuracy(fact: DataFrame, sketches: DataFrame, start: str, end: str, tolerance: float = 0.02) -> DataFrame:
+    """Exact distinct subscribers per event type, and whether the sketches come within ``tolerance``."""
+    exact = fact.filter(day_in("event_timestamp", start, end)).groupBy("event_type").agg(
+        F.countDistinct("subscriber_key").alias("unique_subscribers"))
+    off = F.abs(F.coalesce("approx_subscribers", F.lit(0)) - F.col("unique_subscribers"))
+    return exact.join(distinct_from_sketches(sketches, start, end), "event_type", "left").select(
+        "event_type", "unique_subscribers", (off <= F.col("unique_subscribers") * tolerance).alias("within_tolerance"))

@@ -2,38 +2,92 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from functools import reduce
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-_ALLOWED = ("SELECT", "WITH", "SHOW", "DESCRIBE", "DESC")
-_LITERALS = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"", re.S)
-#: Calls of JVM methods, and files read by path.
-_REACHES_OUT = re.compile(
-    r"\b(try_)?reflect\s*\(|\bjava_method\s*\(|\b(csv|json|parquet|orc|text|avro|xml|binaryfile|delta)\s*\.\s*`", re.I)
-_COMMENTS = re.compile(r"/\*.*?\*/|--[^\n]*", re.S)
-
-
-def check_read_only(statement: str) -> None:
-    """Raises unless the first word, comments aside, starts a reading statement. Spark runs
-    one statement per call, and a WITH that ends in a write is refused too."""
-    text = _COMMENTS.sub(" ", statement).strip()
-    words = re.findall(r"[A-Za-z_]+", text)
-    first = words[0].upper() if words else ""
-    if first not in _ALLOWED:
-        raise ValueError(f"only reading statements are allowed, not: {first or 'nothing'}")
-    # What follows looks at code alone: a literal may say anything.
-    code = _LITERALS.sub("''", text)
-    if first == "WITH" and re.search(r"\binsert\s+(into|overwrite)\b", code, re.I):
-        raise ValueError("only reading statements are allowed, not: INSERT")
-    if _REACHES_OUT.search(code):
-        raise ValueError("only registered tables and SQL functions are allowed")
+#: Leaves of a plan that reach no data but their own.
+_OWN_DATA = {"OneRowRelation", "LocalRelation", "Range", "CTERelationRef", "UnionLoopRef"}
+#: Functions that call any method of the JVM.
+_JVM_CALLS = {"reflect", "java_method", "try_reflect"}
+
+
+def _each(items) -> Iterator:
+    it = items.iterator()
+    while it.hasNext():
+        yield it.next()
+
+
+def _kind(node) -> str:
+    return node.getClass().getSimpleName().rstrip("$")
+
+
+def _nodes(plan) -> Iterator:
+    """A plan's nodes, those of its subqueries and common tables too. What stands behind a
+    registered view is its owner's business."""
+    yield plan
+    if _kind(plan) != "View":
+        for part in (plan.children(), plan.innerChildren(), plan.subqueries()):
+            for child in _each(part):
+                if hasattr(child, "subqueries"):
+                    yield from _nodes(child)
+
+
+def _calls(expression) -> Iterator[str]:
+    if _kind(expression) == "UnresolvedFunction":
+        yield from (str(name).lower() for name in list(_each(expression.nameParts()))[-1:])
+    if _kind(expression) == "CallMethodViaReflection":
+        yield "reflect"
+    for child in _each(expression.children()):
+        yield from _calls(child)
+
+
+def check_read_only(spark: SparkSession, statement: str) -> None:
+    """Raises unless the statement only reads registered tables.
+
+    Spark's own parser and analyser say what it is, so comments, quotes and literals mean what they
+    mean to Spark; nothing is run. Refused are commands other than SHOW and DESCRIBE, relations
+    that are neither tables of the catalog nor registered views (files by their path), and calls of
+    JVM methods."""
+    state = spark._jsparkSession.sessionState()
+    try:
+        parsed = state.sqlParser().parsePlan(statement)
+    except ParseException as exc:
+        raise ValueError(f"not one SQL statement: {exc}") from exc
+    # Before the analyser, which may evaluate constants and open files.
+    for node in _nodes(parsed):
+        if _kind(node) == "UnresolvedRelation":
+            parts = [str(part) for part in _each(node.multipartIdentifier())]
+            if len(parts) > 1 and not spark.catalog.tableExists(".".join("`" + part.replace("`", "``") + "`" for part in parts)):
+                raise ValueError("only registered tables are allowed")
+        for expression in _each(node.expressions()):
+            if not _JVM_CALLS.isdisjoint(_calls(expression)):
+                raise ValueError("only SQL functions are allowed, not: calls of JVM methods")
+    if _kind(parsed).startswith(("Show", "Describe")):
+        return
+    command = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.plans.logical.Command")
+    for node in _nodes(parsed):
+        if command.isInstance(node) or _kind(node).startswith(("InsertInto", "Create", "Replace", "Call")):
+            raise ValueError(f"only reading statements are allowed, not: {_kind(node)}")
+    for node in _nodes(state.executePlan(parsed, spark._jvm.org.apache.spark.sql.execution.CommandExecutionMode.SKIP()).analyzed()):
+        if command.isInstance(node):
+            raise ValueError(f"only reading statements are allowed, not: {_kind(node)}")
+        if node.children().isEmpty() and _kind(node) not in _OWN_DATA | {"View"}:
+            if not (_kind(node) in ("LogicalRelation", "HiveTableRelation") and _of_catalog(node)):
+                raise ValueError("only registered tables are allowed")
+        for expression in _each(node.expressions()):
+            if not _JVM_CALLS.isdisjoint(_calls(expression)):
+                raise ValueError("only SQL functions are allowed, not: calls of JVM methods")
+
+
+def _of_catalog(relation) -> bool:
+    return _kind(relation) == "HiveTableRelation" or relation.catalogTable().isDefined()
 
 
 def run_sql(spark: SparkSession, statement: str, max_rows: int | None = None) -> DataFrame:
-    check_read_only(statement)
+    check_read_only(spark, statement)
     out = spark.sql(statement)
     return out if max_rows is None else out.limit(max_rows)
 

@@ -6,7 +6,7 @@ or a retried batch never repeats finished work, and a failure is raised to the c
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
 from ..functions.columns import lead_date
@@ -14,7 +14,7 @@ from ..operators import history, mastering, quality, star, suppression
 from ..operators.audit import logged_run
 from ..operators.keyed import next_key
 from ..sources.files import empty_events
-from ..sources.lake import Lake
+from ..sources.lake import Lake, values_of
 
 # Raw entity behind each event type.
 EVENT_ENTITIES = {
@@ -24,15 +24,34 @@ EVENT_ENTITIES = {
 LOG = "audit/reject_log"
 
 
+def _month(day: str) -> Column:
+    return F.trunc(day, "month")
+
+
+def _last(lake: Lake, name: str, key: str, first: int = 1) -> int:
+    """The next number of a dense key. Each batch leaves its largest one beside the table."""
+    kept = lake.read_or_none(f"{name}_last")
+    if kept is not None:
+        return max(first, kept.agg(F.max("last")).first()[0] + 1)
+    return next_key(lake.read(name), key, first) if lake.exists(name) else first
+
+
+def _note_last(lake: Lake, name: str, batch: str, key: str, before: int) -> None:
+    lake.append(f"{name}_last", batch, lambda: lake.read_batch(name, batch).agg(
+        F.greatest(F.max(key), F.lit(before - 1)).cast("long").alias("last")))
+
+
 def _log_rejects(lake: Lake, batch: str, rows: DataFrame) -> int:
-    """Adds rows that are not logged yet; earlier batches only, so retries see the same log."""
-    existing = lake.read_or_none(LOG)
+    """Adds rows that are not logged yet; earlier batches only, so retries see the same log. A
+    record has one lead date, so only the months of the batch are compared."""
+    months = values_of(rows, _month("lead_date")) if lake.exists(LOG) else []
+    existing = lake.read(LOG, months) if months else None
 
     def fresh() -> DataFrame:
         named = rows.withColumn("rejection_id", F.md5(F.concat_ws("|", "table_name", "rejection_reason", "rejected_hash")))
-        return named if existing is None else quality.new_rejects(named, existing)
+        return named if existing is None else quality.new_rejects(named, existing, narrow=True)
 
-    return lake.append(LOG, batch, fresh)
+    return lake.append(LOG, batch, fresh, _month("lead_date"))
 
 
 def master_step(lake: Lake, batch: str, require_consent: bool = False) -> None:
@@ -45,45 +64,46 @@ def master_step(lake: Lake, batch: str, require_consent: bool = False) -> None:
         )
         run.rows_rejected = _log_rejects(lake, f"{batch}-core", bad)
         valid = quality.valid_leads(checked)
-        xref = lake.read_or_none("core/identity_xref")
-
-        def identities() -> DataFrame:
-            if xref is None:
-                none = lake.spark.createDataFrame(
-                    [], "master_patient_id string, master_number bigint, identity_key string, first_name string, "
-                        "last_name string, email string")
-                return mastering.resolve_identity(valid, none)
-            return mastering.resolve_identity(valid, xref)
-
-        lake.append("core/identity_xref", batch, identities)
-        known = lake.read("core/identity_xref")
-        master = lake.read_or_none("core/prospect_master")
+        keyed = valid.select(mastering.identity_key().alias("identity_key"), lead_date("file_date").alias("file_date"))
+        buckets, months = values_of(keyed, lake.bucket("identity_key")), values_of(keyed, _month("file_date"))
+        xref = lake.read("core/identity_xref", buckets) if lake.exists("core/identity_xref") else lake.spark.createDataFrame(
+            [], "master_patient_id string, master_number bigint, identity_key string, first_name string, "
+                "last_name string, email string")
+        first = _last(lake, "core/identity_xref", "master_number", fv.FIRST_MASTER_NUMBER)
+        lake.append("core/identity_xref", batch, lambda: mastering.resolve_identity(valid, xref, first), lake.bucket("identity_key"))
+        _note_last(lake, "core/identity_xref", batch, "master_number", first)
+        known = lake.read("core/identity_xref", buckets)
+        master = lake.read("core/prospect_master", months) if lake.exists("core/prospect_master") else None
         run.rows_loaded = lake.append(
-            "core/prospect_master", batch, lambda: mastering.master_prospects(valid, known, master))
+            "core/prospect_master", batch, lambda: mastering.master_prospects(valid, known, master), _month("file_date"))
 
 
 def bronze_step(lake: Lake, batch: str) -> None:
+    """A record id is made of the prospect and the file date, so only its month can hold it."""
     with logged_run(lake, "APPEND_BRONZE", "BRONZE", "BRZ_PROSPECT_MASTER") as run:
-        bronze = lake.read_or_none("bronze/prospect_master")
+        rows = lake.read_batch("core/prospect_master", batch)
+        bronze = None
+        if lake.exists("bronze/prospect_master"):
+            bronze = lake.read("bronze/prospect_master", values_of(rows, _month("file_date")))
         run.rows_loaded = lake.append(
-            "bronze/prospect_master", batch,
-            lambda: mastering.append_bronze(lake.read_batch("core/prospect_master", batch), bronze))
+            "bronze/prospect_master", batch, lambda: mastering.append_bronze(rows, bronze, narrow=True), _month("file_date"))
 
 
 def silver_step(lake: Lake, batch: str) -> None:
     """Bronze batch → rejects, closed versions into the history, current versions replaced.
 
-    The chain is computed once into its own batch, because replacing the current table and
-    appending to the history both depend on the same earlier current table.
+    The chain is computed once into its own batch, because replacing current versions and
+    appending to the history both depend on the same earlier ones. Only the hash buckets of the
+    batch's prospects are read, and only they are written again.
     """
     with logged_run(lake, "SCD2_SILVER", "SILVER", fv.SILVER_TABLE) as run:
-        current = lake.read_or_none("silver/current")
-        past = lake.read_or_none("silver/history")
         bronze = lake.read_batch("bronze/prospect_master", batch)
-        base = history.empty_current(lake.spark, bronze) if current is None else current
+        bucket = lake.bucket("master_patient_id")
+        buckets = values_of(bronze, bucket)
+        base = lake.read("silver/current", buckets) if lake.exists("silver/current") else history.empty_current(lake.spark, bronze)
         ids = base.select("record_id")
-        if past is not None:
-            ids = ids.unionByName(past.select("record_id"))
+        if lake.exists("silver/history"):
+            ids = ids.unionByName(lake.read("silver/history", buckets).select("record_id"))
         judged = history.silver_quality(bronze, ids)
         bad = quality.reject_rows(
             judged.filter("rejection_reason is not null"), fv.SILVER_TABLE, quality.SILVER_FIELDS, "SILVER_LOAD",
@@ -93,14 +113,14 @@ def silver_step(lake: Lake, batch: str) -> None:
         good = judged.filter("rejection_reason is null").drop("rejection_reason")
         lake.append("silver/versions", batch, lambda: history.scd2_versions(base, good))
         versions = lake.read_batch("silver/versions", batch)
-        lake.append("silver/history", batch, lambda: versions.filter("not is_current").drop("is_new"))
-        lake.replace("silver/current", batch, lambda: versions.filter("is_current").drop("is_new"))
+        lake.append("silver/history", batch, lambda: versions.filter("not is_current").drop("is_new"), bucket)
+        lake.merge_parts("silver/current", batch, lambda: versions.filter("is_current").drop("is_new"), bucket)
         run.rows_loaded = versions.filter("is_new").count()
 
 
-def silver(lake: Lake) -> DataFrame:
-    """Closed and current versions together."""
-    return lake.read("silver/history").unionByName(lake.read("silver/current"))
+def silver(lake: Lake, buckets: list | None = None) -> DataFrame:
+    """Closed and current versions together, of some buckets of prospects or all."""
+    return lake.read("silver/history", buckets).unionByName(lake.read("silver/current", buckets))
 
 
 def _dimension(lake: Lake, name: str, batch: str, empty: str, key: str, order: list[str], merged) -> None:
@@ -115,7 +135,9 @@ def gold_leads_step(lake: Lake, batch: str) -> None:
         rows = lake.read_batch("silver/versions", batch).filter("is_new")
         # Only prospects of this batch need their intake span and count again.
         touched = rows.select("master_patient_id").distinct()
-        theirs = silver(lake).join(touched, "master_patient_id", "left_semi")
+        bucket = lake.bucket("master_patient_id")
+        buckets = values_of(rows, bucket)
+        theirs = silver(lake, buckets).join(touched, "master_patient_id", "left_semi")
         if not lake.exists("gold/dim_channel"):
             lake.replace("gold/dim_channel", "seed", lambda: star.seed_channels(lake.spark))
         _dimension(lake, "gold/dim_channel", batch, "channel_key long, channel_name string, channel_category string",
@@ -123,20 +145,25 @@ def gold_leads_step(lake: Lake, batch: str) -> None:
         _dimension(lake, "gold/dim_geography", batch,
                    "geo_key long, city string, state string, zip_code string, region string",
                    "geo_key", ["city", "state", "zip_code"], lambda t: star.dim_geography(t, rows))
-        _dimension(lake, "gold/dim_prospect", batch,
-                   "prospect_key long, master_patient_id string, first_name string, last_name string, email string, "
-                   "phone_number string, age int, age_group string, city string, state string, zip_code string, "
-                   "patient_consent boolean, first_intake_date date, last_intake_date date, intake_count long, "
-                   "primary_channel string, is_active boolean",
-                   "prospect_key", ["master_patient_id"], lambda t: star.dim_prospect(t, theirs))
+        people = lake.read("gold/dim_prospect", buckets) if lake.exists("gold/dim_prospect") else lake.spark.createDataFrame(
+            [], "prospect_key long, master_patient_id string, first_name string, last_name string, email string, "
+                "phone_number string, age int, age_group string, city string, state string, zip_code string, "
+                "patient_consent boolean, first_intake_date date, last_intake_date date, intake_count long, "
+                "primary_channel string, is_active boolean")
+        first = _last(lake, "gold/dim_prospect", "prospect_key")
+        lake.merge_parts("gold/dim_prospect", batch, lambda: star.with_new_keys(
+            star.dim_prospect(people, theirs), "prospect_key", ["master_patient_id"], first), bucket)
+        _note_last(lake, "gold/dim_prospect", batch, "prospect_key", first)
         if not lake.exists("gold/dim_date"):
             lake.append("gold/dim_date", "seed", lambda: star.calendar(lake.spark))
         dates = lake.read("gold/dim_date")
         lake.append("gold/dim_date", batch, lambda: star.new_dates(rows, dates))
-        facts = lake.read_or_none("gold/fact_intake")
+        facts = None
+        if lake.exists("gold/fact_intake"):
+            facts = lake.read("gold/fact_intake", values_of(rows, _month("file_date")))
         run.rows_loaded = lake.append("gold/fact_intake", batch, lambda: star.fact_intake(
-            rows, lake.read("gold/dim_prospect"), lake.read("gold/dim_channel"), lake.read("gold/dim_date"),
-            lake.read("gold/dim_geography"), facts))
+            rows, lake.read("gold/dim_prospect", buckets), lake.read("gold/dim_channel"), lake.read("gold/dim_date"),
+            lake.read("gold/dim_geography"), facts), _month("file_date"))
 
 
 def run_leads(lake: Lake, leads: DataFrame, batch: str, require_consent: bool = False) -> None:
@@ -179,7 +206,11 @@ def run_events(lake: Lake, batch: str, since: str | None = None) -> None:
         people = lake.read_or_none("gold/dim_prospect")
         if people is None:
             people = spark.createDataFrame([], "master_patient_id string, prospect_key long")
-        facts = lake.read_or_none("gold/fact_engagement")
+        events = {kind: recent(entity) for kind, entity in EVENT_ENTITIES.items()}
+        # A repeated event has the time it had before, so only the days of the batch are compared.
+        day = F.to_date("event_timestamp")
+        facts = None
+        if lake.exists("gold/fact_engagement"):
+            facts = lake.read("gold/fact_engagement", values_of(star.all_events(events, details), day))
         run.rows_loaded = lake.append("gold/fact_engagement", batch, lambda: star.fact_engagement(
-            {kind: recent(entity) for kind, entity in EVENT_ENTITIES.items()}, details, people,
-            lake.read("gold/dim_job"), star.engagement_types(spark), facts))
+            events, details, people, lake.read("gold/dim_job"), star.engagement_types(spark), facts), day)

@@ -209,6 +209,17 @@ def test_read_only_sql(spark):
     for text in ("drop table x", "/* x */ insert into t select 1", "create view v as select 1", "", "call p()", "with a as (select 1) insert into t select * from a"):
         with pytest.raises(ValueError):
             sql_access.run_sql(spark, text)
+    for text in ("SELECT * FROM `text`.`/etc/hostname`", "select '--' as x, reflect('java.lang.System', 'nanoTime')", "select * from csv.`/tmp`",
+                 "select '/*' as x, reflect('java.lang.System', 'nanoTime'), '*/' as z", "select (select java_method('java.lang.System', 'nanoTime'))",
+                 "with a as (select try_reflect('java.lang.System', 'nanoTime')) select * from a", "select id from some_numbers where id in (select value from text.`/etc/hostname`)",
+                 "cache table some_numbers", "set x=1", "explain select 1", "from some_numbers insert into t select id", "refresh table some_numbers"):
+        with pytest.raises(ValueError):
+            sql_access.run_sql(spark, text)
+    assert sql_access.run_sql(spark, "select '-- insert into x' as a, 'drop table reflect(' as b, id from some_numbers where id > 3 -- ok").count() == 6
+    assert sql_access.run_sql(spark, "with a as (select max(id) m from some_numbers) select n.id from some_numbers n join a on n.id = a.m").first()[0] == 9
+    assert sql_access.run_sql(spark, "select x from values (1), (2) as t(x) union all select id from range(3)").count() == 5
+    assert sql_access.run_sql(spark, "show tables").filter("tableName = 'some_numbers'").count() == 1
+    assert [r.col_name for r in sql_access.run_sql(spark, "describe some_numbers").collect()] == ["id"]
     profile = {r.table_name: r for r in sql_access.table_profile({"some_numbers": spark.range(10), "gone": None}).collect()}
     assert profile["some_numbers"].row_count == 10 and len(profile["some_numbers"].sample) == 5 and profile["gone"].note
 
