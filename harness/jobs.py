@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from journeylake import fixed_values as fv
 from journeylake.functions.columns import lead_date
-from journeylake.operators import history, mastering, quality, star, suppression
+from journeylake.operators import audit, history, mastering, quality, star, suppression
 from journeylake.operators.audit import FILE_AUDIT
 from journeylake.operators.keyed import assign_dense_keys, first_per_key, merge_rows
 from journeylake.plans import checks, features, mart, similar
@@ -331,6 +331,57 @@ def _pipeline(b: Bound) -> DataFrame:
         "email", "channel_name", "channel_category", "file_date", "age", "consent_flag", "intake_count", "primary_channel")
 
 
+def _event_chain(b: Bound) -> DataFrame:
+    """Two deliveries of raw events, the second with half of the first again, through the gold steps."""
+    lake = lakes.Lake(b.spark, scratch_path(b.spark, "lake"))
+    people = b.dim_prospect().select("master_patient_id", F.substring("master_patient_id", 4, 10).cast("bigint").alias("prospect_key"))
+    lake.merge_parts("gold/dim_prospect", "b0", lambda: people, lake.bucket("master_patient_id"))
+    lake.append("raw_events/journey_details", "b0", lambda: b.journey_details())
+    names = {kind: f"raw_events/{entity}" for kind, entity in pipeline.EVENT_ENTITIES.items()}
+    for batch, rule in (("b1", "_source_row_number % 4 < 2"), ("b2", "_source_row_number % 4 > 0")):
+        for kind, rows in b.raw_event_tables().items():
+            lake.append(names[kind], batch, lambda rows=rows: rows.filter(rule))
+        pipeline.run_events(lake, batch)
+    return lake.read("gold/fact_engagement").groupBy(
+        "event_type", "is_suppressed", "suppression_reason", F.col("master_patient_id").isNotNull().alias("known")).agg(
+        F.count(F.lit(1)).alias("events"))
+
+
+def _run_log(b: Bound) -> DataFrame:
+    """States of the runs and rows of a load, a load without news and one that fails. A load looks
+    for files until there are none, and every look is a run: two in the first load, one in the second."""
+    folder, lake = scratch_path(b.spark, "incoming"), lakes.Lake(b.spark, scratch_path(b.spark, "lake"))
+    files.export_csv(_sent_export(b), folder)
+
+    def load(fails: bool) -> None:
+        def read(spark, paths):
+            rows = files.read_event_csv(spark, paths, "sent", encoding="UTF-8")
+            return rows.withColumn("account_id", F.raise_error(F.lit("broken file"))) if fails else rows
+        incremental.load_new_files(lake, folder, "sent", "raw_events/failing" if fails else "raw_events/sent", read)
+
+    load(False)
+    load(False)
+    try:
+        load(True)
+    except Exception:  # the log is what the query shows
+        pass
+    files_seen = audit.file_log(lake).groupBy("target_table_name", "status").agg(F.countDistinct("status").alias("file_states"))
+    return audit.run_log(lake).groupBy(F.col("table_name").alias("target_table_name"), "status").agg(
+        F.count(F.lit(1)).alias("runs"), F.sum("rows_loaded").alias("rows_loaded")).unionByName(
+        files_seen.select("target_table_name", F.concat(F.lit("file "), "status").alias("status"),
+                          F.col("file_states").alias("runs"), F.lit(None).cast("long").alias("rows_loaded")))
+
+
+def _outbound_export(b: Bound) -> DataFrame:
+    """The export of a batch, tried twice, read back."""
+    lake, folder = lakes.Lake(b.spark, scratch_path(b.spark, "lake")), scratch_path(b.spark, "outbound")
+    lake.merge_parts("gold/dim_prospect", "b1", lambda: b.dim_prospect(), lake.bucket("master_patient_id"))
+    paths = {pipeline.outbound_step(lake, "b1", folder) for _ in range(2)}
+    noted = lake.read(pipeline.EXPORTS).agg(F.sum("rows_exported").alias("n")).scalar()
+    back = b.spark.read.option("header", True).schema("master_patient_id string, first_name string, last_name string, email string").csv(sorted(paths))
+    return back.select("master_patient_id", "email").withColumn("rows_noted", noted)
+
+
 JOBS: dict[str, Callable[[Bound], DataFrame]] = {
     "validate_leads": _validated,
     "validate_leads_consent": _consent,
@@ -362,7 +413,7 @@ JOBS: dict[str, Callable[[Bound], DataFrame]] = {
     "log_suppressions": _log_suppressions,
     "flag_suppressed": _flag,
     "journey_mart": _mart,
-    "journey_mart_summary": lambda b: mart.mart_summary(_mart(b)),
+    "journey_mart_summary": lambda b: mart.mart_counts(b.intake(), b.fact(), b.jobs(), b.dim_prospect(), b.geography()),
     "integrity_checks": _checks,
     "prospect_360_features": _features,
     "send_time_features": lambda b: features.send_time_features(b.fact()),
@@ -385,4 +436,7 @@ JOBS: dict[str, Callable[[Bound], DataFrame]] = {
     "stream_without_repeats": _stream_repeats,
     "stream_late_events": _stream_late,
     "leads_through_layers": _pipeline,
+    "events_through_layers": _event_chain,
+    "outbound_export": _outbound_export,
+    "run_log": _run_log,
 }

@@ -176,6 +176,15 @@ RAW_JOBS: dict[str, str] = {
         with {_ENGAGED}
         select subscriber_key, master_patient_id, prospect_key, case when job_id <> 9 then job_id end job_key, event_type_key, date_key, job_id, event_timestamp, event_type,
           domain, is_unique, click_url, bounce_category, bounce_type, reason, account_id, record_type, source_file_name, is_suppressed, suppression_reason from en""",
+    "events_through_layers": f"""
+        with {_ENGAGED}
+        select event_type, is_suppressed, suppression_reason, master_patient_id is not null known, count(*) events from en group by 1, 2, 3, 4""",
+    "outbound_export": """
+        select master_patient_id, email, count(*) over () rows_noted from dim_prospect
+        where is_active and patient_consent and trim(email) <> '' and upper(trim(email)) <> 'N/A'""",
+    "run_log": """
+        select * from (values ('raw_events/sent', 'SUCCESS', 3, (select count(*) from fact where event_type = 'SENT')), ('raw_events/failing', 'FAILED', 1, 0),
+          ('raw_events/sent', 'file SKIPPED', 1, null), ('raw_events/failing', 'file FAILED', 1, null)) t(target_table_name, status, runs, rows_loaded)""",
     "fact_engagement_increment": f"""
         with {_ENGAGED}
         select event_type, source_file_name, is_suppressed, suppression_reason, count(*) n from en where source_file_name not in ('file_0', 'file_1', 'journey_0') group by 1, 2, 3, 4""",

@@ -117,6 +117,8 @@ PLANS: dict[str, Callable[[Bound], DataFrame]] = {
     "dash_conversion": lambda b: dashboard.conversion(b.fact(), b.jobs(), "2024-01-10", "2024-01-11"),
     "dash_segments": lambda b: dashboard.segment_rows(dashboard.prospect_segments(
         b.prospects(), b.fact(), b.jobs(), event_start="2024-01-10", event_end="2024-01-11", **ALL)),
+    "dash_segments_fallback": lambda b: dashboard.segment_rows(dashboard.prospect_segments_any(
+        b.prospects(), _no_events(b), b.fact(), b.jobs(), event_start="2024-01-10", event_end="2024-01-11", **ALL)),
     "daily_trend": lambda b: trends.daily_trend(b.leads(), b.prospects(), channel="5-Low", **ALL),
     "intake_trend_day": lambda b: trends.intake_trend(b.leads(), b.prospects(), group_by="day", **ALL),
     "intake_trend_week": lambda b: trends.intake_trend(b.leads(), b.prospects(), group_by="week", **ALL),

@@ -133,6 +133,18 @@ def prospect_segments(
     )
 
 
+def prospect_segments_any(
+    prospects: DataFrame, fact: DataFrame, raw_events: DataFrame, jobs: DataFrame, start: str = fv.START_DATE,
+    end: str = fv.END_DATE, journey: str | None = None, event_start: str | None = None, event_end: str | None = None,
+) -> DataFrame:
+    """Gold when it has an event in range, else the same counts from raw events, which know
+    subscribers and jobs but no journey. Nothing is invented where neither has any."""
+    span = dict(event_start=event_start or start, event_end=event_end or end)
+    if of_journey(events_in(fact, *span.values()), jobs, journey).isEmpty():
+        return prospect_segments(prospects, raw_events, jobs, start, end, **span)
+    return prospect_segments(prospects, fact, jobs, start, end, journey, **span)
+
+
 # Segment labels of the dashboard.
 SEGMENT_LABELS = {
     "seg1": "1 - High Engagement",
@@ -149,13 +161,17 @@ def segment_rows(segments: DataFrame) -> DataFrame:
 def dashboard(
     leads: DataFrame, prospects: DataFrame, fact: DataFrame, jobs: DataFrame, rejects: DataFrame,
     start: str = fv.START_DATE, end: str = fv.END_DATE, channel: str | None = None, journey: str | None = None,
+    raw_events: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All frames of one refresh; errors surface when a frame is used."""
+    """All frames of one refresh; errors surface when a frame is used. With ``raw_events`` the
+    frames on engagement fall back to them before gold holds events."""
+    if raw_events is None:
+        raw_events = fact.limit(0)
     return {
         "filter_options": filter_options(leads),
         "funnel_kpis": funnel_kpis(leads, prospects, start, end, channel),
-        "email_kpis": email_kpis(fact, jobs, rejects, start, end, journey),
-        "conversion": conversion(fact, jobs, start, end, journey),
-        "segments": segment_rows(prospect_segments(prospects, fact, jobs, start, end, journey)),
+        "email_kpis": email_kpis_any(fact, raw_events, jobs, rejects, start, end, journey),
+        "conversion": conversion_any(fact, raw_events, jobs, start, end, journey),
+        "segments": segment_rows(prospect_segments_any(prospects, fact, raw_events, jobs, start, end, journey)),
         "daily_trend": daily_trend(leads, prospects, start, end, channel),
     }

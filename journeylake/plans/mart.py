@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, GroupedData, functions as F
 
 
-def journey_mart(
-    intake: DataFrame, fact: DataFrame, jobs: DataFrame, dim_prospect: DataFrame, geography: DataFrame
-) -> DataFrame:
-    """Built from the specification: lead rows come from the intake fact, event rows from
-    the engagement fact.
+FLAGS = ("is_expected_send", "is_actual_send", "is_delivered", "is_unique_event", "is_suppressed_event")
 
-    Expected sends are SENT and SUPPRESSED rows, actual ones SENT rows. A SENT row counts
-    as delivered when its (subscriber, job) has no BOUNCE. The rows are joined to the
-    prospect dimension once, as one union.
-    """
+
+def _signals(intake: DataFrame, fact: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Leads and engagement events in one form, before they meet the prospect dimension."""
     flag = lambda c: F.when(c, 1).otherwise(0)
     kind = F.col("event_type")
     bounced = fact.filter(kind == "BOUNCE").select(
@@ -46,30 +41,59 @@ def journey_mart(
         "date_key",
         text.alias("journey_type"),
         text.alias("mapped_stage"),
-        *[F.lit(0).alias(c) for c in ("is_expected_send", "is_actual_send", "is_delivered", "is_unique_event",
-                                      "is_suppressed_event")],
+        *[F.lit(0).alias(c) for c in FLAGS],
         text.alias("reason"),
     )
+    return leads.unionByName(events)
+
+
+def _people(dim_prospect: DataFrame, geography: DataFrame) -> DataFrame:
     geo = geography.select(
         F.col("city").alias("g_city"), F.col("state").alias("g_state"), F.col("zip_code").alias("g_zip"), "region"
     )
-    people = dim_prospect.join(
+    return dim_prospect.join(
         geo, (F.col("city") == F.col("g_city")) & (F.col("state") == F.col("g_state"))
         & (F.col("zip_code") == F.col("g_zip")), "left",
     ).select(F.col("master_patient_id").alias("prospect_id"), "primary_channel", "age_group", "state", "region",
              "patient_consent")
-    return leads.unionByName(events).join(people, "prospect_id", "left")
 
 
-def mart_summary(mart: DataFrame) -> DataFrame:
-    """Counts of the mart's flags by journey, stage and event type."""
-    return mart.groupBy(
+def journey_mart(
+    intake: DataFrame, fact: DataFrame, jobs: DataFrame, dim_prospect: DataFrame, geography: DataFrame
+) -> DataFrame:
+    """Built from the specification: lead rows come from the intake fact, event rows from
+    the engagement fact.
+
+    Expected sends are SENT and SUPPRESSED rows, actual ones SENT rows. A SENT row counts
+    as delivered when its (subscriber, job) has no BOUNCE. The rows are joined to the
+    prospect dimension once, as one union.
+    """
+    return _signals(intake, fact, jobs).join(_people(dim_prospect, geography), "prospect_id", "left")
+
+
+def _by_stage(rows: DataFrame, *more: str) -> GroupedData:
+    return rows.groupBy(
+        *more,
         F.coalesce("journey_type", F.lit("Unknown Journey")).alias("journey_type"),
         F.coalesce("mapped_stage", F.lit("Unknown Stage")).alias("stage"),
         "event_type",
-        F.coalesce("region", F.lit("Unknown")).alias("region"),
-    ).agg(
-        F.count(F.lit(1)).alias("observations"),
-        *[F.sum(c).alias(c) for c in ("is_expected_send", "is_actual_send", "is_delivered", "is_unique_event",
-                                      "is_suppressed_event")],
     )
+
+
+def mart_counts(
+    intake: DataFrame, fact: DataFrame, jobs: DataFrame, dim_prospect: DataFrame, geography: DataFrame
+) -> DataFrame:
+    """`mart_summary` without building the mart: signals are counted per prospect first, so only
+    one row per prospect, stage and event type meets the dimension."""
+    per = _by_stage(_signals(intake, fact, jobs), "prospect_id").agg(
+        F.count(F.lit(1)).alias("observations"), *[F.sum(c).alias(c) for c in FLAGS])
+    regions = _people(dim_prospect, geography).select("prospect_id", "region")
+    return per.join(regions, "prospect_id", "left").groupBy(
+        "journey_type", "stage", "event_type", F.coalesce("region", F.lit("Unknown")).alias("region")
+    ).agg(F.sum("observations").alias("observations"), *[F.sum(c).alias(c) for c in FLAGS])
+
+
+def mart_summary(mart: DataFrame) -> DataFrame:
+    """Counts of the mart's flags by journey, stage and event type."""
+    return _by_stage(mart.withColumn("region", F.coalesce("region", F.lit("Unknown"))), "region").agg(
+        F.count(F.lit(1)).alias("observations"), *[F.sum(c).alias(c) for c in FLAGS])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.columns import rounded_int
 from .layouts import GENERIC_WIDTH, LAYOUTS, LEAD_COLUMNS, LEAD_FILE_PATTERN, Layout
@@ -29,8 +29,19 @@ def _nulls_as_null(c: str) -> Column:
 
 
 def with_row_numbers(df: DataFrame) -> DataFrame:
-    """An ordering number within one load; fixed once the load is written."""
-    return df.withColumn("_source_row_number", F.monotonically_increasing_id())
+    """The row's number within its file, from 1, the same in every load of the file.
+
+    A task reads a split of a file in order, so rows are numbered within the split and the rows
+    of the file's earlier splits are added: one small row per split, no shuffle of the load."""
+    if "_source_block" not in df.columns:
+        return df.withColumn("_source_row_number", F.monotonically_increasing_id())
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    split = ["_source_path", "_source_block"]
+    sizes = placed.groupBy(*split).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy("_source_path").orderBy("_source_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*split, (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return placed.join(starts, split).withColumn("_source_row_number", F.col("_place") + F.col("_shift")).drop(
+        "_place", "_shift", "_source_block")
 
 
 def _with_lineage(df: DataFrame, columns: list[Column], streaming: bool) -> DataFrame:
@@ -39,6 +50,7 @@ def _with_lineage(df: DataFrame, columns: list[Column], streaming: bool) -> Data
     out = df.select(
         *columns,
         F.col("_metadata.file_path").alias("_source_path"),
+        F.col("_metadata.file_block_start").alias("_source_block"),
         file_name().alias("_source_file_name"),
         F.current_timestamp().cast("timestamp_ntz").alias("_loaded_at"),
     )

@@ -108,14 +108,17 @@ class Lake:
             df = df.filter(keep | F.col(PART).isNull() if None in list(parts) else keep)
         return df.drop(PART, BATCH)
 
-    def _write(self, name: str, folder: str, df: DataFrame, part: Column | None = None) -> None:
+    def _write(self, name: str, folder: str, df: DataFrame, part: Column | None = None) -> int:
+        """Writes and returns the rows written, from the footers of the files. (Metrics observed
+        on the way are lost where the optimiser finds a frame to be empty.)"""
         if part is None:
             df.write.mode("overwrite").parquet(folder)
         else:
             # Rows of a part come together, in more than one file where they are many.
-            df = df.withColumn(PART, part.cast("string")).hint("rebalance", F.col(PART))
-            df.write.mode("overwrite").partitionBy(PART).parquet(folder)
+            df = df.withColumn(PART, part.cast("string"))
+            df.hint("rebalance", F.col(PART)).write.mode("overwrite").partitionBy(PART).parquet(folder)
         self._schemas[name] = df.schema
+        return self._load(name, folder.rsplit("/", 1)[0], folder).count()
 
     def read_or_none(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
@@ -133,12 +136,13 @@ class Lake:
     # --- writing -------------------------------------------------------------
 
     def append(self, name: str, batch: str, make: Callable[[], DataFrame], part: Column | None = None) -> int:
-        """Writes ``make()`` as one batch; returns its row count, read from file footers."""
+        """Writes ``make()`` as one batch; returns its row count, of a batch that is there already
+        from the footers of its files."""
         version, batches = self._batches(name)
-        if batch not in batches:
-            folder = batch if part is None else f"{BATCH}={batch}"
-            self._write(name, f"{self.root}/{name}/v{max(version, 1):08d}/{folder}", make(), part)
-        return self.read_batch(name, batch).count()
+        if batch in batches:
+            return self.read_batch(name, batch).count()
+        folder = batch if part is None else f"{BATCH}={batch}"
+        return self._write(name, f"{self.root}/{name}/v{max(version, 1):08d}/{folder}", make(), part)
 
     def replace(self, name: str, batch: str, make: Callable[[], DataFrame]) -> int:
         """Writes ``make()`` as the whole table in a new version; returns its row count. A batch
@@ -146,18 +150,17 @@ class Lake:
         version, batches = self._batches(name)
         if batch in batches or any(self._finished(f"{self.root}/{name}/v{v:08d}/{batch}") for v in range(1, version)):
             return self.read(name).count()
-        self._write(name, f"{self.root}/{name}/v{version + 1:08d}/{batch}", make())
-        return self.read_batch(name, batch).count()
+        return self._write(name, f"{self.root}/{name}/v{version + 1:08d}/{batch}", make())
 
     def merge_parts(self, name: str, batch: str, make: Callable[[], DataFrame], part: Column) -> int:
         """Writes ``make()``, the new content of every part it touches and nothing else; returns
         its row count. Other parts stay as earlier batches left them."""
         merged = self._merged(name)
-        if batch not in [done for _, done in merged]:
-            # Numbered after unfinished tries too, so that order is the order of starting.
-            n = len(self._children(f"{self.root}/{name}/parts"))
-            self._write(name, f"{self.root}/{name}/parts/{BATCH}={n:08d}-{batch}", make(), part)
-        return self.read_batch(name, batch).count()
+        if batch in [done for _, done in merged]:
+            return self.read_batch(name, batch).count()
+        # Numbered after unfinished tries too, so that order is the order of starting.
+        n = len(self._children(f"{self.root}/{name}/parts"))
+        return self._write(name, f"{self.root}/{name}/parts/{BATCH}={n:08d}-{batch}", make(), part)
 
     def compact(self, name: str, batch: str, partitions: int | None = None) -> None:
         """Rewrites an appended table with fewer, larger files. Run it between batches."""

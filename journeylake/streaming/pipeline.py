@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed_values as fv
 from ..functions.columns import lead_date
 from ..operators import history, mastering, quality, star, suppression
-from ..operators.audit import logged_run
+from ..operators.audit import logged_run, utc_now
 from ..operators.keyed import next_key
-from ..sources.files import empty_events
+from ..plans import prospects
+from ..sources.files import empty_events, export_csv
 from ..sources.lake import Lake, values_of
 
 # Raw entity behind each event type.
@@ -166,14 +167,39 @@ def gold_leads_step(lake: Lake, batch: str) -> None:
             lake.read("gold/dim_geography"), facts), _month("file_date"))
 
 
-def run_leads(lake: Lake, leads: DataFrame, batch: str, require_consent: bool = False) -> None:
-    """Staging → core → bronze → silver → gold for one batch of staged leads."""
+EXPORTS = "audit/exports"
+
+
+def outbound_step(lake: Lake, batch: str, folder: str, single_file: bool = False) -> str:
+    """The eligible prospects as CSV below ``folder``, once per batch; returns the export's path.
+
+    The name, with the time of the first try, is noted before the export and its row count
+    after it. A retry takes the noted name and writes over what an earlier try left there; a
+    batch whose count is noted is not exported again."""
+    with logged_run(lake, "EXPORT_OUTBOUND", "OUTBOUND", "SFMC_PROSPECT_OUTBOUND") as run:
+        named = f"prospect_outbound_{utc_now():%Y%m%d_%H%M%S}"
+        lake.append(f"{EXPORTS}_named", batch, lambda: lake.spark.createDataFrame([(batch, named)], "batch string, name string"))
+        path = f"{folder.rstrip('/')}/{lake.read_batch(f'{EXPORTS}_named', batch).first()['name']}"
+        if not lake.has_batch(EXPORTS, batch):
+            rows = prospects.outbound_view(lake.read("gold/dim_prospect"))
+            export_csv(rows, path, single_file)
+            run.rows_loaded = lake.spark.read.schema(", ".join(f"{c} string" for c in rows.columns)).option("header", True).csv(path).count()
+            lake.append(EXPORTS, batch, lambda: lake.spark.createDataFrame(
+                [(batch, path, run.rows_loaded)], "batch string, path string, rows_exported long"))
+    return path
+
+
+def run_leads(lake: Lake, leads: DataFrame, batch: str, require_consent: bool = False, outbound: str | None = None) -> None:
+    """Staging → core → bronze → silver → gold for one batch of staged leads, and the outbound
+    export where a folder is named."""
     with logged_run(lake, "STAGE_LEADS", "STAGING", "STG_PROSPECT_INTAKE") as run:
         run.rows_loaded = lake.append("staging/leads", batch, lambda: leads)
     master_step(lake, batch, require_consent)
     bronze_step(lake, batch)
     silver_step(lake, batch)
     gold_leads_step(lake, batch)
+    if outbound:
+        outbound_step(lake, batch, outbound)
 
 
 def run_events(lake: Lake, batch: str, since: str | None = None) -> None:

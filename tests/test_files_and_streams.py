@@ -231,3 +231,58 @@ def test_repeats_inside_the_watermark(spark, tmp_path):
     once = file_streams.without_repeats(stream.unionByName(stream), ["id"], "ts", "1 day")
     file_streams.load_files(lake, once, "raw_events/once", str(tmp_path / "cp")).awaitTermination()
     assert lake.read("raw_events/once").count() == 100
+
+
+def test_row_numbers_within_files_are_stable(spark, tmp_path):
+    lines = [f"P{i},Lee,p{i}@x.org,555,30,a,,Reno,NV,89501,TRUE,Web,2026-01-01 03:04:05,2026-01-01" for i in range(5000)]
+    put(tmp_path / "in", "prospect_campaign_1.csv", LEAD_HEADER, *lines)
+    put(tmp_path / "in", "prospect_campaign_2.csv", LEAD_HEADER, *lines[:40])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 50_000)  # the first file is several splits
+    try:
+        for _ in range(2):
+            rows = files.read_lead_csv(spark, str(tmp_path / "in"))
+            assert rows.rdd.getNumPartitions() > 3 and "_source_block" not in rows.columns
+            found = rows.select("_source_file_name", "_source_row_number", "first_name").collect()
+            assert sorted((r[0], r[1]) for r in found) == [("prospect_campaign_1.csv", i + 1) for i in range(5000)] + [("prospect_campaign_2.csv", i + 1) for i in range(40)]
+            assert all(r.first_name == f"P{r._source_row_number - 1}" for r in found)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    file_streams.stream_entity(lake, str(tmp_path / "in"), "sent", str(tmp_path / "cp"), encoding="UTF-8", pattern="*1.csv").awaitTermination()
+    numbers = [r._source_row_number for r in lake.read("raw_events/sent").select("_source_row_number").collect()]
+    assert sorted(numbers) == list(range(1, 5001))
+
+
+def test_states_of_runs_and_files(spark, tmp_path, monkeypatch):
+    from journeylake.operators.audit import file_log, run_log
+
+    lake, folder = Lake(spark, str(tmp_path / "lake")), tmp_path / "in"
+    put(folder, "a_20260101_1000.csv", HEADER, sent(1))
+
+    def load():
+        return incremental.load_new_files(
+            lake, str(folder), "sent", "raw_events/sent", lambda s, p: files.read_event_csv(s, p, "sent", encoding="UTF-8", strict=True))
+
+    append = lake.append
+
+    def dies(table, *rest):
+        if table == FILE_AUDIT:
+            raise KeyboardInterrupt  # between publishing and auditing
+        return append(table, *rest)
+
+    monkeypatch.setattr(lake, "append", dies)
+    with pytest.raises(KeyboardInterrupt):
+        load()
+    assert [r.status for r in run_log(lake).collect()] == ["STARTED"] and [r.status for r in file_log(lake).collect()] == ["STARTED"]
+    monkeypatch.setattr(lake, "append", append)
+    load()
+    assert lake.read("raw_events/sent").count() == 1
+    assert [(r.status, r.rows_loaded) for r in file_log(lake).collect()] == [("SUCCESS", 1)]
+    put(folder, "b_20260102_1000.csv", HEADER, "too,short")
+    with pytest.raises(Exception):
+        load()
+    states = {r.file_name: (r.status, r.rows_loaded) for r in file_log(lake).collect()}
+    assert states == {"a_20260101_1000.csv": ("SKIPPED", 0), "b_20260102_1000.csv": ("FAILED", 0)}
+    assert sorted(r.status for r in run_log(lake).collect()) == ["FAILED", "STARTED", "SUCCESS", "SUCCESS"] or sorted(
+        {r.status for r in run_log(lake).collect()}) == ["FAILED", "STARTED", "SUCCESS"]
