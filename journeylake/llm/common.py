@@ -67,6 +67,11 @@ def worker_cache(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
+def drop_worker_caches() -> None:
+    """Frees what the tasks of other operators have left in this worker."""
+    sys.modules.pop("_llm_worker_caches", None)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string array in one piece and the n + 1 offsets into them."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import documents_of, held_out
+from .common import documents_of, drop_worker_caches, held_out
 from .quality import class_share, sample_ids
 
 SAMPLE_DOCS = 3000
@@ -138,6 +138,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, name: str = "toxicity"
 
     @F.pandas_udf("score double, sentence_score double, sentence_start int, sentence_length int")
     def judged(texts: pd.Series) -> pd.DataFrame:
+        drop_worker_caches()
         score, worst, start, length = model.scores(texts.fillna("").tolist())
         return pd.DataFrame({"score": pd.Series(score, dtype="float64"), "sentence_score": pd.Series(worst, dtype="float64"),
                              "sentence_start": pd.Series(start, dtype="Int32"), "sentence_length": pd.Series(length, dtype="Int32")})
