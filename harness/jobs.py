@@ -237,6 +237,22 @@ def _documents(b: Bound) -> DataFrame:
     return similar.similar_entities(features.document_vectors(texts, words), [1, 2, 3], 5, words)
 
 
+def _documents_hybrid(b: Bound) -> DataFrame:
+    """Term vectors and an inverted index of all whole documents, mixed half and half."""
+    texts = b.read("documents").select(F.col("doc_id").alias("id"), "text")
+    index = _as_table(b, similar.term_index(texts).sortWithinPartitions("term"))
+    return similar.hybrid_entities(features.document_vectors(texts).drop("text"), [1, 2, 3], ["License", "copy of the software"], 10, index=index)
+
+
+def _indexed(b: Bound, entities: DataFrame, query_ids: list, k: int) -> DataFrame:
+    """Neighbours from an index written by cell and read back."""
+    index, pivots = similar.pivot_index(entities, 16)
+    path = scratch_path(b.spark, "pivot-index")
+    index.write.partitionBy("cell").parquet(path)
+    stored = b.spark.read.schema(index.schema).parquet(path)
+    return similar.indexed_neighbours(stored, _as_table(b, pivots), query_ids, k)
+
+
 # --- files and streams ----------------------------------------------------------------------
 
 def _lead_csv(b: Bound) -> DataFrame:
@@ -429,6 +445,12 @@ JOBS: dict[str, Callable[[Bound], DataFrame]] = {
         features.rejection_vectors(b.rejects()), ["PHI_PROSPECT_MASTER|NULL_EMAIL|5-LOW"], 5),
     "similar_engagement": lambda b: similar.similar_entities(
         features.engagement_vectors(b.fact()), ["FIP0000000003", "FIP0000000009"], 10),
+    "similar_documents_hybrid": _documents_hybrid,
+    "similar_journeys_hybrid": lambda b: similar.hybrid_entities(
+        features.journey_stage_vectors(_mart(b)), ["J02_Nurture|Education Email 2"], ["Nurture", "Conversion"], 5, 0.25),
+    "similar_embeddings_indexed": lambda b: _indexed(b, _embeddings(b), [0, 7, 42], 10),
+    "similar_engagement_indexed": lambda b: _indexed(
+        b, features.engagement_vectors(b.fact()), ["FIP0000000003", "FIP0000000009"], 10),
     "read_lead_csv": _lead_csv,
     "read_event_csv": _event_csv,
     "load_new_files": _load_new_files,

@@ -89,6 +89,25 @@ _FEATURES = """feat as (
   left join (select subscriber_key, max(event_timestamp) last_event from fact group by 1) l on l.subscriber_key = d.master_patient_id)"""
 
 
+_DOCUMENT_VECTORS = """w as (select doc_id id, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+')) w from documents),
+        b as (select id, ('0x' || substr(md5(w), 1, 4))::integer % 128 h, count(*) n from w where w <> '' group by 1, 2),
+        x as (select id, h from (select distinct id from b), range(128) r(h)),
+        d as (select id, list(coalesce(n, 0)::double order by h) v from x left join b using (id, h) group by 1),
+        """
+_JOURNEY_VECTORS = _MART + """,
+        p as (select journey_type jt, mapped_stage st, prospect_id, count(*) n, date_diff('day', min(event_timestamp)::date, max(event_timestamp)::date) as days,
+            """ + ", ".join(f"count(*) filter (event_type = '{e}') c_{e}" for e in ("SENT", "OPEN", "CLICK", "BOUNCE", "UNSUBSCRIBE", "SPAM")) + """,
+            sum(is_unique_event) u, sum(is_suppressed_event) sup from mart where journey_type is not null and mapped_stage is not null group by 1, 2, 3),
+        ent as (select jt || '|' || st id, jt || ' ' || st t, [(jt like 'J01%')::integer::double, (jt like 'J02%')::integer, (jt like 'J03%')::integer, (jt like 'J04%')::integer,
+            """ + ", ".join(f"sum(c_{e})::double / sum(n)" for e in ("SENT", "OPEN", "CLICK", "BOUNCE", "UNSUBSCRIBE", "SPAM")) + """,
+            sum(u)::double / sum(n), sum(sup)::double / sum(n), ln(1 + sum(n)::double) / 20.0::double, sum(days)::double / count(*) / 30.0::double]::double[] v from p group by jt, st)"""
+_ENGAGEMENT_VECTORS = """
+        h as (select subscriber_key, count(*)::double n, count(*) filter (hour(event_timestamp) < 6) a, count(*) filter (hour(event_timestamp) between 6 and 11) b,
+            count(*) filter (hour(event_timestamp) between 12 and 17) c, count(*) filter (hour(event_timestamp) >= 18) d from fact group by 1),
+        ent as (select subscriber_key id, [sends / n, opens / n, clicks / n, bounces / n, unsubscribes / n, spam / n, coalesce(least(clicks::double / nullif(opens, 0), 1.0), 0.0),
+          a / n, b / n, c / n, d / n]::double[] v from percounts join h using (subscriber_key))"""
+
+
 def _nearest(vectors: str, ids: str, k: int, where: str = "true") -> str:
     """Brute force: every query against every entity, then the top k."""
     return f"""with {vectors},
@@ -97,6 +116,19 @@ s as (select q.id query_id, e.id id, round(list_dot_product(e.v, q.v) / sqrt(lis
 select query_id, id, score from s where score is not null qualify row_number() over (partition by query_id order by score desc, id) <= {k}"""
 
 
+def _hybrid(vectors: str, texts: str, words: str, ids: str, k: int, weight: float) -> str:
+    """Brute force: cosine and weighted words of every entity, then the top k."""
+    return f"""with {vectors},
+words as (select id, unnest(string_split_regex(lower(t), '[^\\p{{L}}\\p{{N}}]+')) w from {texts}),
+hits as (select w, id, count(*)::double n from words where w in ({words}) group by 1, 2),
+rarity as (select w, ln(1 + ((select count(*) from ent)::double - count(*) + 0.5::double) / (count(*) + 0.5::double)) r from hits group by 1),
+found as (select id, sum(r * n / (n + 1)) / (select sum(r) from rarity) f from hits join rarity using (w) group by 1),
+s as (select q.id query_id, e.id id, round(list_dot_product(e.v, q.v) / sqrt(list_dot_product(e.v, e.v) * list_dot_product(q.v, q.v)) * (1 - {weight}::double)
+    + coalesce(f, 0) * {weight}::double, 6) score
+  from ent e join ent q on q.id in ({ids}) and e.id <> q.id left join found on found.id = e.id)
+select query_id, id, score from s where score is not null qualify row_number() over (partition by query_id order by score desc, id) <= {k}"""
+
+
 RAW_JOBS: dict[str, str] = {
     "validate_leads": "select lead_id, coalesce(rejection_reason, 'VALID') outcome from checked",
     "validate_leads_consent": """select coalesce(rejection_reason, case when not patient_consent then 'NO_CONSENT' end, 'VALID') outcome, count(*) n
@@ -244,35 +276,26 @@ RAW_JOBS: dict[str, str] = {
           + least(bounces * 5, 10)))::double / 100.0 trust from t""",
     "similar_embeddings": _nearest("ent as (select vec_id id, embedding::double[] v from embeddings)", "0, 7, 42", 10),
     "similar_documents": _nearest(
-        """w as (select doc_id id, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+')) w from documents),
-        b as (select id, ('0x' || substr(md5(w), 1, 4))::integer % 128 h, count(*) n from w where w <> '' group by 1, 2),
-        x as (select id, h from (select distinct id from b), range(128) r(h)),
-        d as (select id, list(coalesce(n, 0)::double order by h) v from x left join b using (id, h) group by 1),
-        ent as (select id, v, upper(text) t from d join documents on doc_id = id)""", "1, 2, 3", 5,
+        _DOCUMENT_VECTORS + """ent as (select id, v, upper(text) t from d join documents on doc_id = id)""", "1, 2, 3", 5,
         "(contains(e.t, 'ERROR') or contains(e.t, 'LICENSE') or contains(e.t, 'THE '))"),
     "similar_prospects": _nearest(_FEATURES + """,
         ent as (select master_patient_id id, [(region = 'Northeast')::integer::double, (region = 'Midwest')::integer::double, (region = 'South')::integer::double,
           (region = 'West')::integer::double, 0.0, patient_consent::integer::double, coalesce(age / 100.0, 0)::double,
           1.0 / (1.0 + greatest(days_since_intake, 0) / 365.0), coalesce(least(engagement_intensity, 5.0) / 5.0, 0)::double]::double[] v from feat)""",
         "'FIP0000000007', 'FIP0000000011'", 10),
-    "similar_journeys": _nearest(_MART + """,
-        p as (select journey_type jt, mapped_stage st, prospect_id, count(*) n, date_diff('day', min(event_timestamp)::date, max(event_timestamp)::date) as days,
-            """ + ", ".join(f"count(*) filter (event_type = '{e}') c_{e}" for e in ("SENT", "OPEN", "CLICK", "BOUNCE", "UNSUBSCRIBE", "SPAM")) + """,
-            sum(is_unique_event) u, sum(is_suppressed_event) sup from mart where journey_type is not null and mapped_stage is not null group by 1, 2, 3),
-        ent as (select jt || '|' || st id, jt || ' ' || st t, [(jt like 'J01%')::integer::double, (jt like 'J02%')::integer, (jt like 'J03%')::integer, (jt like 'J04%')::integer,
-            """ + ", ".join(f"sum(c_{e})::double / sum(n)" for e in ("SENT", "OPEN", "CLICK", "BOUNCE", "UNSUBSCRIBE", "SPAM")) + """,
-            sum(u)::double / sum(n), sum(sup)::double / sum(n), ln(1 + sum(n)::double) / 20.0::double, sum(days)::double / count(*) / 30.0::double]::double[] v from p group by jt, st)""",
-        "'J02_Nurture|Education Email 2'", 5, "(e.t like '%Nurture%' or e.t like '%Conversion%')"),
+    "similar_journeys": _nearest(_JOURNEY_VECTORS, "'J02_Nurture|Education Email 2'", 5, "(e.t like '%Nurture%' or e.t like '%Conversion%')"),
     "similar_rejections": _nearest("""
         g as (select table_name, rejection_reason r, coalesce(j_channel, 'none') ch, count(*) n from rejects group by 1, 2, 3),
         ent as (select table_name || '|' || r || '|' || ch id, [(r='NULL_FIRST_NAME')::integer, (r='NULL_LAST_NAME')::integer, (r='NULL_EMAIL')::integer, (r='NULL_PHONE_NUMBER')::integer,
           (r='INVALID_FILE_DATE')::integer, 0, (r='SUPPRESSED_PROSPECT')::integer, (r='FATAL_ERROR')::integer, 0, (r in ('SUPPRESSED_PROSPECT','FATAL_ERROR'))::integer,
           (ch='none')::integer, ln(1 + n) / 10.0]::double[] v from g)""", "'PHI_PROSPECT_MASTER|NULL_EMAIL|5-LOW'", 5),
-    "similar_engagement": _nearest("""
-        h as (select subscriber_key, count(*)::double n, count(*) filter (hour(event_timestamp) < 6) a, count(*) filter (hour(event_timestamp) between 6 and 11) b,
-            count(*) filter (hour(event_timestamp) between 12 and 17) c, count(*) filter (hour(event_timestamp) >= 18) d from fact group by 1),
-        ent as (select subscriber_key id, [sends / n, opens / n, clicks / n, bounces / n, unsubscribes / n, spam / n, coalesce(least(clicks::double / nullif(opens, 0), 1.0), 0.0),
-          a / n, b / n, c / n, d / n]::double[] v from percounts join h using (subscriber_key))""", "'FIP0000000003', 'FIP0000000009'", 10),
+    "similar_engagement": _nearest(_ENGAGEMENT_VECTORS, "'FIP0000000003', 'FIP0000000009'", 10),
+    "similar_documents_hybrid": _hybrid(
+        _DOCUMENT_VECTORS + "ent as (select id, v from d)", "(select doc_id id, text t from documents)",
+        "'license', 'copy', 'of', 'the', 'software'", "1, 2, 3", 10, 0.5),
+    "similar_journeys_hybrid": _hybrid(_JOURNEY_VECTORS, "ent", "'nurture', 'conversion'", "'J02_Nurture|Education Email 2'", 5, 0.25),
+    "similar_embeddings_indexed": _nearest("ent as (select vec_id id, embedding::double[] v from embeddings)", "0, 7, 42", 10),
+    "similar_engagement_indexed": _nearest(_ENGAGEMENT_VECTORS, "'FIP0000000003', 'FIP0000000009'", 10),
     "read_lead_csv": """
         select first_name, last_name, email, nullif(phone_number, '') phone_number,
           case when lead_id % 37 = 0 then 'n/a' when lead_id % 41 = 0 then concat(custkey % 60 + 15, '.6') else (custkey % 60 + 15)::varchar end age,

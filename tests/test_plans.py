@@ -131,3 +131,77 @@ def test_similar_entities_against_brute_force(spark):
     many = many.union(df.selectExpr("id + 3000", "vector", "text")).union(df.selectExpr("id + 4000", "vector", "text"))
     ids = [r.id for r in many.collect()]
     assert similar.similar_entities(many, ids, 1).count() == 5 * 59
+
+
+def test_hybrid_entities_against_brute_force(spark):
+    import math
+
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(40, 6))
+    m[5] = 0.0
+    texts = ["Welcome journey", "no-consent NO consent", "Conversion", "", None, "welcome", "Conversion welcome conversion", "émail"] * 5
+    df = spark.createDataFrame([(i, [float(x) for x in v], t) for i, (v, t) in enumerate(zip(m, texts))], "id long, vector array<double>, text string")
+    found = {(r.term, r.id): r.n for r in similar.term_index(df).collect()}
+    assert found["consent", 1] == 2 and found["conversion", 6] == 2 and ("émail", 7) in found and not any(i in (3, 4) for _, i in found)
+
+    def brute(q, words, weight, k=6):
+        holders = {w: [i for (t, i) in found if t == w] for w in words}
+        rare = {w: math.log(1 + (40 - len(h) + 0.5) / (len(h) + 0.5)) for w, h in holders.items() if h}
+        rows = []
+        for i in range(40):
+            if i == q or not m[i].any():
+                continue
+            kw = sum(r * found.get((w, i), 0) / (found.get((w, i), 0) + 1) for w, r in rare.items()) / (sum(rare.values()) or 1)
+            cos = float(m[q] @ m[i] / np.linalg.norm(m[q]) / np.linalg.norm(m[i]))
+            rows.append((-round((1 - weight) * cos + weight * kw, 6), i))
+        return [i for _, i in sorted(rows)[:k]]
+
+    for words, weight in ((["Welcome", "CONVERSION"], 0.5), (["no consent"], 0.9), (["absent"], 0.5), ([], 0.3)):
+        rows = similar.hybrid_entities(df, [2, 9, 5, 99], words, 6, weight).collect()
+        terms = sorted({w for k in words for w in k.lower().split()})
+        for q in (2, 9):
+            got = [r.id for r in sorted((r for r in rows if r.query_id == q), key=lambda r: (-r.score, r.id))]
+            assert got == brute(q, terms, weight), (words, q)
+        # One without direction, one that isn't there.
+        assert {r.query_id for r in rows} == {2, 9}
+    stored = similar.hybrid_entities(df.drop("text"), [2], ["welcome"], 6, index=similar.term_index(df)).collect()
+    assert [r.id for r in sorted(stored, key=lambda r: (-r.score, r.id))] == brute(2, ["welcome"], 0.5)
+
+
+def test_indexed_neighbours_equal_the_scan_and_read_less(spark, tmp_path, rows):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(12, 16))
+    m = centres[rng.integers(0, 12, 3000)] + rng.normal(scale=0.05, size=(3000, 16))
+    m[17] = 0.0
+    m[18:22] = m[18]
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(m)] + [(5000, [float("nan")] * 16), (5001, None)]
+    df = spark.createDataFrame(data, "id long, vector array<double>")
+    index, pivots = similar.pivot_index(df, 12, sample_rows=500)
+    index.write.partitionBy("cell").parquet(str(tmp_path / "index"))
+    pivots.write.parquet(str(tmp_path / "pivots"))
+    index, pivots = spark.read.parquet(str(tmp_path / "index")), spark.read.parquet(str(tmp_path / "pivots"))
+    assert index.count() == 2999
+    finite = df.filter("id < 5000")
+    wanted = [1, 17, 19, 400, 9999]
+    assert rows(similar.indexed_neighbours(index, pivots, wanted, 10)) == rows(similar.similar_entities(finite, wanted, 10))
+    read = similar._reachable(index, pivots, [1], 10, 6)
+    assert read.count() < 600
+    scan = read._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters" in scan and "cell" in scan.split("PartitionFilters")[1].splitlines()[0]
+    # More neighbours asked for than the nearest cell holds, and none at all.
+    assert rows(similar.indexed_neighbours(index, pivots, [1], 2000)) == rows(similar.similar_entities(finite, [1], 2000))
+    none = similar.pivot_index(df.limit(0))
+    assert similar.indexed_neighbours(*none, [1]).count() == 0 and similar.indexed_neighbours(index, pivots, []).count() == 0
+
+
+def test_indexed_neighbours_where_nothing_can_be_left_out(spark, rows):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 24)))], "id long, vector array<double>")
+    index, pivots = similar.pivot_index(df, 8)
+    assert rows(similar.indexed_neighbours(index, pivots, [0, 3, 200], 7)) == rows(similar.similar_entities(df, [0, 3, 200], 7))
