@@ -1,27 +1,39 @@
 """Removal of repeated runs of lines, in content-defined chunks, with DataFrame functions only.
 
-Every line has a hash. A chunk ends after a line where a rolling hash over the last lines meets
-a condition, so boundaries depend on nearby content alone and an inserted line moves none of
-the others. Chunks of two or more lines are grouped by digest and bytes over all documents;
-of equal chunks the first occurrence stays, by doc_id, text digest and line number.
-
-A chunk with very many copies is one row per task before the shuffle of groups, and its
-occurrences meet one row in a join that adaptive execution can split.
-
-Chunks that end at one line in four leave most repeated blocks of a few lines, as these rarely
-fill a whole chunk. `dedup_line_blocks` has no chunks: it compares all pairs of neighbouring
-lines, which every repeated block of two or more lines is made of, and leaves none.
+Every line that isn't blank has a hash. Several rules choose boundaries side by side: a rolling
+hash over the last one or two such lines puts the line into one of two classes by one of its
+bits. A chunk runs from the first line of one boundary's window to the next boundary of the same
+class, both included, so chunks of a class share a line and a chunk depends on no line outside
+it: an inserted line moves no other boundary, and a repeated block holds the same chunks wherever
+it stands. Of three neighbouring lines two are in one class, so a repeated block of three or more
+lines always holds a whole chunk. Two lines alone do unless all rules put them apart.
+
+Chunks are grouped by digest and bytes over all documents; of equal chunks the first occurrence
+stays, by doc_id, text digest and line number. Only digests and places are shuffled first; bytes
+follow for digests that occur twice. A chunk with very many copies is one row per task before
+the shuffle of groups, and its occurrences meet one row in a join that adaptive execution can
+split.
+
+`dedup_line_blocks` has no chunks: it compares all pairs of neighbouring lines, which every
+repeated block of two or more lines is made of, and leaves none.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import documents_of, written
 
-#: Boundaries: rolling hash over so many lines, one line in so many ends a chunk.
-WINDOW, EVERY = 2, 4
+#: Rules for boundaries: lines that the rolling hash covers, and the bit of it that tells the classes.
+RULES = ((1, 0), (1, 1), (1, 2), (2, 0))
 _FACTOR = 31
+#: A span is one number: its first line times this, plus its last.
+_SPAN = 1 << 31
+_BLANK = r"[^ \t\r\f\x0B]"
 
 
 def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -34,34 +46,125 @@ def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-def chunk_ends(hashes: Column, window: int, every: int) -> Column:
-    """Numbers (from 0) of the lines that end a chunk; the last line always does."""
+def _class_spans(hashes: Column, window: int, bit: int, kind: int) -> Column:
+    """The chunks of the lines whose hash over ``window`` lines has ``kind`` as its ``bit``."""
+
+    def fits(j: Column) -> Column:
+        return (j >= window - 1) & (F.shiftright(F.get(hashes, j), bit).bitwiseAND(F.lit(1)) == kind)
+
+    def chunks(marks: Column) -> Column:
+        return F.transform(F.slice(marks, 2, F.size(marks)), lambda end, k: (
+            F.get("full", F.get(marks, k) - (window - 1)).cast("long") * _SPAN + F.get("full", end)))
+
+    # In an array of one, so that the marks are found once for both ends of the chunks.
+    marks = F.array(F.filter(F.sequence(F.lit(0), F.size("full") - 1), fits))
+    return F.flatten(F.transform(marks, chunks))
+
 
-    def ends(i: Column) -> Column:
-        rolled = F.lit(0).cast("long")
-        for back in range(window):
-            rolled = rolled + F.coalesce(F.get(hashes, i - back), F.lit(0).cast("long")) * (_FACTOR**back)
-        return (i == F.size(hashes) - 1) | (F.pmod(rolled, F.lit(every)) == 0)
+def _spans(rules: Sequence[tuple[int, int]]) -> Column:
+    """The chunks of all rules, each once, from ``full`` (numbers of the lines that aren't blank)
+    and ``rolled`` (for each window its rolling hashes, in the order of `_windows`)."""
+    return F.array_distinct(F.concat(*[
+        _class_spans(F.get("rolled", _windows(rules).index(w)), w, bit, kind) for w, bit in rules for kind in (0, 1)]))
 
-    return F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), ends)
 
+def _windows(rules: Sequence[tuple[int, int]]) -> list[int]:
+    return sorted({w for w, _ in rules})
 
-def chunks(docs: DataFrame, window: int, every: int, digest_chars: int) -> DataFrame:
-    """doc_id, text_md5, start, n_lines, digest and chunk: one row per chunk of two or more lines."""
+
+def chunk_places(docs: DataFrame, rules: Sequence[tuple[int, int]], digest_chars: int) -> DataFrame:
+    """doc_id, text_md5, start, n_lines and digest: one row per chunk, without its bytes."""
     lined = documents_of(docs).filter(F.contains("text", F.lit("\n")))
-    lined = _once(lined.withColumn("text_md5", F.md5(F.col("text").cast("binary"))), "lines", F.split("text", "\n", -1)).drop("text")
-    lined = _once(lined, "hashes", F.transform("lines", _line_hash))
-    lined = _once(lined, "ends", chunk_ends(F.col("hashes"), window, every))
+    lined = _once(lined.withColumn("text_md5", F.unhex(F.md5(F.col("text").cast("binary")))), "lines", F.split("text", "\n", -1)).drop("text")
+    lined = _once(lined, "full", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("lines", i).rlike(_BLANK)))
+    lined = _once(lined.filter(F.size("full") > 1), "hashes", F.transform("full", lambda i: _line_hash(F.get("lines", i))))
 
-    def piece(end: Column, j: Column) -> Column:
-        start = F.coalesce(F.get("ends", j - 1) + 1, F.lit(0))
-        return F.struct(start.alias("start"), (end - start + 1).alias("n_lines"),
-                        F.array_join(F.slice("lines", start + 1, end - start + 1), "\n").alias("chunk"))
+    def rolled(window: int) -> Column:
+        return F.transform("hashes", lambda _, j: reduce(add, [
+            F.coalesce(F.get("hashes", j - back), F.lit(0).cast("long")) * _FACTOR**back for back in range(window)]))
 
-    pieces = F.filter(F.transform("ends", piece), lambda p: p["n_lines"] > 1)
-    rows = lined.select("doc_id", "text_md5", pieces.alias("pieces")).select("doc_id", "text_md5", F.explode("pieces").alias("p"))
-    return rows.select("doc_id", "text_md5", "p.start", "p.n_lines",
-                       F.substring(F.md5(F.col("p.chunk").cast("binary")), 1, digest_chars).alias("digest"), "p.chunk")
+    lined = _once(lined, "rolled", F.array(*[rolled(w) for w in _windows(rules)]))
+    lined = _once(lined, "spans", _spans(rules))
+    # Digests before the explode, which would copy the lines for each chunk.
+    places = F.transform("spans", lambda s: _place(s, digest_chars))
+    rows = lined.select("doc_id", "text_md5", places.alias("places")).select("doc_id", "text_md5", F.explode("places").alias("p"))
+    return rows.select("doc_id", "text_md5", "p.*")
+
+
+def _chunk(start: Column, n_lines: Column) -> Column:
+    return F.array_join(F.slice("lines", start + 1, n_lines), "\n")
+
+
+def _place(span: Column, digest_chars: int) -> Column:
+    start = F.shiftright(span, 31).cast("int")
+    n_lines = (span.bitwiseAND(F.lit(_SPAN - 1)) - start + 1).cast("int")
+    digest = F.unhex(F.substring(F.md5(_chunk(start, n_lines).cast("binary")), 1, digest_chars))
+    return F.struct(start.alias("start"), n_lines.alias("n_lines"), digest.alias("digest"))
+
+
+def _later(found: DataFrame, first: DataFrame, key: list[str]) -> DataFrame:
+    """``found`` with ``repeat``: whether the row is neither the first of its ``key`` nor overlaps it."""
+    own = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("text_md5") == F.col("stays.text_md5"))
+    near = own & (F.col("start") - F.col("stays.start") < F.col("n_lines"))
+    return found.join(first, key).withColumn("repeat", ~near).drop("stays")
+
+
+def _with_cuts(keyed: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``keyed`` with the column ``cuts`` of its document; null ids are equal to each other."""
+    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_md5") == F.col("c.text_md5"))
+    return keyed.alias("d").join(cuts.alias("c"), same, "left").select("d.*", "c.cuts")
+
+
+def dedup_lines(docs: DataFrame, rules: Sequence[tuple[int, int]] = RULES, digest_chars: int = 32) -> DataFrame:
+    """doc_id, n_lines, n_removed_chunks, n_removed_lines and the text that is left.
+
+    Lines end at "\\n". A null text counts as empty; an empty text is one empty line and keeps
+    it. A line goes with a chunk of two or more lines that stood earlier, never alone. Blank
+    lines make no chunk, but go with one that holds them. A chunk that only overlaps its own
+    first occurrence, as in a run of three equal lines, is no repeat. Rows equal in doc_id and
+    text are one occurrence, so neither loses anything to the other; rows that share a doc_id with
+    different texts are judged separately; rows with a null id come before all others and lose
+    repeats like them. Texts of any length are cut whole. An empty table gives an empty table;
+    further columns are ignored. ``digest_chars`` shortens the digest; chunks with one digest and
+    different bytes are still told apart.
+    """
+    here, key = F.struct("doc_id", "text_md5", "start"), ["doc_id", "text_md5"]
+    places = written(chunk_places(docs, rules, digest_chars), "line-places")
+    repeated = written(places.groupBy("digest").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("digest"), "line-digests")
+    found = written(places.join(repeated, "digest"), "line-repeated")
+    # Written first, so that the join with a hot digest's rows can be split.
+    first = written(found.groupBy("digest").agg(F.min(here).alias("stays")), "line-firsts")
+    cuts = _later(found, first, ["digest"]).groupBy(*key).agg(
+        F.collect_set(F.struct("start", "n_lines", "digest", "repeat")).alias("cuts"))
+    keyed = documents_of(docs).withColumn("text_md5", F.unhex(F.md5(F.col("text").cast("binary"))))
+    marked = written(_with_cuts(keyed, cuts), "line-marked")
+
+    # The comparison of bytes, only of chunks whose digest occurs twice.
+    several = _once(marked.filter("cuts is not null"), "lines", F.split("text", "\n", -1)).drop("text")
+    several = several.select(*key, F.explode(F.transform("cuts", lambda c: F.struct(
+        c["start"].alias("start"), c["n_lines"].alias("n_lines"), c["digest"].alias("digest"), _chunk(c["start"], c["n_lines"]).alias("chunk")))).alias("p"))
+    several = several.select(*key, "p.*")
+    kinds = several.groupBy("digest", "chunk").agg(F.count(F.lit(1)).alias("copies")).drop("chunk")
+    mixed = written(kinds.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest"), "line-mixed")
+    marked = marked.withColumn("cuts", F.filter("cuts", lambda c: c["repeat"]))
+    if not mixed.isEmpty():
+        # Different texts with one digest: these are told apart by the bytes themselves.
+        apart = several.join(mixed, "digest", "left_semi")
+        first = written(apart.groupBy("digest", "chunk").agg(F.min(here).alias("stays")), "line-firsts")
+        exact = _later(apart, first, ["digest", "chunk"]).filter("repeat").select(*key, "start", "n_lines")
+        plain = marked.select(*key, F.explode("cuts").alias("c")).select(*key, "c.*").join(mixed, "digest", "left_anti")
+        cuts = plain.select(*key, "start", "n_lines").union(exact).groupBy(*key).agg(F.collect_set(F.struct("start", "n_lines")).alias("cuts"))
+        marked = _with_cuts(keyed, cuts)
+    marked = _once(marked, "lines", F.split("text", "\n", -1))
+    covered = F.flatten(F.transform("cuts", lambda c: F.sequence(c["start"], c["start"] + c["n_lines"] - 1)))
+    marked = _once(marked, "gone", F.array_distinct(covered))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    untouched = F.coalesce(F.size("cuts") <= 0, F.lit(True))
+    return marked.select(
+        "doc_id", F.size("lines").alias("n_lines"),
+        F.when(untouched, 0).otherwise(F.size("cuts")).alias("n_removed_chunks"),
+        F.when(untouched, 0).otherwise(F.size("gone")).alias("n_removed_lines"),
+        F.when(untouched, F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")).alias("text"))
 
 
 def _repeats(found: DataFrame, apart: Column) -> DataFrame:
@@ -87,37 +190,9 @@ def _repeats(found: DataFrame, apart: Column) -> DataFrame:
     return repeats.distinct()
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, every: int = EVERY, digest_chars: int = 32) -> DataFrame:
-    """doc_id, n_lines, n_removed_chunks, n_removed_lines and the text that is left.
-
-    Lines end at "\\n". A null text counts as empty; an empty text is one empty line and keeps
-    it. Single lines that form a chunk are never removed, however often they occur. Rows equal
-    in doc_id and text are one occurrence, so neither loses anything to the other; rows that
-    share a doc_id with different texts are judged separately. An empty table gives an empty
-    table; further columns are ignored. ``digest_chars`` shortens the digest; chunks with one
-    digest and different bytes are still told apart.
-    """
-    here = F.struct("doc_id", "text_md5", "start")
-    repeats = _repeats(chunks(docs, window, every, digest_chars), here != F.col("stays"))
-    cuts = repeats.groupBy("doc_id", "text_md5").agg(F.collect_list(F.struct("start", "n_lines")).alias("cuts"))
-    keyed = documents_of(docs).withColumn("text_md5", F.md5(F.col("text").cast("binary")))
-    lines = F.split("text", "\n", -1)
-    marked = _once(keyed.join(cuts, ["doc_id", "text_md5"], "left"), "lines", lines)
-    gone = F.flatten(F.transform("cuts", lambda c: F.sequence(c["start"], c["start"] + c["n_lines"] - 1)))
-    marked = _once(marked, "gone", gone)
-    gone, stay = F.col("gone"), F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
-    untouched = F.col("cuts").isNull()
-    return marked.select(
-        "doc_id", F.size("lines").alias("n_lines"),
-        F.when(untouched, 0).otherwise(F.size("cuts")).alias("n_removed_chunks"),
-        F.when(untouched, 0).otherwise(F.size(gone)).alias("n_removed_lines"),
-        F.when(untouched, F.col("text")).otherwise(kept).alias("text"))
-
-
 def line_pairs(docs: DataFrame, digest_chars: int) -> DataFrame:
-    """The columns of `chunks`, one row per pair of neighbouring lines that aren't blank. Blank
-    lines between the two belong to the pair."""
+    """The columns of `chunk_places` and the bytes as ``chunk``, one row per pair of neighbouring
+    lines that aren't blank. Blank lines between the two belong to the pair."""
     lined = documents_of(docs).filter(F.contains("text", F.lit("\n")))
     lined = _once(lined.withColumn("text_md5", F.md5(F.col("text").cast("binary"))), "lines", F.split("text", "\n", -1)).drop("text")
     lined = _once(lined, "full", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("lines", i).rlike(r"\S")))

@@ -2,44 +2,48 @@
 
 from __future__ import annotations
 
-from .line_dedup import EVERY, WINDOW
 from .mixing import STEPS
 
-_ROLLED = " + ".join(f"coalesce(list_extract(hashes, (i - {back})::int + 1), 0) * {31**back}" if back == 0 else
-                     f"(case when i >= {back} then list_extract(hashes, (i - {back})::int + 1) else 0 end) * {31**back}"
-                     for back in range(WINDOW))
-
-OP2 = f"""
+OP2 = """
 with docs as (
-  select doc_id, coalesce(text, '') as text, md5(coalesce(text, '')) as text_md5,
+  select distinct doc_id, coalesce(text, '') as text, md5(coalesce(text, '')) as text_md5,
          string_split(coalesce(text, ''), chr(10)) as lines
   from documents),
-hashed as (
-  select *, list_transform(lines, lambda x: ('0x' || substr(md5(x), 1, 8))::bigint) as hashes from docs),
 numbered as (
-  select doc_id, text_md5, lines, hashes, unnest(range(0, len(lines))) as i from hashed),
-ends as (
-  select doc_id, text_md5, lines, i as stop from numbered
-  where i = len(lines) - 1 or (({_ROLLED}) % {EVERY}) = 0),
-pieces as (
-  select doc_id, text_md5, lines, coalesce(lag(stop) over (partition by doc_id, text_md5 order by stop) + 1, 0) as start, stop
-  from (select distinct * from ends)),
+  select doc_id, text_md5, unnest(lines) as line, unnest(range(0, len(lines))) as i from docs),
+hashed as (
+  select doc_id, text_md5, i, ('0x' || substr(md5(line), 1, 8))::bigint as h from numbered where regexp_matches(line, '[^ \\t\\r\\f\\x0B]')),
+windows as (
+  select doc_id, text_md5, i, lag(i) over w as before, h, h + 31 * lag(h) over w as h2
+  from hashed window w as (partition by doc_id, text_md5 order by i)),
+classes as (
+  select doc_id, text_md5, i as b, i as e, bit as rule, (h >> bit) & 1 as kind from windows, range(0, 3) r(bit)
+  union all
+  select doc_id, text_md5, before, i, 3, h2 & 1 from windows where before is not null),
+spans as (
+  select doc_id, text_md5, lag(b) over (partition by doc_id, text_md5, rule, kind order by e) as start, e from classes),
 chunks as (
-  select doc_id, text_md5, start, stop - start + 1 as n_lines, array_to_string(lines[start + 1 : stop + 1], chr(10)) as chunk
-  from pieces where stop > start),
-ranked as (
-  select *, row_number() over (partition by chunk order by doc_id, text_md5, start) as nth from chunks),
+  select distinct doc_id, text_md5, start, e - start + 1 as n_lines, array_to_string(lines[start + 1 : e + 1], chr(10)) as chunk
+  from spans join docs using (doc_id, text_md5) where start is not null),
+firsts as (
+  select *, first_value(doc_id) over w as d0, first_value(text_md5) over w as m0, first_value(start) over w as s0
+  from chunks window w as (partition by chunk order by doc_id, text_md5, start)),
+cut as (
+  select doc_id, text_md5, start, n_lines from firsts where not (doc_id = d0 and text_md5 = m0 and start - s0 < n_lines)),
 gone as (
-  select doc_id, text_md5, unnest(range(start, start + n_lines)) as i from ranked where nth > 1),
+  select distinct doc_id, text_md5, unnest(range(start, start + n_lines)) as i from cut),
 counts as (
-  select doc_id, text_md5, count(*) as n_chunks, sum(n_lines) as n_gone from ranked where nth > 1 group by all),
+  select doc_id, text_md5, count(*) as n_chunks from cut group by all),
+lost as (
+  select doc_id, text_md5, count(*) as n_gone from gone group by all),
 kept as (
-  select n.doc_id, n.text_md5, string_agg(n.lines[n.i + 1], chr(10) order by n.i) as text
-  from (select distinct * from numbered) n anti join gone g on n.doc_id = g.doc_id and n.text_md5 = g.text_md5 and n.i = g.i
+  select n.doc_id, n.text_md5, string_agg(n.line, chr(10) order by n.i) as text
+  from numbered n anti join gone g on n.doc_id = g.doc_id and n.text_md5 = g.text_md5 and n.i = g.i
   group by all)
-select d.doc_id, len(d.lines) as n_lines, coalesce(c.n_chunks, 0) as n_removed_chunks, coalesce(c.n_gone, 0) as n_removed_lines,
-       md5(coalesce(k.text, '')) as kept_md5
-from docs d left join counts c using (doc_id, text_md5) left join kept k using (doc_id, text_md5)
+select d.doc_id, len(string_split(coalesce(d.text, ''), chr(10))) as n_lines, coalesce(c.n_chunks, 0) as n_removed_chunks,
+       coalesce(l.n_gone, 0) as n_removed_lines, md5(coalesce(k.text, '')) as kept_md5
+from (select *, md5(coalesce(text, '')) as text_md5 from documents) d left join counts c using (doc_id, text_md5)
+left join lost l using (doc_id, text_md5) left join kept k using (doc_id, text_md5)
 """
 
 OP3 = """

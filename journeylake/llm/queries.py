@@ -27,7 +27,7 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_line_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """All repeated blocks of two or more lines; op2_line_dedup keeps to the chunks of its SQL."""
+    """All repeated blocks of two or more lines, which the recall of op2_line_dedup is measured against."""
     out = line_dedup.dedup_line_blocks(_table(spark, folder, "documents"))
     return out.select("doc_id", "n_lines", "n_removed_lines", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 

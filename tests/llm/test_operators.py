@@ -83,6 +83,59 @@ def test_line_dedup(spark, odd, none):
     assert len(whole) == len(ODD) and line_dedup.dedup_lines(none).count() == 0
 
 
+def line_chunks(rows):
+    """Brute force of dedup_lines: (doc_id, chunks removed, lines removed, text left), sorted."""
+    texts = sorted({(i if i is not None else -1, hashlib.md5((t or "").encode()).hexdigest(), t or "") for i, t in rows})
+    spans, first = {}, {}
+    for i, md5, t in texts:
+        lines = t.split("\n")
+        full = [k for k, x in enumerate(lines) if x.strip(" \t\r\x0b\x0c")]
+        h = [int(hashlib.md5(lines[k].encode()).hexdigest()[:8], 16) for k in full]
+        found = set()
+        for window, bit in line_dedup.RULES:
+            last = {}
+            for j in range(window - 1, len(full)):
+                kind = sum(h[j - back] * 31**back for back in range(window)) >> bit & 1
+                if kind in last:
+                    found.add((full[last[kind] - window + 1], full[j]))
+                last[kind] = j
+        spans[i, t] = [(a, b, "\n".join(lines[a : b + 1])) for a, b in sorted(found)]
+        for a, b, chunk in spans[i, t]:
+            first.setdefault(chunk, (i, t, a))
+    out = []
+    for i, t in rows:
+        here = (i if i is not None else -1, t or "")
+        cut = [(a, b) for a, b, c in spans[here] if first[c][:2] != here or a - first[c][2] >= b - a + 1]
+        gone = {k for a, b in cut for k in range(a, b + 1)}
+        out.append((repr(i), len(cut), len(gone), "\n".join(x for k, x in enumerate((t or "").split("\n")) if k not in gone)))
+    return sorted(out)
+
+
+def test_line_dedup_against_brute_force(spark, odd, none):
+    rng = random.Random(6)
+    wild = ["\n".join(rng.choice(["a", "b", "c", "d", "", " ", "e", "f", "g"]) for _ in range(rng.randint(1, 12))) for _ in range(80)]
+    wild_ids = [None if i % 20 == 7 else i // 2 for i in range(80)]
+    for docs, ids, texts in ((frame(spark, wild, wild_ids), wild_ids, wild), (odd, IDS, ODD)):
+        for chars in (32, 1):
+            out = line_dedup.dedup_lines(docs, digest_chars=chars).collect()
+            assert sorted((repr(r.doc_id), r.n_removed_chunks, r.n_removed_lines, r.text) for r in out) == line_chunks(list(zip(ids, texts)))
+
+
+def test_line_dedup_finds_short_blocks(spark):
+    """Passages of 2 to 7 lines between other lines: three or more lines always lose some, and
+    most lines of all repeated blocks go."""
+    passages = [[prose(5000 + 10 * p + k, 6) for k in range(2 + p % 6)] for p in range(120)]
+    around = lambda p, k: [prose(9000 + 4 * p + k, 5)]
+    texts = ["\n".join(around(p, 0) + x + around(p, 1)) for p, x in enumerate(passages)]
+    texts += ["\n".join(around(p, 2) + x + around(p, 3)) for p, x in enumerate(passages)]
+    docs = frame(spark, texts)
+    got = {r.doc_id: r.n_removed_lines for r in line_dedup.dedup_lines(docs).collect()}
+    every = {r.doc_id: r.n_removed_lines for r in line_dedup.dedup_line_blocks(docs).collect()}
+    assert all(got[p] == 0 for p in range(120)) and all(got[120 + p] <= every[120 + p] == len(x) for p, x in enumerate(passages))
+    assert all(got[120 + p] >= 2 for p, x in enumerate(passages) if len(x) >= 3)
+    assert sum(got.values()) >= 0.9 * sum(every.values())
+
+
 def line_blocks(rows):
     """Brute force of dedup_line_blocks: (doc_id, lines removed, text left), sorted."""
     first, out = {}, []
