@@ -137,18 +137,19 @@ class Bound:
 
     @cached
     def fact(self) -> DataFrame:
-        """Engagement fact; events whose id is a multiple of 50 have no known job key."""
+        """Engagement fact; events whose id is a multiple of 50 have no known job key. Job ids
+        are 107, 114, … 163, so that none is a stage number or a job key."""
         kind = (
             "case event_type when 'signup' then 'SENT' when 'view' then 'OPEN' when 'click' then 'CLICK' "
             "when 'error' then 'BOUNCE' else if(event_id % 5 = 0, 'SPAM', 'UNSUBSCRIBE') end"
         )
         base = self.read("events").selectExpr(
             "event_id", f"format_string('{fv.MASTER_ID_FORMAT}', user_id) as subscriber_key",
-            "cast(event_id % 9 + 1 as int) as job_id", "ts as event_timestamp", f"{kind} as event_type", "value",
+            "cast(event_id % 9 * 7 + 107 as int) as job_id", "ts as event_timestamp", f"{kind} as event_type", "value",
             "cast(get_json_object(props, '$.k') as int) as k",
         )
         return base.selectExpr(
-            "event_id", "subscriber_key", "job_id", "if(event_id % 50 <> 0, job_id, null) as job_key", "event_timestamp",
+            "event_id", "subscriber_key", "job_id", "if(event_id % 50 <> 0, cast(event_id % 9 + 1 as int), null) as job_key", "event_timestamp",
             "year(event_timestamp) * 10000 + month(event_timestamp) * 100 + day(event_timestamp) as date_key",
             "event_type", "k % 2 = 0 as is_unique", "event_type in ('UNSUBSCRIBE', 'SPAM') as is_suppressed",
             "case event_type when 'UNSUBSCRIBE' then 'UNSUBSCRIBE_EVENT' when 'SPAM' then 'SPAM_EVENT' end as suppression_reason",
@@ -159,7 +160,7 @@ class Bound:
     def jobs(self) -> DataFrame:
         return star.email_map(self.spark).groupBy("stage_number", "journey_code", "stage_name").agg(
             F.min("email_name").alias("email_name")
-        ).selectExpr("stage_number as job_key", "stage_number as job_id", "journey_code as journey_type",
+        ).selectExpr("stage_number as job_key", "cast(stage_number * 7 + 100 as int) as job_id", "journey_code as journey_type",
                      "stage_name as mapped_stage", "email_name")
 
     @cached
@@ -203,8 +204,8 @@ class Bound:
         latest = [f"max(event_date) filter (where sent_stage = {s[0]}) as d{s[0]}" for s in fv.STAGES]
         events = self.fact().selectExpr(
             "subscriber_key", "cast(event_timestamp as date) as event_date", "event_timestamp",
-            "if(event_type = 'SENT', job_id, null) as sent_stage",
-            "event_type = 'UNSUBSCRIBE' and job_id <= 2 as early_unsubscribe",
+            "if(event_type = 'SENT', cast(event_id % 9 + 1 as int), null) as sent_stage",
+            "event_type = 'UNSUBSCRIBE' and event_id % 9 < 2 as early_unsubscribe",
         )
         per = events.groupBy("subscriber_key").agg(
             *[F.expr(e) for e in latest],

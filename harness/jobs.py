@@ -170,7 +170,7 @@ def _job_inputs(b: Bound) -> tuple[DataFrame, DataFrame]:
         F.col("event_timestamp").alias("_loaded_at"), F.col("event_id").alias("_source_row_number"))
     # Shifted ids: the first two jobs stand in one table only, and so do two more in the other.
     opened = e.filter("event_type = 'OPEN'").select(
-        F.when(F.col("k") % 5 == 0, "x").otherwise((F.col("job_id") + 2).cast("string")).alias("job_id"), "email_name",
+        F.when(F.col("k") % 5 == 0, "x").otherwise((F.col("job_id") + 14).cast("string")).alias("job_id"), "email_name",
         F.concat(F.lit("Detail "), F.col("k").cast("string"), F.lit("  ")).alias("email_subject"),
         F.col("event_timestamp").alias("_loaded_at"), F.col("event_id").alias("_source_row_number"))
     return sent, opened
@@ -185,7 +185,7 @@ def _dim_job(b: Bound) -> DataFrame:
 def _engagement_fact(b: Bound) -> DataFrame:
     people = b.dim_prospect().select(
         "master_patient_id", F.substring("master_patient_id", 4, 10).cast("bigint").alias("prospect_key"))
-    jobs = b.jobs().filter("job_id <> 9").select("job_id", "job_key")
+    jobs = b.jobs().filter("job_key <> 9").select("job_id", "job_key")
     return star.fact_engagement(b.raw_event_tables(), b.journey_details(), people, jobs, star.engagement_types(b.spark))
 
 

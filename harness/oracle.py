@@ -86,7 +86,7 @@ BASE: dict[str, str] = {
         from events""",
     "fact": """
         select event_id, 'FIP' || lpad(cast(user_id as varchar), 10, '0') subscriber_key,
-          cast(event_id % 9 + 1 as integer) job_id,
+          cast(event_id % 9 * 7 + 107 as integer) job_id,
           case when event_id % 50 <> 0 then cast(event_id % 9 + 1 as integer) end job_key,
           ts event_timestamp, cast(strftime(ts, '%Y%m%d') as integer) date_key, kind event_type, k % 2 = 0 is_unique,
           kind in ('UNSUBSCRIBE','SPAM') is_suppressed,
@@ -120,9 +120,9 @@ BASE: dict[str, str] = {
           unsubs > 0 suppressed
         from (select subscriber_key, cast(substr(subscriber_key, 4) as bigint) uid, max(event_timestamp) loaded,
                 """ + ", ".join(
-                    f"max(case when event_type = 'SENT' and job_id = {n} then event_timestamp::date end) d{n}"
+                    f"max(case when event_type = 'SENT' and job_id = {n * 7 + 100} then event_timestamp::date end) d{n}"
                     for n in range(1, 10)) + """,
-                count(*) filter (event_type = 'UNSUBSCRIBE' and job_id <= 2) unsubs
+                count(*) filter (event_type = 'UNSUBSCRIBE' and job_id <= 114) unsubs
               from fact group by 1)""",
     "stages": """
         select prospect_id, suppressed, n stage_number, upper(trim(flag)) = 'TRUE' sent, d sent_date from (
@@ -331,11 +331,11 @@ RAW: dict[str, str] = {
     "engagement_stats_raw": """
         select coalesce(journey_type, 'Unknown Journey') journey_type, coalesce(mapped_stage, 'Unknown Stage') stage, event_type,
           count(*) event_count, count(distinct subscriber_key) unique_subscribers
-        from fact f left join jobs j on f.job_id = j.job_key group by 1, 2, 3""",
+        from fact f left join jobs j on f.job_id = j.job_key * 7 + 100 group by 1, 2, 3""",
     "engagement_stats_fallback": """
         select coalesce(journey_type, 'Unknown Journey') journey_type, coalesce(mapped_stage, 'Unknown Stage') stage, event_type,
           count(*) event_count, count(distinct subscriber_key) unique_subscribers
-        from fact f left join jobs j on f.job_id = j.job_key group by 1, 2, 3""",
+        from fact f left join jobs j on f.job_id = j.job_key * 7 + 100 group by 1, 2, 3""",
     "engagement_pivot": """
         select event_type, count(*) filter (journey_type = 'J01_Welcome') "J01_Welcome", count(*) filter (journey_type = 'J02_Nurture') "J02_Nurture",
           count(*) filter (journey_type = 'J03_Conversion') "J03_Conversion", count(*) filter (journey_type = 'J04_ReEngagement') "J04_ReEngagement"
@@ -439,7 +439,7 @@ RAW: dict[str, str] = {
         with due as (select prospect_id, suppressed, to_stage, cast(sent_date + wait_days as date) expected_date
                      from stages join waits on stage_number = from_stage where sent and sent_date is not null),
         m as (select to_stage, expected_date, suppressed,
-            exists (select 1 from fact f where f.event_type='SENT' and f.subscriber_key = due.prospect_id and f.job_id = due.to_stage
+            exists (select 1 from fact f where f.event_type='SENT' and f.subscriber_key = due.prospect_id and f.job_id = due.to_stage * 7 + 100
                     and f.event_timestamp::date = due.expected_date) was_sent,
             exists (select 1 from rejects r where r.rejection_reason = 'FATAL_ERROR' and r.j_prospect = due.prospect_id) fatal,
             exists (select 1 from fact f where f.event_type='BOUNCE' and f.subscriber_key = due.prospect_id and f.event_timestamp::date <= due.expected_date) bounced,
@@ -480,9 +480,9 @@ RAW: dict[str, str] = {
         select st.path, stage_number, reached, dropped, entered, completed, avg_days avg_days_in_journey
         from st join (select * from hi union all select * from lo) p on p.path = st.path""",
     "map_email_to_stage": """
-        select job_key job_id, email_name, journey_type journey_code, mapped_stage stage_name, job_key stage_number,
+        select cast(job_key * 7 + 100 as integer) job_id, email_name, journey_type journey_code, mapped_stage stage_name, job_key stage_number,
           email_name like '%\\_Resend' escape '\\' is_resend, n event_count
-        from jobs join (select job_id, count(*) n from fact group by 1) on job_id = job_key""",
+        from jobs join (select job_id, count(*) n from fact group by 1) on job_id = job_key * 7 + 100""",
     # --- prospects, outbound -------------------------------------------------------------
     "trace_prospect": """
         select * from (

@@ -197,16 +197,16 @@ RAW_JOBS: dict[str, str] = {
         from prospects p left join people d on d.master_patient_id = p.master_patient_id left join chan on channel_name = p.channel
         left join geo g on g.city = p.city and g.state = p.state and g.zip_code = p.zip_code where p.channel <> '5-LOW'""",
     "dim_job": """
-        with m as (select f.job_id, case when k % 3 = 0 then '' else email_name end nm, concat('Subject ', k) subj from fact f join jobs j on j.job_key = f.job_id
+        with m as (select f.job_id, case when k % 3 = 0 then '' else email_name end nm, concat('Subject ', k) subj from fact f join jobs j on j.job_key * 7 + 100 = f.job_id
             where event_type = 'SENT' qualify row_number() over (partition by f.job_id order by event_timestamp desc, event_id desc) = 1),
-        d as (select f.job_id + 2 job_id, email_name nm, concat('Detail ', k) subj from fact f join jobs j on j.job_key = f.job_id
+        d as (select f.job_id + 14 job_id, email_name nm, concat('Detail ', k) subj from fact f join jobs j on j.job_key * 7 + 100 = f.job_id
             where event_type = 'OPEN' and k % 5 <> 0 qualify row_number() over (partition by f.job_id order by event_timestamp desc, event_id desc) = 1),
         b as (select coalesce(m.job_id, d.job_id) job_id, coalesce(nullif(m.nm, ''), d.nm) email_name, coalesce(m.subj, d.subj) email_subject from m full outer join d on m.job_id = d.job_id)
         select row_number() over (order by b.job_id) job_key, b.job_id, journey_type, mapped_stage, b.email_name, email_subject, 'JOB' record_type
         from b left join jobs j on j.email_name = b.email_name""",
     "fact_engagement": f"""
         with {_ENGAGED}
-        select subscriber_key, master_patient_id, prospect_key, case when job_id <> 9 then job_id end job_key, event_type_key, date_key, job_id, event_timestamp, event_type,
+        select subscriber_key, master_patient_id, prospect_key, case when job_id <> 163 then (job_id - 100) // 7 end job_key, event_type_key, date_key, job_id, event_timestamp, event_type,
           domain, is_unique, click_url, bounce_category, bounce_type, reason, account_id, record_type, source_file_name, is_suppressed, suppression_reason from en""",
     "events_through_layers": f"""
         with {_ENGAGED}
@@ -249,7 +249,7 @@ RAW_JOBS: dict[str, str] = {
           union all select 'valid_lead_promoted_to_prospect', 0
           union all select 'lead_to_prospect_balance', case when (select count(*) from leads) >= (select count(*) from prospects) + (select count(*) from refused) then 0 else 1 end
           union all select 'send_balance', case when (select count(*) from stages where sent and sent_date is not null and stage_number <= 8)
-            >= (select count(distinct (subscriber_key, job_id)) from fact where event_type = 'SENT' and job_id >= 2)
+            >= (select count(distinct (subscriber_key, job_id)) from fact where event_type = 'SENT' and job_id >= 114)
              + (select count(*) from blocked) then 0 else 1 end
           union all select 'delivery_balance', case when s >= d + b then 0 else 1 end from f
           union all select 'engagement_balance', case when d >= o and o >= uo then 0 else 1 end from f
