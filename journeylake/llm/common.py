@@ -30,12 +30,12 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, and read again by
     every later branch, also after an executor is lost."""
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

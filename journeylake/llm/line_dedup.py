@@ -9,8 +9,8 @@ it stands. Of three neighbouring lines two are in one class, so a repeated block
 lines always holds a whole chunk. Two lines alone do unless all rules put them apart.
 
 Chunks are grouped by digest and bytes over all documents; of equal chunks the first occurrence
-stays, by doc_id, text digest and line number. Only digests and places are shuffled first; bytes
-follow for digests that occur twice. A chunk with very many copies is one row per task before
+stays, by doc_id, text digest and line number. Only digests and places are shuffled first; for
+digests that occur twice the bytes follow, line by line. A chunk with very many copies is one row per task before
 the shuffle of groups, and its occurrences meet one row in a join that adaptive execution can
 split.
 
@@ -20,7 +20,7 @@ repeated block of two or more lines is made of, and leaves none.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add
 
@@ -115,6 +115,29 @@ def _with_cuts(keyed: DataFrame, cuts: DataFrame) -> DataFrame:
     return keyed.alias("d").join(cuts.alias("c"), same, "left").select("d.*", "c.cuts")
 
 
+def _mixed_digests(several: DataFrame, line_hash: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """The digests in ``cuts`` that chunks of different bytes may share.
+
+    Chunks of several rules overlap, so their bytes are compared line by line: each line is sent
+    once for its document, to show that no hash stands for two lines, and a chunk is the list of
+    its lines' hashes. Digests of chunks with a hash that does stand for two lines count as shared."""
+    hashed = _once(several, "hashes", F.transform("lines", lambda line: line_hash(line)))
+    hashed = _once(hashed, "covered", F.array_distinct(F.flatten(F.transform(
+        "cuts", lambda c: F.sequence(c["start"], c["start"] + c["n_lines"] - 1)))))
+    lines = hashed.select(F.explode(F.transform("covered", lambda i: F.struct(
+        F.get("hashes", i).alias("hash"), F.get("lines", i).alias("line")))).alias("l")).select("l.*")
+    distinct = lines.groupBy("hash", "line").agg(F.count(F.lit(1)).alias("copies"))
+    clash = written(distinct.groupBy("hash").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("hash"), "line-clash")
+    chunks = hashed.select(F.explode(F.transform("cuts", lambda c: F.struct(
+        c["digest"].alias("digest"), F.slice("hashes", c["start"] + 1, c["n_lines"]).alias("hashes")))).alias("p")).select("p.*")
+    kinds = chunks.groupBy("digest", "hashes").agg(F.count(F.lit(1)).alias("copies"))
+    shared = kinds.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest")
+    if not clash.isEmpty():
+        unsure = kinds.select("digest", F.explode("hashes").alias("hash")).join(clash, "hash", "left_semi").select("digest")
+        shared = shared.union(unsure).distinct()
+    return written(shared, "line-mixed")
+
+
 def dedup_lines(docs: DataFrame, rules: Sequence[tuple[int, int]] = RULES, digest_chars: int = 32) -> DataFrame:
     """doc_id, n_lines, n_removed_chunks, n_removed_lines and the text that is left.
 
@@ -137,24 +160,29 @@ def dedup_lines(docs: DataFrame, rules: Sequence[tuple[int, int]] = RULES, diges
     cuts = _later(found, first, ["digest"]).groupBy(*key).agg(
         F.collect_set(F.struct("start", "n_lines", "digest", "repeat")).alias("cuts"))
     keyed = documents_of(docs).withColumn("text_md5", F.unhex(F.md5(F.col("text").cast("binary"))))
-    marked = written(_with_cuts(keyed, cuts), "line-marked")
+    # A text of one line has no chunk, so it needs no look for cuts.
+    many = F.contains("text", F.lit("\n"))
+    lined = keyed.filter(many)
+    marked = written(_with_cuts(lined, cuts), "line-marked", "zstd")
 
     # The comparison of bytes, only of chunks whose digest occurs twice.
     several = _once(marked.filter("cuts is not null"), "lines", F.split("text", "\n", -1)).drop("text")
-    several = several.select(*key, F.explode(F.transform("cuts", lambda c: F.struct(
-        c["start"].alias("start"), c["n_lines"].alias("n_lines"), c["digest"].alias("digest"), _chunk(c["start"], c["n_lines"]).alias("chunk")))).alias("p"))
-    several = several.select(*key, "p.*")
-    kinds = several.groupBy("digest", "chunk").agg(F.count(F.lit(1)).alias("copies")).drop("chunk")
-    mixed = written(kinds.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest"), "line-mixed")
+    mixed = _mixed_digests(several)
     marked = marked.withColumn("cuts", F.filter("cuts", lambda c: c["repeat"]))
     if not mixed.isEmpty():
         # Different texts with one digest: these are told apart by the bytes themselves.
-        apart = several.join(mixed, "digest", "left_semi")
+        chunks = several.select(*key, F.explode(F.transform("cuts", lambda c: F.struct(
+            c["start"].alias("start"), c["n_lines"].alias("n_lines"), c["digest"].alias("digest"), _chunk(c["start"], c["n_lines"]).alias("chunk")))).alias("p"))
+        apart = chunks.select(*key, "p.*").join(mixed, "digest", "left_semi")
         first = written(apart.groupBy("digest", "chunk").agg(F.min(here).alias("stays")), "line-firsts")
         exact = _later(apart, first, ["digest", "chunk"]).filter("repeat").select(*key, "start", "n_lines")
         plain = marked.select(*key, F.explode("cuts").alias("c")).select(*key, "c.*").join(mixed, "digest", "left_anti")
         cuts = plain.select(*key, "start", "n_lines").union(exact).groupBy(*key).agg(F.collect_set(F.struct("start", "n_lines")).alias("cuts"))
-        marked = _with_cuts(keyed, cuts)
+        marked = _with_cuts(lined, cuts)
+    else:
+        marked = marked.withColumn("cuts", F.transform("cuts", lambda c: F.struct(c["start"].alias("start"), c["n_lines"].alias("n_lines"))))
+    alone = keyed.filter(~many).withColumn("cuts", F.lit(None).cast("array<struct<start int, n_lines int>>"))
+    marked = marked.unionByName(alone)
     marked = _once(marked, "lines", F.split("text", "\n", -1))
     covered = F.flatten(F.transform("cuts", lambda c: F.sequence(c["start"], c["start"] + c["n_lines"] - 1)))
     marked = _once(marked, "gone", F.array_distinct(covered))

@@ -171,6 +171,16 @@ def test_line_blocks(spark, odd, none):
     assert line_dedup.dedup_line_blocks(none).count() == 0
 
 
+def test_line_digests_shared_by_different_bytes(spark):
+    """Lines are sent once for their document, and hashes that stand for two lines are noticed."""
+    rows = [(["a", "b", "c"], [(0, 2, "x"), (1, 2, "y")]), (["a", "b", "d"], [(0, 2, "x"), (1, 2, "y")]), (["b", "c"], [(0, 2, "z")])]
+    several = spark.createDataFrame(rows, "lines array<string>, cuts array<struct<start int, n_lines int, digest string>>")
+    assert [r.digest for r in line_dedup._mixed_digests(several).collect()] == ["y"]
+    # One hash for "c" and "d": the lists are equal, the bytes are not.
+    rough = line_dedup._mixed_digests(several, lambda line: F.least(F.ascii(line), F.lit(99)).cast("long"))
+    assert sorted(r.digest for r in rough.collect()) == ["y", "z"]
+
+
 # 3
 def test_exact_dedup(odd, none):
     groups = collections.defaultdict(list)
