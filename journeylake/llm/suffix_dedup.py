@@ -7,7 +7,8 @@ of a corpus in one place:
 1. Classes. The gram of a window with the smallest hash is its anchor. Equal windows have equal
    anchors at the same offset, so they fall into one class, the anchor's bytes. Runs of windows
    with one anchor are segments. Classes with one segment hold no repeat and go, exactly.
-2. Suffix order. The segments of a class, equal ones only once, come to one task together. It
+2. Suffix order. The segments of a class, equal ones only once, come to one task together.
+   Those that agree with no other over half a window beside the anchor go, exactly. It
    sorts their suffixes by the difference-cover algorithm: name the triples at positions 1 and
    2 modulo 3 in sorted order, recurse on the names until they are unique or cover a whole
    window, sort the remaining suffixes by their first symbol and the rank behind it, merge.
@@ -23,12 +24,13 @@ before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import documents_of, mixed, shuffle_width, slices, text_bytes, written
+from .common import SLICE_BYTES, documents_of, mixed, shuffle_width, slices, text_bytes, written
 
 LENGTH, GRAM = 200, 32
 #: Stands for a missing doc_id.
@@ -53,12 +55,24 @@ def suffix_order(x: np.ndarray, depth: int) -> np.ndarray:
         return np.array(sorted(range(n), key=lambda i: x[i:].tolist()), np.int64)
     x = np.concatenate([x.astype(np.int64), np.zeros(4, np.int64)])
     k = int(x.max()) + 1
+    if k <= 1 << 9:
+        # The symbols that occur, numbered in their order: few enough to name triples by a table.
+        used = np.zeros(k, bool)
+        used[x[:-4]] = True
+        x[:-4] = np.cumsum(used)[x[:-4]]
+        k = int(x.max()) + 1
     # The position n, an empty triple, keeps the two residues apart where the first ends on it.
     sample = np.concatenate([np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)])
     triple = (x[sample] * k + x[sample + 1]) * k + x[sample + 2]
-    names, name = np.unique(triple, return_inverse=True)
-    name = name.ravel() + 1
-    if len(names) < len(sample) and depth > 3:
+    if k**3 <= 4 * n:
+        used = np.zeros(k**3, bool)
+        used[triple] = True
+        name = np.cumsum(used)[triple]
+        names = int(name.max())
+    else:
+        names, name = np.unique(triple, return_inverse=True)
+        names, name = len(names), name.ravel() + 1
+    if names < len(sample) and depth > 3:
         order = suffix_order(name, -(-depth // 3))
         ranked = np.empty(len(sample), np.int64)
         ranked[order] = np.arange(1, len(sample) + 1)
@@ -95,9 +109,10 @@ def repeated_starts(contents: list[bytes], starts: list[int], length: int) -> li
     order = suffix_order(symbols, length)
     order = order[valid[order]]
     p, q = order[:-1], order[1:]
-    eights = np.lib.stride_tricks.sliding_window_view(data, 8)
+    # The eight bytes from every position on as one number.
+    eights = np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), strides=(1,)).copy()
     for at in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
-        same = (eights[p + at] == eights[q + at]).all(axis=1)
+        same = eights[p + at] == eights[q + at]
         p, q = p[same], q[same]
     found = np.zeros(len(symbols), bool)
     found[p] = found[q] = True
@@ -112,13 +127,26 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+#: Powers of the base and of its inverse that a worker keeps; longer texts make their own.
+KEPT_POWERS = SLICE_BYTES + 1
+
+
+@cache
+def _kept_powers(base: int) -> np.ndarray:
+    return _powers(base, KEPT_POWERS)
+
+
+def _first_powers(base: int, n: int) -> np.ndarray:
+    return _kept_powers(base)[:n] if n <= KEPT_POWERS else _powers(base, n)
+
+
 class Bytes:
     """Hashes of any substring of ``data``, by differences of a running sum."""
 
     def __init__(self, data: np.ndarray):
         self.total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_VALUE64[data] * _powers(_BASE, len(data)), out=self.total[1:])
-        self.inverse = _powers(pow(_BASE, -1, 1 << 64), len(data) + 1)
+        np.cumsum(_VALUE64[data] * _first_powers(_BASE, len(data)), out=self.total[1:])
+        self.inverse = _first_powers(pow(_BASE, -1, 1 << 64), len(data) + 1)
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self.total[end] - self.total[start]) * self.inverse[start] + mixed((end - start).astype(np.uint64)))
@@ -148,24 +176,23 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> t
         return (np.zeros(0, np.int64),) * 5
     at = anchors(data, length, gram)
     n = len(at)
-    # Windows that reach into the next text don't count.
-    fits = np.ones(n + length, bool)
-    for end in offsets[1:]:
-        fits[max(0, end - length + 1) : end] = False
-    fits = fits[:n]
-    text = np.searchsorted(offsets, np.arange(n), "right") - 1 if len(offsets) > 2 else np.zeros(n, np.int64)
     change = np.ones(n + 1, bool)
-    change[1:n] = (at[1:] != at[:-1]) | (fits[1:] != fits[:-1]) | (text[1:] != text[:-1])
+    change[1:n] = at[1:] != at[:-1]
+    # Windows that reach into the next text don't count.
+    beyond = offsets[1:] - length + 1
+    edges = np.concatenate([offsets, beyond[beyond > offsets[:-1]]])
+    change[edges[edges < n]] = True
     begin = np.flatnonzero(change)
     run, begin = np.diff(begin), begin[:-1]
-    own = fits[begin]
-    begin, run = begin[own], run[own]
+    text = np.searchsorted(offsets, begin, "right") - 1
+    own = begin + length <= offsets[text + 1]
+    begin, run, text = begin[own], run[own], text[own]
     words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, gram)[at[begin]]).view(np.uint64)
     name = np.full(len(begin), gram, np.uint64)
     for w in words.T:
         name = mixed(name ^ w) * np.uint64(_BASE)
     content = Bytes(data).hash(begin, begin + run + length - 1) ^ mixed((at[begin] - begin).astype(np.uint64))
-    return text[begin], begin - offsets[text[begin]], run, mixed(name).view(np.int64), content.view(np.int64)
+    return text, begin - offsets[text], run, mixed(name).view(np.int64), content.view(np.int64)
 
 
 def _with_number(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,7 +208,8 @@ def _with_number(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndar
 def _segment_rows(docs: DataFrame, length: int, gram: int, names_only: bool) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets, number = _with_number(batch)
+            # Names alone belong to no text.
+            data, offsets, number = (*text_bytes(batch["text"]), None) if names_only else _with_number(batch)
             doc_id = batch["doc_id"].to_numpy()
             for i, j in slices(offsets):
                 part = segments(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length, gram)
@@ -217,22 +245,47 @@ _RANGES = "array<struct<s:int,e:int>>"
 _FOUND = f"name long, content long, run int, ranges {_RANGES}"
 
 
-def _ranges(found: np.ndarray) -> list[dict]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], found.view(np.int8), [0]])))
-    return [{"s": int(a), "e": int(b)} for a, b in zip(edge[::2], edge[1::2])]
+def _edges(found: np.ndarray) -> np.ndarray:
+    """Where runs of found windows begin and end, in turn."""
+    return np.flatnonzero(np.diff(np.concatenate([[0], found.view(np.int8), [0]]))).astype(np.int32)
 
 
-def _found_table(name: list, content: list, run: list, ranges: list) -> pa.Table:
-    kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+def _found_table(name: list, content: list, run: list, edges: list) -> pa.Table:
+    flat = np.concatenate([np.zeros(0, np.int32), *edges])
+    pairs = pa.StructArray.from_arrays([pa.array(flat[::2]), pa.array(flat[1::2])], ["s", "e"])
+    offsets = np.cumsum([0] + [len(e) // 2 for e in edges]).astype(np.int32)
     return pa.table({"name": pa.array(name, pa.int64()), "content": pa.array(content, pa.int64()),
-                     "run": pa.array(run, pa.int32()), "ranges": pa.array(ranges, kind)})
-
-
-def _sort_call(length: int):
+                     "run": pa.array(run, pa.int32()), "ranges": pa.ListArray.from_arrays(pa.array(offsets), pairs)})
+
+
+def _shared_sides(name: np.ndarray, contents: list[bytes], length: int, gram: int) -> np.ndarray:
+    """Which segments may share a window with another one of their class.
+
+    Equal windows hold the anchor at one offset, so at least half of their other bytes lie on one
+    side of it, next to it: two segments that share a window agree there. Hashes only keep
+    too many."""
+    half = (length - gram + 1) // 2
+    size = np.array([len(c) for c in contents])
+    end = np.cumsum(size)
+    begin = end - size
+    data = np.frombuffer(b"".join(contents), np.uint8)
+    anchor, hashes = anchors(data, length, gram)[begin], Bytes(data)
+    keep = np.zeros(len(contents), bool)
+    for start in (anchor - half, anchor + gram):
+        own = np.flatnonzero((start >= begin) & (start + half <= end))
+        side = hashes.hash(start[own], start[own] + half) ^ mixed(name[own].view(np.uint64))
+        _, at, seen = np.unique(side, return_inverse=True, return_counts=True)
+        keep[own] |= seen[at.ravel()] > 1
+    return keep
+
+
+def _sort_call(length: int, gram: int):
     """Sorts the suffixes of whole classes, several at a time, and compares neighbours."""
 
     def step(group: pa.Table) -> pa.Table:
         group = group.sort_by("name").combine_chunks()
+        keep = _shared_sides(group["name"].to_numpy(), [x.as_py() for x in group["bytes"]], length, gram)
+        group = group.filter(pa.array(keep)).combine_chunks()
         name, content, run = (group[c].to_numpy() for c in ("name", "content", "run"))
         raw = [x.as_py() for x in group["bytes"]]
         size = np.cumsum([len(x) + 1 for x in raw])
@@ -244,7 +297,7 @@ def _sort_call(length: int):
             end = int(ends[max(0, int(np.searchsorted(size[ends - 1], base + SORT_BYTES, "right")) - 1)])
             for i, hit in zip(range(begin, end), repeated_starts(raw[begin:end], run[begin:end].tolist(), length)):
                 if hit.any():
-                    out.append((name[i], content[i], run[i], _ranges(hit)))
+                    out.append((name[i], content[i], run[i], _edges(hit)))
             begin = end
         return _found_table(*zip(*out)) if out else _found_table([], [], [], [])
 
@@ -333,7 +386,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, clas
     total = classes.filter(F.col("bytes") <= class_bytes).agg(F.sum("bytes")).first()[0] or 0
     calls = max(shuffle_width(spark), -(-total // CALL_BYTES))
     found = (_contents(met.filter(F.col("bytes") <= class_bytes), docs, length, False)
-             .withColumn("call", F.pmod(F.xxhash64("name"), F.lit(calls))).groupBy("call").applyInArrow(_sort_call(length), _FOUND))
+             .withColumn("call", F.pmod(F.xxhash64("name"), F.lit(calls))).groupBy("call").applyInArrow(_sort_call(length, gram), _FOUND))
     found = written(found, "suffix-found")
     if not classes.filter(F.col("bytes") > class_bytes).isEmpty():
         pieces = _contents(met.filter(F.col("bytes") > class_bytes), docs, length, True).distinct()

@@ -281,6 +281,26 @@ def test_suffix_order():
             assert suffix_dedup.suffix_order(x, 10**6).tolist() == sorted(range(n), key=lambda i: x[i:].tolist())
 
 
+def test_suffix_sides_keep_every_shared_window():
+    """Segments that agree beside the anchor stay, others don't reach the suffix sort."""
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        texts = [bytes(rng.integers(97, 99, rng.integers(24, 120)).astype(np.uint8)) for _ in range(6)]
+        texts += [t[3:40] + bytes([120]) for t in texts]
+        data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+        text, start, run, name, _ = suffix_dedup.segments(data, offsets, 24, 8)
+        order = np.argsort(name, kind="stable")
+        text, start, run, name = (a[order] for a in (text, start, run, name))
+        contents = [texts[t][s : s + r + 23] for t, s, r in zip(text, start, run)]
+        keep = suffix_dedup._shared_sides(name, contents, 24, 8)
+        windows = [{c[i : i + 24] for i in range(r)} for c, r in zip(contents, run)]
+        seen = collections.Counter(w for ws in windows for w in ws)
+        assert all(keep[i] for i, ws in enumerate(windows) if any(seen[w] > 1 for w in ws))
+    anchor = bytes(range(200, 232))
+    apart = [bytes([65 + i]) * 100 + anchor + bytes([97 + i]) * 100 for i in range(3)]
+    assert not suffix_dedup._shared_sides(np.zeros(3, np.int64), apart, 200, 32).any()
+
+
 # 6
 def test_mixing(spark, odd, none):
     docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"),
