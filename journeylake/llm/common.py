@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import sys
 import tempfile
@@ -72,6 +73,14 @@ def drop_worker_caches() -> None:
     sys.modules.pop("_llm_worker_caches", None)
 
 
+def free_memory() -> None:
+    """Gives back to the system what this worker's earlier tasks have freed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string array in one piece and the n + 1 offsets into them."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import documents_of, worker_cache
+from .common import documents_of, free_memory, worker_cache
 
-#: Bytes of words and their ids, and of the objects around them, that a Python worker remembers.
-CACHED_BYTES, ENTRY_BYTES = 96 << 20, 200
+#: Bytes of words and their ids, and of the objects around them, that a Python worker remembers,
+#: and marks of words asked for once, which aren't remembered yet.
+CACHED_BYTES, ENTRY_BYTES, MARKS = 32 << 20, 200, 1 << 20
 POOL_ITEMS = 1024
 #: A text without such a character is unchanged by composing (NFC), lower-cased letter by letter
 #: and split at the same white space by Python and the tokenizer. No token spans white space,
@@ -37,14 +38,16 @@ PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^\\sa-zß-ö
 
 
 class WordIds(dict):
-    """Ids of lower-cased words, found when first asked for. Two generations: when the young
-    one is full it becomes the old one, and words still in use come back from there."""
+    """Ids of lower-cased words, remembered from the second time on, as most distinct words occur
+    once. Two generations: when the young one is full it becomes the old one, and words still in
+    use come back from there."""
 
     def __init__(self, tokenizer):
         super().__init__()
         from tokenizers import pre_tokenizers
 
         self.model, self.old, self.room = tokenizer.model, {}, CACHED_BYTES // 2
+        self.asked = bytearray(MARKS)
         self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
     def __missing__(self, word: str) -> bytes:
@@ -54,10 +57,14 @@ class WordIds(dict):
             if not word.isascii():
                 pieces = [self.as_bytes(p)[0][0] for p in pieces]
             ids = b"".join([t.id.to_bytes(4, "little") for p in pieces for t in self.model.tokenize(p)])
+            mark = hash(word) % MARKS
+            if not self.asked[mark]:
+                self.asked[mark] = 1
+                return ids
         self[word] = ids
         self.room -= len(word) + len(ids) + ENTRY_BYTES
         if self.room <= 0:
-            self.old, self.room = dict(self), CACHED_BYTES // 2
+            self.old, self.room, self.asked = dict(self), CACHED_BYTES // 2, bytearray(MARKS)
             self.clear()
         return ids
 
@@ -211,6 +218,7 @@ def pack_documents(
     prompt = F.coalesce(F.col(prompt_tokens), F.lit(0)) if prompt_tokens else F.lit(0)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
         words = WordTokenizer(tokenizer, end_id)
         packer = Packer(TaskContext.get().partitionId(), max_tokens, max_segments, max_loss)
         for batch in batches:
