@@ -4,6 +4,8 @@ grain only; the columns are ours."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -170,18 +172,24 @@ def document_vectors(docs: DataFrame, keywords: Sequence[str] = (), buckets: int
     """Term space of documents (id, text): counts of hashed words of the whole text. ``text``
     of the result holds those of ``keywords`` the document contains, so that no whole text is
     shuffled. A document without a word has no direction and no row."""
-    found = F.concat_ws(" ", *[F.when(contains_folded("text", w), F.lit(w)) for w in keywords], F.lit(""))
+    # Held keywords are bits of numbers: with strings in its rows Spark would sort all words to count them.
+    held = [[(w, F.when(contains_folded("text", w), 1 << j).otherwise(0).cast("long")) for j, w in enumerate(keywords[i : i + 62])]
+            for i in range(0, len(keywords), 62)]
+    marks = [reduce(add, [bit for _, bit in some]).alias(f"_held{i}") for i, some in enumerate(held)]
+    names = [f"_held{i}" for i in range(len(held))]
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     # Both before the explode, which would evaluate them once a word.
-    split = docs.select("id", found.alias("text"), F.split(lowered, "[^a-z0-9]+").alias("words"))
-    words = split.select("id", "text", F.explode("words").alias("word")).filter("word != ''")
+    split = docs.select("id", *marks, F.split(lowered, "[^a-z0-9]+").alias("words"))
+    words = split.select("id", *names, F.explode("words").alias("word")).filter("word != ''")
     number = F.conv(F.substring(F.md5(F.col("word").cast("binary")), 1, 4), 16, 10).cast("int")
     counts = words.groupBy("id", (number % buckets).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n"), F.first("text").alias("text"))
+        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in names])
     by_bucket = F.map_from_entries(F.collect_list(F.struct("bucket", "n")))
-    bags = counts.groupBy("id").agg(by_bucket.alias("bag"), F.first("text").alias("text"))
+    bags = counts.groupBy("id").agg(by_bucket.alias("bag"), *[F.first(c).alias(c) for c in names])
+    found = F.concat_ws(" ", *[F.when(F.col(c).bitwiseAND(F.lit(1 << j)) != 0, F.lit(w))
+                               for c, some in zip(names, held) for j, (w, _) in enumerate(some)], F.lit(""))
     dense = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.coalesce(F.try_element_at("bag", i), F.lit(0)).cast("double"))
-    return bags.select("id", dense.alias("vector"), "text")
+    return bags.select("id", dense.alias("vector"), found.alias("text"))
 
 
 def rejection_vectors(rejects: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from journeylake.operators import star
-from journeylake.plans import adhoc, engagement, outbound, prospects, rejections, scoring, similar
+from journeylake.plans import adhoc, engagement, features, outbound, prospects, rejections, scoring, similar
 
 LOG = "table_name string, rejection_reason string, rejected_record string, rejected_at timestamp_ntz"
 FACT = ("subscriber_key string, job_id int, job_key int, event_type string, event_timestamp timestamp_ntz, is_unique boolean, "
@@ -205,3 +205,14 @@ def test_indexed_neighbours_where_nothing_can_be_left_out(spark, rows):
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 24)))], "id long, vector array<double>")
     index, pivots = similar.pivot_index(df, 8)
     assert rows(similar.indexed_neighbours(index, pivots, [0, 3, 200], 7)) == rows(similar.similar_entities(df, [0, 3, 200], 7))
+
+
+def test_document_vectors_count_in_hash_tables(spark, capsys):
+    """Keywords travel as bits: with strings Spark would sort every word. More than 62 take a second number."""
+    words = [f"key{i:02d}." for i in range(70)]
+    texts = spark.createDataFrame([(1, "KEY03. and key69. and key61."), (2, "none of them"), (3, None), (4, "key62. key00.")], "id long, text string")
+    vectors = features.document_vectors(texts, words)
+    vectors.explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+    got = {r.id: (r.text.split(), sum(r.vector)) for r in vectors.collect()}
+    assert got == {1: (["key03.", "key61.", "key69."], 5.0), 2: ([], 3.0), 4: (["key00.", "key62."], 2.0)}
