@@ -241,7 +241,9 @@ def _documents_hybrid(b: Bound) -> DataFrame:
     """Term vectors and an inverted index of all whole documents, mixed half and half."""
     texts = b.read("documents").select(F.col("doc_id").alias("id"), "text")
     index = _as_table(b, similar.term_index(texts).sortWithinPartitions("term"))
-    return similar.hybrid_entities(features.document_vectors(texts).drop("text"), [1, 2, 3], ["License", "copy of the software"], 10, index=index)
+    # Stored, because the vectors are also counted and looked up.
+    vectors = _as_table(b, features.document_vectors(texts).drop("text"))
+    return similar.hybrid_entities(vectors, [1, 2, 3], ["License", "copy of the software"], 10, index=index)
 
 
 def _indexed(b: Bound, entities: DataFrame, query_ids: list, k: int) -> DataFrame:

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from harness import registry
 from journeylake.operators import star
 from journeylake.plans import adhoc, engagement, features, outbound, prospects, rejections, scoring, similar
 
@@ -216,3 +217,13 @@ def test_document_vectors_count_in_hash_tables(spark, capsys):
     assert "SortAggregate" not in capsys.readouterr().out
     got = {r.id: (r.text.split(), sum(r.vector)) for r in vectors.collect()}
     assert got == {1: (["key03.", "key61.", "key69."], 5.0), 2: ([], 3.0), 4: (["key00.", "key62."], 2.0)}
+
+
+def test_hybrid_documents_read_stored_vectors(spark, tmp_path, capsys):
+    """Words are hashed once, not again for the count of documents and the vectors asked for."""
+    rows = [(i, f"license of word{i} copy word{i % 3} the software") for i in range(1, 9)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    near = registry.queries()["similar_documents_hybrid"](spark, str(tmp_path))
+    near.explain()
+    assert "md5" not in capsys.readouterr().out
+    assert near.count() == 21
