@@ -90,7 +90,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     A null or empty text is its end token. Every row is packed, also repeated ones and those
     without doc_id; a long text is cut into pieces. An empty table gives no pieces."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # Less memory for words than by default: the stages before have left their own in the executor.
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), cached_bytes=32 << 20)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

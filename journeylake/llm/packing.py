@@ -23,9 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import documents_of, free_memory, worker_cache
 
-#: Bytes of words and their ids, and of the objects around them, that a Python worker remembers,
-#: and marks of words asked for once, which aren't remembered yet.
-CACHED_BYTES, ENTRY_BYTES, MARKS = 32 << 20, 200, 1 << 20
+#: Bytes of words and their ids, and of the objects around them, that a Python worker remembers.
+CACHED_BYTES, ENTRY_BYTES = 96 << 20, 200
 POOL_ITEMS = 1024
 #: A text without such a character is unchanged by composing (NFC), lower-cased letter by letter
 #: and split at the same white space by Python and the tokenizer. No token spans white space,
@@ -38,16 +37,15 @@ PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^\\sa-zß-ö
 
 
 class WordIds(dict):
-    """Ids of lower-cased words, remembered from the second time on, as most distinct words occur
-    once. Two generations: when the young one is full it becomes the old one, and words still in
-    use come back from there."""
+    """Ids of lower-cased words, found when first asked for. Two generations: when the young
+    one is full it becomes the old one, and words still in use come back from there."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, most: int = CACHED_BYTES):
         super().__init__()
         from tokenizers import pre_tokenizers
 
-        self.model, self.old, self.room = tokenizer.model, {}, CACHED_BYTES // 2
-        self.asked = bytearray(MARKS)
+        self.model, self.old, self.room = tokenizer.model, {}, most // 2
+        self.most = most
         self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
     def __missing__(self, word: str) -> bytes:
@@ -57,14 +55,10 @@ class WordIds(dict):
             if not word.isascii():
                 pieces = [self.as_bytes(p)[0][0] for p in pieces]
             ids = b"".join([t.id.to_bytes(4, "little") for p in pieces for t in self.model.tokenize(p)])
-            mark = hash(word) % MARKS
-            if not self.asked[mark]:
-                self.asked[mark] = 1
-                return ids
         self[word] = ids
         self.room -= len(word) + len(ids) + ENTRY_BYTES
         if self.room <= 0:
-            self.old, self.room, self.asked = dict(self), CACHED_BYTES // 2, bytearray(MARKS)
+            self.old, self.room = dict(self), self.most // 2
             self.clear()
         return ids
 
@@ -72,14 +66,15 @@ class WordIds(dict):
 class WordTokenizer:
     """Ids of texts, as little-endian unsigned 32-bit bytes, through a cache of words."""
 
-    def __init__(self, path: str, end_id: int | None = 1):
+    def __init__(self, path: str, end_id: int | None = 1, cached_bytes: int = CACHED_BYTES):
         from tokenizers import Tokenizer
 
         kept = worker_cache("packing")
         if path not in kept:
-            kept[path] = tokenizer = Tokenizer.from_file(path)
-            kept[path, "words"] = WordIds(tokenizer)
-        self.tokenizer, self.words = kept[path], kept[path, "words"]
+            kept[path] = Tokenizer.from_file(path)
+        if (path, cached_bytes) not in kept:
+            kept[path, cached_bytes] = WordIds(kept[path], cached_bytes)
+        self.tokenizer, self.words = kept[path], kept[path, cached_bytes]
         self.end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
@@ -204,7 +199,7 @@ OUT = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.in
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, max_tokens: int = 2048, max_segments: int = 512, max_loss: int = 2048,
-    end_id: int | None = 1, prompt_tokens: str | None = None,
+    end_id: int | None = 1, prompt_tokens: str | None = None, cached_bytes: int = CACHED_BYTES,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens,
     loss_tokens, sequence_id, offset.
@@ -219,7 +214,7 @@ def pack_documents(
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_memory()
-        words = WordTokenizer(tokenizer, end_id)
+        words = WordTokenizer(tokenizer, end_id, cached_bytes)
         packer = Packer(TaskContext.get().partitionId(), max_tokens, max_segments, max_loss)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
