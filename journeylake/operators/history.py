@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import fixed_values as fv
 from ..functions.columns import blank_to_null
+from ..session import stored
 from .keyed import previous_value, repeat_rows, total_and_next, with_slices
 
 # The attributes whose change opens a new version, with the value that
@@ -26,31 +27,39 @@ VERSION_COLUMNS = ("eff_start_date", "eff_end_date", "is_current", "version_num"
 def silver_quality(bronze: DataFrame, silver_ids: DataFrame, loaded_at: str = "phi_loaded_at") -> DataFrame:
     """Bronze rows with ``rejection_reason`` (null for rows that may enter silver).
 
-    Repeated record ids keep the earliest (load time, file date, row content) row. Which
-    ids repeat is found on the ids alone; rows of other ids are not grouped. Among the
-    repeated ones equal copies are counted before rows meet, so an id repeated very often
-    costs one row per map task, and rejected copies are written out again at the end.
+    Repeated record ids keep the earliest (load time, file date, row content) row. Which ids
+    may repeat or be in silver is found on hashes of the ids alone, written once: they are few
+    as a rule, so that rows of other ids are neither shuffled nor grouped. Ids of these hashes
+    are then compared themselves. Among them equal copies are counted before rows meet, so an
+    id repeated very often costs one row per map task, and rejected copies are written out
+    again at the end.
     """
     columns = bronze.columns
-    repeated = (
-        bronze.groupBy("record_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-        .select(F.col("record_id").alias("_rid"))
-    )
-    same_id = F.col("record_id").eqNullSafe(F.col("_rid"))
-    single = bronze.join(repeated, same_id, "left_anti").withColumns(
-        {"_copies": F.lit(1).cast("bigint"), "_is_first": F.lit(True)})
-    place = F.struct(F.col(loaded_at), F.col("file_date"), F.md5(F.to_json(F.struct(*columns)).cast("binary")))
-    packed = (
-        bronze.join(repeated, same_id, "left_semi").groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("_copies")).withColumn("_place", place)
-    )
-    first_place = packed.groupBy("record_id").agg(F.min("_place").alias("_first")).withColumnRenamed("record_id", "_rid")
-    multiple = (
-        packed.join(first_place, same_id)
-        .withColumn("_is_first", F.col("_place") == F.col("_first")).select(*single.columns)
-    )
-    known = silver_ids.select(F.col("record_id").alias("_sid")).distinct()
-    flagged = single.unionByName(multiple).join(known, F.col("record_id") == F.col("_sid"), "left")
+    hashed = F.xxhash64("record_id")
+    found = bronze.select(hashed.alias("_hash"), F.lit(1).alias("_new"), F.lit(0).alias("_old")).unionByName(
+        silver_ids.select(hashed.alias("_hash"), F.lit(0).alias("_new"), F.lit(1).alias("_old")))
+    suspects = stored(
+        found.groupBy("_hash").agg(F.sum("_new").alias("_new"), F.max("_old").alias("_old"))
+        .filter("_new > 1 or (_new = 1 and _old = 1)").select("_hash"), "suspect-ids")
+    clear = {"_copies": F.lit(1).cast("bigint"), "_is_first": F.lit(True), "_sid": F.lit(None).cast("string")}
+    if suspects.isEmpty():
+        flagged = bronze.withColumns(clear)
+    else:
+        suspect = hashed == F.col("_hash")
+        single = bronze.join(suspects, suspect, "left_anti").withColumns(clear)
+        place = F.struct(F.col(loaded_at), F.col("file_date"), F.md5(F.to_json(F.struct(*columns)).cast("binary")))
+        packed = (
+            bronze.join(suspects, suspect, "left_semi").groupBy(*columns)
+            .agg(F.count(F.lit(1)).alias("_copies")).withColumn("_place", place)
+        )
+        first_place = packed.groupBy("record_id").agg(F.min("_place").alias("_first")).withColumnRenamed("record_id", "_rid")
+        known = silver_ids.join(suspects, suspect, "left_semi").select(F.col("record_id").alias("_sid")).distinct()
+        multiple = (
+            packed.join(first_place, F.col("record_id").eqNullSafe(F.col("_rid")))
+            .withColumn("_is_first", F.col("_place") == F.col("_first"))
+            .join(known, F.col("record_id") == F.col("_sid"), "left").select(*single.columns)
+        )
+        flagged = single.unionByName(multiple)
     ladder = (
         F.when(blank_to_null("master_patient_id").isNull(), "NULL_MASTER_PATIENT_ID")
         .when(blank_to_null("first_name").isNull(), "NULL_FIRST_NAME")
@@ -89,6 +98,42 @@ def empty_current(spark, like: DataFrame) -> DataFrame:
 SLICE_ROWS = 100_000
 
 
+_ORDER = ("_turn", "file_date", "phi_loaded_at", "record_id")
+
+
+def _weight() -> Column:
+    """The stored row weighs its own version number, every change after it weighs 1."""
+    return F.when(F.col("_turn") == 0, F.col("version_num")).otherwise(1)
+
+
+def _changed(chained: DataFrame) -> DataFrame:
+    return chained.filter(F.col("_before").isNull() | (F.col("_before.v") != _tracked())).drop("_before")
+
+
+def _numbered_whole(rows: DataFrame) -> DataFrame:
+    """Changes with ``_version`` and ``_next_start``, one window group per prospect."""
+    chain = Window.partitionBy("master_patient_id").orderBy(*_ORDER)
+    changes = _changed(rows.withColumn("_before", F.lag(F.struct(_tracked().alias("v"))).over(chain)))
+    upto = chain.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return changes.withColumns({
+        "_version": F.sum(_weight()).over(upto), "_next_start": F.lead("eff_start_date").over(chain)})
+
+
+def _numbered_sliced(rows: DataFrame, slice_rows: int) -> DataFrame:
+    """The same over months and slices of them, for prospects with more rows."""
+    rows = rows.withColumn(
+        "_month",
+        F.when(F.col("_turn") == 0, F.lit("0001-01-01").cast("date"))
+        .otherwise(F.coalesce(F.trunc("file_date", "month"), F.lit("0001-02-01").cast("date"))),
+    )
+    key = ["master_patient_id"]
+    rows = with_slices(rows, key, "_month", _ORDER, slice_rows, "_bucket")
+    changes = _changed(previous_value(rows, key, "_bucket", _ORDER, _tracked(), "_before"))
+    return total_and_next(
+        changes, key, "_bucket", _ORDER, _weight(), "eff_start_date", "_version", "_next_start"
+    ).drop("_month", "_bucket")
+
+
 def scd2_versions(current: DataFrame, incoming: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Current rows and incoming valid rows chained into versions.
 
@@ -96,9 +141,13 @@ def scd2_versions(current: DataFrame, incoming: DataFrame, slice_rows: int = SLI
     record id). A row opens a version when a tracked attribute differs from the row
     before it; unchanged rows vanish. Returns every surviving version with ``is_current``
     and ``is_new``: closed rows belong into the history, current ones replace the current
-    table. Windows cover one prospect's rows of one month, and slices of ``slice_rows`` of them
-    where there are more, as one load has one file date; one row per slice carries the last
-    attributes, the sum of changes and the first start date over to its neighbours.
+    table. Rows without a prospect have no versions.
+
+    Prospects of at most ``slice_rows`` rows, each with a start date, are one window group each
+    and are shuffled once. Of the others, found on ids and dates alone, windows cover one
+    prospect's rows of one month, and slices of ``slice_rows`` of them where there are more, as
+    one load has one file date; one row per slice carries the last attributes, the sum of
+    changes and the first start date over to its neighbours.
     """
     base = current.select(
         *ROW_COLUMNS, "eff_start_date", "version_num", F.lit(0).alias("_turn")
@@ -109,23 +158,16 @@ def scd2_versions(current: DataFrame, incoming: DataFrame, slice_rows: int = SLI
         "version_num": F.lit(None).cast("int"),
         "_turn": F.lit(1),
     })
-    rows = base.unionByName(fresh).withColumn(
-        "_month",
-        F.when(F.col("_turn") == 0, F.lit("0001-01-01").cast("date"))
-        .otherwise(F.coalesce(F.trunc("file_date", "month"), F.lit("0001-02-01").cast("date"))),
-    )
+    rows = base.unionByName(fresh).filter("master_patient_id is not null")
     key = ["master_patient_id"]
-    order = ["_turn", "file_date", "phi_loaded_at", "record_id"]
-    rows = with_slices(rows, key, "_month", order, slice_rows, "_bucket")
-    chained = previous_value(rows, key, "_bucket", order, _tracked(), "_before")
-    changes = chained.filter(
-        F.col("_before").isNull() | (F.col("_before.v") != _tracked())
-    ).drop("_before")
-    # The stored row weighs its own version number, every change after it weighs 1.
-    weight = F.when(F.col("_turn") == 0, F.col("version_num")).otherwise(1)
-    numbered = total_and_next(
-        changes, key, "_bucket", order, weight, "eff_start_date", "_version", "_next_start"
-    )
+    sliced = stored(
+        rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.bool_or(F.col("eff_start_date").isNull()).alias("_undated"))
+        .filter((F.col("_n") > slice_rows) | F.col("_undated")).select(*key), "sliced-prospects")
+    if sliced.isEmpty():
+        numbered = _numbered_whole(rows)
+    else:
+        whole = rows.join(sliced, key, "left_anti")
+        numbered = _numbered_whole(whole).unionByName(_numbered_sliced(rows.join(sliced, key, "left_semi"), slice_rows))
     return (
         numbered.withColumn("version_num", F.col("_version").cast("int"))
         .withColumn("is_current", F.col("_next_start").isNull())

@@ -69,26 +69,35 @@ TIE_BREAK = (
     "city", "state", "zip_code", "patient_consent", "first_name", "last_name",
 )
 
+DAY = ["master_patient_id", "file_date"]
+
 
 def master_prospects(
-    valid: DataFrame, xref: DataFrame, master: DataFrame | None = None, one_per_day: bool = True
+    valid: DataFrame, xref: DataFrame, master: DataFrame | None = None, one_per_day: bool = True,
+    record_ids: bool = True,
 ) -> DataFrame:
     """New master rows: valid leads joined to their identity, once per (id, file date).
 
     The record id is a hash of the row's own values, so a rerun gives the same id.
-    ``one_per_day=False`` keeps every same-day row of one batch.
+    ``one_per_day=False`` keeps every same-day row of one batch; without ``record_ids`` the
+    caller adds them, by `with_record_ids`.
     """
     typed = typed_prospects(valid.withColumn("identity_key", identity_key()), ("identity_key",))
     rows = typed.join(xref.select("identity_key", "master_patient_id"), "identity_key").drop("identity_key")
-    day = ["master_patient_id", "file_date"]
     if master is not None:
-        rows = unseen(rows, master, day)
+        rows = unseen(rows, master, DAY)
+    if one_per_day:
+        rows = first_per_key(rows, DAY, [F.col(c).asc_nulls_first() for c in TIE_BREAK])
+    return with_record_ids(rows, one_per_day) if record_ids else rows
+
+
+def with_record_ids(rows: DataFrame, one_per_day: bool = True) -> DataFrame:
+    """The columns of master rows that follow from others."""
     if one_per_day:
-        rows = first_per_key(rows, day, [F.col(c).asc_nulls_first() for c in TIE_BREAK])
         record = F.md5(F.concat_ws("|", "master_patient_id", F.col("file_date").cast("string")))
     else:
         record = F.md5(F.concat_ws("|", *[
-            F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in (*day, *TIE_BREAK)
+            F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in (*DAY, *TIE_BREAK)
         ]))
     return rows.select(
         record.alias("record_id"),

@@ -110,13 +110,16 @@ PROSPECT_ATTRIBUTES = (
 )
 
 
+#: What the dimension takes from a prospect's latest current row.
+LATEST = ("first_name", "last_name", "email", "phone_number", "age", "city", "state", "zip_code",
+          "patient_consent", "is_active")
+
+
 def prospect_rows(silver: DataFrame) -> DataFrame:
     """One row per prospect in one aggregation: latest current row, intake span, count and
     first channel. The record id breaks ties."""
-    kept = ("first_name", "last_name", "email", "phone_number", "age", "city", "state", "zip_code",
-            "patient_consent", "is_active")
     latest = F.max_by(
-        F.struct(*kept),
+        F.struct(*LATEST),
         F.when(F.col("is_current"), F.struct("eff_start_date", "version_num", "record_id")),
     )
     first_channel = F.min_by(
@@ -237,11 +240,12 @@ def fact_intake(
         F.col("city").alias("g_city"), F.col("state").alias("g_state"), F.col("zip_code").alias("g_zip"), "geo_key"
     )
     return (
-        rows.join(prospects.select("master_patient_id", "prospect_key"), "master_patient_id", "left")
-        .join(channels.select(F.col("channel_name").alias("channel"), "channel_key"), "channel", "left")
+        # Prospects last: the small look-ups have put numbers in the place of texts by then.
+        rows.join(channels.select(F.col("channel_name").alias("channel"), "channel_key"), "channel", "left")
         .join(dates.select(F.col("full_date").alias("file_date"), "date_key"), "file_date", "left")
         .join(geo, (F.col("city") == F.col("g_city")) & (F.col("state") == F.col("g_state"))
               & (F.col("zip_code") == F.col("g_zip")), "left")
+        .join(prospects.select("master_patient_id", "prospect_key"), "master_patient_id", "left")
         .select(
             "record_id", "master_patient_id", "prospect_key", "channel_key", "date_key", "geo_key",
             "submission_timestamp", "file_date", "age",

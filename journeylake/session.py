@@ -59,6 +59,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Written once to the shared folder and read back: unlike a checkpoint's, its size is known
+    from its files, so that joins with few rows are planned as broadcasts."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fixed_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A small literal table. It plans as a local relation of known size, so no Python
     rows are shipped and Spark can broadcast it on its own. ``rows`` are program constants."""

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 PART, BATCH = "_part", "_batch"
+#: Every layer keeps its rows again, so their size counts for more than the time to pack them.
+CODEC = "zstd"
 
 
 def values_of(rows: DataFrame, part: Column) -> list:
@@ -108,20 +110,28 @@ class Lake:
             df = df.filter(keep | F.col(PART).isNull() if None in list(parts) else keep)
         return df.drop(PART, BATCH)
 
-    def _write(self, name: str, folder: str, df: DataFrame, part: Column | None = None) -> int:
+    def _write(self, name: str, folder: str, df: DataFrame, part: Column | None = None, by_part: bool = False,
+               late: Callable[[DataFrame], DataFrame] | None = None) -> int:
         """Writes and returns the rows written, from the footers of the files. (Metrics observed
         on the way are lost where the optimiser finds a frame to be empty.)"""
         if part is None:
-            df.write.mode("overwrite").parquet(folder)
+            df.write.mode("overwrite").option("compression", CODEC).parquet(folder)
         else:
             # Rows of a part come together, in more than one file where they are many.
             df = df.withColumn(PART, part.cast("string"))
-            df.hint("rebalance", F.col(PART)).write.mode("overwrite").partitionBy(PART).parquet(folder)
+            together = df if by_part else df.hint("rebalance", F.col(PART))
+            df = together if late is None else late(together)
+            df.write.mode("overwrite").option("compression", CODEC).partitionBy(PART).parquet(folder)
         self._schemas[name] = df.schema
         return self._load(name, folder.rsplit("/", 1)[0], folder).count()
 
-    def read_or_none(self, name: str) -> DataFrame | None:
-        return self.read(name) if self.exists(name) else None
+    def read_or_none(self, name: str, parts: Iterable | None = None) -> DataFrame | None:
+        """The table; None where there is none or where the parts named hold no rows, so that
+        what is compared with it need not be shuffled to meet nothing."""
+        if not self.exists(name):
+            return None
+        df = self.read(name, parts)
+        return None if parts is not None and df.isEmpty() else df
 
     def read_batch(self, name: str, batch: str) -> DataFrame:
         for folder, done in reversed(self._merged(name)):
@@ -135,14 +145,17 @@ class Lake:
 
     # --- writing -------------------------------------------------------------
 
-    def append(self, name: str, batch: str, make: Callable[[], DataFrame], part: Column | None = None) -> int:
+    def append(self, name: str, batch: str, make: Callable[[], DataFrame], part: Column | None = None,
+               by_part: bool = False, late: Callable[[DataFrame], DataFrame] | None = None) -> int:
         """Writes ``make()`` as one batch; returns its row count, of a batch that is there already
-        from the footers of its files."""
+        from the footers of its files. ``by_part`` tells that the rows come straight from a table
+        with the same parts and lie together already. ``late`` adds columns that follow from
+        others when the rows of a part have come together, so that they are not shuffled."""
         version, batches = self._batches(name)
         if batch in batches:
             return self.read_batch(name, batch).count()
         folder = batch if part is None else f"{BATCH}={batch}"
-        return self._write(name, f"{self.root}/{name}/v{max(version, 1):08d}/{folder}", make(), part)
+        return self._write(name, f"{self.root}/{name}/v{max(version, 1):08d}/{folder}", make(), part, by_part, late)
 
     def replace(self, name: str, batch: str, make: Callable[[], DataFrame]) -> int:
         """Writes ``make()`` as the whole table in a new version; returns its row count. A batch

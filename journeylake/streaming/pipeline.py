@@ -46,13 +46,15 @@ def _log_rejects(lake: Lake, batch: str, rows: DataFrame) -> int:
     """Adds rows that are not logged yet; earlier batches only, so retries see the same log. A
     record has one lead date, so only the months of the batch are compared."""
     months = values_of(rows, _month("lead_date")) if lake.exists(LOG) else []
-    existing = lake.read(LOG, months) if months else None
+    existing = lake.read_or_none(LOG, months) if months else None
 
     def fresh() -> DataFrame:
-        named = rows.withColumn("rejection_id", F.md5(F.concat_ws("|", "table_name", "rejection_reason", "rejected_hash")))
-        return named if existing is None else quality.new_rejects(named, existing, narrow=True)
+        return rows if existing is None else quality.new_rejects(rows, existing, narrow=True)
 
-    return lake.append(LOG, batch, fresh, _month("lead_date"))
+    def named(new: DataFrame) -> DataFrame:
+        return new.withColumn("rejection_id", F.md5(F.concat_ws("|", "table_name", "rejection_reason", "rejected_hash")))
+
+    return lake.append(LOG, batch, fresh, _month("lead_date"), late=named)
 
 
 def master_step(lake: Lake, batch: str, require_consent: bool = False) -> None:
@@ -74,9 +76,11 @@ def master_step(lake: Lake, batch: str, require_consent: bool = False) -> None:
         lake.append("core/identity_xref", batch, lambda: mastering.resolve_identity(valid, xref, first), lake.bucket("identity_key"))
         _note_last(lake, "core/identity_xref", batch, "master_number", first)
         known = lake.read("core/identity_xref", buckets)
-        master = lake.read("core/prospect_master", months) if lake.exists("core/prospect_master") else None
+        master = lake.read_or_none("core/prospect_master", months)
         run.rows_loaded = lake.append(
-            "core/prospect_master", batch, lambda: mastering.master_prospects(valid, known, master), _month("file_date"))
+            "core/prospect_master", batch,
+            lambda: mastering.master_prospects(valid, known, master, record_ids=False), _month("file_date"),
+            late=mastering.with_record_ids)
 
 
 def bronze_step(lake: Lake, batch: str) -> None:
@@ -85,9 +89,11 @@ def bronze_step(lake: Lake, batch: str) -> None:
         rows = lake.read_batch("core/prospect_master", batch)
         bronze = None
         if lake.exists("bronze/prospect_master"):
-            bronze = lake.read("bronze/prospect_master", values_of(rows, _month("file_date")))
+            bronze = lake.read_or_none("bronze/prospect_master", values_of(rows, _month("file_date")))
+        # Without rows to compare with, the months lie together as the master rows do.
         run.rows_loaded = lake.append(
-            "bronze/prospect_master", batch, lambda: mastering.append_bronze(rows, bronze, narrow=True), _month("file_date"))
+            "bronze/prospect_master", batch, lambda: mastering.append_bronze(rows, bronze, narrow=True), _month("file_date"),
+            by_part=bronze is None)
 
 
 def silver_step(lake: Lake, batch: str) -> None:
@@ -138,7 +144,11 @@ def gold_leads_step(lake: Lake, batch: str) -> None:
         touched = rows.select("master_patient_id").distinct()
         bucket = lake.bucket("master_patient_id")
         buckets = values_of(rows, bucket)
-        theirs = silver(lake, buckets).join(touched, "master_patient_id", "left_semi")
+        current = lake.read("silver/current", buckets)
+        # Of closed versions the dimension takes dates and channels only.
+        closed = lake.read("silver/history", buckets).withColumns(
+            {c: F.lit(None).cast(current.schema[c].dataType) for c in star.LATEST})
+        theirs = closed.unionByName(current).join(touched, "master_patient_id", "left_semi")
         if not lake.exists("gold/dim_channel"):
             lake.replace("gold/dim_channel", "seed", lambda: star.seed_channels(lake.spark))
         _dimension(lake, "gold/dim_channel", batch, "channel_key long, channel_name string, channel_category string",
@@ -161,7 +171,7 @@ def gold_leads_step(lake: Lake, batch: str) -> None:
         lake.append("gold/dim_date", batch, lambda: star.new_dates(rows, dates))
         facts = None
         if lake.exists("gold/fact_intake"):
-            facts = lake.read("gold/fact_intake", values_of(rows, _month("file_date")))
+            facts = lake.read_or_none("gold/fact_intake", values_of(rows, _month("file_date")))
         run.rows_loaded = lake.append("gold/fact_intake", batch, lambda: star.fact_intake(
             rows, lake.read("gold/dim_prospect", buckets), lake.read("gold/dim_channel"), lake.read("gold/dim_date"),
             lake.read("gold/dim_geography"), facts), _month("file_date"))
