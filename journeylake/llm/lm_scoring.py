@@ -189,10 +189,26 @@ def _ask_words(shards: int):
     return ask
 
 
+def _as_one(columns: list[np.ndarray]) -> np.ndarray | None:
+    """Rows of non-negative values as single numbers in the same order; None where 63 bits don't
+    hold them."""
+    bits = [int(column.max(initial=0)).bit_length() for column in columns]
+    if sum(bits) > 63:
+        return None
+    key = columns[0].astype(np.int64)
+    for column, width in zip(columns[1:], bits[1:]):
+        key <<= width
+        key |= column
+    return key
+
+
 def _number(columns: list[np.ndarray]) -> np.ndarray:
-    """The same number for the same row of values, from 0."""
+    """The same number for the same row of non-negative values, from 0."""
     import pandas as pd
 
+    key = _as_one(columns)
+    if key is not None:
+        return pd.factorize(key)[0].astype(np.int64)
     codes = pd.factorize(columns[0])[0].astype(np.int64)
     for column in columns[1:]:
         other = pd.factorize(column)[0].astype(np.int64)
@@ -200,6 +216,12 @@ def _number(columns: list[np.ndarray]) -> np.ndarray:
     return codes
 
 
+def _order(columns: list[np.ndarray]) -> np.ndarray:
+    """Places of distinct rows of non-negative values in their order."""
+    key = _as_one(columns)
+    return np.lexsort(columns[::-1]) if key is None else np.argsort(key)
+
+
 def _spread(row: dict, names: tuple[str, str], codes: np.ndarray, total: np.ndarray, main: np.ndarray) -> dict:
     """The counts of a row's entries; only the deleted fold needs both."""
     return {names[0]: pack(total[codes]), names[1]: pack(main[codes]) if row["held"] else None}
@@ -260,6 +282,8 @@ class _Opened:
     """The tokens of a chunk with the numbers of its words, its distinct pairs and triples."""
 
     def __init__(self, row: dict, answers: list[dict], bound: int):
+        import pandas as pd
+
         self.answers = sorted(answers, key=lambda r: (r["level"], r["shard"]))
         codes, self.sizes, self.place = unpack(row["codes"]), unpack(row["sizes"]), unpack(row["place"])
         self.starts = np.cumsum(self.sizes) - self.sizes
@@ -272,12 +296,12 @@ class _Opened:
         before = np.concatenate([[0], now[:-1]])
         before[self.starts] = 0
         width = row["n_words"] + 1
-        pairs, self.pair = np.unique(before * width + now, return_inverse=True)
+        self.pair, pairs = pd.factorize(before * width + now)
         self.a, self.b = pairs // width, pairs % width
         self.inner = np.ones(len(codes), bool)  # positions with two predecessors, the blank one included
         self.inner[self.starts] = False
         context = np.concatenate([[0], self.pair[:-1]])
-        triples, self.triple = np.unique((context * width + now)[self.inner], return_inverse=True)
+        self.triple, triples = pd.factorize((context * width + now)[self.inner])
         self.context, self.c = triples // width, triples % width
         self.alone = (frequent[self.a] & frequent[self.b])[self.context]
         self.learned = np.repeat(~np.array(row["tests"], bool), self.sizes)
@@ -297,14 +321,14 @@ class _Opened:
 
         a, b, c = self.ids[self.a], self.ids[self.b], self.ids[self.c]
         of_pair = shard(a, b)
-        pairs = np.lexsort((b, a, of_pair))
+        pairs = _order([of_pair, a, b])
         at = np.empty(len(pairs), np.int64)
         at[pairs] = np.arange(len(pairs))
         theirs, alone = np.flatnonzero(~self.alone), np.flatnonzero(self.alone)
-        follow = theirs[np.lexsort((c[theirs], at[self.context[theirs]]))]
+        follow = theirs[_order([at[self.context[theirs]], c[theirs]])]
         a3, b3 = a[self.context[alone]], b[self.context[alone]]
         of_triple = shard(a3, b3, c[alone])
-        order = np.lexsort((c[alone], b3, a3, of_triple))
+        order = _order([of_triple, a3, b3, c[alone]])
         return pairs, of_pair[pairs], follow, alone[order], of_triple[order]
 
     def requests(self, row: dict, shards: int) -> list[dict]:

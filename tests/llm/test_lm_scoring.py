@@ -139,3 +139,18 @@ def test_mixture_beats_unigrams_on_unseen_documents(spark):
 
     unseen = op11_lm_scoring(spark, "/root/testdata/sf0.01").filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert unseen[0] > unseen[1]
+
+
+@pytest.mark.parametrize("top", [7, 1 << 20, 1 << 40])
+def test_rows_of_numbers_are_ordered_and_numbered_as_one_where_they_fit(top):
+    rng = np.random.default_rng(1)
+    rows = np.unique(rng.integers(0, top, (400, 3)), axis=0)
+    rows = rows[rng.permutation(len(rows))]
+    columns = [np.ascontiguousarray(c) for c in rows.T]
+    kept = [c.copy() for c in columns]
+    assert (lm._as_one(columns) is None) == (top > 1 << 21)
+    assert lm._order(columns).tolist() == sorted(range(len(rows)), key=lambda i: tuple(rows[i]))
+    twice = [np.concatenate([c, c[::-1]]) for c in columns]
+    assert lm._number(twice).tolist() == [*range(len(rows)), *reversed(range(len(rows)))]
+    assert all((a == b).all() for a, b in zip(columns, kept))
+    assert lm._order([c[:0] for c in columns]).tolist() == [] == lm._number([c[:0] for c in columns]).tolist()
