@@ -1,12 +1,18 @@
 """The trie of conversations that share their first turns, with totals of every subtree.
 
-Subtree totals come from parallel tree contraction. A round rakes all leaves, whose totals are
-then known, into their parents, and compresses chains: of the nodes with one child some that aren't
-neighbours, picked by coins, hand their sum to their parent and their child too. So a
-chain as long as the longest conversation is gone after a logarithmic number of join rounds, and
-a node with very many children receives one sum. At the end compressed nodes are expanded:
-each total is its own sum and the total of the node that it was left above, found by jumping over
-nodes that were compressed themselves.
+Subtree totals come from parallel tree contraction. The nodes of one smallest member follow each
+other down the trie, as what shares a longer prefix is a part of what shares a shorter one; they
+are chains, and all of them are compressed at once by a sum over each. What is left is the tree of
+these paths. A round rakes all its leaves, whose totals are then known, into their parents, and
+compresses chains of paths: of those with one child some that aren't neighbours, picked by coins,
+hand their sum to their parent and their child too. So a chain of any length is gone after a
+logarithmic number of join rounds, and a path with very many children receives one sum. At the end
+compressed paths are expanded: each total is its own sum and the total of the path that it was left
+above, found by jumping over paths that were compressed themselves; a node's total is the one of its
+path without what hangs higher up on it.
+
+Every round is planned by the driver, which keeps what it planned for a while, so that rounds cost
+its memory; there are as many as paths hang on paths, or fewer, not as many as turns call for.
 """
 
 from __future__ import annotations
@@ -84,21 +90,27 @@ def rebuilt(conversations: DataFrame, block: int = 100, most: int = 6) -> tuple[
     return convs, steps.withColumn("last", F.col("depth") == F.col("length")).drop("length")
 
 
+def _running(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` (conv_id, depth, …, read twice) with the sums of ``columns`` over all up to each one's depth,
+    in ``upto_`` columns. Window groups are slices, so that a conversation of any length spans tasks."""
+    rows = rows.withColumn("slice", F.floor((F.col("depth") - 1) / SLICE))
+    whole = rows.groupBy("conv_id", "slice").agg(*[F.sum(x).alias(x) for x in columns])
+    earlier = Window.partitionBy("conv_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = whole.select("conv_id", "slice", *[F.coalesce(F.sum(x).over(earlier), F.lit(0)).alias(f"_c_{x}") for x in columns])
+    inside = Window.partitionBy("conv_id", "slice").orderBy("depth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = rows.withColumns({f"_s_{x}": F.sum(x).over(inside) for x in columns}).join(carried, ["conv_id", "slice"])
+    return summed.select(*[c for c in rows.columns if c != "slice"], *[(F.col(f"_s_{x}") + F.col(f"_c_{x}")).alias(f"upto_{x}") for x in columns])
+
+
 def _prefixes(steps: DataFrame) -> DataFrame:
     """Key and parent key of the prefix that ends at each turn."""
     numbers = [f"x{i}" for i in range(LANES)]
-    steps = steps.withColumns(dict(zip(numbers, _numbers(F.col("depth"), F.col("digest"))))).withColumn(
-        "slice", F.floor((F.col("depth") - 1) / SLICE))
-    steps = written(steps.drop("digest"), "trie-steps")
-    whole = steps.groupBy("conv_id", "slice").agg(*[F.sum(x).alias(x) for x in numbers])
-    earlier = Window.partitionBy("conv_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = whole.select("conv_id", "slice", *[F.coalesce(F.sum(x).over(earlier), F.lit(0)).alias(f"c{x}") for x in numbers])
-    inside = Window.partitionBy("conv_id", "slice").orderBy("depth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = steps.withColumns({f"s{x}": F.sum(x).over(inside) for x in numbers}).join(carried, ["conv_id", "slice"])
-    upto = [F.col(f"s{x}") + F.col(f"c{x}") for x in numbers]
+    steps = written(steps.withColumns(dict(zip(numbers, _numbers(F.col("depth"), F.col("digest"))))).drop("digest"), "trie-steps")
+    upto = [F.col(f"upto_{x}") for x in numbers]
     before = [s - F.col(x) for s, x in zip(upto, numbers)]
-    return written(summed.select("conv_id", "depth", "points", "last", _key(F.col("depth"), upto).alias("id"),
-                                 _key(F.col("depth") - 1, before).alias("parent")), "trie-prefixes")
+    return written(_running(steps, numbers).select(
+        "conv_id", "depth", "points", "last", _key(F.col("depth"), upto).alias("id"),
+        _key(F.col("depth") - 1, before).alias("parent")), "trie-prefixes")
 
 
 # --- contraction ------------------------------------------------------------------------
@@ -107,6 +119,7 @@ def _prefixes(steps: DataFrame) -> DataFrame:
 def subtree_sums(tree: DataFrame, columns: list[str]) -> DataFrame:
     """id and, for each of ``columns``, the sum over the subtree of every node of ``tree`` (id,
     parent, columns), by contraction. Parents are null at roots and nodes of the tree elsewhere."""
+    none = F.lit(None).cast(tree.schema["id"].dataType)
     state = written(tree.select("id", "parent", *columns), "tree-0")
     raked: list[DataFrame] = []
     spliced: list[DataFrame] = []
@@ -116,21 +129,18 @@ def subtree_sums(tree: DataFrame, columns: list[str]) -> DataFrame:
         kids = state.filter("parent is not null").groupBy(F.col("parent").alias("id")).agg(
             F.count(F.lit(1)).alias("kids"), F.min("id").alias("child"))
         now = state.join(kids, "id", "left")
-        heads = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(2)) == 0
-        single = now.filter((F.col("kids") == 1) & F.col("parent").isNotNull() & heads)
-        # Its child must have children, which a leaf raked in this round has not; and of two
-        # neighbours on heads the lower one stays.
-        able = written(single.join(kids.select(F.col("id").alias("child")), "child", "left_semi")
-                       .select("id", "parent", "child", *columns), f"tree-able-{turn}")
-        picked = written(able.join(able.select(F.col("child").alias("id")), "id", "left_anti"), f"tree-picked-{turn}")
-        none = F.lit(None).cast("binary")
+        heads = [F.pmod(F.xxhash64(c, F.lit(turn)), F.lit(2)) == 0 for c in ("id", "parent")]
+        # Two neighbours are never picked, as the coin of the upper one must differ; and the child of
+        # a picked one must have children, which a leaf raked in this round has not.
+        single = now.filter((F.col("kids") == 1) & F.col("parent").isNotNull() & heads[0] & ~heads[1])
+        picked = written(single.join(kids.select(F.col("id").alias("child")), "child", "left_semi")
+                         .select("id", "parent", "child", *columns), f"tree-picked-{turn}")
         given = now.filter("kids is null").select("parent", *columns).unionByName(picked.select("parent", *columns))
         news = (
-            given.filter("parent is not null").groupBy(F.col("parent").alias("id")).agg(*[F.sum(c).alias(f"_{c}") for c in columns])
-            .select("id", *[f"_{c}" for c in columns], none.alias("_to"), F.lit(False).alias("_gone"))
+            given.filter("parent is not null").select(F.col("parent").alias("id"), *columns, none.alias("_to"), F.lit(False).alias("_gone"))
             .union(picked.select(F.col("child").alias("id"), *[F.lit(0) for _ in columns], F.col("parent"), F.lit(False)))
             .union(picked.select("id", *[F.lit(0) for _ in columns], none, F.lit(True)))
-            .groupBy("id").agg(*[F.sum(f"_{c}").alias(f"_{c}") for c in columns], F.max("_to").alias("_to"), F.max("_gone").alias("_gone"))
+            .groupBy("id").agg(*[F.sum(c).alias(f"_{c}") for c in columns], F.max("_to").alias("_to"), F.max("_gone").alias("_gone"))
         )
         after = written(now.join(news, "id", "left").select(
             "id", F.coalesce("_to", "parent").alias("parent"), "child",
@@ -154,7 +164,7 @@ def _expanded(raked: list[DataFrame], spliced: list[DataFrame], columns: list[st
     is no longer than there were rounds, and each jump doubles."""
     if not rounds:
         return None
-    none = F.lit(None).cast("binary")
+    none = F.lit(None).cast(raked[0].schema["id"].dataType)
     nodes = written(_union([r.select("id", none.alias("child"), *columns) for r in raked] + spliced), "tree-open")
     for step in range(max(rounds - 1, 1).bit_length()):
         below = nodes.select(F.col("id").alias("child"), F.col("child").alias("_next"), *[F.col(c).alias(f"_{c}") for c in columns])
@@ -164,6 +174,34 @@ def _expanded(raked: list[DataFrame], spliced: list[DataFrame], columns: list[st
     return nodes.select("id", *columns)
 
 
+def _with_totals(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (id, conv_id, depth, parent_conv_id, n_convs, own) with ``n_children``, ``n_leaves`` and, as
+    ``saved_tokens``, the sum of ``own`` over the subtree of each.
+
+    A path has the nodes of one conv_id, at consecutive depths, and hangs on the node of its
+    first one's parent_conv_id a turn higher."""
+    paths = written(nodes.groupBy("conv_id").agg(
+        F.max(F.when(F.col("parent_conv_id") != F.col("conv_id"), F.col("parent_conv_id"))).alias("over"),
+        (F.min("depth") - 1).alias("at"), F.max("depth").alias("bottom"), F.sum("own").alias("saved")), "trie-paths")
+    holding = paths.filter("over is not null").select(F.col("over").alias("conv_id"), F.col("at").alias("bottom")).distinct()
+    tree = paths.join(holding.withColumn("held", F.lit(0)), ["conv_id", "bottom"], "left").select(
+        F.col("conv_id").alias("id"), F.col("over").alias("parent"), F.coalesce("held", F.lit(1)).cast("long").alias("leaves"), "saved")
+    totals = subtree_sums(tree, ["leaves", "saved"])
+    if totals is None:
+        return nodes.limit(0).withColumns({c: F.lit(0).cast("long") for c in ("n_children", "n_leaves", "saved_tokens")})
+    paths = written(paths.drop("saved").join(totals.withColumnRenamed("id", "conv_id"), "conv_id"), "trie-paths-summed")
+    hung = paths.filter("over is not null").groupBy(F.col("over").alias("conv_id"), F.col("at").alias("depth")).agg(
+        F.count(F.lit(1)).alias("hung"), F.sum("leaves").alias("_leaves"), F.sum("saved").alias("_saved"))
+    held = written(nodes.join(hung, ["conv_id", "depth"], "left").select(
+        *nodes.columns, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("hung", "_leaves")],
+        (F.col("own") + F.coalesce("_saved", F.lit(0))).alias("_saved")), "trie-held")
+    # A path's total without what its higher nodes hold themselves.
+    return _running(held, ["_leaves", "_saved"]).join(paths.select("conv_id", "bottom", "leaves", "saved"), "conv_id").select(
+        *nodes.columns, (F.col("hung") + (F.col("depth") < F.col("bottom")).cast("long")).alias("n_children"),
+        (F.col("leaves") - F.col("upto__leaves") + F.col("_leaves")).alias("n_leaves"),
+        (F.col("saved") - F.col("upto__saved") + F.col("_saved")).alias("saved_tokens"))
+
+
 # --- the report -------------------------------------------------------------------------
 
 
@@ -208,22 +246,13 @@ def prefix_trie(conversations: DataFrame, block: int = 100, most: int = 6) -> Da
     root = convs.agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs")).filter("n_convs > 0").select(
         _root().alias("id"), F.lit(None).cast("binary").alias("parent"), F.lit(0).cast("long").alias("depth"), "conv_id", "n_convs",
         F.lit(0).cast("long").alias("points"))
-    nodes = prefixes.groupBy("id").agg(
-        F.min("parent").alias("parent"), F.min("depth").alias("depth"), F.min("conv_id").alias("conv_id"),
-        F.count(F.lit(1)).alias("n_convs"), F.min("points").alias("points")).select(root.columns)
-    nodes = written(nodes.union(root), "trie-nodes")
-    kids = nodes.filter("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.count(F.lit(1)).alias("n_children"))
-    own = nodes.join(kids, "id", "left").select(
-        "id", "parent", F.when(F.col("n_children").isNull(), 1).otherwise(0).cast("long").alias("n_leaves"),
-        ((F.col("n_convs") - 1) * F.col("points")).alias("saved_tokens"))
-    totals = subtree_sums(own, ["n_leaves", "saved_tokens"])
-    if totals is None:
-        totals = own.select("id", "n_leaves", "saved_tokens")
+    nodes = prefixes.groupBy("id", "parent", "depth", "points").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"))
+    nodes = written(nodes.select(root.columns).union(root), "trie-nodes")
+    above = nodes.select(F.col("id").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
+    placed = written(nodes.join(above, "parent", "left").select(
+        "id", "conv_id", "depth", "parent_conv_id", "n_convs", ((F.col("n_convs") - 1) * F.col("points")).alias("own")), "trie-placed")
     ends = prefixes.filter("last").select("id", "conv_id").union(convs.filter("length = 0").select(_root(), "conv_id"))
     ends = ends.repartition("id").sortWithinPartitions("id", "conv_id").mapInArrow(_hashed, "id binary, ends_sha256 string")
-    above = nodes.select(F.col("id").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
-    return (
-        nodes.join(above, "parent", "left").join(kids, "id", "left").join(totals, "id").join(ends, "id", "left")
-        .select("conv_id", "depth", "parent_conv_id", "n_convs", F.coalesce("n_children", F.lit(0)).alias("n_children"),
-                "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(hashlib.sha256().hexdigest())).alias("ends_sha256"))
-    )
+    return _with_totals(placed).join(ends, "id", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.lit(hashlib.sha256().hexdigest())).alias("ends_sha256"))

@@ -9,6 +9,7 @@ from collections import defaultdict
 import numpy as np
 
 from journeylake.llm import prefix_trie as trie
+from journeylake.llm.common import written as plain
 
 SCHEMA = "conv_id long, turn int, role string, text string, id long, parent string, depth int, part int"
 
@@ -84,3 +85,24 @@ def test_no_conversations(spark):
 def test_only_turnless(spark):
     rows = [(7, 1, "user", "x")]  # the first conversation of its block is absent, its own turn falls away
     assert run(spark, rows) == brute(rows)
+
+
+def test_paths_that_hang_on_paths(spark, monkeypatch):
+    monkeypatch.setattr(trie, "SLICE", 3)
+    rows = [(100 * c, t, "user", f"line {t}") for c in range(1, 25) for t in range(c)]
+    rows += [(100 * c, c, "bot", f"end {c}") for c in range(1, 25)]  # each path hangs on the one before
+    rows += [(100 * c + 7, t, "user", f"line {t}") for c in range(3, 9) for t in range(2 * c)]
+    rows += [(-100 * c, t, "user", "line 0" if t == 0 else "other") for c in (1, 2) for t in range(3 + c)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_no_more_rounds_for_longer_conversations(spark, monkeypatch):
+    labels = []
+    monkeypatch.setattr(trie, "written", lambda df, label, *more: labels.append(label) or plain(df, label, *more))
+    tables = []
+    for turns in (4, 120):
+        labels.clear()
+        rows = [(c, t, "user", f"{c} says {t}") for c in (100, 200, 201) for t in range(turns)]
+        assert run(spark, rows) == brute(rows)
+        tables.append(len(labels))
+    assert tables[0] == tables[1] < 25
